@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,26 +51,58 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
         start = end
 
 
-def hash_words(words: list[str]) -> np.ndarray:
-    """64-bit hashes, the same on every machine."""
-    h = xxhash.xxh3_64_intdigest
-    return np.fromiter((h(w) for w in words), np.uint64, len(words))
+#: Odd, so that it has an inverse modulo 2 ** 64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
+_BYTES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, np.uint64)  # a value for each byte
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
+    known = _powers.get(base)
+    if known is None or len(known) < n:
+        known = np.ones(max(n, 1 << 16), np.uint64)
+        known[1:] = np.uint64(base)
+        _powers[base] = known = np.multiply.accumulate(known)
+    return known[:n]
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of a sequence, each from its values and their places in it, the same wherever it stands."""
+    summed = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(_BASE, len(values)), out=summed[1:])
+    return mix((summed[ends] - summed[starts]) * powers(_INVERSE, len(values) + 1)[starts] + (ends - starts).astype(np.uint64))
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of the texts in a row (nulls empty), and the n + 1 offsets."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets - offsets[0]
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte and end of each word (split at ASCII white space), and the n + 1 offsets of the texts' words."""
+    word = ~_SPACE[data]
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    inner = offsets[1:-1]
+    inner = inner[(inner > 0) & (inner < len(data))]
+    first[inner] = word[inner]
+    last[inner - 1] = word[inner - 1]
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of each text (lower case, split at white space, nulls empty), and the n + 1 offsets of the texts."""
-    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
-    offsets = lists.offsets.to_numpy().astype(np.int64)
-    flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
-    offsets = offsets - offsets[0]
-    coded = pc.dictionary_encode(flat)
-    hashes = hash_words(coded.dictionary.to_pylist())
-    hashes = np.append(hashes, np.uint64(0))[coded.indices.to_numpy()] if len(flat) else np.zeros(0, np.uint64)
-    full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False) if len(flat) else np.zeros(0, bool)
-    if full.all():
-        return hashes, offsets
-    kept = np.concatenate([[0], np.cumsum(full)])  # leading or trailing white space gives empty words
-    return hashes[full], kept[offsets]
+    data, offsets = text_bytes(pc.utf8_lower(texts))
+    starts, ends, words = word_spans(data, offsets)
+    return span_hashes(_BYTES[data], starts, ends), words
 
 
 def mix(x: np.ndarray) -> np.ndarray:

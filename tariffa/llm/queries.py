@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tariffa.llm import bpe
+from tariffa.llm import bpe, decontaminate, pii
 
-QUERIES = {"op3_byte_bpe": bpe.op3_byte_bpe}
+QUERIES = {"op3_byte_bpe": bpe.op3_byte_bpe, "op4_spaced_seeds": decontaminate.op4_spaced_seeds, "op9_pii_anchors": pii.op9_pii_anchors}
 ORACLE_SQL: dict[str, str] = {}
