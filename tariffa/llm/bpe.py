@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 
 from tariffa.llm.common import slices, spread, table
 
-#: Entries of the memos of a Python worker; a full memo is emptied.
-WORD_MEMO, PAIR_MEMO = 150_000, 300_000
+#: Entries of the memos of a Python worker. A full memo of words becomes the older half, and what is used again moves up; one of pairs is emptied.
+WORD_MEMO, PAIR_MEMO = 300_000, 500_000
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -46,6 +46,7 @@ class ByteBPE:
         self.rank = {t.decode("latin-1"): r for t, r in ranks.items()}
         self.tokens = {r: t for t, r in ranks.items()}
         self.text = {r: t.decode("latin-1") for t, r in ranks.items()}
+        self.lengths = {r: len(t) for t, r in ranks.items()}
         self.split = regex.compile(pattern).findall
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words = _Memo(self.encode_piece)
@@ -80,9 +81,21 @@ class ByteBPE:
         if whole is not None:
             return [whole]
         n = len(text)
+        lengths, known = self.lengths, self.pairs.get
+        greedy, before, covered = [], -1, 0
+        for _, r in self.automaton.iter_long(text):  # where longest matches tile the piece and agree, they are the answer
+            if before >= 0:
+                good = known((before, r))
+                if not (self.compatible(before, r) if good is None else good):
+                    break
+            greedy.append(r)
+            covered += lengths[r]
+            before = r
+        if covered == n:
+            return greedy
         starts: list[list[int]] = [[] for _ in range(n)]  # tokens by their place, shortest first
         for end, r in self.automaton.iter(text):
-            starts[end + 1 - len(self.text[r])].append(r)
+            starts[end + 1 - lengths[r]].append(r)
         ids: list[int] = []
         untried = [list(x) for x in starts]  # of the places on the path
         at = 0
@@ -92,7 +105,7 @@ class ByteBPE:
             choices = untried[at]
             while choices:
                 r = choices.pop()
-                after = at + len(self.text[r])
+                after = at + lengths[r]
                 if (after, r) not in dead and (before < 0 or self.compatible(before, r)):
                     ids.append(r)
                     at = after
@@ -103,7 +116,7 @@ class ByteBPE:
                 if not ids:
                     raise ValueError("the vocabulary lacks a byte of the text")
                 dead.add((at, before))
-                at -= len(self.text[ids.pop()])
+                at -= lengths[ids.pop()]
         return ids
 
     def encode_piece(self, piece: str) -> bytes:
@@ -120,11 +133,13 @@ class ByteBPE:
 class _Memo(dict):
     def __init__(self, make):
         self.make = make
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
-        made = self.make(key)
+        made = self.older.get(key) or self.make(key)
         if len(key) < 64:
             if len(self) >= WORD_MEMO:
+                self.older = dict(self)
                 self.clear()
             self[key] = made
         return made
