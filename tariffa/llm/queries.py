@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tariffa.llm import bpe, decontaminate, pii
+from tariffa.llm import bpe, decontaminate, langid, pii
 
-QUERIES = {"op3_byte_bpe": bpe.op3_byte_bpe, "op4_spaced_seeds": decontaminate.op4_spaced_seeds, "op9_pii_anchors": pii.op9_pii_anchors}
+QUERIES = {"op3_byte_bpe": bpe.op3_byte_bpe, "op4_spaced_seeds": decontaminate.op4_spaced_seeds, "op7_kneser_ney": langid.op7_kneser_ney, "op9_pii_anchors": pii.op9_pii_anchors}
 ORACLE_SQL: dict[str, str] = {}
