@@ -1,24 +1,54 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input.
+
+identify   rows whose language the models reject go (null texts, texts without a letter, texts unlike any language)
+dedupe     one document of each group of texts with a five-word similarity of 0.8 or more stays
+clean      documents that overlap a benchmark item go
+redact     spans of personal data in the texts give way to their kinds
+encode     the texts' tokens: doc_id, lang, source, n_tokens and the digests of ids and decoded bytes
+
+All but the last return the columns of documents. Rows with a null doc_id pass; a null lang isn't learned from.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tariffa.llm import bpe
+from tariffa.llm import bpe, common, decontaminate, langid, minhash, pii
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return langid.identified(docs, langid.trained(docs))
+
+
+def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.one_of_each_group(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean_documents(docs, common.table(spark, sf_dir, "benchmark"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path, pattern = bpe.vocabulary()
-    return bpe.tokenise(docs, path, pattern)
+    return bpe.tokenise(docs, path, pattern, keep=("doc_id", "lang", "source"))
 
 
-STAGES = [("byte_bpe", encode)]
+STAGES = [("language_id", identify), ("ngram_jaccard_join", dedupe), ("decontaminate", clean), ("pii", redact), ("byte_bpe", encode)]
 #: SQL can't express the language models, MinHash or BPE; tests/llm checks the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """The last stage's rows; each stage before it is written below the shared folder and read again."""
+    docs = common.table(spark, sf_dir, "documents")
+    folder = f"{common.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -16,22 +16,32 @@ SLICE_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder; small Arrow batches keep Python workers' memory bounded."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all machines see; a temporary one only where that is unset."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    return sc.getCheckpointDir()
+
+
+def bounded(spark: SparkSession) -> None:
+    """Small Arrow batches keep Python workers' memory bounded."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df cut from its lineage, in the shared folder of spark.checkpoint.dir; a temporary one only where that is unset."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    """df cut from its lineage, in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 def spread(df: DataFrame, tasks: int = 0) -> DataFrame:
     """df in at least as many partitions as the cluster has cores, when its files give fewer."""
+    bounded(df.sparkSession)
     n = max(tasks, df.sparkSession.sparkContext.defaultParallelism)
     return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
 
