@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tariffa.llm import bpe, decontaminate, forest, langid, minhash, pii, quality, sharding, substrings
+from tariffa.llm import bpe, chat, decontaminate, forest, langid, minhash, pii, quality, sharding, substrings
 
-QUERIES = {"op1_gear_chunks": substrings.op1_gear_chunks, "op10_site_quality": quality.op10_site_quality, "op2_prefix_forest": forest.op2_prefix_forest, "op3_byte_bpe": bpe.op3_byte_bpe, "op4_spaced_seeds": decontaminate.op4_spaced_seeds, "op5_minhash_join": minhash.op5_minhash_join, "op6_hilbert_shards": sharding.op6_hilbert_shards, "op7_kneser_ney": langid.op7_kneser_ney, "op9_pii_anchors": pii.op9_pii_anchors}
+QUERIES = {"op1_gear_chunks": substrings.op1_gear_chunks, "op10_site_quality": quality.op10_site_quality, "op2_prefix_forest": forest.op2_prefix_forest, "op3_byte_bpe": bpe.op3_byte_bpe, "op4_spaced_seeds": decontaminate.op4_spaced_seeds, "op5_minhash_join": minhash.op5_minhash_join, "op6_hilbert_shards": sharding.op6_hilbert_shards, "op7_kneser_ney": langid.op7_kneser_ney, "op8_prefix_tree": chat.op8_prefix_tree, "op9_pii_anchors": pii.op9_pii_anchors}
 ORACLE_SQL: dict[str, str] = {}
