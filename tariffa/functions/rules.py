@@ -14,7 +14,7 @@ ENUMS = {
     "setting": ("inpatient", "outpatient", "both", "unknown"),
     "billing_class": ("facility", "professional", "both", "unknown"),
     "methodology": ("case rate", "fee schedule", "percent of total billed charges", "per diem", "other", "unknown"),
-    "source": ("trilliant", "own_crawl"),
+    "source": ("lake", "own_crawl"),
 }
 
 #: Ordered payer rules: the first pattern that a text matches names its type.
