@@ -1,8 +1,8 @@
 """Document quality by hierarchical empirical Bayes.
 
 A logistic classifier gives each document's evidence: how far its text moves the odds of being good from those of the
-training rows. Its word features are chosen over all labelled documents; its weights are fitted on at most SAMPLE of
-them (a documented bound). The evidence of all documents is then summed by path and host. A host's rate of good
+training rows. Its word features and weights are fitted on at most SAMPLE labelled documents (a documented bound, so
+that their ids and labels may be broadcast and no text is shuffled); everything else covers all rows. The evidence of all documents is then summed by path and host. A host's rate of good
 documents is shrunk toward the global rate, and a path's toward its host's, each with a strength that the method of
 moments estimates from the spread between sites, so sparse sites stay near their prior. A document's score is the
 probability that its path's rate and its own evidence give together.
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from tariffa.llm.common import _BYTES, checkpointed, slices, span_hashes, spread, table, text_bytes, text_col, word_spans
 
-#: Labelled documents that the weights are fitted on, hashed words that are counted, and words that become features.
-SAMPLE, BUCKETS, WORDS = 8000, 1 << 16, 192
+#: Labelled documents that the classifier is fitted on, hashed words that are counted, and words that become features.
+SAMPLE, BUCKETS, WORDS = 10_000, 1 << 16, 192
 #: Bounds of the strength of a prior, in documents; bounds of one document's evidence, in nats.
 STRENGTH, EVIDENCE = (2.0, 10_000.0), 8.0
 RIDGE = 3.0
@@ -94,7 +94,9 @@ class Classifier:
 def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str = "text") -> Classifier:
     judged = _judged(labels)
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), text_col(text).alias("text"))
-    rows = texts.join(judged, "__id")
+    ids = judged.join(docs.select(F.col("doc_id").cast("long").alias("__id")).distinct(), "__id", "left_semi")
+    picked = ids.orderBy(F.xxhash64("__id"), "__id").limit(sample)  # the sample's bound is the feature
+    rows = texts.join(F.broadcast(checkpointed(picked)), "__id")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, BUCKETS + 1), np.int64)  # the last: documents
@@ -126,9 +128,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str =
                 x = _features(part.column("text"), chosen).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), part.column("good")], ["x", "good"])
 
-    ids = judged.join(docs.select(F.col("doc_id").cast("long").alias("__id")).distinct(), "__id", "left_semi")
-    picked = ids.orderBy(F.xxhash64("__id"), "__id").limit(sample).select("__id")  # the sample's bound is the feature
-    got = texts.join(F.broadcast(picked), "__id").join(judged, "__id").dropDuplicates(["__id"]).select("text", "good").mapInArrow(features, "x binary, good int").toArrow()
+    got = spread(rows.dropDuplicates(["__id"]).select("text", "good")).mapInArrow(features, "x binary, good int").toArrow()
     x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float32).reshape(got.num_rows, -1).astype(float)
     y = got["good"].to_numpy().astype(float)
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-3)
