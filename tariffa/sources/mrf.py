@@ -20,7 +20,9 @@ from tariffa.operators.windows import first_rows
 
 def header_name(x: str) -> str:
     """A header without a mark of byte order and blanks around bars, in lower case."""
-    return re.sub(r"\s*\|\s*", "|", x.lstrip("﻿").strip().strip('"')).lower()
+    parts = re.split(r"\s*\|\s*", x.lstrip("﻿").strip().strip('"'))
+    # payer and plan names between the bars keep their case
+    return "|".join(p.lower() if i in (0, len(parts) - 1) or len(parts) < 3 else p for i, p in enumerate(parts)) if parts[0].lower() == "standard_charge" else "|".join([parts[0].lower(), *(parts[1:] if parts[0].lower() in rs.WIDE_METRICS else [p.lower() for p in parts[1:]])])
 
 
 def find_header(lines: Sequence[str]) -> int | None:

@@ -15,8 +15,12 @@ from tariffa.schema import public_names, require, stacked
 
 def text_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", nulls: Sequence[str] = ("", "NA"), names: Sequence[str] = ()) -> DataFrame:
     """Every column as text; the null tokens become null. Headers become plain lower-case names."""
-    df = spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"', quote='"')
-    df = df.toDF(*(names or public_names(df.columns)))
+    options = dict(sep=sep, encoding=encoding, multiLine=True, escape='"', quote='"')
+    # the header is read as a row: as a header Spark would number repeated names
+    head = spark.read.csv(path, header=False, **options).first() or ()
+    raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(head))])
+    df = spark.read.csv(path, header=True, enforceSchema=True, schema=raw, **options)
+    df = df.toDF(*(names or public_names(h or "" for h in head)))
     for token in nulls:
         df = df.select(*(F.nullif(F.col(f"`{c}`"), F.lit(token)).alias(c) for c in df.columns))
     return df
