@@ -1,15 +1,15 @@
 """Substring dedup by content-defined chunks.
 
 A gear hash rolls over the bytes of a text. Of the word starts, those whose gear value is the least among the SIDE word
-starts on either side are cut points, so a chunk has more than SIDE words, its cuts depend on nearby bytes alone, and
-an insertion moves the cuts around it only. Chunks with one digest are duplicates; digests are counted with partial
+starts on either side are cut points (of equal ones close together one in SIDE + 1), so a chunk has more than SIDE words, its cuts depend on nearby bytes alone, and
+an insertion moves the cuts around it only. Chunks with one digest in several documents are duplicates; digests are counted with partial
 sums, and the chunks of repeated digests find their counts by a join that skewed keys may be split in. Neighbouring
 repeated chunks of a document form a span; spans of at least LEAST_WORDS words count. The chunk whose digest stands
 first (by doc_id and place) is the one to keep.
 
 Words are split at ASCII white space; case and white space count. A text's last chunk ends with its last word, and a
 text of few words is one chunk. Nulls and empty texts have no chunks. Rows with a null doc_id take no part. Rows that
-repeat a doc_id are told apart by their texts; entirely equal rows count as one document. An empty table gives an empty
+repeat a doc_id are one document, whose texts are chunked each by itself, and equal texts once. An empty table gives an empty
 result; other columns are not looked at.
 """
 
@@ -38,6 +38,20 @@ def gear_hashes(values: np.ndarray) -> np.ndarray:
     return h
 
 
+def thinned(least: np.ndarray, text: np.ndarray) -> None:
+    """Where equal least values stand close together (words that repeat over and over), leaves one in SIDE + 1 words, counted from the first."""
+    at = np.flatnonzero(least)
+    close = (np.diff(at) <= SIDE) & (np.diff(text[at]) == 0)
+    for begin in np.flatnonzero(close & ~np.concatenate([[False], close[:-1]])) if len(close) else ():
+        kept, i = at[begin], begin + 1
+        while i <= len(close) and close[i - 1]:
+            if at[i] - kept <= SIDE:
+                least[at[i]] = False
+            else:
+                kept = at[i]
+            i += 1
+
+
 def chunk_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First word and end of each chunk (within the slice), the starts and ends of words in bytes, and the texts' word offsets."""
     starts, ends, words = word_spans(data, offsets)
@@ -55,8 +69,9 @@ def chunk_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     for d in range(1, SIDE + 1):
         if d < n:
             same = text[d:] == text[:-d]
-            least[d:] &= ~same | (key[d:] < key[:-d])
+            least[d:] &= ~same | (key[d:] <= key[:-d])
             least[:-d] &= ~same | (key[:-d] <= key[d:])
+    thinned(least, text)
     last = np.zeros(n, bool)
     last[words[1:][np.diff(words) > 0] - 1] = True
     cut = np.flatnonzero(least | last) + 1
@@ -120,7 +135,7 @@ def _islands(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
 def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each span: doc_id, start, end (bytes of the UTF-8 text), words, copies (most occurrences of one of its chunks), fresh_words (words of chunks that stand here first)."""
     found = chunks(docs, doc_id, text)
-    counts = found.groupBy("digest").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at")).alias("head")).where("copies > 1")
+    counts = found.groupBy("digest").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at")).alias("head"), F.max("doc_id").alias("last")).where("head.doc_id < last").drop("last")
     again = found.join(counts, "digest").withColumn("fresh", ((F.col("doc_id") == F.col("head.doc_id")) & (F.col("at") == F.col("head.at"))).cast("int"))
     narrow = again.select("doc_id", "body", "at", "start", "end", "words", "copies", "fresh")
     dealt = narrow.repartition("doc_id", "body").sortWithinPartitions("doc_id", "body", "at")
