@@ -95,6 +95,20 @@ def simulated(rows: DataFrame, drawn: DataFrame, keys: Sequence[str], value: Col
     return every.groupBy(*keys).agg(F.avg("__v").alias("mean"), F.expr("percentile(__v, 0.025D)").alias("low"), F.expr("percentile(__v, 0.975D)").alias("high"), F.avg((F.col("__v") > 0).cast("double")).alias("positive"), F.count("*").alias("n"))
 
 
+def threshold_curves(rows: DataFrame, over: str, low: float, high: float, step: float, framings: dict[str, Column], keys: Sequence[str]) -> DataFrame:
+    """Values of several framings over a grid of one parameter, in long form; undefined points go. The grid has a fixed number of points."""
+    points = round((high - low) / step)
+    grid = rows.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(points)))).withColumn(over, F.round(F.lit(low) + F.col("__i") * step, 6)).drop("__i")
+    long = grid.withColumns(framings).unpivot([*keys, over], list(framings), "framing", "value")
+    return long.where("value is not null")
+
+
+def positive_counts(values: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows, and those with a value above zero, by keys; rows without a value aren't counted."""
+    have = values.where(F.col(value).isNotNull())
+    return have.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(F.col(value) > 0).alias("n_positive"), F.avg((F.col(value) > 0).cast("double")).alias("share"))
+
+
 def inflated(values: DataFrame, index: DataFrame, year: int) -> DataFrame:
     """Values in dollars of a year. values: price_index, dollar_year, value. index: price_index, year, level."""
     own = index.select("price_index", F.col("year").alias("dollar_year"), F.col("level").alias("__from"))
