@@ -3,7 +3,7 @@
 A gear hash rolls over the bytes of a text. Of the word starts, those whose gear value is the least among the SIDE word
 starts on either side are cut points (of equal ones close together one in SIDE + 1), so a chunk has more than SIDE words, its cuts depend on nearby bytes alone, and
 an insertion moves the cuts around it only. Chunks with one digest in several documents are duplicates; digests are counted with partial
-sums, and the chunks of repeated digests find their counts by a join that skewed keys may be split in. Neighbouring
+sums, and the chunks of repeated digests find their counts by a join in which very frequent digests are salted. Neighbouring
 repeated chunks of a document form a span; spans of at least LEAST_WORDS words count. The chunk whose digest stands
 first (by doc_id and place) is the one to keep.
 
@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import _BYTES, slices, span_hashes, spread, table, text_bytes, text_col, word_spans
+from tariffa.llm.common import _BYTES, checkpointed, slices, span_hashes, spread, table, text_bytes, text_col, word_spans
 
 #: Word starts on either side among which a cut has the least gear value; words of a span; bytes that the gear hash looks back.
 SIDE, LEAST_WORDS, REACH = 4, 20, 32
+#: Most digests that are treated as hot, and tasks that each of them is dealt to.
+HOT_DIGESTS, SALTS = 10_000, 64
 
 
 def gear_hashes(values: np.ndarray) -> np.ndarray:
@@ -135,8 +137,15 @@ def _islands(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
 def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each span: doc_id, start, end (bytes of the UTF-8 text), words, copies (most occurrences of one of its chunks), fresh_words (words of chunks that stand here first)."""
     found = chunks(docs, doc_id, text)
-    counts = found.groupBy("digest").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at")).alias("head"), F.max("doc_id").alias("last")).where("head.doc_id < last").drop("last")
-    again = found.join(counts, "digest").withColumn("fresh", ((F.col("doc_id") == F.col("head.doc_id")) & (F.col("at") == F.col("head.at"))).cast("int"))
+    counts = found.groupBy("digest").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at")).alias("head"), F.max("doc_id").alias("last"))
+    counts = checkpointed(counts.where("head.doc_id < last").drop("last"))
+    # digests with a ten-thousandth of the repeated chunks or more, so ten thousand of them at most, are dealt to SALTS tasks each
+    total = counts.agg(F.sum("copies")).first()[0] or 0
+    hot = F.broadcast(counts.where(F.col("copies") >= F.lit(max(1000, total / HOT_DIGESTS))).select("digest", F.lit(True).alias("hot")))
+    salted = found.join(hot, "digest", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "at"), F.lit(SALTS))).otherwise(0)).drop("hot")
+    every = F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    known = counts.join(hot, "digest", "left").withColumn("salt", F.explode(every)).drop("hot")
+    again = salted.join(known, ["digest", "salt"]).withColumn("fresh", ((F.col("doc_id") == F.col("head.doc_id")) & (F.col("at") == F.col("head.at"))).cast("int"))
     narrow = again.select("doc_id", "body", "at", "start", "end", "words", "copies", "fresh")
     dealt = narrow.repartition("doc_id", "body").sortWithinPartitions("doc_id", "body", "at")
     spans = dealt.mapInArrow(lambda b: _islands(b, least_words), "doc_id long, body long, start long, end long, words long, copies long, fresh_words long")
