@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df as Parquet in the shared folder, compressed, and so smaller than a checkpoint of many rows."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, tasks: int = 0) -> DataFrame:
     """df in at least as many partitions as the cluster has cores, when its files give fewer."""
     bounded(df.sparkSession)

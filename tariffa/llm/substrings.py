@@ -7,6 +7,12 @@ sums, and the chunks of repeated digests find their counts by a join in which ve
 repeated chunks of a document form a span; spans of at least LEAST_WORDS words count. The chunk whose digest stands
 first (by doc_id and place) is the one to keep.
 
+Cuts agree only between the first and the last cut of a passage whose surroundings lie inside it, and gaps between cuts have
+no bound. So the least of each ANCHOR_WINDOW neighbouring runs of ANCHOR_WORDS words (by digest; winnowing) is an anchor, and
+is counted like a chunk: of a passage of PASSAGE_WORDS (51) words or more that two documents share, both have an anchor with one
+digest. Where no span of chunks overlaps a repeated anchor, all runs of PASSAGE_WORDS around it and its copies are compared, so
+that every such passage that no span of chunks reaches forms a span of its own.
+
 Words are split at ASCII white space; case and white space count. A text's last chunk ends with its last word, and a
 text of few words is one chunk. Nulls and empty texts have no chunks. Rows with a null doc_id take no part. Rows that
 repeat a doc_id are one document, whose texts are chunked each by itself, and equal texts once. An empty table gives an empty
@@ -22,10 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import _BYTES, checkpointed, slices, span_hashes, spread, table, text_bytes, text_col, word_spans
+from tariffa.llm.common import _BYTES, checkpointed, slices, span_hashes, spread, stored, table, text_bytes, text_col, word_spans
 
 #: Word starts on either side among which a cut has the least gear value; words of a span; bytes that the gear hash looks back.
 SIDE, LEAST_WORDS, REACH = 4, 20, 32
+#: Words of an anchor, and neighbouring runs of so many words of which the one with the least digest is an anchor.
+ANCHOR_WORDS, ANCHOR_WINDOW = 26, 26
+#: Words of a passage that is found in any context.
+PASSAGE_WORDS = ANCHOR_WORDS + ANCHOR_WINDOW - 1
+#: Windows looked at together; places of anchors are counted from FIRST_ANCHOR, those of chunks from 0.
+WINDOWS, FIRST_ANCHOR = 1 << 16, -(1 << 31)
 #: Most digests that are treated as hot, and tasks that each of them is dealt to.
 HOT_DIGESTS, SALTS = 10_000, 64
 
@@ -80,8 +92,35 @@ def chunk_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.concatenate([[0], cut[:-1]]), cut, starts, ends, words
 
 
+def anchor_words(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """First words of the anchors. hashes: of the runs of ANCHOR_WORDS words by first word; words: the texts' word offsets."""
+    text = np.repeat(np.arange(len(words) - 1), np.diff(words))
+    reach = PASSAGE_WORDS - 1
+    begins = np.flatnonzero(text[reach:] == text[: len(text) - reach]) if len(text) > reach else np.zeros(0, np.int64)
+    if not len(begins):
+        return begins
+    windows = np.lib.stride_tricks.sliding_window_view(hashes, ANCHOR_WINDOW)
+    found = []
+    for i in range(0, len(begins), WINDOWS):
+        own = begins[i : i + WINDOWS]
+        found.append(np.unique(own + ANCHOR_WINDOW - 1 - windows[own][:, ::-1].argmin(axis=1)))
+    at = np.unique(np.concatenate(found))
+    # of equal ones close together (words that repeat over and over) every window keeps one
+    close = (np.diff(hashes[at].view(np.int64)) == 0) & (np.diff(at) < ANCHOR_WINDOW) & (np.diff(text[at]) == 0)
+    keep = np.ones(len(at), bool)
+    for begin in np.flatnonzero(close & ~np.concatenate([[False], close[:-1]])) if len(close) else ():
+        kept, i = at[begin], begin + 1
+        while i < len(close) and close[i]:
+            if at[i + 1] - kept <= ANCHOR_WINDOW:
+                keep[i] = False
+            else:
+                kept = at[i]
+            i += 1
+    return at[keep]
+
+
 def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, body (a hash of the text), at (number of the chunk), digest, start, end (bytes), words."""
+    """doc_id, body (a hash of the text), at (number of the chunk; of an anchor FIRST_ANCHOR and its first word), digest, start, end (bytes), words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,9 +130,16 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                 if not len(first):
                     continue
                 row = np.searchsorted(words, first, "right") - 1
-                digest = span_hashes(_BYTES[data], starts[first], ends[end - 1])
-                body = span_hashes(_BYTES[data], offsets[:-1], offsets[1:])
+                values = _BYTES[data]
+                digest = span_hashes(values, starts[first], ends[end - 1])
+                body = span_hashes(values, offsets[:-1], offsets[1:])
                 at = np.arange(len(first)) - np.searchsorted(first, words[:-1])[row]
+                runs = span_hashes(values, starts[: 1 - ANCHOR_WORDS], ends[ANCHOR_WORDS - 1 :])
+                anchor = anchor_words(runs, words)
+                if len(anchor):
+                    own = np.searchsorted(words, anchor, "right") - 1
+                    row, first, end = np.concatenate([row, own]), np.concatenate([first, anchor]), np.concatenate([end, anchor + ANCHOR_WORDS])
+                    at, digest = np.concatenate([at, FIRST_ANCHOR + anchor - words[own]]), np.concatenate([digest, ~runs[anchor]])
                 base = offsets[row]
                 cols = [part.column("doc_id").take(pa.array(row))] + [pa.array(c) for c in (body[row].view(np.int64), at.astype(np.int32), digest.view(np.int64), (starts[first] - base).astype(np.int32), (ends[end - 1] - base).astype(np.int32), (end - first).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "body", "at", "digest", "start", "end", "words"])
@@ -102,19 +148,46 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return spread(given).mapInArrow(run, "doc_id long, body long, at int, digest long, start int, end int, words int")
 
 
+SPANS = "doc_id long, body long, start long, end long, words long, copies long, fresh_words long"
+
+
+def _span_batch(rows: list, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
+
+
 def _islands(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Spans of neighbouring chunks, from rows sorted by document and place; a span may go on in the next batch."""
+    """Spans of neighbouring chunks, and with their digest the anchors that none of these overlaps, from rows sorted by document and place; a span may go on in the next batch."""
     open_: list | None = None
+    own: tuple | None = None
+    anchors: list[tuple] = []  # of the document at hand: start, end, digest
+    spans: list[list] = []  # of the document at hand
     out: list[list] = []
-    names = ["doc_id", "body", "start", "end", "words", "copies", "fresh_words"]
+    names = ["doc_id", "body", "start", "end", "words", "copies", "fresh_words", "digest"]
 
-    def batch_of(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*(r[:7] for r in rows), strict=True)], names)
+    def close():
+        """The spans and free anchors of the document at hand, which is done."""
+        if open_ and open_[4] >= least:
+            spans.append(open_)
+        out.extend([*x[:7], None] for x in spans)
+        i = 0
+        for start, end, digest in anchors:
+            while i < len(spans) and spans[i][3] <= start:
+                i += 1
+            if i == len(spans) or spans[i][2] >= end:
+                out.append([*own, start, end, 0, 0, 0, digest])
+        anchors.clear()
+        spans.clear()
 
     for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("doc_id", "body", "at", "start", "end", "words", "copies", "fresh")]
-        for doc, body, at, start, end, words, copies, fresh in zip(*cols, strict=True):
-            if open_ and open_[0] == doc and open_[1] == body and at <= open_[7] + 1:
+        cols = [batch.column(c).to_pylist() for c in ("doc_id", "body", "at", "start", "end", "words", "copies", "fresh", "digest")]
+        for doc, body, at, start, end, words, copies, fresh, digest in zip(*cols, strict=True):
+            if own != (doc, body):
+                if own:
+                    close()
+                open_, own = None, (doc, body)
+            if at < 0:
+                anchors.append((start, end, digest))
+            elif open_ and at <= open_[7] + 1:
                 if at == open_[7]:
                     continue  # a row that is repeated as a whole
                 open_[3], open_[7] = end, at
@@ -123,20 +196,56 @@ def _islands(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
                 open_[6] += words * fresh
             else:
                 if open_ and open_[4] >= least:
-                    out.append(open_)
+                    spans.append(open_)
                 open_ = [doc, body, start, end, words, copies, words * fresh, at]
         if len(out) > 5000:
-            yield batch_of(out)
+            yield _span_batch(out, names)
             out = []
-    if open_ and open_[4] >= least:
-        out.append(open_)
+    if own:
+        close()
     if out:
-        yield batch_of(out)
+        yield _span_batch(out, names)
 
 
-def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each span: doc_id, start, end (bytes of the UTF-8 text), words, copies (most occurrences of one of its chunks), fresh_words (words of chunks that stand here first)."""
-    found = chunks(docs, doc_id, text)
+def _passages(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Spans of neighbouring runs of PASSAGE_WORDS words that no span of chunks (place -1) overlaps, from rows sorted by document and place."""
+    made: list | None = None
+    own: tuple | None = None
+    spans: list[tuple] = []  # of chunks, of the document at hand
+    out: list[list] = []
+    names = ["doc_id", "body", "start", "end", "words", "copies", "fresh_words"]
+
+    def close():
+        if made and made[4] >= least and not any(a < made[3] and made[2] < b for a, b in spans):
+            out.append(made[:7])
+
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in ("doc_id", "body", "at", "start", "end", "words", "copies", "fresh")]
+        for doc, body, at, start, end, words, copies, fresh in zip(*cols, strict=True):
+            if own != (doc, body):
+                close()
+                made, own, spans = None, (doc, body), []
+            if at < 0:
+                spans.append((start, end))
+            elif made and at <= made[7] + words:
+                new = at + words - made[8]
+                made[3], made[7], made[8] = end, at, at + words
+                made[4] += new
+                made[5] = max(made[5], copies)
+                made[6] += new * fresh
+            else:
+                close()
+                made = [doc, body, start, end, words, copies, words * fresh, at, at + words]
+        if len(out) > 5000:
+            yield _span_batch(out, names)
+            out = []
+    close()
+    if out:
+        yield _span_batch(out, names)
+
+
+def _repeated(found: DataFrame) -> DataFrame:
+    """The rows whose digest several documents hold, with copies (occurrences of the digest) and fresh (1: it stands here first)."""
     counts = found.groupBy("digest").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at")).alias("head"), F.max("doc_id").alias("last"))
     counts = checkpointed(counts.where("head.doc_id < last").drop("last"))
     # digests with a ten-thousandth of the repeated chunks or more, so ten thousand of them at most, are dealt to SALTS tasks each
@@ -146,10 +255,51 @@ def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str
     every = F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
     known = counts.join(hot, "digest", "left").withColumn("salt", F.explode(every)).drop("hot")
     again = salted.join(known, ["digest", "salt"]).withColumn("fresh", ((F.col("doc_id") == F.col("head.doc_id")) & (F.col("at") == F.col("head.at"))).cast("int"))
-    narrow = again.select("doc_id", "body", "at", "start", "end", "words", "copies", "fresh")
-    dealt = narrow.repartition("doc_id", "body").sortWithinPartitions("doc_id", "body", "at")
-    spans = dealt.mapInArrow(lambda b: _islands(b, least_words), "doc_id long, body long, start long, end long, words long, copies long, fresh_words long")
-    return spans.drop("body")
+    return again.select("doc_id", "body", "at", "start", "end", "words", "copies", "fresh", "digest")
+
+
+def _runs_around(docs: DataFrame, anchors: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Like chunks, the runs of PASSAGE_WORDS words that hold one of the anchors (doc_id, body, at)."""
+    places = anchors.groupBy("doc_id").agg(F.collect_set(F.struct("body", (F.col("at") - F.lit(FIRST_ANCHOR)).cast("int").alias("at"))).alias("places"))
+    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_col(text).alias("text")).join(places, "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                for row in range(part.num_rows):
+                    data, offsets = text_bytes(part.column("text").slice(row, 1))
+                    values = _BYTES[data]
+                    body = span_hashes(values, offsets[:-1], offsets[1:]).view(np.int64)
+                    own = np.array([p["at"] for p in part.column("places")[row].as_py() if p["body"] == body[0]], np.int64)
+                    starts, ends, _ = word_spans(data, offsets)
+                    at = np.unique(own[:, None] - np.arange(ANCHOR_WINDOW))
+                    at = at[(at >= 0) & (at + PASSAGE_WORDS <= len(starts))]
+                    if not len(at):
+                        continue
+                    first, end = starts[at], ends[at + PASSAGE_WORDS - 1]
+                    digest = span_hashes(values, first, end).view(np.int64)
+                    n = len(at)
+                    cols = [pa.array(np.full(n, part.column("doc_id")[row].as_py())), pa.array(np.repeat(body, n))]
+                    cols += [pa.array(c) for c in (at.astype(np.int32), digest, first.astype(np.int32), end.astype(np.int32), np.full(n, PASSAGE_WORDS, np.int32))]
+                    yield pa.RecordBatch.from_arrays(cols, ["doc_id", "body", "at", "digest", "start", "end", "words"])
+
+    return given.mapInArrow(run, "doc_id long, body long, at int, digest long, start int, end int, words int")
+
+
+def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row for each span: doc_id, start, end (bytes of the UTF-8 text), words, copies (most occurrences of one of its chunks), fresh_words (words of chunks that stand here first)."""
+    again = stored(_repeated(chunks(docs, doc_id, text)))
+    dealt = again.repartition("doc_id", "body").sortWithinPartitions("doc_id", "body", "at")
+    both = checkpointed(dealt.mapInArrow(lambda b: _islands(b, least_words), SPANS + ", digest long"))
+    spans, free = both.where("digest is null").drop("digest"), both.where("digest is not null")
+    # copies of a free anchor may lie in spans, so all of its holders are compared
+    anchors = again.where("at < 0").join(free.select("digest").distinct(), "digest", "left_semi")
+    open_ = free.select("doc_id", "body").distinct()
+    runs = _repeated(stored(_runs_around(docs, anchors, doc_id, text))).join(open_, ["doc_id", "body"], "left_semi").drop("digest")
+    known = spans.join(open_, ["doc_id", "body"], "left_semi").select("doc_id", "body", F.lit(-1).alias("at"), "start", "end", "words", "copies", F.lit(0).alias("fresh"))
+    placed = runs.unionByName(known).repartition("doc_id", "body").sortWithinPartitions("doc_id", "body", "at")
+    passages = placed.mapInArrow(lambda b: _passages(b, least_words), SPANS)
+    return spans.unionByName(passages).drop("body")
 
 
 def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -109,3 +109,20 @@ def test_query_equals_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted(map(tuple, ss.op1_gear_chunks(spark, sf).collect())) == brute(rows)
+
+
+def test_passages_in_random_contexts(spark):
+    """Each passage of 51 to 60 words stands in two documents, between other words."""
+    rng = random.Random(51)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(1, 10)))
+    rows, places = [], {}
+    for i in range(3000):
+        passage = " ".join(word() for _ in range(51 + i % 10))
+        for d in (2 * i, 2 * i + 1):
+            before = "".join(word() + " " for _ in range(rng.randrange(20, 60)))
+            rows.append((d, before + passage + "".join(" " + word() for _ in range(rng.randrange(20, 60)))))
+            places[d] = len(before), len(before) + len(passage)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [r for r in ss.repeated_spans(df).collect() if r.words >= 20]
+    assert all(places[r.doc_id][0] <= r.start < r.end <= places[r.doc_id][1] for r in got)
+    assert len(set(places) - {r.doc_id for r in got}) == 0
