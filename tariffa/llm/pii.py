@@ -3,7 +3,7 @@
 An Aho-Corasick automaton finds the characters and words that every kind of span must hold: at-signs, plus signs,
 digits, schemes, and cues of identifiers. From an anchor a deterministic parser walks to both sides and validates.
 The base kinds (email, ip, card, phone) follow fixed grammars, leftmost and not overlapping within a kind; the method
-adds `account` (an IBAN with valid check digits, or digits or letters after an account cue), `address` (the mailbox or
+adds `account` (an IBAN with valid check digits, or 6 to 34 digits after an account cue, of groups that are never cut), `address` (the mailbox or
 number after a mailto: or tel: scheme) and `login` (user and password before the host of a URL, and values of password,
 token or key cues). Positions are code points, ends exclusive.
 
@@ -37,6 +37,8 @@ _TOKEN = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ01234567
 _USERINFO = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-~!$&'()*,;=:")
 #: Words before account numbers, and before secrets.
 _ACCOUNT_CUES = ("account", "iban", "acct", "konto", "compte", "cuenta")
+#: Most digits of an account number.
+ACCOUNT_DIGITS = 34
 _LOGIN_CUES = ("password", "passwd", "token", "api_key", "apikey", "secret")
 _DIALS = ("mailto:", "tel:", "sms:")
 
@@ -170,9 +172,16 @@ def _account(text: str, cue_end: int) -> tuple[int, int] | None:
             if _iban(value):
                 return start, start + len(value)
             value = value.rpartition(" ")[0]
-    if (m := re.compile(r"[0-9](?:[ -]?[0-9]){5,16}").match(text, start)) is not None:
-        return start, m.end()
-    return None
+    end, digits, n, group_end = start, 0, len(text), start
+    while end < n and text[end] in _DIGITS:
+        stop = _run(text, end)
+        digits += stop - end
+        if digits > ACCOUNT_DIGITS:  # other numbers may follow; a number is never cut
+            digits -= stop - end
+            break
+        group_end = stop
+        end = stop + 1 if stop < n and text[stop] in " -" else n
+    return (start, group_end) if digits >= 6 else None
 
 
 def _login(text: str, cue_end: int) -> tuple[int, int] | None:

@@ -73,3 +73,16 @@ def test_query_on_documents(spark):
     for r in pii.op9_pii_anchors(spark, sf).collect():
         found = base(texts[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(pii.joined(found, pii.BASE).encode()).hexdigest()
+
+
+def test_long_account_numbers_are_masked_whole():
+    rng = random.Random(9)
+    for cue in ("cuenta", "compte", "account", "konto"):
+        for n in range(6, 35):
+            digits = "".join(rng.choice("0123456789") for _ in range(n))
+            for number in (digits, " ".join(re.findall(".{1,4}", digits)), "-".join(re.findall(".{1,5}", digits))):
+                text = f"{cue}: {number}, then"
+                assert pii.find_spans(text)["account"] == [(len(cue) + 2, len(cue) + 2 + len(number))], text
+                assert not re.search("[0-9]", pii.masked(text, pii.find_spans(text))), text
+    assert pii.find_spans("account 12345")["account"] == [] == pii.find_spans("account " + "1" * 35)["account"]
+    assert pii.find_spans("account 12345678" + " 4321" * 9)["account"] == [(8, 16 + 5 * 6)]
