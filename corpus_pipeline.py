@@ -1,6 +1,6 @@
 """The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input.
 
-identify   rows whose language the models reject go (null texts, texts without a letter, texts unlike any language)
+identify   rows whose language the models reject go (null texts, texts without a letter, texts unlike any language); models of other rows judge each
 dedupe     one document of each group of texts with a five-word similarity of 0.8 or more stays
 clean      documents that overlap a benchmark item go
 redact     spans of personal data in the texts give way to their kinds
@@ -19,7 +19,7 @@ from tariffa.llm import bpe, common, decontaminate, langid, minhash, pii
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.identified(docs, langid.trained(docs))
+    return langid.identified_by_others(docs)
 
 
 def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ MODEL_BYTES, MODEL_ROWS = 128_000_000, 4_000_000
 REJECT_SIGMAS = 10.0
 #: Bits per character above the mean that a rejected text has at least, whatever the deviations: texts in two languages stay.
 REJECT_BITS = 2.5
+#: Parts of the rows, each judged by the others.
+FOLDS = 2
 #: Words that a worker counts before it hands them on.
 COUNTED_WORDS = 100_000
 
@@ -304,6 +307,51 @@ def trained(docs: DataFrame, lang: str = "lang", text: str = "text", calibrate:
     return model
 
 
+def calibrate_by(model: Model, docs: DataFrame, text: str = "text") -> None:
+    """Rejection limits from documents that the model did not learn from. Documents over REJECT_BITS above the median of their language take no part, so unlike ones don't widen the limits."""
+    if not model.langs:
+        return
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    langs, bins = len(model.langs), 64 * 48  # 64ths of a bit; no character needs 48
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((langs * bins, 4))
+        for batch in batches:
+            for part in slices(batch):
+                entropy, n = shared.value.score(part.column("text"))
+                best, known = entropy.argmin(axis=1), n > 0
+                least = entropy[np.arange(len(best)), best]
+                at = best * bins + (least * 64).astype(np.int64)
+                for j, x in enumerate((np.ones(len(n)), n, n * least, n * least * least)):
+                    total[:, j] += np.bincount(at[known], x[known], langs * bins)
+        at = np.flatnonzero(total[:, 0])
+        yield pa.RecordBatch.from_arrays([pa.array(at)] + [pa.array(c) for c in total[at].T], ["i", "m", "n", "s", "q"])
+
+    given = docs.where(F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text"))
+    sums = spread(given).mapInArrow(run, "i long, m double, n double, s double, q double").groupBy("i").agg(*(F.sum(c).alias(c) for c in "mnsq")).orderBy("i").collect()  # at most bins rows a language
+    model.mean, model.sigma = np.full(langs, 1e9), np.zeros(langs)
+    for k in range(langs):
+        own = np.array([(r.i % bins, r.m, r.n, r.s, r.q) for r in sums if r.i // bins == k])
+        if len(own):
+            median = own[np.searchsorted(np.cumsum(own[:, 1]), own[:, 1].sum() / 2), 0]
+            _, m, n, s, q = own[own[:, 0] <= median + 64 * REJECT_BITS].sum(axis=0)
+            model.mean[k] = s / n
+            model.sigma[k] = math.sqrt(max(q - s * s / n, 0) / m)
+    shared.unpersist()
+
+
+def identified_by_others(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
+    """The rows that are not unlike every language, each judged by models of the rows whose texts fall into other folds; equal texts share a fold."""
+    fold = F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(FOLDS))
+    kept = []
+    for k in range(FOLDS):
+        own = docs.where(fold == k)
+        model = trained(docs.where(fold != k), lang, text, calibrate=False)
+        calibrate_by(model, own, text)
+        kept.append(identified(own, model, text))
+    return reduce(DataFrame.unionByName, kept)
+
+
 def languages(docs: DataFrame, model: Model, keep: Iterable[str | Column] = ("doc_id",), text: str = "text") -> DataFrame:
     """The kept columns with lang_pred, score, rejected and bits_per_char."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

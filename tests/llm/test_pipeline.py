@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import corpus_pipeline as cp
 from tariffa.llm import langid, pii
@@ -33,6 +34,17 @@ def test_stages_one_by_one(spark, tmp_path):
     assert None in last
 
 
+def test_junk_with_a_language_goes(spark):
+    rng = random.Random(3)
+    made = lambda alphabet: " ".join("".join(rng.choice(alphabet) for _ in range(rng.randrange(3, 9))) for _ in range(300))
+    junk = [made("bcdfghjklmnpqrstvwxz") for _ in range(5)] + [made("αβγδεζηθικλμνξοπρστυφχψω")]  # the last is alone under its label
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    extra = [(9100 + i, t, "en" if i < 5 else "qq", "x", len(t)) for i, t in enumerate(junk)] + [(9110, junk[0], "en", "x", len(junk[0]))]
+    kept = {r.doc_id for r in cp.identify(spark, docs.unionByName(spark.createDataFrame(extra, docs.schema)), "").collect()}
+    assert {r.doc_id for r in docs.collect()} - kept == set()
+    assert kept & {r[0] for r in extra} == set()
+
+
 def test_run(spark):
     rows = cp.run(spark, "/root/testdata/sf0.001")
     assert rows.columns == ["doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256"]
