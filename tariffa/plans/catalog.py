@@ -492,6 +492,6 @@ def tornado(spark, sf):
 
 @query()
 def psa_summary(spark, sf):
-    drawn = eco.draws(spark, [("u", "beta", 0.5, 0.2, 0.8), ("added", "triangular", 8, 3, 15), ("margin", "gamma", 100, 60, 150)], 1000)
+    drawn = eco.draws(spark, [("u", "beta", 0.5, 0.2, 0.8), ("added", "triangular", 8, 3, 15), ("margin", "gamma", 100, 60, 150)])
     rows = t(spark, sf, "part").select("p_size").distinct()
     return eco.simulated(rows, drawn, ["p_size"], eco.net_value(F.col("margin"), F.col("u"), F.col("added"), 30.0 + F.col("p_size"), F.lit(400.0)))

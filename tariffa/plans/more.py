@@ -148,8 +148,8 @@ def ols_cluster_cell(spark, sf):
 
 @query()
 def wild_bootstrap_cell(spark, sf):
-    units = charges(spark, sf).where("l_returnflag = 'A'").groupBy("l_returnflag", "l_suppkey", "payer").agg(F.avg("rate").alias("price"))
-    return inference.group_models(units, ["l_returnflag"], "price", "payer", "BUILDING", "l_suppkey", draws=199)
+    units = charges(spark, sf).groupBy("l_returnflag", "l_suppkey", "payer").agg(F.avg("rate").alias("price"))
+    return inference.group_models(units, ["l_returnflag"], "price", "payer", "BUILDING", "l_suppkey", draws=inference.BOOTSTRAPS)
 
 
 @query()

@@ -157,6 +157,17 @@ def test_economics(spark):
     assert get(nu.triangular(f(0.5), f(0.0), f(1.0), f(2.0))) == pytest.approx(1.0)
 
 
+def test_whole_cells_and_draws(spark):
+    from tariffa.plans import catalog, more  # noqa: F401
+
+    sf = "/root/testdata/sf0.001"
+    flags = {r[0] for r in spark.read.parquet(f"{sf}/lineitem.parquet").select("l_returnflag").distinct().collect()}
+    rows = catalog.QUERIES["wild_bootstrap_cell"](spark, sf).where("p_bootstrap is not null and not isnan(p_bootstrap)").collect()
+    assert {r.l_returnflag for r in rows} == flags
+    assert all(abs(r.p_bootstrap * 9999 - round(r.p_bootstrap * 9999)) < 1e-6 for r in rows)
+    assert {r.n for r in catalog.QUERIES["psa_summary"](spark, sf).collect()} == {5000}
+
+
 def test_web(spark):
     html = '<html><body><a href="/p">Price <b>Transparency</b></a><a href="mailto:x@y">m</a><footer><a href="f.csv">Standard charges</a></footer></body></html>'
     assert web.anchors(html, "http://h.org/a/b") == [("http://h.org/p", "Price Transparency", False), ("http://h.org/a/f.csv", "Standard charges", True)]
