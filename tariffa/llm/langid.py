@@ -2,45 +2,45 @@
 
 Each language has a model of order 5 over the letters of its words (lower case, a mark before and after each word).
 The counts cover every training document: workers count n-grams of words, Spark sums them, and the lower orders are
-continuation counts derived by grouped aggregation. The probabilities go into one sorted array of 24-bit n-gram
-hashes with a row of values for each language, which is broadcast: at most 2 ** 24 keys, folded to fewer bits where
-there would be more than MODEL_ROWS rows or MODEL_BYTES of values. Of n-grams with equal hashes the more frequent one counts.
+continuation counts derived by grouped aggregation. Each window of up to five letters that the texts to be judged hold
+gets its bits under every language by joins with these tables, and a 64-bit hash. The most frequent windows, as many as
+TABLE_BYTES hold, are broadcast as a sorted hash array that workers search; texts with other windows carry these windows'
+hashes, and a join brings the bits. So every n-gram counts at any size of the model, and none is collected beyond that bound.
 
 A text gets the language with the lowest cross-entropy per character (ties: the first by name). It is rejected if it
-has no letter, or if that cross-entropy lies more than REJECT_SIGMAS calibrated deviations above the mean of the
-training documents of that language; means and deviations come from all training documents.
+has no letter, or if that cross-entropy lies above the limit of its language and length: the median of documents that
+the judging model did not learn from, and LIMIT times their spread (from the median to the SPREAD quantile) above it,
+by powers of two of the number of characters.
 
 Nulls and texts without a letter are `und` with score 0 and rejected. Training rows with a null language or text are
-passed over; without any training row every text is `und` and none with letters is rejected. Equal rows give equal
-results; other columns are not looked at, or kept as they are by `identified`.
+passed over; without any training row every text is `und` and none with letters is rejected. A very long text is read
+whole, as a slice of its own. Equal rows give equal results; an empty table gives an empty result; other columns are not
+looked at, or kept as they are by `identified` (but for the language, which becomes the predicted one).
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tariffa.llm.common import checkpointed, mix, slices, span_hashes, spread, table
+from tariffa.llm.common import mix, slices, span_hashes, spread, stored, table
 
 ORDER = 5
 START, END = "\x02", "\x03"
-KEY_BITS = 24
-#: Bytes of the broadcast values, and rows (n-grams by language) that the driver gathers; both hold by folding keys.
-MODEL_BYTES, MODEL_ROWS = 128_000_000, 4_000_000
-REJECT_SIGMAS = 10.0
-#: Bits per character above the mean that a rejected text has at least, whatever the deviations: texts in two languages stay.
-REJECT_BITS = 2.5
-#: Parts of the rows, each judged by the others.
-FOLDS = 2
+#: Bytes of the windows that are broadcast; the rest are joined.
+TABLE_BYTES = 64_000_000
+#: Rejection: quantile that gives the spread of documents left out of training, spreads above their median, the least spread in bits, and bits for a text of one letter (short texts vary by the root of their length).
+SPREAD, LIMIT, LEAST_SPREAD, SHORT = 0.9, 10.0, 0.15, 8.0
+#: Documents that a class of lengths needs for a limit of its own; with fewer it takes that of the language.
+CLASS_DOCS = 50
 #: Words that a worker counts before it hands them on.
 COUNTED_WORDS = 100_000
 
@@ -93,294 +93,304 @@ def distinct_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def gram_keys(values: np.ndarray) -> list[np.ndarray]:
-    """For each order 1..ORDER the 24-bit hashes of the n-grams that end at each place of a sequence of values."""
+    """For each order 1..ORDER the 64-bit hashes of the n-grams that end at each place of a sequence of values."""
     out, h = [], np.full(len(values), np.uint64(0x51ED270B))
     for k in range(ORDER):
         h = h.copy()
         h[k:] = mix(h[k:] * np.uint64(0x9E3779B97F4A7C15) + values[: max(0, len(values) - k)])
-        out.append((h >> np.uint64(64 - KEY_BITS)).astype(np.uint32))
+        out.append(h)
     return out
 
 
-def _count(texts: DataFrame, lang: str, text: str) -> DataFrame:
-    """lang, gram, n: the n-grams of ORDER letters, and the shorter ones that begin a word."""
+def _count(texts: DataFrame) -> DataFrame:
+    """part, lang, gram, n: the n-grams of ORDER letters, and the shorter ones that begin a word. texts: part, lang, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = {}
+        counts: dict[tuple, Counter] = {}
 
         def grams():
-            ls, gs, ns = [], [], []
-            for language, words in counts.items():
+            ps, ls, gs, ns = [], [], [], []
+            for (p, language), words in counts.items():
                 total: Counter = Counter()
                 for w, n in words.items():
                     w = START + w + END
                     for i in range(2, len(w) + 1):
                         total[w[max(0, i - ORDER) : i]] += n
+                ps += [p] * len(total)
                 ls += [language] * len(total)
                 gs += total.keys()
                 ns += total.values()
             counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(ls, pa.string()), pa.array(gs, pa.string()), pa.array(ns, pa.int64())], ["lang", "gram", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(ps, pa.int32()), pa.array(ls, pa.string()), pa.array(gs, pa.string()), pa.array(ns, pa.int64())], ["part", "lang", "gram", "n"])
 
         for batch in batches:
-            for part in slices(batch):
-                languages = pc.dictionary_encode(part.column("lang"))
-                for k, language in enumerate(languages.dictionary.to_pylist()):
-                    words, place, _ = distinct_words(part.column("text").filter(pc.equal(languages.indices, k)))
-                    own = counts.setdefault(language, Counter())
+            for rows in slices(batch):
+                keys = list(zip(rows.column("part").to_pylist(), rows.column("lang").to_pylist(), strict=True))
+                for key in dict.fromkeys(keys):
+                    words, place, _ = distinct_words(rows.column("text").filter(pa.array([k == key for k in keys])))
+                    own = counts.setdefault(key, Counter())
                     for w, n in zip(words, np.bincount(place, minlength=len(words)).tolist(), strict=True):
                         own[w] += n
                 if sum(map(len, counts.values())) > COUNTED_WORDS:
                     yield grams()
         yield grams()
 
-    rows = texts.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).where("lang is not null and text is not null")
-    return spread(rows).mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return spread(texts).mapInArrow(run, "part int, lang string, gram string, n long").groupBy("part", "lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def counted(docs: DataFrame, part: Column, lang: str = "lang", text: str = "text") -> DataFrame:
+    """Counts of all texts, by language and part of the training rows; part -1: rows that aren't learned from."""
+    known = F.when(F.col(lang).isNotNull() & F.col(text).isNotNull(), F.coalesce(part, F.lit(-1))).otherwise(-1).cast("int")
+    rows = docs.select(known.alias("part"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).where("text is not null")
+    return stored(_count(rows.withColumn("lang", F.when(F.col("part") >= 0, F.col("lang")))))
 
 
 def _probabilities(counts: DataFrame) -> DataFrame:
-    """lang, gram, n, alpha (the discounted share of the gram after its context), back (the weight of the lower order after the gram)."""
+    """m, gram, alpha (the discounted share of the gram after its context), back (the weight of the lower order after the gram), of each model m by its counts."""
     # every gram that occurs is a suffix of a counted one; the kinds of letter before it are its continuation count
     suffixes = F.transform(F.sequence(F.lit(1), F.length("gram")), lambda k: F.expr("gram").substr(k, F.length("gram")))
-    kinds = counts.select("lang", F.explode(suffixes).alias("gram")).distinct()
-    lower = kinds.where(F.length("gram") > 1).groupBy("lang", F.col("gram").substr(F.lit(2), F.length("gram")).alias("gram")).agg(F.count("*").alias("n"))
+    kinds = counts.select("m", F.explode(suffixes).alias("gram")).distinct()
+    lower = kinds.where(F.length("gram") > 1).groupBy("m", F.col("gram").substr(F.lit(2), F.length("gram")).alias("gram")).agg(F.count("*").alias("n"))
     own = counts.where((F.length("gram") == ORDER) | F.startswith("gram", F.lit(START)))  # the longest, and those that nothing can stand before
-    every = checkpointed(lower.unionByName(own).withColumn("k", F.length("gram")))
-    tallies = every.groupBy("lang", "k").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"))
+    every = stored(lower.unionByName(own.select("m", "gram", "n")).withColumn("k", F.length("gram")))
+    tallies = every.groupBy("m", "k").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"))
     discount = F.when(F.col("n1") + F.col("n2") == 0, 0.5).otherwise(F.greatest(F.lit(0.1), F.col("n1") / (F.col("n1") + 2 * F.col("n2"))))
-    every = every.join(F.broadcast(tallies.select("lang", "k", discount.alias("d"))), ["lang", "k"])  # languages times ORDER rows
+    every = every.join(F.broadcast(tallies.select("m", "k", discount.alias("d"))), ["m", "k"])  # models times ORDER rows
     every = every.withColumn("context", F.expr("substring(gram, 1, k - 1)"))
-    contexts = every.groupBy("lang", "k", "context").agg(F.sum("n").alias("total"), (F.first("d") * F.count("*") / F.sum("n")).alias("back"))
-    alpha = every.join(contexts.drop("back"), ["lang", "k", "context"]).select("lang", "gram", "n", (F.greatest(F.lit(0.0), F.col("n") - F.col("d")) / F.col("total")).alias("alpha"))
-    back = contexts.select("lang", F.col("context").alias("gram"), "total", "back")
-    both = alpha.join(back, ["lang", "gram"], "full")
-    return both.select("lang", "gram", F.coalesce("n", "total").alias("n"), F.coalesce("alpha", F.lit(0.0)).alias("alpha"), F.coalesce("back", F.lit(-1.0)).alias("back"))
+    contexts = every.groupBy("m", "k", "context").agg(F.sum("n").alias("total"), (F.first("d") * F.count("*") / F.sum("n")).alias("back"))
+    alpha = every.join(contexts.drop("back"), ["m", "k", "context"]).select("m", "gram", (F.greatest(F.lit(0.0), F.col("n") - F.col("d")) / F.col("total")).alias("alpha"))
+    back = contexts.select("m", F.col("context").alias("gram"), "back")
+    return alpha.join(back, ["m", "gram"], "full")
 
 
 class Model:
-    """Sorted n-gram hashes; for each language the share of the n-gram and the weight of the lower order after it (-1: unseen)."""
-
-    def __init__(self, langs: list[str], keys: np.ndarray, lang: np.ndarray, alpha: np.ndarray, back: np.ndarray, symbols: int, bits: int = KEY_BITS):
-        order = np.lexsort((lang, keys))
-        keys, lang, alpha, back = keys[order], lang[order], alpha[order], back[order]
-        self.langs, self.symbols, self.bits = langs, symbols, bits
-        self.keys, row = np.unique(keys, return_inverse=True)
-        self.alpha = np.zeros((len(self.keys), len(langs)), np.float32)
-        self.back = np.full((len(self.keys), len(langs)), -1, np.float32)
-        self.alpha[row, lang], self.back[row, lang] = alpha, back
-        self.mean: np.ndarray | None = None
-        self.sigma: np.ndarray | None = None
-        self._direct: np.ndarray | None = None
-
-    def __getstate__(self):
-        return self.__dict__ | {"_direct": None}
-
-    def rows(self, keys: np.ndarray) -> np.ndarray:
-        """Places of the keys in the sorted array, by a table of all keys; its length where absent."""
-        if self._direct is None:
-            self._direct = np.full(1 << self.bits, len(self.keys), np.int32)
-            self._direct[self.keys] = np.arange(len(self.keys), dtype=np.int32)
-            self.alpha = np.vstack([self.alpha, np.zeros((1, len(self.langs)), np.float32)])
-            self.back = np.vstack([self.back, np.full((1, len(self.langs)), -1, np.float32)])
-        return self._direct[keys >> np.uint32(KEY_BITS - self.bits)]
-
-    def word_bits(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Bits that each language's model needs for each word and its end mark, and the number of characters."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
-        codes = np.frombuffer((START + (END + START).join(words) + END).encode("utf-32-le"), np.uint32)
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-        inside = np.arange(len(codes)) - np.repeat(starts, lengths)  # characters of the word before this one
-        keys = gram_keys(value_of(codes))
-        p = np.full((len(codes), len(self.langs)), 1.0 / self.symbols, np.float32)
-        rows = [self.rows(k) for k in keys]
-        for k in range(ORDER):
-            at = np.flatnonzero(inside >= max(k, 1))
-            if k:
-                weight = self.back[rows[k - 1][at - 1]]
-            else:
-                weight = np.broadcast_to(self.unigram_back(), (len(at), len(self.langs)))
-            p[at] = np.where(weight >= 0, self.alpha[rows[k][at]] + weight * p[at], p[at])
-        bits = -np.log2(np.maximum(p, np.float32(1e-12)))
-        bits[starts] = 0
-        return np.add.reduceat(bits.astype(np.float64), starts, axis=0), lengths - 1
-
-    def unigram_back(self) -> np.ndarray:
-        return self.empty
-
-    def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy in bits per character by text and language, and the characters of each text."""
-        words, place, offsets = distinct_words(texts)
-        total, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
-        if words:
-            bits, chars = self.word_bits(words)
-            summed = np.vstack([np.zeros((1, len(self.langs))), np.cumsum(bits[place], axis=0)])
-            counted = np.concatenate([[0], np.cumsum(chars[place])])
-            total, n = summed[offsets[1:]] - summed[offsets[:-1]], counted[offsets[1:]] - counted[offsets[:-1]]
-        return total / np.maximum(n, 1)[:, None], n
-
-    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Language, score, rejected, its cross-entropy, characters."""
+    """Tables of one or more models of the same languages; column m * len(langs) + i is language i of model m."""
+
+    def __init__(self, counts: DataFrame, members: list[tuple[int, ...]]):
+        """members: the parts of the counts that each model learns from."""
+        self.langs = sorted(r.lang for r in counts.where("part >= 0").select("lang").distinct().collect())  # a row for each language
+        self.models = len(members)
+        self.width = len(self.langs) * self.models
+        self.limits: DataFrame | None = None
         if not self.langs:
-            _, offsets = letters(texts)
-            words, place, offsets = distinct_words(texts)
-            none = np.zeros(len(texts))
-            return ["und"] * len(texts), none, np.diff(offsets) == 0, none, none
-        entropy, n = self.score(texts)
-        best = entropy.argmin(axis=1)
-        least = entropy[np.arange(len(best)), best]
-        score = 1 / np.exp2((least[:, None] - entropy) * np.minimum(n, 100)[:, None]).sum(axis=1)
-        rejected = n == 0
-        if self.mean is not None:
-            above = least - self.mean[best]
-            rejected |= (above > REJECT_BITS) & (above * np.sqrt(np.maximum(n, 1)) > REJECT_SIGMAS * self.sigma[best])
-        return ["und" if not m else self.langs[b] for b, m in zip(best, n, strict=True)], np.where(n > 0, score, 0.0), rejected, least, n
-
-
-def _keyed(probabilities: DataFrame) -> DataFrame:
-    """lang, key, n, alpha, back: of grams with one key the most frequent."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams = batch.column("gram").to_pylist()
-            codes = np.array(grams or [""], f"U{ORDER}").view(np.uint32).reshape(-1, ORDER)
-            lengths = np.array([len(g) for g in grams] or [0])
-            keys = np.zeros(len(codes), np.uint32)
-            for k in range(1, ORDER + 1):
-                if (own := lengths == k).any():
-                    keys[own] = gram_keys(value_of(codes[own, :k]).reshape(-1))[k - 1][k - 1 :: k]
-            keep = pa.array(lengths > 0)
-            cols = [batch.column("lang"), pa.array(keys.astype(np.int64)[: batch.num_rows]), batch.column("n"), batch.column("alpha"), batch.column("back")]
-            yield pa.RecordBatch.from_arrays(cols, ["lang", "key", "n", "alpha", "back"]).filter(keep[: batch.num_rows])
-
-    keyed = probabilities.mapInArrow(run, "lang string, key long, n long, alpha double, back double")
-    return _folded(keyed, 0)
-
-
-def _folded(keyed: DataFrame, bits: int) -> DataFrame:
-    """Keys without so many low bits; of equal ones the most frequent gram's values."""
-    best = F.max(F.struct("n", "alpha", "back")).alias("b")
-    return keyed.groupBy("lang", F.shiftright("key", bits).alias("key")).agg(best).select("lang", "key", "b.*")
-
-
-def trained(docs: DataFrame, lang: str = "lang", text: str = "text", calibrate: bool = True) -> Model:
-    """A model of the rows' texts and languages, with the rejection limits of these rows."""
-    probabilities = checkpointed(_probabilities(checkpointed(_count(docs, lang, text))))
-    keyed = checkpointed(_keyed(probabilities.where(F.length("gram") > 0)))
-    folded = 0
-    while keyed.count() > MODEL_ROWS:  # rows for all languages together; each fold about halves full ones
-        folded += 1
-        keyed = checkpointed(_folded(keyed, 1))
-    roots = {r.lang: r.back for r in probabilities.where(F.length("gram") == 0).collect()}  # a row for each language
-    symbols = 1 + probabilities.where((F.length("gram") == 1) & (F.col("gram") != START)).select("gram").distinct().count()
-    langs = sorted(roots)
-    index = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1 if langs else F.lit(0)
-    rows = keyed.select(index.cast("int").alias("lang"), F.col("key").cast("int").alias("key"), F.col("alpha").cast("float").alias("alpha"), F.col("back").cast("float").alias("back")).toArrow()  # at most MODEL_ROWS rows of 16 bytes
-    bits = KEY_BITS - folded
-    keys = rows.column("key").to_numpy().astype(np.uint32)
-    while bits > 16 and len(np.unique(keys >> np.uint32(KEY_BITS - folded - bits))) * 8 * max(1, len(langs)) > MODEL_BYTES:
-        bits -= 1
-    model = Model(langs, keys >> np.uint32(KEY_BITS - folded - bits), rows.column("lang").to_numpy(), rows.column("alpha").to_numpy(), rows.column("back").to_numpy(), symbols, bits)
-    model.empty = np.array([roots[x] for x in langs], np.float32)
-    if calibrate and langs:
-        shared = docs.sparkSession.sparkContext.broadcast(model)
+            return
+        place = F.array_position(F.array(*map(F.lit, self.langs)), F.col("lang")) - 1
+        owners = F.filter(F.array(*(F.when(F.col("part").isin(*parts), m) for m, parts in enumerate(members))), lambda m: m.isNotNull())
+        rows = counts.where("part >= 0").withColumn("m", F.explode(owners)).groupBy((F.col("m") * len(self.langs) + place).cast("int").alias("m"), "gram").agg(F.sum("n").alias("n"))
+        probabilities = _probabilities(stored(rows))
+        values = F.map_from_entries(F.collect_list(F.struct("m", F.struct("alpha", "back"))))
+        columns = F.sequence(F.lit(0), F.lit(self.width - 1))
+        wide = probabilities.groupBy("gram").agg(values.alias("v"))
+        self.values = stored(wide.select("gram", F.transform(columns, lambda i: F.col("v")[i]["alpha"]).alias("alpha"), F.transform(columns, lambda i: F.col("v")[i]["back"]).alias("back")))
+        roots = self.values.where("gram = ''").select("back").first()
+        self.present = [b is not None for b in roots["back"]] if roots else [False] * self.width
+        # letters and the end mark, of all models, and one for those that none has seen
+        self.symbols = 1 + self.values.where((F.length("gram") == 1) & (F.col("gram") != START)).count()
+
+    def bits(self, windows: DataFrame) -> DataFrame:
+        """key (64-bit hash), n, bits by column of each window (gram, n)."""
+        looked = windows.withColumn("k", F.explode(F.sequence(F.lit(0), F.length("gram"))))
+        # the gram's last k letters: a context of the next order's probability, and a gram of this order
+        looked = looked.select("gram", "n", "k", F.expr("right(gram, k)").alias("s"), F.expr("substring(right(gram, k), 1, k - 1)").alias("c"))
+        values = self.values
+        looked = looked.join(values.select(F.col("gram").alias("s"), "alpha"), "s", "left").join(values.select(F.col("gram").alias("c"), "back"), "c", "left").where("k > 0")
+        steps = F.sort_array(F.collect_list(F.struct("k", "alpha", "back")))
+        level = lambda p, x: F.transform(p, lambda v, i: F.when(x["back"][i].isNull(), v).otherwise(F.coalesce(x["alpha"][i], F.lit(0.0)) + x["back"][i] * v))
+        p = F.aggregate("steps", F.array_repeat(F.lit(1.0 / self.symbols), self.width), level)
+        found = looked.groupBy("gram").agg(F.first("n").alias("n"), steps.alias("steps")).select("gram", "n", F.transform(p, lambda v: (-F.log2(F.greatest(v, F.lit(1e-12)))).cast("float")).alias("bits"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((len(langs), 4))
             for batch in batches:
-                for part in slices(batch):
-                    entropy, n = shared.value.score(part.column("text"))
-                    best, known = entropy.argmin(axis=1), n > 0
-                    least = entropy[np.arange(len(best)), best]
-                    for j, x in enumerate((np.ones(len(n)), n, n * least, n * least * least)):
-                        total[:, j] += np.bincount(best[known], x[known], len(langs))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(langs)))] + [pa.array(c) for c in total.T], ["i", "m", "n", "s", "q"])
-
-        given = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text"))
-        sums = spread(given).mapInArrow(run, "i long, m double, n double, s double, q double").groupBy("i").agg(*(F.sum(c).alias(c) for c in "mnsq")).collect()
-        model.mean, model.sigma = np.full(len(langs), 1e9), np.zeros(len(langs))
-        for r in sums:
-            if r.n:
-                model.mean[r.i] = r.s / r.n
-                model.sigma[r.i] = math.sqrt(max(r.q - r.s * r.s / r.n, 0) / r.m)  # of the mean of one character, by documents
-        shared.unpersist()
-    return model
-
-
-def calibrate_by(model: Model, docs: DataFrame, text: str = "text") -> None:
-    """Rejection limits from documents that the model did not learn from. Documents over REJECT_BITS above the median of their language take no part, so unlike ones don't widen the limits."""
-    if not model.langs:
-        return
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    langs, bins = len(model.langs), 64 * 48  # 64ths of a bit; no character needs 48
+                yield pa.RecordBatch.from_arrays([pa.array(_hashes(batch.column("gram").to_pylist()).view(np.int64)), batch.column("n"), batch.column("bits")], ["key", "n", "bits"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((langs * bins, 4))
-        for batch in batches:
-            for part in slices(batch):
-                entropy, n = shared.value.score(part.column("text"))
-                best, known = entropy.argmin(axis=1), n > 0
-                least = entropy[np.arange(len(best)), best]
-                at = best * bins + (least * 64).astype(np.int64)
-                for j, x in enumerate((np.ones(len(n)), n, n * least, n * least * least)):
-                    total[:, j] += np.bincount(at[known], x[known], langs * bins)
-        at = np.flatnonzero(total[:, 0])
-        yield pa.RecordBatch.from_arrays([pa.array(at)] + [pa.array(c) for c in total[at].T], ["i", "m", "n", "s", "q"])
-
-    given = docs.where(F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text"))
-    sums = spread(given).mapInArrow(run, "i long, m double, n double, s double, q double").groupBy("i").agg(*(F.sum(c).alias(c) for c in "mnsq")).orderBy("i").collect()  # at most bins rows a language
-    model.mean, model.sigma = np.full(langs, 1e9), np.zeros(langs)
-    for k in range(langs):
-        own = np.array([(r.i % bins, r.m, r.n, r.s, r.q) for r in sums if r.i // bins == k])
-        if len(own):
-            median = own[np.searchsorted(np.cumsum(own[:, 1]), own[:, 1].sum() / 2), 0]
-            _, m, n, s, q = own[own[:, 0] <= median + 64 * REJECT_BITS].sum(axis=0)
-            model.mean[k] = s / n
-            model.sigma[k] = math.sqrt(max(q - s * s / n, 0) / m)
-    shared.unpersist()
-
-
-def identified_by_others(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """The rows that are not unlike every language, each judged by models of the rows whose texts fall into other folds; equal texts share a fold."""
-    fold = F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(FOLDS))
-    kept = []
-    for k in range(FOLDS):
-        own = docs.where(fold == k)
-        model = trained(docs.where(fold != k), lang, text, calibrate=False)
-        calibrate_by(model, own, text)
-        kept.append(identified(own, model, text))
-    return reduce(DataFrame.unionByName, kept)
-
-
-def languages(docs: DataFrame, model: Model, keep: Iterable[str | Column] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The kept columns with lang_pred, score, rejected and bits_per_char."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    made = T.StructType.fromDDL("lang_pred string, score double, rejected boolean, bits_per_char double")
+        return stored(found.mapInArrow(run, "key long, n long, bits array<float>"))
+
+
+def _hashes(grams: list[str]) -> np.ndarray:
+    codes = np.array(grams or [""], f"U{ORDER}").view(np.uint32).reshape(-1, ORDER)
+    lengths = np.array([len(g) for g in grams] or [0])
+    keys = np.zeros(len(codes), np.uint64)
+    for k in range(1, ORDER + 1):
+        if (own := lengths == k).any():
+            keys[own] = gram_keys(value_of(codes[own, :k]).reshape(-1))[k - 1][k - 1 :: k]
+    return keys[: len(grams)]
+
+
+class Table:
+    """A sorted array of window hashes with a row of bits for each."""
+
+    def __init__(self, keys: np.ndarray, bits: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.bits = keys[order], bits[order]
+
+    def sums(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[tuple[int, int]]]]:
+        """Bits by text and column, characters by text, and by text the hashes of the windows that aren't in the table with their counts."""
+        words, place, offsets = distinct_words(texts)
+        width = self.bits.shape[1]
+        total, chars, rest = np.zeros((len(texts), width)), np.zeros(len(texts), np.int64), [[] for _ in range(len(texts))]
+        if not words:
+            return total, chars, rest
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        codes = np.frombuffer((START + (END + START).join(words) + END).encode("utf-32-le"), np.uint32)
+        starts = np.cumsum(lengths) - lengths
+        inside = np.arange(len(codes)) - np.repeat(starts, lengths)  # characters of the word before this one
+        keys = gram_keys(value_of(codes))
+        own = np.choose(np.minimum(inside, ORDER - 1), keys)
+        at = np.flatnonzero(inside > 0)
+        found = np.minimum(np.searchsorted(self.keys, own[at]), max(len(self.keys) - 1, 0))
+        known = self.keys[found] == own[at] if len(self.keys) else np.zeros(len(at), bool)
+        per_word = np.concatenate([[0], np.cumsum(lengths - 1)])
+        counts = lengths - 1
+        summed = lambda x: np.concatenate([[0], np.cumsum(x)])
+        for c in range(width):
+            bits = np.where(known, self.bits[found, c], 0) if len(self.keys) else np.zeros(len(at))
+            word_bits = np.diff(summed(bits.astype(np.float64))[per_word])
+            total[:, c] = np.diff(summed(word_bits[place])[offsets])
+        chars[:] = np.diff(summed(counts[place])[offsets])
+        if not known.all():
+            word = np.searchsorted(per_word, np.arange(len(at)), "right") - 1
+            unknown: dict[int, list[int]] = {}
+            for i in np.flatnonzero(~known):
+                unknown.setdefault(int(word[i]), []).append(int(own[at[i]].view(np.int64)))
+            text = np.repeat(np.arange(len(texts)), np.diff(offsets))
+            seen: dict[int, Counter] = {}
+            for j in np.flatnonzero(np.isin(place, list(unknown))):
+                seen.setdefault(int(text[j]), Counter()).update(unknown[int(place[j])])
+            for i, c in seen.items():
+                rest[i] = list(c.items())
+        return total, chars, rest
+
+
+def entropies(docs: DataFrame, model: Model, bits: DataFrame, keep: Iterable[str | Column], text: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
+    """The kept columns with __sums (bits by column) and __chars, stored. bits: of every window of the texts."""
     kept = docs.select(*keep)
+    made = T.StructType.fromDDL("__sums array<double>, __chars long, __row long, __rest array<struct<key:long,k:long>>")
+    most = max(1, table_bytes // (8 + 4 * model.width))
+    more = bits.count() > most
+    top = (bits.orderBy(F.desc("n"), "key").limit(most) if more else bits).toArrow()  # most rows at the most
+    held = Table(top["key"].to_numpy().view(np.uint64), np.asarray(pc.list_flatten(top["bits"].combine_chunks())).astype(np.float32).reshape(top.num_rows, model.width))
+    shared = docs.sparkSession.sparkContext.broadcast(held)
+    width = len(kept.columns)
     names = kept.columns + made.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part in slices(batch, "__text"):
-                lang, score, rejected, bits, _ = shared.value.predict(part.column("__text"))
-                cols = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected), pa.array(bits, pa.float64())]
-                yield pa.RecordBatch.from_arrays(part.columns[:-1] + cols, names)
+                sums, chars, rest = shared.value.sums(part.column("__text"))
+                rows = pa.array(np.arange(row, row + part.num_rows))
+                row += part.num_rows
+                flat = pa.ListArray.from_arrays(pa.array((np.arange(len(sums) + 1) * sums.shape[1]).astype(np.int32)), pa.array(sums.reshape(-1)))
+                others = pa.array([[{"key": k, "k": n} for k, n in x] for x in rest], pa.list_(pa.struct([("key", pa.int64()), ("k", pa.int64())])))
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], flat, pa.array(chars), rows, others], names)
+
+    found = stored(spread(docs.select(*keep, F.col(text).cast("string").alias("__text"))).mapInArrow(run, T.StructType(kept.schema.fields + made.fields)))
+    if more:
+        least = top.slice(top.num_rows - 1)
+        n, key = least["n"][0].as_py(), least["key"][0].as_py()
+        others = bits.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("key") > key)))
+        asked = found.where("size(__rest) > 0").select("__row", F.explode("__rest").alias("r")).select("__row", "r.key", "r.k")
+        sums = asked.join(others, "key").groupBy("__row").agg(F.array(*(F.sum(F.col("k") * F.col("bits")[i]) for i in range(model.width))).alias("__more"))
+        both = F.when(F.col("__more").isNull(), F.col("__sums")).otherwise(F.zip_with("__sums", "__more", lambda a, b: a + b))
+        found = found.join(sums, "__row", "left").withColumn("__sums", both).drop("__more")
+    return found.drop("__row", "__rest")
+
+
+def judged(rows: DataFrame, model: Model, which: Column) -> DataFrame:
+    """The rows of `entropies` with lang_pred, score, bits_per_char and __class, by the model whose number `which` gives."""
+    n = len(model.langs)
+    if not n:
+        return rows.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0), "bits_per_char": F.lit(0.0), "__class": F.lit(0)})
+    present = F.array(*map(F.lit, model.present))
+    own = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.when(F.element_at(present, which * n + i), F.element_at("__sums", which * n + i)).otherwise(F.lit(float("inf"))))
+    rows = rows.withColumn("__own", own).withColumn("__least", F.array_min("__own"))
+    known = (F.col("__chars") > 0) & (F.col("__least") < float("inf"))
+    best = F.element_at(F.array(*map(F.lit, model.langs)), F.array_position("__own", F.col("__least")).cast("int"))
+    rows = rows.withColumn("lang_pred", F.when(known, best).otherwise("und"))
+    weight = F.aggregate("__own", F.lit(0.0), lambda a, x: a + F.pow(F.lit(2.0), F.expr("__least") - x))
+    some = F.col("lang_pred") != "und"
+    return rows.withColumns({
+        "score": F.when(some, F.try_divide(F.lit(1.0), weight)).otherwise(0.0),
+        "bits_per_char": F.when(some, F.try_divide("__least", "__chars")).otherwise(0.0),
+        "__class": F.floor(F.log2(F.greatest("__chars", F.lit(1)))).cast("int"),
+    }).drop("__own", "__least")
+
+
+def limits_of(left_out: DataFrame) -> DataFrame:
+    """lang_pred, __class, __limit: from judged rows whose model did not learn from them."""
+    rows = left_out.where("lang_pred <> 'und'").groupBy("lang_pred", "__class", F.floor(F.col("bits_per_char") * 64).alias("bin")).agg(F.count("*").alias("n"))
+    rows = stored(rows)  # at most 64 rows a bit, class and language
+    middle = lambda df, keys: df.groupBy(*keys).agg(F.sum("n").alias("docs"), F.expr("percentile(bin, 0.5, n)").alias("m"), F.expr(f"percentile(bin, {SPREAD}, n)").alias("q"))
+    limit = (F.col("m") + 1 + LIMIT * F.greatest(F.col("q") - F.col("m"), F.lit(64 * LEAST_SPREAD))) / 64
+    whole = middle(rows.groupBy("lang_pred", "bin").agg(F.sum("n").alias("n")), ["lang_pred"]).select("lang_pred", limit.alias("__whole"))
+    classes = middle(rows, ["lang_pred", "__class"]).where(F.col("docs") >= CLASS_DOCS).select("lang_pred", "__class", limit.alias("__own"))
+    return stored(rows.select("lang_pred", "__class").distinct().join(whole, "lang_pred").join(classes, ["lang_pred", "__class"], "left").select("lang_pred", "__class", F.coalesce("__own", "__whole").alias("__limit"), "__whole"))
+
+
+def limited(rows: DataFrame, limits: DataFrame | None) -> DataFrame:
+    """Judged rows with rejected."""
+    if limits is None:
+        return rows.withColumn("rejected", F.col("__chars") == 0).drop("__sums", "__chars", "__class")
+    own = limits.select("lang_pred", "__class", "__limit")
+    whole = limits.select("lang_pred", "__whole").distinct()
+    # languages times lengths rows
+    rows = rows.join(F.broadcast(own), ["lang_pred", "__class"], "left").join(F.broadcast(whole), "lang_pred", "left")
+    short = SHORT / F.sqrt(F.pow(F.lit(2.0), F.col("__class")))
+    above = F.col("bits_per_char") > F.coalesce("__limit", "__whole", F.lit(float("inf"))) + short
+    return rows.withColumn("rejected", (F.col("__chars") == 0) | above).drop("__sums", "__chars", "__class", "__limit", "__whole")
+
+
+def _windows(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def fold_of(text: str = "text") -> Column:
+    """0 or 1; equal texts share it."""
+    return F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(2)).cast("int")
+
+
+def _judge_all(docs: DataFrame, part: Column, keep: Iterable[str | Column], lang: str, text: str, table_bytes: int) -> tuple[DataFrame, Model]:
+    """The kept columns, judged by a model of all training rows, with limits from training rows judged by the other half."""
+    counts = counted(docs, part, lang, text)
+    model = Model(counts, [(0,), (1,), (0, 1)])
+    names = [c if isinstance(c, Column) else F.col(c) for c in keep]
+    trained_on = F.when(F.col(lang).isNotNull() & F.col(text).isNotNull(), part).alias("__part")
+    if not model.langs:
+        rows = entropies(docs, model, _no_bits(docs.sparkSession), [*names, trained_on], text, table_bytes)
+        return limited(judged(rows, model, F.lit(2)), None).drop("__part"), model
+    rows = entropies(docs, model, model.bits(_windows(counts)), [*names, trained_on], text, table_bytes)
+    model.limits = limits_of(judged(rows.where("__part >= 0"), model, 1 - F.col("__part")))
+    return limited(judged(rows, model, F.lit(2)), model.limits).drop("__part"), model
 
-    given = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    return spread(given).mapInArrow(run, T.StructType(kept.schema.fields + made.fields))
 
+def _no_bits(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "key long, n long, bits array<float>")
 
-def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows that the model doesn't reject, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text):
-                yield part.filter(pa.array(~shared.value.predict(part.column(at))[2]))
+def trained(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
+    """A model of all rows, with limits of rows judged by the half that they don't belong to."""
+    return _judge_all(docs, fold_of(text), [], lang, text, TABLE_BYTES)[1]
+
+
+def languages(docs: DataFrame, model: Model, keep: Iterable[str | Column] = ("doc_id",), text: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
+    """The kept columns with lang_pred, score, bits_per_char and rejected, of any rows."""
+    rows = docs.withColumn("__none", F.lit(None).cast("string"))
+    bits = model.bits(_windows(counted(rows, F.lit(-1), "__none", text))) if model.langs else _no_bits(docs.sparkSession)
+    found = entropies(docs, model, bits, keep, text, table_bytes)
+    return limited(judged(found, model, F.lit(model.models - 1)), model.limits)
+
 
-    return spread(docs).mapInArrow(run, docs.schema)
+def identified(docs: DataFrame, lang: str = "lang", text: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
+    """The rows that aren't unlike every language, each judged by a model of the rows whose texts fall into the other half (equal texts into one), with the predicted language as theirs."""
+    counts = counted(docs, fold_of(text), lang, text)
+    model = Model(counts, [(1,), (0,)])
+    bits = model.bits(_windows(counts)) if model.langs else _no_bits(docs.sparkSession)
+    rows = judged(entropies(docs, model, bits, [*docs.columns, fold_of(text).alias("__part")], text, table_bytes), model, F.coalesce("__part", F.lit(0)))
+    limits = limits_of(rows) if model.langs else None
+    given = docs.schema[lang].dataType
+    kept = limited(rows, limits).where(~F.col("rejected"))
+    known = F.when(F.col("lang_pred") == "und", F.col(lang)).otherwise(F.col("lang_pred").cast(given))
+    return kept.select(*(known.alias(c) if c == lang else F.col(c) for c in docs.columns))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -389,5 +399,5 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = trained(docs.where(~held_out()))
-    return languages(docs, model, ("doc_id", held_out().alias("held_out")))
+    part = F.when(~held_out(), fold_of())
+    return _judge_all(docs, part, ["doc_id", held_out().alias("held_out")], "lang", "text", TABLE_BYTES)[0]

@@ -3,7 +3,6 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-import pyarrow as pa
 import pytest
 
 from tariffa.llm import langid as li
@@ -67,24 +66,42 @@ def corpus():
     return rows
 
 
+SCHEMA = "doc_id long, text string, lang string"
+#: Prose of languages that the test documents don't have.
+FOREIGN = {
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "hu": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek.",
+    "el": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση.",
+}
+
+
 def test_equals_plain_model(spark):
     rows = corpus()
-    df = spark.createDataFrame([*rows, (200, None, "aa"), (201, "kalo", None)], "doc_id long, text string, lang string")
-    model = li.trained(df)
-    brute = {x: Brute([t for _, t, y in rows if y == x]) for x in ("aa", "bb", "cc")}
-    assert model.langs == ["aa", "bb", "cc"]
-    symbols = 1 + len({g for b in brute.values() for g in b.n[1]})
+    df = spark.createDataFrame([*rows, (200, None, "aa"), (201, "kalo", None)], SCHEMA)
     texts = [t for _, t, _ in rows[:30]] + ["zzz qqq", "Ka ungka 日", "", None, "12 %", "kalomitu" * 300]
-    entropy, n = model.score(pa.array(texts))
-    for t, row, m in zip(texts, entropy, n, strict=True):
-        for x, got in zip(model.langs, row, strict=True):
-            want, chars = brute[x].entropy(t, symbols)
-            assert m == chars and got == pytest.approx(want, rel=1e-4)
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = li.counted(df, li.F.lit(0))
+    model = li.Model(counts, [(0,)])
+    assert model.langs == ["aa", "bb", "cc"]
+    brute = {x: Brute([t for _, t, y in rows if y == x]) for x in model.langs}
+    symbols = 1 + len({g for b in brute.values() for g in b.n[1] if g != li.START})
+    assert model.symbols == symbols
+    none = asked.withColumn("lang", li.F.lit(None).cast("string"))
+    bits = model.bits(li._windows(li.counted(none, li.F.lit(-1))))
+    for table_bytes in (li.TABLE_BYTES, 2000, 1):  # all windows broadcast, some of them, one
+        got = {r.doc_id: r for r in li.entropies(asked, model, bits, ["doc_id"], table_bytes=table_bytes).collect()}
+        assert len(got) == len(texts)
+        for i, t in enumerate(texts):
+            for k, x in enumerate(model.langs):
+                want, chars = brute[x].entropy(t, symbols)
+                assert got[i]["__chars"] == chars
+                assert got[i]["__sums"][k] / max(chars, 1) == pytest.approx(want, rel=1e-4, abs=1e-9)
 
 
 def test_rows(spark):
     rows = [*corpus(), (300, None, "aa"), (301, "12 34", "bb"), (302, "", None), (None, "kalo mitu lomi", None), (303, "xqzj wvyk gfpd xqzj wvyk gfpd bnrh cxzq " * 60, None), (1, *corpus()[1][1:])]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", li.F.lit("x"))
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("score", li.F.lit("x"))
     model = li.trained(df)
     got = {r.doc_id: r for r in li.languages(df, model).collect()}
     assert [got[i].lang_pred for i in (300, 301, 302)] == ["und"] * 3
@@ -92,11 +109,21 @@ def test_rows(spark):
     assert got[None].lang_pred == "aa" and 0 < got[None].score <= 1 and not got[None].rejected
     assert got[303].rejected
     assert all(got[i].lang_pred == x and not got[i].rejected for i, _, x in corpus())
-    kept = li.identified(df, model)
+    kept = li.identified(df)
     assert kept.columns == df.columns and kept.count() == len(rows) - 4
+    assert {r.lang for r in kept.where("doc_id is null").collect()} == {"aa"}
     empty = li.trained(df.limit(0))
     assert {(r.lang_pred, r.rejected) for r in li.languages(df, empty).collect()} == {("und", True), ("und", False)}
-    assert li.languages(df.limit(0), model).count() == 0
+    assert li.languages(df.limit(0), model).count() == 0 and li.identified(df.limit(0)).count() == 0
+    assert {r.doc_id for r in li.identified(df.withColumn("lang", li.F.lit(None).cast("string"))).collect()} >= {303, None}
+
+
+def test_unseen_languages_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = li.trained(docs)
+    asked = spark.createDataFrame([(i, t * k, x) for i, (x, t) in enumerate(FOREIGN.items()) for k in (1, 5)], SCHEMA)
+    rows = li.languages(asked, model).collect()
+    assert len(rows) == 2 * len(FOREIGN) and all(r.rejected for r in rows)
 
 
 def test_held_out_accuracy(spark):
@@ -104,17 +131,8 @@ def test_held_out_accuracy(spark):
     truth = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = li.op7_kneser_ney(spark, sf).collect()
     assert len(rows) == len(truth)
+    assert {"doc_id", "held_out", "lang_pred", "score"} <= set(rows[0].asDict())
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
     held = [r for r in rows if r.held_out]
-    assert sum(r.lang_pred == truth[r.doc_id].lang for r in held) / len(held) > 0.97
-    assert sum(r.rejected for r in rows) < 0.01 * len(rows)
-
-
-def test_folded_model_stays_small_and_right(spark, monkeypatch):
-    rows = corpus()
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    monkeypatch.setattr(li, "MODEL_ROWS", 1500)
-    model = li.trained(df)
-    assert model.bits < li.KEY_BITS and len(model.keys) <= 1500
-    lang, *_ = model.predict(pa.array([t for _, t, _ in rows]))
-    assert sum(a == b for a, (_, _, b) in zip(lang, rows, strict=True)) > 0.9 * len(rows)
+    assert sum(r.lang_pred == truth[r.doc_id].lang for r in held) / len(held) > 0.99
+    assert sum(r.rejected for r in rows) <= 0.002 * len(rows)
