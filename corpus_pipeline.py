@@ -19,7 +19,7 @@ from tariffa.llm import bpe, common, decontaminate, langid, minhash, pii
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.identified_by_others(docs)
+    return langid.identified(docs)
 
 
 def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
