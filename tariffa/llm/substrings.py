@@ -1,22 +1,21 @@
 """Substring dedup by content-defined chunks.
 
-A gear hash rolls over the bytes of a text. Of the word starts, those whose gear value is the least among the SIDE word
-starts on either side are cut points (of equal ones close together one in SIDE + 1), so a chunk has more than SIDE words, its cuts depend on nearby bytes alone, and
-an insertion moves the cuts around it only. Chunks with one digest in several documents are duplicates; digests are counted with partial
-sums, and the chunks of repeated digests find their counts by a join in which very frequent digests are salted. Neighbouring
-repeated chunks of a document form a span; spans of at least LEAST_WORDS words count. The chunk whose digest stands
-first (by doc_id and place) is the one to keep.
-
-Cuts agree only between the first and the last cut of a passage whose surroundings lie inside it, and gaps between cuts have
-no bound. So the least of each ANCHOR_WINDOW neighbouring runs of ANCHOR_WORDS words (by digest; winnowing) is an anchor, and
-is counted like a chunk: of a passage of PASSAGE_WORDS (51) words or more that two documents share, both have an anchor with one
-digest. Where no span of chunks overlaps a repeated anchor, all runs of PASSAGE_WORDS around it and its copies are compared, so
-that every such passage that no span of chunks reaches forms a span of its own.
-
-Words are split at ASCII white space; case and white space count. A text's last chunk ends with its last word, and a
-text of few words is one chunk. Nulls and empty texts have no chunks. Rows with a null doc_id take no part. Rows that
-repeat a doc_id are one document, whose texts are chunked each by itself, and equal texts once. An empty table gives an empty
-result; other columns are not looked at.
+A gear hash rolls over the last REACH bytes of a text. In each window of WINDOW neighbouring words the one with the least
+gear value at its end is followed by a cut, so chunks have at most WINDOW words (twice that where words repeat over and
+over), cuts depend on nearby bytes alone, and an insertion moves the cuts around it only. From each chunk on, the least run
+of chunks with LEAST_WORDS words is known by the 128-bit digest of its bytes; runs with one digest at several places are
+copies of each other as a whole. Digests are counted with partial sums, and runs find their counts by a join in which very
+frequent digests are salted. Overlapping or touching repeated runs of a document form a span. The run that stands first (by
+doc_id, text and place) is the one to keep; the parts of a span that other runs cover are stale.
+
+Of a passage of 51 words that two texts share, the first 8 words fill the reach at the most, and of the 43 places left the
+first and the last window each have one cut, at least 20 words apart: so both texts have a run of 20 words in it, whatever
+stands around. A repeat within one text counts like one in two texts.
+
+Words are split at ASCII white space; case and white space count. Texts of fewer than LEAST_WORDS words (nulls and empty ones
+too, and long ones without white space) have no runs. A very long text is a slice of its own. Rows with a null doc_id take no
+part. Rows that repeat a doc_id are one document, whose texts are cut each by itself, and equal texts once (though `copies`
+counts their rows). An empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -28,42 +27,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import _BYTES, checkpointed, slices, span_hashes, spread, stored, table, text_bytes, text_col, word_spans
+from tariffa.llm.common import _BYTES, checkpointed, slices, span_hashes, spread, table, text_bytes, text_col, word_spans
 
-#: Word starts on either side among which a cut has the least gear value; words of a span; bytes that the gear hash looks back.
-SIDE, LEAST_WORDS, REACH = 4, 20, 32
-#: Words of an anchor, and neighbouring runs of so many words of which the one with the least digest is an anchor.
-ANCHOR_WORDS, ANCHOR_WINDOW = 26, 26
-#: Words of a passage that is found in any context.
-PASSAGE_WORDS = ANCHOR_WORDS + ANCHOR_WINDOW - 1
-#: Windows looked at together; places of anchors are counted from FIRST_ANCHOR, those of chunks from 0.
-WINDOWS, FIRST_ANCHOR = 1 << 16, -(1 << 31)
+#: Words of which one is followed by a cut, words of a run, bytes that the gear hash looks back, and bits it shifts for each.
+WINDOW, LEAST_WORDS, REACH, SHIFT = 12, 20, 16, 4
 #: Most digests that are treated as hot, and tasks that each of them is dealt to.
 HOT_DIGESTS, SALTS = 10_000, 64
 
+_MORE = np.random.Generator(np.random.PCG64(20240301)).integers(1, 1 << 63, 256, np.uint64)  # for the digest's other half
+
 
 def gear_hashes(values: np.ndarray) -> np.ndarray:
     """At each byte the sum of the values of the last REACH bytes, each shifted by its distance; by doubling."""
     h, step = values, 1
     while step < REACH:
         wider = h.copy()
-        wider[step:] += h[:-step] << np.uint64(2 * step)
+        wider[step:] += h[:-step] << np.uint64(SHIFT * step)
         h, step = wider, 2 * step
     return h
 
 
-def thinned(least: np.ndarray, text: np.ndarray) -> None:
-    """Where equal least values stand close together (words that repeat over and over), leaves one in SIDE + 1 words, counted from the first."""
-    at = np.flatnonzero(least)
-    close = (np.diff(at) <= SIDE) & (np.diff(text[at]) == 0)
+def thinned(at: np.ndarray, key: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Places of least keys; of equal ones close together (words that repeat over and over) one in WINDOW words, counted from the first."""
+    close = (np.diff(key[at].view(np.int64)) == 0) & (np.diff(at) < WINDOW) & (np.diff(text[at]) == 0)
+    keep = np.ones(len(at), bool)
     for begin in np.flatnonzero(close & ~np.concatenate([[False], close[:-1]])) if len(close) else ():
         kept, i = at[begin], begin + 1
         while i <= len(close) and close[i - 1]:
-            if at[i] - kept <= SIDE:
-                least[at[i]] = False
+            if at[i] - kept < WINDOW:
+                keep[i] = False
             else:
                 kept = at[i]
             i += 1
+    return at[keep]
 
 
 def chunk_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -76,236 +72,116 @@ def chunk_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     place = np.arange(len(data)) + REACH * np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     values = np.zeros(len(data) + REACH * (len(offsets) - 1), np.uint64)
     values[place] = _BYTES[data]
-    key = gear_hashes(values)[place[ends - 1]]  # of the word before a cut and what lies before it
+    key = gear_hashes(values)[place[ends - 1]]
     n = len(key)
     text = np.repeat(np.arange(len(words) - 1), np.diff(words))
-    least = np.ones(n, bool)
-    for d in range(1, SIDE + 1):
-        if d < n:
-            same = text[d:] == text[:-d]
-            least[d:] &= ~same | (key[d:] <= key[:-d])
-            least[:-d] &= ~same | (key[:-d] <= key[d:])
-    thinned(least, text)
-    last = np.zeros(n, bool)
-    last[words[1:][np.diff(words) > 0] - 1] = True
-    cut = np.flatnonzero(least | last) + 1
-    return np.concatenate([[0], cut[:-1]]), cut, starts, ends, words
-
-
-def anchor_words(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """First words of the anchors. hashes: of the runs of ANCHOR_WORDS words by first word; words: the texts' word offsets."""
-    text = np.repeat(np.arange(len(words) - 1), np.diff(words))
-    reach = PASSAGE_WORDS - 1
-    begins = np.flatnonzero(text[reach:] == text[: len(text) - reach]) if len(text) > reach else np.zeros(0, np.int64)
-    if not len(begins):
-        return begins
-    windows = np.lib.stride_tricks.sliding_window_view(hashes, ANCHOR_WINDOW)
-    found = []
-    for i in range(0, len(begins), WINDOWS):
-        own = begins[i : i + WINDOWS]
-        found.append(np.unique(own + ANCHOR_WINDOW - 1 - windows[own][:, ::-1].argmin(axis=1)))
-    at = np.unique(np.concatenate(found))
-    # of equal ones close together (words that repeat over and over) every window keeps one
-    close = (np.diff(hashes[at].view(np.int64)) == 0) & (np.diff(at) < ANCHOR_WINDOW) & (np.diff(text[at]) == 0)
-    keep = np.ones(len(at), bool)
-    for begin in np.flatnonzero(close & ~np.concatenate([[False], close[:-1]])) if len(close) else ():
-        kept, i = at[begin], begin + 1
-        while i < len(close) and close[i]:
-            if at[i + 1] - kept <= ANCHOR_WINDOW:
-                keep[i] = False
-            else:
-                kept = at[i]
-            i += 1
-    return at[keep]
+    chosen = np.zeros(n, bool)
+    if n >= WINDOW:
+        begins = np.flatnonzero(text[WINDOW - 1 :] == text[: n - WINDOW + 1])
+        chosen[begins + np.lib.stride_tricks.sliding_window_view(key, WINDOW)[begins].argmin(axis=1)] = True
+    cut = np.zeros(n, bool)
+    cut[thinned(np.flatnonzero(chosen), key, text)] = True
+    cut[words[1:][np.diff(words) > 0] - 1] = True
+    end = np.flatnonzero(cut) + 1
+    return np.concatenate([[0], end[:-1]]), end, starts, ends, words
+
 
+RUNS = "doc_id long, body long, at long, d1 long, d2 long, span long"
 
-def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, body (a hash of the text), at (number of the chunk; of an anchor FIRST_ANCHOR and its first word), digest, start, end (bytes), words."""
+
+def runs(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, body (a hash of the text), at (first word and number of words), d1 and d2 (the digest), span (first byte and end); pairs of numbers are packed into one, 32 bits each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 data, offsets = text_bytes(part.column("text"))
                 first, end, starts, ends, words = chunk_words(data, offsets)
+                last = np.searchsorted(end, first + least_words, "left")  # the chunk that completes the run
+                first, last = first[last < len(end)], last[last < len(end)]
+                row = np.searchsorted(words, first, "right") - 1
+                inside = end[last] <= words[row + 1]
+                first, after, row = first[inside], end[last[inside]], row[inside]
                 if not len(first):
                     continue
-                row = np.searchsorted(words, first, "right") - 1
-                values = _BYTES[data]
-                digest = span_hashes(values, starts[first], ends[end - 1])
-                body = span_hashes(values, offsets[:-1], offsets[1:])
-                at = np.arange(len(first)) - np.searchsorted(first, words[:-1])[row]
-                runs = span_hashes(values, starts[: 1 - ANCHOR_WORDS], ends[ANCHOR_WORDS - 1 :])
-                anchor = anchor_words(runs, words)
-                if len(anchor):
-                    own = np.searchsorted(words, anchor, "right") - 1
-                    row, first, end = np.concatenate([row, own]), np.concatenate([first, anchor]), np.concatenate([end, anchor + ANCHOR_WORDS])
-                    at, digest = np.concatenate([at, FIRST_ANCHOR + anchor - words[own]]), np.concatenate([digest, ~runs[anchor]])
-                base = offsets[row]
-                cols = [part.column("doc_id").take(pa.array(row))] + [pa.array(c) for c in (body[row].view(np.int64), at.astype(np.int32), digest.view(np.int64), (starts[first] - base).astype(np.int32), (ends[end - 1] - base).astype(np.int32), (end - first).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "body", "at", "digest", "start", "end", "words"])
+                values, more = _BYTES[data], _MORE[data]
+                a, b, base = starts[first], ends[after - 1], offsets[row]
+                body = span_hashes(values, offsets[:-1], offsets[1:])[row]
+                cols = [body, ((first - words[row]) << 32) | (after - first), span_hashes(values, a, b), span_hashes(more, a, b), ((a - base) << 32) | (b - base)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(row))] + [pa.array(c.view(np.int64)) for c in cols], ["doc_id", "body", "at", "d1", "d2", "span"])
 
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_col(text).alias("text")).where("doc_id is not null")
-    return spread(given).mapInArrow(run, "doc_id long, body long, at int, digest long, start int, end int, words int")
+    return spread(given).mapInArrow(run, RUNS)
 
 
-SPANS = "doc_id long, body long, start long, end long, words long, copies long, fresh_words long"
-
-
-def _span_batch(rows: list, names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
-
-
-def _islands(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Spans of neighbouring chunks, and with their digest the anchors that none of these overlaps, from rows sorted by document and place; a span may go on in the next batch."""
-    open_: list | None = None
-    own: tuple | None = None
-    anchors: list[tuple] = []  # of the document at hand: start, end, digest
-    spans: list[list] = []  # of the document at hand
-    out: list[list] = []
-    names = ["doc_id", "body", "start", "end", "words", "copies", "fresh_words", "digest"]
-
-    def close():
-        """The spans and free anchors of the document at hand, which is done."""
-        if open_ and open_[4] >= least:
-            spans.append(open_)
-        out.extend([*x[:7], None] for x in spans)
-        i = 0
-        for start, end, digest in anchors:
-            while i < len(spans) and spans[i][3] <= start:
-                i += 1
-            if i == len(spans) or spans[i][2] >= end:
-                out.append([*own, start, end, 0, 0, 0, digest])
-        anchors.clear()
-        spans.clear()
-
-    for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("doc_id", "body", "at", "start", "end", "words", "copies", "fresh", "digest")]
-        for doc, body, at, start, end, words, copies, fresh, digest in zip(*cols, strict=True):
-            if own != (doc, body):
-                if own:
-                    close()
-                open_, own = None, (doc, body)
-            if at < 0:
-                anchors.append((start, end, digest))
-            elif open_ and at <= open_[7] + 1:
-                if at == open_[7]:
-                    continue  # a row that is repeated as a whole
-                open_[3], open_[7] = end, at
-                open_[4] += words
-                open_[5] = max(open_[5], copies)
-                open_[6] += words * fresh
-            else:
-                if open_ and open_[4] >= least:
-                    spans.append(open_)
-                open_ = [doc, body, start, end, words, copies, words * fresh, at]
-        if len(out) > 5000:
-            yield _span_batch(out, names)
-            out = []
-    if own:
-        close()
-    if out:
-        yield _span_batch(out, names)
+def _repeated(found: DataFrame) -> DataFrame:
+    """The runs whose digest stands at several places, with copies (occurrences of the digest) and fresh (it stands here first)."""
+    place = F.struct("doc_id", "body", "at")
+    counts = found.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.min(place).alias("head"), F.max(place).alias("last"))
+    counts = checkpointed(counts.where("copies > 1 and head < last").drop("last"))
+    # digests with a ten-thousandth of the repeated runs or more, so ten thousand of them at most, are dealt to SALTS tasks each
+    total = counts.agg(F.sum("copies")).first()[0] or 0
+    hot = F.broadcast(counts.where(F.col("copies") >= F.lit(max(1000, total / HOT_DIGESTS))).select("d1", "d2", F.lit(True).alias("hot")))
+    salted = found.join(hot, ["d1", "d2"], "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "at"), F.lit(SALTS))).otherwise(0)).drop("hot")
+    every = F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    known = counts.join(hot, ["d1", "d2"], "left").withColumn("salt", F.explode(every)).drop("hot")
+    again = salted.join(known, ["d1", "d2", "salt"])
+    return again.select("doc_id", "body", "at", "span", "copies", (F.col("head") == place).alias("fresh"))
 
 
-def _passages(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Spans of neighbouring runs of PASSAGE_WORDS words that no span of chunks (place -1) overlaps, from rows sorted by document and place."""
-    made: list | None = None
-    own: tuple | None = None
-    spans: list[tuple] = []  # of chunks, of the document at hand
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of overlapping or touching runs, from rows sorted by document and place; a span may go on in the next batch."""
+    open_: list | None = None  # doc_id, body, start, end, first word, end, copies, stale words, end of the stale ones, their bytes
     out: list[list] = []
-    names = ["doc_id", "body", "start", "end", "words", "copies", "fresh_words"]
+    names = ["doc_id", "start", "end", "words", "copies", "fresh_words", "stale"]
+    pairs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def close():
-        if made and made[4] >= least and not any(a < made[3] and made[2] < b for a, b in spans):
-            out.append(made[:7])
+    def made() -> pa.RecordBatch:
+        cols = [[r[0] for r in out], [r[2] for r in out], [r[3] for r in out], [r[5] - r[4] for r in out], [r[6] for r in out], [r[5] - r[4] - r[7] for r in out]]
+        stale = pa.array([[{"start": a, "end": b} for a, b in r[9]] for r in out], pairs)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols] + [stale], names)
 
     for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("doc_id", "body", "at", "start", "end", "words", "copies", "fresh")]
-        for doc, body, at, start, end, words, copies, fresh in zip(*cols, strict=True):
-            if own != (doc, body):
-                close()
-                made, own, spans = None, (doc, body), []
-            if at < 0:
-                spans.append((start, end))
-            elif made and at <= made[7] + words:
-                new = at + words - made[8]
-                made[3], made[7], made[8] = end, at, at + words
-                made[4] += new
-                made[5] = max(made[5], copies)
-                made[6] += new * fresh
-            else:
-                close()
-                made = [doc, body, start, end, words, copies, words * fresh, at, at + words]
+        cols = [batch.column(c).to_pylist() for c in ("doc_id", "body", "at", "span", "copies", "fresh")]
+        for doc, body, at, span, copies, fresh in zip(*cols, strict=True):
+            word, words, start, end = at >> 32, at & 0xFFFFFFFF, span >> 32, span & 0xFFFFFFFF
+            if not open_ or open_[0] != doc or open_[1] != body or word > open_[5]:
+                if open_:
+                    out.append(open_)
+                open_ = [doc, body, start, end, word, word + words, copies, 0, word, []]
+            if word + words > open_[5]:
+                open_[3], open_[5] = end, word + words
+            open_[6] = max(open_[6], copies)
+            if not fresh and word + words > open_[8]:
+                open_[7] += word + words - max(open_[8], word)
+                if open_[9] and word <= open_[8]:
+                    open_[9][-1] = (open_[9][-1][0], end)
+                else:
+                    open_[9].append((start, end))
+                open_[8] = word + words
         if len(out) > 5000:
-            yield _span_batch(out, names)
+            yield made()
             out = []
-    close()
+    if open_:
+        out.append(open_)
     if out:
-        yield _span_batch(out, names)
-
-
-def _repeated(found: DataFrame) -> DataFrame:
-    """The rows whose digest several documents hold, with copies (occurrences of the digest) and fresh (1: it stands here first)."""
-    counts = found.groupBy("digest").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at")).alias("head"), F.max("doc_id").alias("last"))
-    counts = checkpointed(counts.where("head.doc_id < last").drop("last"))
-    # digests with a ten-thousandth of the repeated chunks or more, so ten thousand of them at most, are dealt to SALTS tasks each
-    total = counts.agg(F.sum("copies")).first()[0] or 0
-    hot = F.broadcast(counts.where(F.col("copies") >= F.lit(max(1000, total / HOT_DIGESTS))).select("digest", F.lit(True).alias("hot")))
-    salted = found.join(hot, "digest", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "at"), F.lit(SALTS))).otherwise(0)).drop("hot")
-    every = F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
-    known = counts.join(hot, "digest", "left").withColumn("salt", F.explode(every)).drop("hot")
-    again = salted.join(known, ["digest", "salt"]).withColumn("fresh", ((F.col("doc_id") == F.col("head.doc_id")) & (F.col("at") == F.col("head.at"))).cast("int"))
-    return again.select("doc_id", "body", "at", "start", "end", "words", "copies", "fresh", "digest")
-
-
-def _runs_around(docs: DataFrame, anchors: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Like chunks, the runs of PASSAGE_WORDS words that hold one of the anchors (doc_id, body, at)."""
-    places = anchors.groupBy("doc_id").agg(F.collect_set(F.struct("body", (F.col("at") - F.lit(FIRST_ANCHOR)).cast("int").alias("at"))).alias("places"))
-    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_col(text).alias("text")).join(places, "doc_id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                for row in range(part.num_rows):
-                    data, offsets = text_bytes(part.column("text").slice(row, 1))
-                    values = _BYTES[data]
-                    body = span_hashes(values, offsets[:-1], offsets[1:]).view(np.int64)
-                    own = np.array([p["at"] for p in part.column("places")[row].as_py() if p["body"] == body[0]], np.int64)
-                    starts, ends, _ = word_spans(data, offsets)
-                    at = np.unique(own[:, None] - np.arange(ANCHOR_WINDOW))
-                    at = at[(at >= 0) & (at + PASSAGE_WORDS <= len(starts))]
-                    if not len(at):
-                        continue
-                    first, end = starts[at], ends[at + PASSAGE_WORDS - 1]
-                    digest = span_hashes(values, first, end).view(np.int64)
-                    n = len(at)
-                    cols = [pa.array(np.full(n, part.column("doc_id")[row].as_py())), pa.array(np.repeat(body, n))]
-                    cols += [pa.array(c) for c in (at.astype(np.int32), digest, first.astype(np.int32), end.astype(np.int32), np.full(n, PASSAGE_WORDS, np.int32))]
-                    yield pa.RecordBatch.from_arrays(cols, ["doc_id", "body", "at", "digest", "start", "end", "words"])
-
-    return given.mapInArrow(run, "doc_id long, body long, at int, digest long, start int, end int, words int")
+        yield made()
 
 
 def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each span: doc_id, start, end (bytes of the UTF-8 text), words, copies (most occurrences of one of its chunks), fresh_words (words of chunks that stand here first)."""
-    again = stored(_repeated(chunks(docs, doc_id, text)))
+    """A row for each span: doc_id, start, end (bytes of the UTF-8 text), words, copies (most occurrences of one of its runs), fresh_words (words that aren't stale), stale (start, end of each stale part)."""
+    again = _repeated(runs(docs, least_words, doc_id, text))
     dealt = again.repartition("doc_id", "body").sortWithinPartitions("doc_id", "body", "at")
-    both = checkpointed(dealt.mapInArrow(lambda b: _islands(b, least_words), SPANS + ", digest long"))
-    spans, free = both.where("digest is null").drop("digest"), both.where("digest is not null")
-    # copies of a free anchor may lie in spans, so all of its holders are compared
-    anchors = again.where("at < 0").join(free.select("digest").distinct(), "digest", "left_semi")
-    open_ = free.select("doc_id", "body").distinct()
-    runs = _repeated(stored(_runs_around(docs, anchors, doc_id, text))).join(open_, ["doc_id", "body"], "left_semi").drop("digest")
-    known = spans.join(open_, ["doc_id", "body"], "left_semi").select("doc_id", "body", F.lit(-1).alias("at"), "start", "end", "words", "copies", F.lit(0).alias("fresh"))
-    placed = runs.unionByName(known).repartition("doc_id", "body").sortWithinPartitions("doc_id", "body", "at")
-    passages = placed.mapInArrow(lambda b: _passages(b, least_words), SPANS)
-    return spans.unionByName(passages).drop("body")
+    return dealt.mapInArrow(_spans, "doc_id long, start long, end long, words long, copies long, fresh_words long, stale array<struct<start:long,end:long>>")
 
 
 def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, with every repeated span that holds no chunk standing there first cut from their texts. doc_id must name one row."""
-    stale = repeated_spans(docs, least_words, doc_id, text).where("fresh_words = 0")
-    cuts = stale.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts")).withColumnRenamed("doc_id", "__id")
+    """The documents without the stale parts of their texts; what is cut stands in an earlier place. doc_id must name one row (an error otherwise)."""
+    cuts = repeated_spans(docs, least_words, doc_id, text).where("size(stale) > 0")
+    cuts = cuts.groupBy("doc_id").agg(F.sort_array(F.flatten(F.collect_list("stale"))).alias("__cuts")).withColumnRenamed("doc_id", "__id")
+    twice = docs.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("long").alias("__id")).agg(F.count("*").alias("n")).where("n > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"{doc_id} names several rows")
     rows = docs.join(cuts, F.col(doc_id).cast("long") == F.col("__id"), "left").drop("__id")
     at, names = docs.columns.index(text), docs.columns
 
@@ -329,4 +205,4 @@ def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str
 
 
 def op1_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_spans(table(spark, sf_dir, "documents"))
+    return repeated_spans(table(spark, sf_dir, "documents")).drop("stale")
