@@ -39,13 +39,15 @@ def drg_code(x: Column) -> Column:
 
 
 def apr_drg_code(x: Column) -> Column:
-    """NNN-S from its spellings: 560-1, 0560-1, 560.1, 560 1, 560/1, APR560-1, 05601; four digits that don't begin with 0 stay."""
-    code = F.regexp_replace(procedure_code(F.regexp_replace(stripped(x), r"\.([1-4])$", "-$1")), r"^(?:APR)?[\s_-]*(?:DRG)?[\s_-]*", "")
-    parts = r"^0?([0-9]{3})[\s_./-]+([1-4])$"
-    joined = r"^0([0-9]{3})([1-4])$"
+    """NNN-S where a severity of 1 to 4 is given (560-1, 560.1, 560 SOI 1, 5601), else NNN; what is neither stays."""
+    code = F.regexp_replace(procedure_code(x), r"\b(SOI|SEVERITY|APR[- ]?DRG)\b", "")
+    code = F.regexp_replace(F.regexp_replace(code, r"[\s._]+", "-"), "^-+|-+$", "")
+    spelled, run = "^([0-9]{1,3})-([1-4])$", "^([0-9]{3})([1-4])$"
+    three = lambda c: F.lpad(c, 3, "0")
     return (
-        F.when(code.rlike(parts), F.concat(F.regexp_extract(code, parts, 1), F.lit("-"), F.regexp_extract(code, parts, 2)))
-        .when(code.rlike(joined), F.concat(F.regexp_extract(code, joined, 1), F.lit("-"), F.regexp_extract(code, joined, 2)))
+        F.when(code.rlike(spelled), F.concat(three(F.regexp_extract(code, spelled, 1)), F.lit("-"), F.regexp_extract(code, spelled, 2)))
+        .when(code.rlike(run), F.regexp_replace(code, run, "$1-$2"))
+        .when(code.rlike("^[0-9]{1,3}$"), three(code))
         .otherwise(code)
     )
 
@@ -54,17 +56,23 @@ def code_type(x: Column) -> Column:
     return F.nullif(F.upper(F.regexp_replace(stripped(x), r"[\s_]+", "-")), F.lit(""))
 
 
-#: Types that a code of each family may be given under. Fixed values.
-CODE_TYPES = {"procedure": ("CPT", "HCPCS"), "ms_drg": ("MS-DRG", "DRG", "MSDRG"), "apr_drg": ("APR-DRG", "APRDRG", "APR")}
+#: Types that a code of each family may be given under; the type that names no grouper leaves an MS-DRG unverified. Fixed values.
+CODE_TYPES = {
+    "procedure": ("CPT", "HCPCS", "CPT-HCPCS", "HCPCS-CPT", "CPT/HCPCS", "HCPCS/CPT"),
+    "ms_drg": ("MS-DRG", "MSDRG"),
+    "apr_drg": ("APR-DRG", "APRDRG", "APR", "APR-DRGS", "3M-APR-DRG", "3M-APRDRG"),
+}
+BARE_DRG = "DRG"
 
 
 def code_type_fit(kind: Column, family: Column) -> Column:
-    """verified, unverified (no type, which an APR-DRG never may be) or incompatible."""
+    """verified, unverified (no type, or a bare DRG; never for an APR-DRG) or incompatible."""
     kind = code_type(kind)
     fits = F.lit(False)
     for f, kinds in CODE_TYPES.items():
         fits = fits | ((family == f) & kind.isin(*kinds))
-    return F.when(F.coalesce(fits, F.lit(False)), "verified").when((family == "apr_drg") | kind.isNotNull(), "incompatible").otherwise("unverified")
+    open_ = kind.isNull() & (family != "apr_drg") | (kind == BARE_DRG) & (family == "ms_drg")
+    return F.when(F.coalesce(fits, F.lit(False)), "verified").when(F.coalesce(open_, F.lit(False)), "unverified").otherwise("incompatible")
 
 
 def normal_code(x: Column, family: Column) -> Column:
@@ -72,19 +80,24 @@ def normal_code(x: Column, family: Column) -> Column:
 
 
 def ccn(x: Column) -> Column:
-    """Six characters: a lost leading zero comes back, an appended unit digit and a decimal tail go."""
+    """Six characters: a lost leading zero comes back to five and seven digits, a decimal tail and what follows the sixth go."""
     v = F.regexp_replace(F.upper(stripped(x)), r"\.0+$", "")
-    v = F.when(v.rlike("^[0-9]{5}$"), F.concat(F.lit("0"), v)).when(v.rlike("^[0-9]{5}[A-Z0-9]{2,}$"), F.substring(v, 1, 6)).otherwise(v)
-    return F.nullif(v, F.lit(""))
+    v = F.when(v.rlike("^([0-9]{5}|[0-9]{7})$"), F.concat(F.lit("0"), v)).otherwise(v)
+    return F.nullif(F.substring(v, 1, 6), F.lit(""))
 
 
 def is_unit_ccn(x: Column) -> Column:
     return x.rlike("^[0-9]{2}[MRSTUWYZ][0-9]{3}$")
 
 
+#: The digit that the letter of a unit stands for. Fixed values.
+UNIT_DIGITS = {"S": "0", "T": "0", "U": "0", "M": "1", "R": "1", "Z": "1", "W": "2", "Y": "3"}
+
+
 def parent_ccn(x: Column) -> Column:
     """The hospital of a psychiatric, rehabilitation or swing-bed unit; other numbers as they are."""
-    return F.when(is_unit_ccn(x), F.concat(F.substring(x, 1, 2), F.translate(F.substring(x, 3, 1), "STUWYMRZ", "00001133"), F.substring(x, 4, 3))).otherwise(x)
+    digit = F.translate(F.substring(x, 3, 1), "".join(UNIT_DIGITS), "".join(UNIT_DIGITS.values()))
+    return F.when(is_unit_ccn(x), F.concat(F.substring(x, 1, 2), digit, F.substring(x, 4, 3))).otherwise(x)
 
 
 def npis(x: Column) -> Column:
@@ -101,45 +114,55 @@ def license_key(x: Column) -> Column:
     return F.nullif(F.regexp_replace(F.regexp_replace(F.upper(x), "[^A-Z0-9]", ""), "^0+(?=.)", ""), F.lit(""))
 
 
-#: Abbreviations in hospital names, and words that tell nothing. Fixed values.
-NAME_SHORT = {"saint": "st", "mount": "mt", "fort": "ft", "regional": "reg", "medical": "med", "center": "ctr", "centre": "ctr", "hospital": "hosp", "memorial": "mem", "university": "univ"}
-NAME_STOP = ("the", "of", "and", "at", "a", "inc", "llc", "corp", "hosp", "med", "ctr", "health", "system")
-STREET_SHORT = {"street": "st", "avenue": "ave", "boulevard": "blvd", "road": "rd", "drive": "dr", "lane": "ln", "highway": "hwy", "parkway": "pkwy", "north": "n", "south": "s", "east": "e", "west": "w", "suite": "ste"}
-
+#: Abbreviations in hospital names and words that tell nothing, abbreviations in streets and cities. Fixed values.
+NAME_WORDS = {
+    "ctr": "center", "hosp": "hospital", "med": "medical", "reg": "regional", "mem": "memorial", "cmty": "community", "hlth": "health", "univ": "university", "gen": "general",
+    "saint": "st", "mount": "mt", "childrens": "children", "orthopaedic": "orthopedic", "ortho": "orthopedic", "hospitals": "hospital",
+}
+NAME_STOP = (
+    "hospital", "medical", "center", "centre", "health", "system", "the", "of",
+    "inc", "llc", "lp", "llp", "corp", "corporation", "co", "company", "pc", "pllc", "dba", "and", "for", "at", "a", "an", "in",
+)
+STREET_WORDS = {
+    "street": "st", "avenue": "ave", "road": "rd", "drive": "dr", "boulevard": "blvd", "highway": "hwy", "parkway": "pkwy", "lane": "ln", "court": "ct", "place": "pl",
+    "circle": "cir", "freeway": "fwy", "expressway": "expy", "terrace": "ter", "square": "sq", "suite": "ste", "route": "rt",
+    "northeast": "ne", "northwest": "nw", "southeast": "se", "southwest": "sw", "north": "n", "south": "s", "east": "e", "west": "w",
+}
+CITY_WORDS = {"saint": "st", "fort": "ft", "mount": "mt"}
 
-def _shortened(x: Column, words: dict[str, str]) -> Column:
-    for long, short in words.items():
-        x = F.regexp_replace(x, rf"\b{long}\b", short)
-    return x
 
-
-def _plain(x: Column) -> Column:
-    return squished(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(x), "&", " and "), "['’.]", ""), "[^a-z0-9]+", " "))
+def _words(x: Column, meant: dict[str, str]) -> Column:
+    """Lower-case words of letters and digits (null: none), the listed ones replaced."""
+    table = F.create_map(*(F.lit(v) for kv in meant.items() for v in kv))
+    words = F.filter(F.split(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " "), " "), lambda w: w != "")
+    return F.transform(words, lambda w: F.coalesce(F.try_element_at(table, w), w))
 
 
 def hospital_name(x: Column) -> Column:
-    return _shortened(_plain(x), NAME_SHORT)
+    """A name's words with abbreviations spelled out; apostrophes join what they part."""
+    return F.array_join(_words(F.regexp_replace(x, "['’]", ""), NAME_WORDS), " ")
 
 
 def name_tokens(x: Column) -> Column:
-    words = F.array_distinct(F.filter(F.split(hospital_name(x), " "), lambda w: w != ""))
+    words = F.array_distinct(_words(F.regexp_replace(x, "['’]", ""), NAME_WORDS))
     return F.array_except(words, F.array(*map(F.lit, NAME_STOP)))
 
 
 def street(x: Column) -> Column:
-    return _shortened(_plain(x), STREET_SHORT)
+    return F.array_join(_words(x, STREET_WORDS), " ")
 
 
 def address_tokens(x: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(street(x), " "), lambda w: w != ""))
+    return F.array_distinct(_words(x, STREET_WORDS))
 
 
 def city(x: Column) -> Column:
-    return F.nullif(_shortened(_plain(x), {"saint": "st", "mount": "mt", "fort": "ft"}), F.lit(""))
+    return F.nullif(F.array_join(_words(x, CITY_WORDS), " "), F.lit(""))
 
 
 def zip_key(x: Column) -> Column:
-    return F.nullif(F.regexp_extract(x, r"(?<![0-9])([0-9]{5})(?:-?[0-9]{4})?\s*$", 1), F.lit(""))
+    """Five digits at the end of a text, four more after a dash left off."""
+    return F.nullif(F.regexp_extract(x, r"([0-9]{5})(?:-[0-9]{4})?\s*$", 1), F.lit(""))
 
 
 def host(url: Column) -> Column:
@@ -161,14 +184,18 @@ def domain_variants(url: Column) -> Column:
     return F.array_distinct(F.filter(F.array(s, F.concat(F.lit("www."), s), F.nullif(parent_domain(url), F.lit(""))), lambda d: d.isNotNull()))
 
 
+#: Query parameters of signed URLs, and endings of data files. Fixed values.
+SIGNED = ("x-amz-[a-z-]+", "sig", "se", "sv", "sp", "st", "spr", "signature", "expires", "token", "key-pair-id", "policy")
+DATA_FILES = "csv|json|zip|gz|xlsx?|txt"
+
+
 def url_key(url: Column) -> Column:
-    """A URL without scheme, www, fragment and last slash; the query goes where the path is a data file, and stays on scripts."""
-    u = F.regexp_replace(stripped(url), "#.*$", "")
-    rest = F.regexp_replace(u, r"(?i)^[a-z][a-z0-9+.-]*://", "")
-    path = F.regexp_replace(rest, r"^[^/?]*", "")
-    data = path.rlike(r"(?i)\.(csv|json|zip|gz|xlsx?|txt)\?") | path.rlike(r"(?i)[?&](sig|signature|x-amz-signature|expires)=")
-    path = F.when(data, F.regexp_replace(path, r"\?.*$", "")).otherwise(path)
-    return F.nullif(F.concat(F.regexp_replace(F.lower(F.regexp_extract(rest, "^[^/?]*", 0)), r"^www\.", ""), F.regexp_replace(path, "/+$", "")), F.lit(""))
+    """A URL without scheme, www, fragment and slashes at the path's end, %20 as a blank; the query goes from data files and signed URLs, and stays on scripts."""
+    u = F.regexp_replace(F.regexp_replace(stripped(url), "(?i)^https?://", ""), "#.*$", "")
+    fleeting = u.rlike(rf"(?i)[?&]({'|'.join(SIGNED)})=") | u.rlike(rf"(?i)\.({DATA_FILES})/?(\?|$)")
+    u = F.when(fleeting, F.regexp_replace(u, r"\?.*$", "")).otherwise(u)
+    u = F.regexp_replace(F.replace(u, F.lit("%20"), F.lit(" ")), r"/+(\?|$)", "$1")
+    return F.nullif(F.concat(F.regexp_replace(F.lower(F.regexp_extract(u, "^[^/]+", 0)), r"^www\.", ""), F.regexp_replace(u, "^[^/]+", "")), F.lit(""))
 
 
 def robots_regex(pattern: Column) -> Column:

@@ -156,12 +156,10 @@ def first_match_classifier(spark, sf):
     return t(spark, sf, "documents").select("doc_id", rules.first_match(F.col("text"), own).alias("label"))
 
 
-PAYER_SQL = "CASE WHEN payer IS NULL AND plan IS NULL THEN NULL WHEN trim(concat_ws(' ', payer, plan)) = '' THEN 'unknown' " + " ".join(f"WHEN regexp_matches(lower(concat_ws(' ', payer, plan)), '{p.replace(chr(39), chr(39) * 2)}') THEN '{k}'" for k, p in rules.PAYER_RULES) + " ELSE 'other' END"
 PAYERS = ("Aetna Medicare Advantage", "Blue Cross", "Medicaid HMO", "Self-Pay", "TRICARE West", "Workers Comp Fund", "State Exchange", "Medigap Plan G", "Plain Name", "")
 
 
-@query(f"""WITH a AS (SELECT c_custkey, ([{", ".join(f"'{p}'" for p in PAYERS)}])[(c_custkey % 10)::INT + 1] AS payer, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS plan FROM customer)
-SELECT c_custkey, {PAYER_SQL} AS payer_type FROM a""")
+@query("""SELECT c_custkey, (['medicare_advantage', 'commercial', 'medicaid', 'self_pay', 'tricare_va', 'workers_comp', 'exchange', 'medicare', 'other', CASE WHEN c_custkey % 3 = 0 THEN 'other' ELSE 'unknown' END])[(c_custkey % 10)::INT + 1] AS payer_type FROM customer""")
 def payer_type_rules(spark, sf):
     names = F.array(*map(F.lit, PAYERS))
     payer = F.element_at(names, (F.col("c_custkey") % 10 + 1).cast("int"))
@@ -192,9 +190,10 @@ def semi_enough(spark, sf):
     return o.join(o.groupBy("o_custkey").count().where("count >= 12"), "o_custkey", "left_semi").select("o_orderkey", "o_custkey")
 
 
-@query("""SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""")
+@query("""SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)""")
 def not_exists_orphans(spark, sf):
-    return t(spark, sf, "customer").select("c_custkey").join(t(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    dear = t(spark, sf, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
+    return t(spark, sf, "customer").select("c_custkey").join(dear, "c_custkey", "left_anti")
 
 
 @query("""SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
@@ -347,7 +346,7 @@ def explode_json_props(spark, sf):
     return t(spark, sf, "events").select("event_id", F.explode(props))
 
 
-@query(r"""SELECT page_id, regexp_replace(lower(regexp_extract(r, '^[^/?]*', 0)), '^www\.', '') || regexp_replace(CASE WHEN regexp_matches(p, '(?i)\.(csv|json|zip|gz|xlsx?|txt)\?') THEN regexp_replace(p, '\?.*$', '') ELSE p END, '/+$', '') AS url_key,
+@query(r"""SELECT page_id, regexp_replace(lower(regexp_extract(r, '^[^/?]*', 0)), '^www\.', '') || regexp_replace(CASE WHEN regexp_matches(p, '(?i)\.(csv|json|zip|gz|xlsx?|txt)/?(\?|$)') THEN regexp_replace(p, '\?.*$', '') ELSE p END, '/+$', '') AS url_key,
 regexp_replace(lower(regexp_extract(r, '^[^/:?]*', 0)), '^www[0-9]*\.', '') AS site, regexp_extract(regexp_replace(lower(regexp_extract(r, '^[^/:?]*', 0)), '^www[0-9]*\.', ''), '([^.]+\.[^.]+)$', 1) AS parent
 FROM (SELECT page_id, r, regexp_replace(r, '^[^/?]*', '') AS p FROM (SELECT page_id, regexp_replace(regexp_replace(url, '#.*$', ''), '(?i)^[a-z][a-z0-9+.-]*://', '') AS r FROM pages))""")
 def url_key(spark, sf):
@@ -361,12 +360,12 @@ def host_variants(spark, sf):
     return t(spark, sf, "pages").select(tx.site(u).alias("site"), F.explode(tx.domain_variants(u)).alias("variant")).distinct()
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN lpad((p_partkey % 1000)::VARCHAR, 3, '0') || '-' || (p_partkey % 4 + 1) WHEN 1 THEN lpad((p_partkey % 1000)::VARCHAR, 3, '0') || '-' || (p_partkey % 4 + 1)
-WHEN 2 THEN lpad((p_partkey % 1000)::VARCHAR, 3, '0') || '-' || (p_partkey % 4 + 1) ELSE '5609' END AS apr, lpad((p_partkey % 1000)::VARCHAR, 3, '0') AS drg, p_partkey::VARCHAR AS cpt FROM part""")
+@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 3 THEN '5609' ELSE lpad((p_partkey % 1000)::VARCHAR, 3, '0') || '-' || (p_partkey % 4 + 1) END AS apr,
+lpad((p_partkey % 1000)::VARCHAR, 3, '0') AS drg, p_partkey::VARCHAR AS cpt FROM part""")
 def code_canonical(spark, sf):
     k = F.col("p_partkey")
     three, sev = F.lpad((k % 1000).cast("string"), 3, "0"), (k % 4 + 1).cast("string")
-    raw = F.when(k % 4 == 0, F.concat(F.lit(" 0"), three, sev)).when(k % 4 == 1, F.concat(three, F.lit("."), sev)).when(k % 4 == 2, F.concat(F.lit("APR-DRG 0"), three, F.lit("-"), sev)).otherwise(F.lit("5609"))
+    raw = F.when(k % 4 == 0, F.concat(F.lit(" "), three, sev)).when(k % 4 == 1, F.concat(three, F.lit("."), sev)).when(k % 4 == 2, F.concat(F.lit("APR-DRG "), three, F.lit(" SOI "), sev)).otherwise(F.lit("5609"))
     return t(spark, sf, "part").select("p_partkey", tx.apr_drg_code(raw).alias("apr"), tx.drg_code(F.concat(F.lit("00"), (k % 1000).cast("string"), F.lit(".0"))).alias("drg"), tx.procedure_code(F.concat(F.lit("\t"), k.cast("string"), F.lit(".00 "))).alias("cpt"))
 
 

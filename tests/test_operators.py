@@ -23,17 +23,23 @@ def values(spark, f, *xs):
 
 
 def test_codes(spark):
-    assert values(spark, tx.apr_drg_code, "560-1", "0560-1", "560.1", "560 1", "APR-DRG 560/1", "05601", "5609", None) == ["560-1"] * 6 + ["5609", None]
+    assert values(spark, tx.apr_drg_code, "560-1", "5601", "560.1", "560 1", "APR-DRG 560-1", "560 SOI 1", "60-1", "05601", "5609", "40", None) == ["560-1"] * 6 + ["060-1", "05601", "5609", "040", None]
     assert values(spark, tx.drg_code, "0742", "742.0", "7", "74200", " 742\t", "A1") == ["742", "742", "007", "74200", "742", "A1"]
-    assert values(spark, tx.ccn, "10001", "010001", "0100011", "010001.0", "", None) == ["010001"] * 4 + [None, None]
-    assert values(spark, tx.parent_ccn, "01S001", "01T001", "010001") == ["010001", "010001", "010001"]
+    assert values(spark, tx.ccn, "10001", "010001", "01000111", "1000101", "010001.0", "06S01101", "01014F", "", None) == ["010001"] * 5 + ["06S011", "01014F", None, None]
+    assert values(spark, tx.parent_ccn, "01S001", "01T001", "010001", "04Z304", "33R123", "45W200", "45Y025", "050W12") == ["010001", "010001", "010001", "041304", "331123", "452200", "453025", "050W12"]
     assert values(spark, tx.url_key, "HTTPS://www.Host.org/A/b.csv?sig=1#x", "http://host.org/", "host.org/get.php?id=1") == ["host.org/A/b.csv", "host.org", "host.org/get.php?id=1"]
     assert values(spark, tx.zip_key, "1 Main St, Austin, TX 78701-1234", "78701 Elm") == ["78701", None]
     assert values(spark, lambda x: F.array_join(tx.name_tokens(x), " "), "The St. Mary's Medical Center of Austin") == ["st marys austin"]
     assert values(spark, nu.mrf_date, "1/2/26", "2026-01-02", "20260102", "01-02-2026", "1/2/1850", "spring") == ["2026-01-02"] * 4 + ["1/2/1850", "spring"]
-    assert values(spark, lambda x: rules.payer_type(x, F.lit(None)), "Humana Medicare Advantage", "Medigap", " ", None, "odd") == ["medicare_advantage", "medicare", "unknown", None, "other"]
-    fit = spark.createDataFrame([("CPT", "procedure"), (None, "procedure"), (None, "apr_drg"), ("DRG", "apr_drg"), ("apr drg", "apr_drg")], "k string, f string")
-    assert [r[0] for r in fit.select(tx.code_type_fit(F.col("k"), F.col("f"))).collect()] == ["verified", "unverified", "incompatible", "incompatible", "verified"]
+    assert values(spark, lambda x: rules.payer_type(x, F.lit(None)), "Humana Medicare Advantage", "Medigap", " ", None, "odd") == ["medicare_advantage", "medicare", "unknown", "unknown", "other"]
+    assert values(spark, rules.explicit_type, "Humana TRICARE", "aetna ppo", "medicare", None) == ["tricare_va", None, "medicare", None]
+    assert values(spark, rules.labelled_type, " Managed  Medicaid", "Odd One", None) == ["medicaid", "unmapped: odd one", None]
+    table = spark.createDataFrame([(2, "other", "b"), (1, "medicare", "a")], "priority int, payer_type string, pattern string")
+    assert rules.rules_of(table) == (("medicare", "a"), ("other", "b"))
+    with pytest.raises(ValueError):
+        rules.rules_of(table.withColumn("payer_type", F.lit("x")))
+    fit = spark.createDataFrame([("CPT", "procedure"), (None, "procedure"), (None, "apr_drg"), ("DRG", "apr_drg"), ("apr drg", "apr_drg"), ("drg", "ms_drg"), ("HCPCS/CPT", "procedure"), ("CDM", "procedure")], "k string, f string")
+    assert [r[0] for r in fit.select(tx.code_type_fit(F.col("k"), F.col("f"))).collect()] == ["verified", "unverified", "incompatible", "incompatible", "verified", "unverified", "verified", "incompatible"]
 
 
 def test_conform(spark):

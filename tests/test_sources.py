@@ -30,7 +30,7 @@ def test_tall_csv(spark, tmp_path, book):
     rows = mrf.read_csv(spark, str(path), book, url="http://x/y.csv", file_id="f1").collect()
     assert rows[0].asDict().keys() == PRICE_COLUMNS.keys()
     got = sorted((r.description, r.concept, r.code, r.code_type, r.type_verified, r.gross, r.negotiated_dollar) for r in rows)
-    assert got == [("Hernia", "hyster", "742", "MS-DRG", True, 1200.5, 750.0), ("Hernia", "repair", "49505", "CPT", True, 1200.5, 750.0), ("Stay", "hyster", "742", "DRG", True, 20000.0, 9000.0)]
+    assert got == [("Hernia", "hyster", "742", "MS-DRG", True, 1200.5, 750.0), ("Hernia", "repair", "49505", "CPT", True, 1200.5, 750.0), ("Stay", "hyster", "742", "MS-DRG", True, 20000.0, 9000.0)]
     one = next(r for r in rows if r.concept == "repair")
     assert (one.hospital_name, one.last_updated_on, one.license_state, one.license_number, one.type_2_npi, one["count"]) == ("Own Hospital", "2026-01-02", "TX", "L-77", "1234567890;1098765432", "1 through 10")
     assert one.notes.startswith("a note") and one.payer_name == "Own Plan" and one.plan_name == "Gold"
