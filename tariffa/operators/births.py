@@ -50,8 +50,25 @@ def supply(places: DataFrame, providers: DataFrame, miles: float, per: str | Non
 
 
 def local_difference(places: DataFrame, prices: DataFrame, miles: float) -> DataFrame:
-    """Median difference between two anchors' prices near each place, else that of its state. places: place, state, lat, lon. prices: ccn, state2, lat2, lon2, difference."""
-    near = agg.median(within_radius(places, prices, miles), ["place"], "difference", "local", "n_local")
-    state = agg.median(prices.withColumnRenamed("state2", "state"), ["state"], "difference", "statewide")
-    out = places.join(near, "place", "left").join(state, "state", "left")
-    return out.withColumns({"difference": F.coalesce("local", "statewide"), "level": F.when(F.col("local").isNotNull(), "local").when(F.col("statewide").isNotNull(), "state").otherwise("none")})
+    """place, payer_type, difference, n_hospitals, level: for each place and payer type the median difference between two anchors' prices within reach, else that of its state. places: place, state, lat, lon. prices: ccn, payer_type, state2, lat2, lon2, difference."""
+    near = agg.median(within_radius(places, prices, miles), ["place", "payer_type"], "difference", "local", "n_local")
+    state = agg.median(prices.withColumnRenamed("state2", "state"), ["state", "payer_type"], "difference", "statewide")
+    grid = places.select("place", "state").join(F.broadcast(prices.select("payer_type").distinct()))  # a handful of types
+    out = grid.join(near, ["place", "payer_type"], "left").join(state, ["state", "payer_type"], "left")
+    level = F.when(F.col("local").isNotNull(), "local").when(F.col("statewide").isNotNull(), "state").otherwise("none")
+    return out.select("place", "payer_type", F.coalesce("local", "statewide").alias("difference"), F.coalesce("n_local", F.lit(0)).cast("long").alias("n_hospitals"), level.alias("level"))
+
+
+def implied_difference(counties: DataFrame, differences: DataFrame, slopes: dict[str, float], contrast: float, shares: dict[str, str]) -> DataFrame:
+    """payer_type, bound, n_counties, payer_births, change, dollars: what a change of a rate means at local differences. counties: place, births, and a share for each payer type (shares: type to column). slopes: points of the rate by bound."""
+    types = F.array(*(F.struct(F.lit(t).alias("payer_type"), (F.col("births") * F.col(c)).alias("payer_births")) for t, c in shares.items()))
+    long = counties.select("place", F.explode(types).alias("t")).select("place", "t.*").join(differences.select("place", "payer_type", "difference"), ["place", "payer_type"])
+    bounds = F.explode(F.array(*(F.struct(F.lit(b).alias("bound"), F.lit(float(v)).alias("slope")) for b, v in slopes.items())))
+    rows = long.withColumn("b", bounds).withColumn("change", F.col("b.slope") / 100 * contrast * F.col("payer_births"))
+    return rows.groupBy("payer_type", F.col("b.bound").alias("bound")).agg(F.count_distinct("place").alias("n_counties"), F.sum("payer_births").alias("payer_births"), F.sum("change").alias("change"), F.sum(F.col("change") * F.col("difference")).alias("dollars"))
+
+
+def covered_supply(supply: DataFrame, uncovered: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Supply with the columns null at places of states that the roster doesn't cover. uncovered: state."""
+    marked = supply.join(uncovered.select("state").distinct().withColumn("__no", F.lit(True)), "state", "left")
+    return marked.withColumns({c: F.when(F.col("__no").isNull(), F.col(c)) for c in columns}).withColumn("covered", F.col("__no").isNull()).drop("__no")

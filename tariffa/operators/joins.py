@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tariffa.functions.numbers import haversine
+from tariffa.functions.numbers import EARTH_MILES, haversine
 
 
 def null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -48,22 +48,26 @@ def nearest_value(own: DataFrame, other: DataFrame, on: Sequence[str], row_id: s
     return null_safe(own.withColumn("__v", F.col(own_value)), gaps, [*keys, "__v"]).drop("__v")
 
 
-def within_radius(left: DataFrame, right: DataFrame, miles: float, left_point: tuple[str, str] = ("lat", "lon"), right_point: tuple[str, str] = ("lat2", "lon2"), out: str = "miles", top_latitude: float = 72.0) -> DataFrame:
-    """Pairs of points at most so far apart, by an equi-join on grid cells at least that wide and an exact check.
+def within_radius(left: DataFrame, right: DataFrame, miles: float, left_point: tuple[str, str] = ("lat", "lon"), right_point: tuple[str, str] = ("lat2", "lon2"), out: str = "miles") -> DataFrame:
+    """Pairs of points at most so far apart, by an equi-join on cells of space and an exact check.
 
-    Longitude cells are sized for `top_latitude`, which no point may lie beyond. Right points are copied to the nine
-    cells around theirs; the date line isn't crossed.
+    Points become places on the unit sphere, cut into cubes as wide as the chord of the distance; right points are copied
+    to the cubes around theirs. Poles and the date line are places like any other. Rows without a place match nothing.
     """
-    lat_step = miles / 69.0
-    lon_step = lat_step / math.cos(math.radians(top_latitude))
-    cell = lambda lat, lon: (F.floor(F.col(lat) / lat_step), F.floor(F.col(lon) / lon_step))
-    a, b = cell(*left_point)
-    c, d = cell(*right_point)
-    near = F.explode(F.array(*(F.struct((c + i).alias("__y"), (d + j).alias("__x")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
-    dealt = right.select("*", near.alias("__cell")).select(*right.columns, F.col("__cell.__y").alias("__y2"), F.col("__cell.__x").alias("__x2"))
-    pairs = left.withColumn("__y", a).withColumn("__x", b).join(dealt, (F.col("__y") == F.col("__y2")) & (F.col("__x") == F.col("__x2")))
+    step = 2 * math.sin(min(miles / (2 * EARTH_MILES), math.pi / 2)) * (1 + 1e-9) + 1e-12
+
+    def cube(lat: str, lon: str) -> list[Column]:
+        y, x = F.radians(lat), F.radians(lon)
+        return [F.floor(v / step) for v in (F.cos(y) * F.cos(x), F.cos(y) * F.sin(x), F.sin(y))]
+
+    own = dict(zip(("__x", "__y", "__z"), cube(*left_point), strict=True))
+    there = cube(*right_point)
+    around = [F.struct(*((c + d).alias(n) for c, d, n in zip(there, (i, j, k), own, strict=True))) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
+    placed = lambda df, at: df.where(F.col(at[0]).isNotNull() & F.col(at[1]).isNotNull())
+    dealt = placed(right, right_point).select("*", F.explode(F.array(*around)).alias("__cell")).select(*right.columns, *(F.col(f"__cell.{n}").alias(f"{n}2") for n in own))
+    pairs = placed(left, left_point).withColumns(own).join(dealt, reduce(lambda a, b: a & b, (F.col(n) == F.col(f"{n}2") for n in own)))
     away = haversine(*(F.col(p) for p in (*left_point, *right_point)))
-    return pairs.withColumn(out, away).where(F.col(out) <= miles).drop("__y", "__x", "__y2", "__x2")
+    return pairs.withColumn(out, away).where(F.col(out) <= miles).drop(*own, *(f"{n}2" for n in own))
 
 
 def any_of(left: DataFrame, right: DataFrame, conditions: Sequence[tuple[str, str]], left_id: str, right_id: str) -> DataFrame:
