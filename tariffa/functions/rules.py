@@ -115,7 +115,7 @@ def banded(x: Column, cuts: Sequence[tuple[float, str]], last: str) -> Column:
 
 
 def bed_band(beds: Column) -> Column:
-    return banded(beds, ((100, "<100"), (300, "100-299"), (500, "300-499")), "500+")
+    return F.coalesce(banded(beds, ((100, "<100"), (300, "100-299")), "300+"), F.lit("unknown"))
 
 
 def grade(metric: Column, passes: float, warns: float, at_least: bool = True) -> Column:

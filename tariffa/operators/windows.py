@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tariffa.lineage import cut
+
 
 def surrogate_keys(dim: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """Numbers from 1 in an order with nulls last, for dimensions. Ranges are sorted and counted, so no task sorts them all."""
+    """Numbers from 1 in an order with nulls last, for dimensions. Ranges are sorted, kept and counted, so no task sorts them all and places and counts come from the same rows."""
     cols = [F.col(c).asc_nulls_last() for c in order]
-    sorted_ = dim.repartitionByRange(*cols).sortWithinPartitions(*cols)
-    placed = sorted_.withColumn("__at", F.monotonically_increasing_id()).withColumn("__part", F.shiftright("__at", 33))
+    placed = cut(dim.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("__at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("__part", F.shiftright("__at", 33))
     sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))
     # a row for each partition of the sort
     starts = sizes.withColumn("__start", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
@@ -60,10 +62,32 @@ def broadcast_value(df: DataFrame, keys: Sequence[str], pick: Column, value: str
 
 
 def global_bands(df: DataFrame, value: str, bands: int, out: str = "band") -> DataFrame:
-    """Bands between global quantiles (ties stay together); null stays null. The cuts are one small row."""
-    cuts = df.agg(F.expr(f"percentile({value}, array({', '.join(f'{i / bands}D' for i in range(1, bands))}))").alias("c")).first()["c"]
+    """Bands between global quantiles (interpolated; ties stay together); null stays null.
+
+    Equal values are counted first and the counts cumulated over sorted ranges, so no task holds the column; the few values
+    around each cut are fetched.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("__v")).agg(F.count("*").alias("__n"))
+    placed = cut(counts.repartitionByRange("__v").sortWithinPartitions("__v").withColumn("__part", F.spark_partition_id()))
+    sizes = placed.groupBy("__part").agg(F.sum("__n").alias("__n")).orderBy("__part").collect()  # a row for each range
+    total = sum(r["__n"] for r in sizes)
+    starts, at = [], 0
+    for r in sizes:
+        starts += [F.lit(r["__part"]), F.lit(at)]
+        at += r["__n"]
+    cuts = []
+    if total:
+        within = F.sum("__n").over(Window.partitionBy("__part").orderBy("__v"))
+        ends = placed.withColumn("__end", within + F.create_map(*starts)[F.col("__part")])
+        places = [(i * (total - 1)) / bands for i in range(1, bands)]
+        wanted = sorted({k for p in places for k in (int(p), min(int(p) + 1, total - 1))})
+        # the value at a place: the least whose cumulated count lies above it
+        hit = F.exists(F.array(*map(F.lit, wanted)), lambda k: (k < F.col("__end")) & (k >= F.col("__end") - F.col("__n")))
+        near = sorted((r["__end"], r["__v"]) for r in ends.where(hit).select("__end", "__v").collect())  # two values a cut at the most
+        of = lambda k: next(v for e, v in near if k < e)
+        cuts = [of(int(p)) + (p - int(p)) * (of(min(int(p) + 1, total - 1)) - of(int(p))) for p in places]
     band = F.lit(1)
-    for c in cuts or []:
+    for c in cuts:
         band = band + F.when(F.col(value) > c, 1).otherwise(0)
     return df.withColumn(out, F.when(F.col(value).isNotNull(), band))
 

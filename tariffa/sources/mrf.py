@@ -122,20 +122,20 @@ def read_json(spark: SparkSession, path: str, codebook: DataFrame, url: str = ""
     """Price rows of a JSON file: codes, charges and payers exploded, an absent array as one empty entry."""
     doc = spark.read.schema(JSON_SCHEMA).json(path, multiLine=True)
     c = F.col
-    items = doc.select(
-        "hospital_name", c("version").alias("file_version"), "last_updated_on",
+    items = doc.withColumn("__doc", F.monotonically_increasing_id()).select(
+        "__doc", "hospital_name", c("version").alias("file_version"), "last_updated_on",
         F.array_join(F.coalesce("location_name", "hospital_location"), "|").alias("location_name"),
         c("license_information.license_number").alias("license_number"), c("license_information.state").alias("license_state"),
         F.array_join("type_2_npi", ";").alias("type_2_npi"), F.posexplode("standard_charge_information").alias("__item", "i"),
     )
     meta = ["hospital_name", "file_version", "last_updated_on", "location_name", "license_number", "license_state", "type_2_npi"]
-    lines = items.select(*meta, "__item", c("i.description").alias("description"), c("i.code_information").alias("__codes"), F.explode_outer("i.standard_charges").alias("s"))
-    rates = lines.select(*meta, "__item", "description", "__codes", c("s.setting"), c("s.billing_class"), c("s.gross_charge").alias("gross"), c("s.discounted_cash"), c("s.minimum").alias("min"), c("s.maximum").alias("max"), F.array_join(F.coalesce("s.modifiers", "s.modifier_code"), "|").alias("modifiers"), c("s.additional_generic_notes").alias("generic_notes"), F.explode_outer("s.payers_information").alias("p"))
-    rates = rates.select("*", c("p.payer_name"), c("p.plan_name"), c("p.standard_charge_dollar").alias("negotiated_dollar"), c("p.standard_charge_percentage").alias("negotiated_percentage"), c("p.standard_charge_algorithm").alias("negotiated_algorithm"), c("p.methodology"), c("p.estimated_amount"), c("p.median_amount"), c("p.10th_percentile").alias("p10"), c("p.90th_percentile").alias("p90"), c("p.count"), tx.notes(c("p.additional_payer_notes"), c("generic_notes")).alias("notes")).drop("p")
-    hits = matched(rates.select("*", F.posexplode("__codes").alias("__slot", "__c")).select("*", c("__c.code").alias("code"), c("__c.type").alias("type")), codebook)
-    charge = [x for x in hits.columns if x not in ("__slot", "__c", "__codes", "type", "code_type", "type_verified")]
-    # of an item's entries with one code the verified, then the first counts; equal charge rows stay apart only if they differ
-    first = first_rows(hits.drop("__codes", "__c"), charge, [F.desc("type_verified"), c("__slot")])
+    # targets of an item first: of its entries with one code the verified, then the first counts; only items with targets go on, and each of their charges and payers is a row, equal ones too
+    coded = items.select("*", F.posexplode("i.code_information").alias("__slot", "__c")).select("*", c("__c.code").alias("code"), c("__c.type").alias("type"))
+    hits = first_rows(matched(coded, codebook), ["__doc", "__item", "code_system", "code"], [F.desc("type_verified"), c("__slot")])
+    target = ["concept", "code", "code_system", "code_type", "type_verified"]
+    lines = hits.select(*meta, *target, c("i.description").alias("description"), F.explode_outer("i.standard_charges").alias("s"))
+    rates = lines.select(*meta, *target, "description", c("s.setting"), c("s.billing_class"), c("s.gross_charge").alias("gross"), c("s.discounted_cash"), c("s.minimum").alias("min"), c("s.maximum").alias("max"), F.array_join(F.coalesce("s.modifiers", "s.modifier_code"), "|").alias("modifiers"), c("s.additional_generic_notes").alias("generic_notes"), F.explode_outer("s.payers_information").alias("p"))
+    first = rates.select("*", c("p.payer_name"), c("p.plan_name"), c("p.standard_charge_dollar").alias("negotiated_dollar"), c("p.standard_charge_percentage").alias("negotiated_percentage"), c("p.standard_charge_algorithm").alias("negotiated_algorithm"), c("p.methodology"), c("p.estimated_amount"), c("p.median_amount"), c("p.10th_percentile").alias("p10"), c("p.90th_percentile").alias("p90"), c("p.count"), tx.notes(c("p.additional_payer_notes"), c("generic_notes")).alias("notes")).drop("p")
     money = {x: nu.money(c(x)) for x in ("gross", "discounted_cash", "min", "max", "negotiated_dollar", "negotiated_percentage", "estimated_amount", "median_amount", "p10", "p90")}
     own = {"source": "own_crawl", "mrf_url": url, "mrf_file_id": file_id, "retrieved_at": retrieved}
     out = first.withColumns(money | {k: F.lit(v) for k, v in own.items()}).withColumn("last_updated_on", nu.mrf_date(c("last_updated_on")))

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Elements without an end tag. Fixed values.
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Keys of a location file. Fixed values.
 LOCATION_KEYS = ("location-name", "source-page-url", "mrf-url", "contact-name", "contact-email")
 
@@ -18,25 +20,30 @@ LOCATION_KEYS = ("location-name", "source-page-url", "mrf-url", "contact-name",
 class _Anchors(HTMLParser):
     def __init__(self, base: str):
         super().__init__(convert_charrefs=True)
-        self.base, self.found, self.open, self.footers = base, [], None, 0
+        self.base, self.found, self.open, self.stack = base, [], None, []
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
         if tag == "base" and a.get("href"):
             self.base = urljoin(self.base, a["href"])
-        elif tag == "footer" or "footer" in f"{a.get('id') or ''} {a.get('class') or ''}".lower() and tag in ("div", "section", "nav"):
-            self.footers += tag == "footer"
-        elif tag == "a" and a.get("href"):
-            self.open = [a["href"], []]
+        if tag == "a" and a.get("href"):
+            self.open = [a["href"], [], a.get("aria-label") or a.get("title") or ""]
+        if tag not in _VOID:
+            marks = f"{a.get('id') or ''} {a.get('class') or ''}".lower()
+            self.stack.append((tag, tag == "footer" or a.get("role") == "contentinfo" or "footer" in marks))
 
     def handle_endtag(self, tag):
-        if tag == "footer":
-            self.footers = max(0, self.footers - 1)
-        elif tag == "a" and self.open:
-            href, text = self.open
+        if tag == "a" and self.open:
+            href, text, label = self.open
             self.open = None
             if not re.match(r"(?i)(javascript|mailto|tel|data):|#", href.strip()):
-                self.found.append((urljoin(self.base, href.strip()), " ".join("".join(text).split()), self.footers > 0))
+                seen = " ".join("".join(text).split())
+                self.found.append((urljoin(self.base, href.strip()), seen or " ".join(label.split()), any(f for _, f in self.stack)))
+        # an end tag closes the last element of its name and what stands open in it; a stray one closes nothing
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i][0] == tag:
+                del self.stack[i:]
+                break
 
     def handle_data(self, data):
         if self.open:
@@ -44,7 +51,7 @@ class _Anchors(HTMLParser):
 
 
 def anchors(html: str | None, base: str) -> list[tuple[str, str, bool]]:
-    """(absolute URL, text, in the footer) of a page's links."""
+    """(absolute URL, text or else its label or title, in an element that is or names itself a footer) of a page's links."""
     parser = _Anchors(base)
     parser.feed(html or "")
     parser.close()

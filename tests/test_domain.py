@@ -12,14 +12,22 @@ def test_ownership(spark):
     rows = ownership.owners(raw).join(ccns, "enrollment_id")
     members = ownership.system_members(rows, spark.createDataFrame([("S1", "capital fund", 2), ("S0", "big", 1)], "system string, pattern string, rank int"))
     assert [(r.ccn, r.system) for r in members.collect()] == [("1", "S0")]
-    got = {r.ccn: r for r in ownership.classified(hospitals, rows, spark.createDataFrame([("4",)], "ccn string"), "CAPITAL|PARTNERS", ["05", "34"]).collect()}
-    assert {k: r.ownership for k, r in got.items()} == {"1": "private_equity", "2": "nonprofit", "3": "government", "4": "private_equity"}
-    assert got["1"].pe_percent == 60 and got["2"].pe_owner and not got["2"].pe_holding and got["1"].pe_names == "BIG CAPITAL FUND LP"
+    none = spark.createDataFrame([], "ccn string, system_id string, classification string, ambiguity string, max_pct double")
+    classes = ownership.classified(hospitals, ownership.marked(rows), none, spark.createDataFrame([("4",)], "ccn string"))
+    got = {r.ccn: r for r in classes.collect()}
+    assert {k: (r.group_pe_strict, r.group_fund_name, r.group_researcher_list, r.group_cms_flag_5pct) for k, r in got.items()} == {
+        "1": ("for_profit_non_pe",) * 4, "2": ("cms_pe_flag", "pe", "cms_pe_flag", "nonprofit"), "3": ("government",) * 4, "4": ("for_profit_non_pe", "for_profit_non_pe", "pe", "for_profit_non_pe")}
+    assert got["2"].pe_owners == "OWN PARTNERS" and got["1"].pe_owners is None and got["2"].pe_cms_max_pct == 2
     prices = spark.createDataFrame([("1", "c", "commercial", 20.0, "TX"), ("2", "c", "commercial", 10.0, "TX"), ("3", "c", "commercial", 0.0, "OK")], "ccn string, code string, payer_type string, price double, state string")
-    frame = ownership.model_frame(prices, ownership.classified(hospitals, rows, hospitals.limit(0), "CAPITAL", ["05"]), spark.createDataFrame([("1", "sys", 120)], "ccn string, health_sys_id string, beds int"))
+    frame = ownership.model_frame(prices, classes, spark.createDataFrame([("1", "sys", 120)], "ccn string, health_sys_id string, beds int"))
     by = {r.ccn: r for r in frame.collect()}
     assert (by["1"].cluster, by["1"].bed_band, by["2"].cluster, by["3"].log_price) == ("sys", "100-299", "ccn:2", None)
-    assert ownership.within_state(frame, ["code"], "private_equity", "nonprofit").first().median_ratio == 2
+    states = ownership.within_states(frame.where("price > 0")).where("definition = 'pe_strict'").collect()
+    assert [(r.group, r.median_share, r.n_states) for r in states] == []
+    listed = ownership.within_states(frame.withColumn("group_pe_strict", F.when(F.col("ccn") == "1", "pe").otherwise(F.col("roster_group")))).where("definition = 'pe_strict'").collect()
+    assert [(r.group, r.median_share, r.n_states) for r in listed] == [("pe", 1.0, 1)]
+    with pytest.raises(ValueError):
+        ownership.checked_systems(hospitals)
 
 
 def test_births(spark):
@@ -33,9 +41,12 @@ def test_births(spark):
     providers = spark.createDataFrame([("p", "c1", 30.1, -90.1, 2), ("q", "c2", 45.0, -80.0, 3), ("r", "c9", 30.2, -90.0, 1), ("s", "c3", None, None, 4)], "provider string, county2 string, lat2 double, lon2 double, n int")
     got = {r.place: (r.n_providers, r.supply, r.rate) for r in births.supply(places, providers, 30, "births").collect()}
     assert got == {"a": (2, 3, 3.0), "b": (1, 3, 6.0), "c": (1, 4, 400.0)}
-    near = spark.createDataFrame([("1", "LA", 30.1, -90.0, 50.0), ("2", "KS", 20.0, -70.0, 70.0)], "ccn string, state2 string, lat2 double, lon2 double, difference double")
+    near = spark.createDataFrame([("1", "x", "LA", 30.1, -90.0, 50.0), ("2", "x", "KS", 20.0, -70.0, 70.0), ("2", "y", "KS", 20.0, -70.0, 7.0)], "ccn string, payer_type string, state2 string, lat2 double, lon2 double, difference double")
     local = births.local_difference(spark.createDataFrame([("a", "LA", 30.0, -90.0), ("b", "KS", 40.0, -100.0), ("c", "ND", 47.0, -100.0)], "place string, state string, lat double, lon double"), near, 30)
-    assert {r.place: (r.difference, r.level) for r in local.collect()} == {"a": (50.0, "local"), "b": (70.0, "state"), "c": (None, "none")}
+    assert {(r.place, r.payer_type): (r.difference, r.level, r.n_hospitals) for r in local.collect()} == {
+        ("a", "x"): (50.0, "local", 1), ("a", "y"): (None, "none", 0), ("b", "x"): (70.0, "state", 0), ("b", "y"): (7.0, "state", 0), ("c", "x"): (None, "none", 0), ("c", "y"): (None, "none", 0)}
+    masked = births.covered_supply(spark.createDataFrame([("a", "LA", 3.0), ("b", "KS", 4.0)], "place string, state string, rate double"), spark.createDataFrame([("KS",)], "state string"), ["rate"])
+    assert {r.place: (r.rate, r.covered) for r in masked.collect()} == {"a": (3.0, True), "b": (None, False)}
 
 
 def test_curves(spark):
