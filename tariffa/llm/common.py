@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tariffa.lineage import cut, shared_folder
+
 #: Text bytes a Python worker handles at once; a longer single text forms a slice of its own.
 SLICE_BYTES = 2_000_000
 
@@ -20,14 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all machines see; a temporary one only where that is unset."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
-    return sc.getCheckpointDir()
-
-
 def bounded(spark: SparkSession) -> None:
     """Small Arrow batches keep Python workers' memory bounded."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
@@ -36,8 +29,7 @@ def bounded(spark: SparkSession) -> None:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """df cut from its lineage, in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    return cut(df)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -47,6 +39,20 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Keys that are treated as hot at the most, and rows below which none is.
+HOT_KEYS, HOT_ROWS = 10_000, 1000
+
+
+def told(rows: DataFrame, info: DataFrame, key: str, n: str) -> DataFrame:
+    """rows with the columns of their key's row in info (inner). n: how many rows have the key; keys with a ten-thousandth of all rows or more, so ten thousand at the most, are broadcast, the others shuffled."""
+    total = info.agg(F.sum(n)).first()[0] or 0
+    limit = F.lit(max(HOT_ROWS, total / HOT_KEYS))
+    hot, cold = info.where(F.col(n) >= limit), info.where(F.col(n) < limit)
+    some = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return some.unionByName(rest.select(*some.columns))
+
+
 def spread(df: DataFrame, tasks: int = 0) -> DataFrame:
     """df in at least as many partitions as the cluster has cores, when its files give fewer."""
     bounded(df.sparkSession)

@@ -1,11 +1,13 @@
 """Benchmark decontamination by spaced seeds.
 
-A document overlaps an item if, at some alignment, a window of 13 words has at most 3 substituted ones (an item of 5 to
-12 words must match as a whole). Each mask hashes the words at its fixed places and ignores those between, at every
+A document overlaps an item if, at some alignment, a window of 13 words has at most 3 substituted ones. An item of fewer
+words is one window, with fewer substitutions in proportion: 2 of 9 to 12 words, 1 of 5 to 8, none of 1 to 4. Each mask hashes the words at its fixed places and ignores those between, at every
 place of items and documents; equal hashes join, and every alignment that a hit gives is verified word by word. For
-each choice of 3 places in 13 some mask misses them all, so no such overlap escapes.
+each choice of 3 places in 13 some mask misses them all, and of a short item cut into one block more than it may have
+substitutions one block stays whole and is its seed, so no such overlap escapes. `item_words` tells the classes apart;
+`clean_documents` leaves items of fewer than 5 words aside, as a word or two are no passage of a benchmark (`least`).
 
-Words are lower case, split at white space. Items of fewer than 5 words aren't searched. Nulls and empty texts overlap
+Words are lower case, split at ASCII white space; very long texts are slices of their own. Nulls and empty texts overlap
 nothing; repeated documents or items each give their own rows; an empty table gives an empty result; other columns are
 not looked at, or kept as they are by `clean_documents`.
 """
@@ -22,11 +24,12 @@ from pyspark.sql import types as T
 
 from tariffa.llm.common import mix, slices, spread, table, word_hashes
 
-#: Window, substitutions in it, least words of an item.
+#: Window, substitutions in it, least words of an item for which documents are dropped.
 WINDOW, SUBSTITUTED, LEAST = 13, 3, 5
 #: Places that a mask looks at. Fixed values, found by exhaustive search over all choices of SUBSTITUTED places in WINDOW.
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 6, 8, 9), (0, 1, 3, 4, 5))
-WHOLE = (0, 1, 2, 3, 4)
+#: Alignments that are verified together.
+ALIGNMENTS = 200_000
 #: Bytes of benchmark text that are broadcast at once; a larger benchmark is searched in blocks of this size.
 BLOCK_BYTES = 16_000_000
 
@@ -42,6 +45,11 @@ def _masked(words: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     return h
 
 
+def allowed(n: int) -> int:
+    """Substitutions that a window of an item of n words may have."""
+    return SUBSTITUTED * min(n, WINDOW) // WINDOW
+
+
 class Seeds:
     """A block of the benchmark: its items' words and sorted seeds."""
 
@@ -52,14 +60,19 @@ class Seeds:
         self.lengths = lengths
         item = np.repeat(np.arange(len(ids)), lengths)
         self.tables = []
-        for mask in dict.fromkeys((*MASKS, WHOLE)):
+        short = [(i, n) for i, n in enumerate(lengths) if 0 < n < WINDOW]
+        blocks: dict[int, list[int]] = {}
+        for i, n in short:
+            width = int(n) // (allowed(int(n)) + 1)
+            blocks.setdefault(width, []).extend(int(self.offsets[i]) + k * width for k in range(allowed(int(n)) + 1))
+        for mask in (*MASKS, *(tuple(range(w)) for w in sorted(blocks))):
             h = _masked(self.words, mask)
-            at = np.arange(len(h))
-            inside = item[at] == item[at + mask[-1]] if len(h) else np.zeros(0, bool)
-            long = lengths[item[at]] >= WINDOW if len(h) else np.zeros(0, bool)
-            # short items match as a whole, so their first words suffice
-            wanted = inside & ((long if mask in MASKS else False) | (~long & (lengths[item[at]] >= LEAST) & (at == self.offsets[item[at]]) & (mask == WHOLE)))
-            h, at = h[wanted], at[wanted]
+            if mask in MASKS:
+                at = np.arange(len(h))
+                at = at[(item[at] == item[at + mask[-1]]) & (lengths[item[at]] >= WINDOW)] if len(h) else at
+            else:
+                at = np.array(blocks[len(mask)], np.int64)
+            h = h[at]
             order = np.argsort(h, kind="stable")
             h, at = h[order], at[order]
             bits = np.zeros(1 << 20, bool)
@@ -68,38 +81,46 @@ class Seeds:
 
     def search(self, words: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(document, item, first word, end, matching words) of each overlap, touching windows joined."""
-        found = []
+        good: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
         for mask, seeds, at, item, bits in self.tables:
             if not len(seeds) or len(words) <= mask[-1]:
                 continue
             h = _masked(words, mask)
             places = np.flatnonzero(bits[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
             left, right = np.searchsorted(seeds, h[places], "left"), np.searchsorted(seeds, h[places], "right")
-            places, left, right = places[left < right], left[left < right], right[left < right]
             doc = np.searchsorted(offsets, places, "right") - 1
-            fits = places + mask[-1] < offsets[doc + 1]
-            places, left, right, doc = places[fits], left[fits], right[fits], doc[fits]
+            hit = (left < right) & (places + mask[-1] < offsets[doc + 1])
+            places, left, right, doc = places[hit], left[hit], right[hit], doc[hit]
             n = right - left
-            k = np.repeat(left - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())
-            i = item[k]
-            found.append(np.stack([np.repeat(doc, n), i, np.repeat(places, n) - (at[k] - self.offsets[i])], 1))
-        if not found or not sum(map(len, found)):
+            total = np.concatenate([[0], np.cumsum(n)])
+            first = 0
+            while first < len(places):  # a seed that many items share makes many alignments: some at a time
+                last = max(first + 1, int(np.searchsorted(total, total[first] + ALIGNMENTS, "right")) - 1)
+                own = slice(first, last)
+                k = np.repeat(left[own] - (total[own] - total[first]), n[own]) + np.arange(total[last] - total[first])
+                i = item[k]
+                start = np.repeat(places[own], n[own]) - (at[k] - self.offsets[i])  # where the item's first word would stand
+                for key in map(tuple, np.unique(np.stack([np.repeat(doc[own], n[own]), i, start], 1), axis=0).tolist()):
+                    if key not in good:
+                        good[key] = self._verified(words, offsets, *key)
+                first = last
+        return [(d, i, *span) for (d, i, _), spans in sorted(good.items()) for span in spans]
+
+    def _verified(self, words: np.ndarray, offsets: np.ndarray, d: int, i: int, start: int) -> list[tuple[int, int, int]]:
+        """(first word, end, matching words) of the alignment's windows with few enough substitutions, touching ones joined."""
+        n = int(self.lengths[i])
+        a, b = max(start, int(offsets[d])), min(start + n, int(offsets[d + 1]))
+        width, most = min(n, WINDOW), allowed(n)
+        if b - a < width:
             return []
-        out = []
-        for d, i, start in np.unique(np.concatenate(found), axis=0):  # start: where the item's first word would stand
-            a, b = max(start, offsets[d]), min(start + self.lengths[i], offsets[d + 1])
-            equal = words[a:b] == self.words[self.offsets[i] + a - start : self.offsets[i] + b - start]
-            width, most = (WINDOW, SUBSTITUTED) if self.lengths[i] >= WINDOW else (self.lengths[i], 0)
-            if b - a < width:
-                continue
-            sums = np.concatenate([[0], np.cumsum(equal)])
-            good = np.flatnonzero(sums[width:] - sums[:-width] >= width - most)
-            if not len(good):
-                continue
-            breaks = np.flatnonzero(np.diff(good) > width)
-            for s, e in zip(good[np.concatenate([[0], breaks + 1])], good[np.concatenate([breaks, [len(good) - 1]])] + width, strict=True):
-                out.append((int(d), int(i), int(a + s - offsets[d]), int(a + e - offsets[d]), int(sums[e] - sums[s])))
-        return out
+        equal = words[a:b] == self.words[self.offsets[i] + a - start : self.offsets[i] + b - start]
+        sums = np.concatenate([[0], np.cumsum(equal)])
+        found = np.flatnonzero(sums[width:] - sums[:-width] >= width - most)
+        if not len(found):
+            return []
+        breaks = np.flatnonzero(np.diff(found) > width)
+        spans = zip(found[np.concatenate([[0], breaks + 1])], found[np.concatenate([breaks, [len(found) - 1]])] + width, strict=True)
+        return [(int(a + s - offsets[d]), int(a + e - offsets[d]), int(sums[e] - sums[s])) for s, e in spans]
 
 
 def seed_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> list[Seeds]:
@@ -141,8 +162,8 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: st
     return out
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents that overlap no item, with all their columns; rows are decided one by one, so no identifier is needed."""
+def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, least: int = LEAST) -> DataFrame:
+    """The documents that overlap no item of at least so many words, with all their columns; rows are decided one by one, so no identifier is needed."""
     out = spread(docs)
     for block in seed_blocks(items, block_bytes=block_bytes):
         seeds = docs.sparkSession.sparkContext.broadcast(block)
@@ -150,7 +171,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", block
         def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, text):
-                    hit = {d for d, *_ in seeds.value.search(*word_hashes(part.column(part.schema.names.index(text))))}
+                    hit = {d for d, i, *_ in seeds.value.search(*word_hashes(part.column(part.schema.names.index(text)))) if seeds.value.lengths[i] >= least}
                     kept = [d for d in range(part.num_rows) if d not in hit]
                     if kept:
                         yield part.take(pa.array(kept))

@@ -27,7 +27,7 @@ K, TREES, DEPTH = 20, 32, 64
 #: Vectors of a block, queries that are broadcast at once, vectors of the sample, and its recall.
 BLOCK, QUERY_BLOCK, SAMPLE, RECALL = 8192, 16_384, 4096, 0.96
 #: Candidates, counted in every tree, as shares of a block.
-SHARES = (0.25, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0, float(TREES))
+SHARES = (0.02, 0.05, 0.1, 0.25, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0, float(TREES))
 
 
 class Forest:
@@ -58,8 +58,7 @@ class Forest:
         first = np.zeros((len(codes), len(queries)), np.int64)
         end = np.full((len(codes), len(queries)), len(self.vectors), np.int64)
         open_ = np.arange(len(queries))
-        longest = min(DEPTH, 4 + 2 * max(1, len(self.vectors)).bit_length())
-        for depth in range(longest, 0, -1):
+        for depth in range(DEPTH, 0, -1):  # a vector's own string agrees to the last bit
             low = np.uint64((1 << (DEPTH - depth)) - 1)
             a = np.stack([np.searchsorted(s, c[open_] & ~low, "left") for s, c in zip(self.codes, codes, strict=True)])
             b = np.stack([np.searchsorted(s, c[open_] | low, "right") for s, c in zip(self.codes, codes, strict=True)])

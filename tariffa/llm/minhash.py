@@ -8,7 +8,7 @@ alone bring their full shingle sets there and every pair is verified exactly. A
 into tiles of two blocks each, so no task holds it as a whole; tiles give link counts and a spanning forest, never
 lists of pairs.
 
-Words are lower case, split at white space; a text of fewer than five words is one shingle, one without words has no
+Words are lower case, split at ASCII white space (in scripts without it a text is few long words, and only equal ones agree); a text of fewer than five words is one shingle, one without words has no
 links. A null text counts as empty. Rows with a null doc_id take no part; rows that repeat a doc_id and text count as
 one copy each, and of one doc_id with several texts each text is classed by itself. An empty table gives an empty
 result; other columns are not looked at, or kept as they are by `one_of_each_group`.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import checkpointed, mix, shingle_hashes, slices, spread, table, text_col, word_hashes
+from tariffa.llm.common import checkpointed, mix, shingle_hashes, slices, spread, table, text_col, told, word_hashes
 from tariffa.llm.components import components
 
 WIDTH, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.9999, 5
@@ -188,9 +188,8 @@ def joined(docs: DataFrame, hashing: Hashing | None = None, doc_id: str = "doc_i
     likely, threshold = hashing.likely, hashing.threshold
     signed = checkpointed(_signed(docs, hashing, doc_id, text))
     classes = signed.groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_copies"))
-    member = signed.select("doc_id", "digest").join(classes, "digest")
-    # of one text the row of its least doc_id; one doc_id may stand for several texts, so a representative is known by its digest
-    rep = F.xxhash64("digest").alias("rep")
+    # of one text the row of its least doc_id; one doc_id may stand for several texts, so a representative has a number of its own, fixed by the checkpoint
+    rep = F.monotonically_increasing_id().alias("rep")
     reps = signed.where("shingles > 0").join(classes.select("digest", F.col("class_id").alias("doc_id")), ["digest", "doc_id"]).dropDuplicates(["digest"])
     reps = checkpointed(reps.select(rep, "digest", "doc_id", "shingles", "bands", "sketch"))
 
@@ -258,7 +257,8 @@ def joined(docs: DataFrame, hashing: Hashing | None = None, doc_id: str = "doc_i
     grouped = counts.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep")).join(reps.select("rep", "digest", "doc_id"), "rep")
     least = grouped.groupBy("root").agg(F.min(F.struct("doc_id", "digest")).alias("head"))
     grouped = grouped.join(least, "root").select("digest", "n_links", "head")
-    out = member.join(grouped, "digest", "left")
+    # one row a text; copies of very common ones meet in no task
+    out = told(signed.select("doc_id", "digest"), checkpointed(classes.join(grouped, "digest", "left")), "digest", "n_copies")
     head = F.coalesce("head", F.struct(F.col("class_id").alias("doc_id"), "digest"))
     return out.select("doc_id", "digest", "class_id", "n_copies", head["doc_id"].alias("group_id"), head["digest"].alias("group_digest"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
@@ -268,7 +268,9 @@ def one_of_each_group(docs: DataFrame, hashing: Hashing | None = None, doc_id: s
     result = joined(docs, hashing, doc_id, text)
     heads = result.where((F.col("doc_id") == F.col("group_id")) & (F.col("digest") == F.col("group_digest"))).select(F.col("doc_id").alias("__id"), F.hex("digest").alias("__digest")).distinct()
     rows = docs.where(F.col(doc_id).isNotNull()).withColumns({"__id": F.col(doc_id).cast("long"), "__digest": F.upper(F.md5(text_col(text)))})
-    kept = rows.join(heads, ["__id", "__digest"]).dropDuplicates(["__id", "__digest"]).select(*docs.columns)
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    # rows that repeat both differ in other columns at the most: the least by hash stays
+    kept = rows.join(heads, ["__id", "__digest"]).groupBy("__id", "__digest").agg(F.min_by(F.struct(*every), F.xxhash64(*every)).alias("__row")).select("__row.*")
     return kept.unionByName(docs.where(F.col(doc_id).isNull()))
 
 

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import _BYTES, checkpointed, slices, span_hashes, spread, table, text_bytes, text_col, word_spans
+from tariffa.llm.common import _BYTES, checkpointed, slices, span_hashes, spread, table, text_bytes, text_col, told, word_spans
 
 #: Labelled documents that the classifier is fitted on, hashed words that are counted, and words that become features.
 SAMPLE, BUCKETS, WORDS = 10_000, 1 << 16, 192
@@ -96,7 +96,8 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str =
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), text_col(text).alias("text"))
     ids = judged.join(docs.select(F.col("doc_id").cast("long").alias("__id")).distinct(), "__id", "left_semi")
     picked = ids.orderBy(F.xxhash64("__id"), "__id").limit(sample)  # the sample's bound is the feature
-    rows = texts.join(F.broadcast(checkpointed(picked)), "__id")
+    # of an id with several texts the least counts, once
+    rows = checkpointed(texts.join(F.broadcast(checkpointed(picked)), "__id").groupBy("__id").agg(F.min("text").alias("text"), F.min("good").alias("good")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, BUCKETS + 1), np.int64)  # the last: documents
@@ -128,7 +129,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str =
                 x = _features(part.column("text"), chosen).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), part.column("good")], ["x", "good"])
 
-    got = spread(rows.dropDuplicates(["__id"]).select("text", "good")).mapInArrow(features, "x binary, good int").toArrow()
+    got = spread(rows.select("text", "good")).mapInArrow(features, "x binary, good int").toArrow()
     x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float32).reshape(got.num_rows, -1).astype(float)
     y = got["good"].to_numpy().astype(float)
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-3)
@@ -160,7 +161,7 @@ def _strength(row) -> float:
 
 
 def posteriors(evidence: DataFrame, base: float) -> DataFrame:
-    """doc_id, host, path, evidence (log odds) to these with host_rate, path_rate and score."""
+    """doc_id, host, path, evidence (log odds) to these with host_rate, path_rate and score. A document's own evidence is left out of the rates that it is judged by, so that it counts once."""
     own = 1 / (1 + F.exp(-(F.col("evidence") + F.lit(base))))
     # sites by grouped aggregation: a partial sum for each site and task
     paths = checkpointed(evidence.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(own).alias("good")))
@@ -169,13 +170,22 @@ def posteriors(evidence: DataFrame, base: float) -> DataFrame:
     rate = (total.good + 0.5) / (total.n + 1) if total.n else 0.5
     shares = hosts.withColumn("share", F.col("host_good") / F.col("host_n"))
     host_m = _strength(shares.agg(*_moments("share", "host_n", F.lit(rate))).first())
-    hosts = hosts.withColumn("host_rate", (F.col("host_good") + host_m * rate) / (F.col("host_n") + host_m))
+    hosts = hosts.withColumn("whole", (F.col("host_good") + host_m * rate) / (F.col("host_n") + host_m))
     sites = paths.join(hosts, paths["host"].eqNullSafe(hosts["host"])).drop(hosts["host"]).withColumn("share", F.col("good") / F.col("n"))
-    path_m = _strength(sites.agg(*_moments("share", "n", F.col("host_rate"))).first())
-    sites = sites.select(F.col("host").alias("__host"), F.col("path").alias("__path"), "host_rate", ((F.col("good") + path_m * F.col("host_rate")) / (F.col("n") + path_m)).alias("path_rate"))
-    out = evidence.join(sites, F.col("host").eqNullSafe(F.col("__host")) & F.col("path").eqNullSafe(F.col("__path")), "left").drop("__host", "__path")
+    path_m = _strength(sites.agg(*_moments("share", "n", F.col("whole"))).first())
+    key = F.to_json(F.struct("host", "path"), {"ignoreNullFields": "false"})
+    sites = sites.select(key.alias("__site"), "n", "good", "host_n", "host_good")
+    out = told(evidence.withColumn("__site", key).withColumn("__own", own), sites, "__site", "n")
+    out = out.withColumn("host_rate", (F.col("host_good") - F.col("__own") + host_m * rate) / (F.col("host_n") - 1 + host_m))
+    out = out.withColumn("path_rate", (F.col("good") - F.col("__own") + path_m * F.col("host_rate")) / (F.col("n") - 1 + path_m))
     odds = F.log(F.col("path_rate") / (1 - F.col("path_rate"))) + F.col("evidence")
-    return out.withColumn("score", 1 / (1 + F.exp(-odds)))
+    return out.withColumn("score", 1 / (1 + F.exp(-odds))).drop("__site", "__own", "n", "good", "host_n", "host_good")
+
+
+def site_of(url: Column) -> tuple[Column, Column]:
+    """Host and first part of the path of a URL, for tables that have one."""
+    rest = F.regexp_replace(F.lower(F.trim(url)), r"^[a-z][a-z0-9+.-]*://", "")
+    return F.nullif(F.regexp_extract(rest, r"^(?:www\.)?([^/?#:]+)", 1), F.lit("")), F.concat(F.lit("/"), F.regexp_extract(rest, r"^[^/?#]*/([^/?#]*)", 1))
 
 
 def scored(docs: DataFrame, model: Classifier, host: Column | str = "source", path: Column | str = "lang", text: str = "text") -> DataFrame:

@@ -6,7 +6,7 @@ alike in every dimension, so each shard's file spans a small box that readers ca
 runs whose row counts differ by one at most (law `rows`). Only narrow rows are sorted; global places come from counts of
 the range partitions. Equal texts of one source and language stand next to each other.
 
-Strings are ordered by the six characters after the prefix that all values share. A null takes the lowest place of its
+Bins are cut where the counts of whole values, cumulated in their order, reach equal shares. A null takes the lowest place of its
 dimension; a null text has size 16 and crc 0. Repeated rows each get a slot of their own; an empty table gives an empty
 result; other columns are not looked at.
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,24 +52,6 @@ def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
-def _shared(low: str | None, high: str | None) -> int:
-    """Characters that all strings between two share."""
-    n = 0
-    for a, b in zip(low or "", high or "", strict=False):
-        if a != b:
-            break
-        n += 1
-    return n
-
-
-def _number(col: Column, skip: int) -> Column:
-    """An order-preserving number of a string's six characters after `skip`; null below all."""
-    n = F.lit(0.0)
-    for k in range(1, 7):
-        n = n * 1024.0 + F.least(F.lit(1023), F.coalesce(F.ascii(F.substring(col, skip + k, 1)), F.lit(0)))
-    return F.when(col.isNull(), -1.0).otherwise(n)
-
-
 def ranked(rows: DataFrame, order: list[str], rank: str = "rank") -> DataFrame:
     """rows with their place (from 0) in a total order, and no window over all of them: rows are sorted in ranges, and counts of the ranges give where each begins."""
     parts = rows.repartitionByRange(max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *order)
@@ -84,6 +66,23 @@ def ranked(rows: DataFrame, order: list[str], rank: str = "rank") -> DataFrame:
     return placed.withColumn(rank, offsets[part].cast("long") + within).drop("__at")
 
 
+def boundaries(rows: DataFrame, column: str, bins: int) -> list:
+    """The least value of each bin but the first, for bins as equally filled as ties allow: values are counted, sorted in ranges and their counts cumulated."""
+    counts = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    placed = checkpointed(counts.repartitionByRange("v").sortWithinPartitions("v").withColumn("part", F.spark_partition_id()))
+    sizes = placed.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()  # a row for each range
+    total, starts = 0, []
+    for r in sizes:
+        starts += [F.lit(r.part), F.lit(total)]
+        total += r.n
+    if not total:
+        return []
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.create_map(*starts)[F.col("part")]
+    # a value belongs to the bin in which the middle of its rows falls
+    binned = placed.withColumn("bin", F.floor((before + F.col("n") / 2) * bins / total))
+    return sorted(r.v for r in binned.groupBy("bin").agg(F.min("v").alias("v")).where("bin > 0").collect())  # one value a bin
+
+
 def sharded(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, doc_id: str = "doc_id", text: str = "text", labels: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, hilbert."""
     body = text_col(text)
@@ -95,17 +94,16 @@ def sharded(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, doc_id: str
     )
     dims = [f"d{i}" for i in range(len(labels))]
     rows = checkpointed(rows)  # narrow; the texts are read once
-    ends = rows.agg(*(f(d).alias(f"{d}{n}") for d in dims for n, f in (("a", F.min), ("z", F.max)))).first()
-    numbers = {d: _number(F.col(d), _shared(ends[f"{d}a"], ends[f"{d}z"])) for d in dims} | {"size": F.col("size").cast("double")}
-    cuts = [k / (1 << bits) for k in range(1, 1 << bits)]
-    found = rows.agg(*(F.percentile_approx(v, cuts, 10000).alias(f"q_{k}") for k, v in numbers.items())).first()
-    bounds = [np.unique(found[f"q_{k}"] or []) for k in numbers]
+    bounds = {d: boundaries(rows, d, 1 << bits) for d in (*dims, "size")}
+    # number of boundaries at or below the value; a null has none below it
+    coarse = lambda d: F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds[d])), lambda b: b <= F.col(d))), F.lit(0)) if bounds[d] else F.lit(0)
+    bins = [F.when(F.col(d).isNotNull(), coarse(d)).otherwise(0) for d in bounds]
 
     @F.pandas_udf(T.LongType())
     def place(*cols: pd.Series) -> pd.Series:
-        return pd.Series(hilbert_index(np.stack([np.searchsorted(b, c.to_numpy(), "right") for b, c in zip(bounds, cols, strict=True)], 1), bits))
+        return pd.Series(hilbert_index(np.stack([c.to_numpy() for c in cols], 1), bits))
 
-    curve = rows.select("doc_id", "size", "text_crc32", place(*numbers.values()).alias("hilbert"))
+    curve = rows.select("doc_id", "size", "text_crc32", place(*bins).alias("hilbert"))
     placed = ranked(curve, ["hilbert", "text_crc32", "doc_id"])
     n = rows.count()
     # shard s holds the places from ceil(s n / shards) up to ceil((s + 1) n / shards)

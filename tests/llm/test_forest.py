@@ -67,3 +67,22 @@ def test_recall_of_query(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = ff.op2_prefix_forest(spark, sf).collect()
     assert recall(got, exact(rows)) >= 0.9
+
+
+def test_candidates_of_clustered_vectors():
+    """50,000 clustered vectors of length one: the share that the sample asks for leaves a tenth of the rows as candidates, at recall 0.9."""
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((120, 64))
+    x = centres[rng.integers(0, 120, 50_000)] + 0.35 * rng.standard_normal((50_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    share = ff.share_for(x[: ff.SAMPLE])
+    queries = x[::1000]
+    bound = np.sort(queries @ x.T, axis=1)[:, -21]
+    found = candidates = 0
+    for block in np.array_split(x, -(-len(x) // ff.BLOCK)):
+        forest = ff.Forest(block)
+        first, end = forest.ranges(queries, share)
+        candidates += sum(len(np.unique(np.concatenate([o[a:b] for o, a, b in zip(forest.order, first[:, j], end[:, j], strict=True)]))) for j in range(len(queries)))
+        found += sum(int((s >= b).sum()) for (_, s), b in zip(forest.search(queries, share, 21), bound, strict=True))
+    assert found >= 0.9 * 21 * len(queries)
+    assert candidates <= 0.1 * len(x) * len(queries), (share, candidates / len(x) / len(queries))

@@ -27,9 +27,8 @@ def test_stages_one_by_one(spark, tmp_path):
     assert all(named(b[i]) == named(a[i]) and b[i].lang in ("de", "en", "es", "fr") and c.get(i, b[i]) == b[i] for i in b)
     assert set(c) - {None} == {g for _, _, _, g, _ in groups([(i, r.text) for i, r in b.items()])}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
-    short = [(i, r.text) for i, r in c.items() if len(r.text) < 2500]
-    hit = {i for i, _, _ in overlaps(short, items)}
-    assert hit == {i for i, _ in short} - set(d)
+    hit = {i for i, _, _ in overlaps([(i, r.text) for i, r in c.items()], items, 5)}
+    assert hit == set(c) - set(d)
     assert all(e[i].text == pii.masked(r.text, pii.find_spans(r.text)) for i, r in d.items()) and set(e) == set(d)
     assert {i: r.decoded_sha256 for i, r in last.items()} == {i: hashlib.sha256(r.text.encode()).hexdigest() for i, r in e.items()}
     assert None in last

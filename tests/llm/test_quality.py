@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 
 from tariffa.llm import quality as q
@@ -25,13 +26,15 @@ def brute(rows, base):
         return min(q.STRENGTH[1], max(q.STRENGTH[0], level / between - 1 if between > 0 else q.STRENGTH[1]))
 
     m = strength([(v, rate) for v in hosts.values()])
-    host_rate = {h: (sum(v) + m * rate) / (len(v) + m) for h, v in hosts.items()}
-    m = strength([(v, host_rate[h]) for (h, _), v in paths.items()])
+    whole = {h: (sum(v) + m * rate) / (len(v) + m) for h, v in hosts.items()}
+    k = strength([(v, whole[h]) for (h, _), v in paths.items()])
     out = []
     for d, h, p, e in rows:
-        v = paths[h, p]
-        r = (sum(v) + m * host_rate[h]) / (len(v) + m)
-        out.append((d, h, p, e, host_rate[h], r, 1 / (1 + math.exp(-(math.log(r / (1 - r)) + e)))))
+        own = 1 / (1 + math.exp(-(e + base)))
+        a, b = hosts[h], paths[h, p]
+        r = (sum(a) - own + m * rate) / (len(a) - 1 + m)
+        x = (sum(b) - own + k * r) / (len(b) - 1 + k)
+        out.append((d, h, p, e, r, x, 1 / (1 + math.exp(-(math.log(x / (1 - x)) + e)))))
     return out
 
 
@@ -67,6 +70,25 @@ def test_held_out_labels(spark):
     assert right > 0.85, right
 
 
-def test_query(spark):
-    rows = q.op10_site_quality(spark, "/root/testdata/sf0.001").collect()
-    assert len(rows) == 200 and sum(r.keep for r in rows) > 100
+def test_query_equals_plain_sums(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = q.fitted(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    rows = [(r.doc_id, r.source, r.lang, float(model.evidence(pa.array([r.text]))[0])) for r in docs.collect()]
+    want = {r[0]: r for r in brute(rows, model.base)}
+    got = q.op10_site_quality(spark, sf).collect()
+    assert len(got) == len(rows) and sum(r.keep for r in got) > 100
+    for r in got:
+        assert (r.host, r.path) == want[r.doc_id][1:3] and (r.evidence, r.host_rate, r.path_rate, r.score) == pytest.approx(want[r.doc_id][3:], rel=1e-6)
+        assert r.keep == (r.score >= 0.5)
+
+
+def test_sites_of_urls(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    host, path = q.site_of(q.F.col("url"))
+    docs = pages.select(q.F.col("page_id").alias("doc_id"), q.F.col("html").alias("text"), host.alias("h"), path.alias("p"))
+    model = q.fitted(docs.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    rows = q.scored(docs, model, "h", "p").collect()
+    assert len(rows) == pages.count() and all(r.host and r.path.startswith("/") for r in rows)
+    cases = spark.createDataFrame([("https://www.A.org/x/y?z",), ("a.org",), (None,)], "url string").select(*q.site_of(q.F.col("url"))).collect()
+    assert [tuple(r) for r in cases] == [("a.org", "/x"), ("a.org", "/"), (None, None)]

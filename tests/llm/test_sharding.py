@@ -54,3 +54,25 @@ def test_written_shards(spark, tmp_path):
     sh.write_shards(docs, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == docs.count() and back.select("shard").distinct().count() == sh.SHARDS
+
+
+def test_bins_come_from_whole_values(spark):
+    prefix = "https://site.org/a/very/long/shared/path/"
+    names = [prefix + x for x in "abcdefgh"] + ["日本", "日記", "語"]
+    df = spark.createDataFrame([(n,) for n in names for _ in range(3)] + [(None,)] * 5, "v string")
+    assert len(sh.boundaries(df, "v", 4)) == 3
+    assert set(sh.boundaries(df, "v", 64)) >= set(sorted(names)[1:])  # each value a bin of its own, however long a prefix they share
+    numbers = spark.range(1000).selectExpr("id as v")
+    got = sh.boundaries(numbers, "v", 4)
+    assert len(got) == 3 and all(abs(x - y) <= 1 for x, y in zip(got, (250, 500, 750), strict=True))
+    assert sh.boundaries(df.limit(0), "v", 4) == []
+
+
+def test_shards_prune(spark):
+    rows = [(i, "w" * (i * 37 % 2000), f"{'https://one.org/shared/prefix/'}{i % 20:02d}", ["en", "de", "fr", "es"][i // 20 % 4]) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    placed = sh.sharded(df).select("doc_id", "shard").join(df, "doc_id")
+    opened = placed.groupBy("source").agg(sh.F.count_distinct("shard").alias("n")).agg(sh.F.avg("n")).first()[0]
+    both = placed.groupBy("source", "lang").agg(sh.F.count_distinct("shard").alias("n")).agg(sh.F.avg("n")).first()[0]
+    # a filter on a source opens under a third of the shards, one on source and language under a fifth (texts of all sizes)
+    assert opened < sh.SHARDS / 3 and both < sh.SHARDS / 5, (opened, both)
