@@ -385,12 +385,13 @@ def identified(docs: DataFrame, lang: str = "lang", text: str = "text", table_by
     counts = counted(docs, fold_of(text), lang, text)
     model = Model(counts, [(1,), (0,)])
     bits = model.bits(_windows(counts)) if model.langs else _no_bits(docs.sparkSession)
-    rows = judged(entropies(docs, model, bits, [*docs.columns, fold_of(text).alias("__part")], text, table_bytes), model, F.coalesce("__part", F.lit(0)))
+    named = [F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(docs.columns)]  # no column's name matters
+    rows = judged(entropies(docs, model, bits, [*named, fold_of(text).alias("__part")], text, table_bytes), model, F.coalesce("__part", F.lit(0)))
     limits = limits_of(rows) if model.langs else None
-    given = docs.schema[lang].dataType
     kept = limited(rows, limits).where(~F.col("rejected"))
-    known = F.when(F.col("lang_pred") == "und", F.col(lang)).otherwise(F.col("lang_pred").cast(given))
-    return kept.select(*(known.alias(c) if c == lang else F.col(c) for c in docs.columns))
+    own = F.col(f"__k{docs.columns.index(lang)}")
+    known = F.when(F.col("lang_pred") == "und", own).otherwise(F.col("lang_pred").cast(docs.schema[lang].dataType))
+    return kept.select(*((known if c == lang else F.col(f"__k{i}")).alias(c) for i, c in enumerate(docs.columns)))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -111,7 +111,7 @@ def test_rows(spark):
     assert all(got[i].lang_pred == x and not got[i].rejected for i, _, x in corpus())
     kept = li.identified(df)
     assert kept.columns == df.columns and kept.count() == len(rows) - 4
-    assert {r.lang for r in kept.where("doc_id is null").collect()} == {"aa"}
+    assert {(r.lang, r.score) for r in kept.where("doc_id is null").collect()} == {("aa", "x")}
     empty = li.trained(df.limit(0))
     assert {(r.lang_pred, r.rejected) for r in li.languages(df, empty).collect()} == {("und", True), ("und", False)}
     assert li.languages(df.limit(0), model).count() == 0 and li.identified(df.limit(0)).count() == 0

@@ -2,7 +2,7 @@ import hashlib
 import random
 
 import corpus_pipeline as cp
-from tariffa.llm import pii
+from tariffa.llm import langid, pii
 from test_decontaminate import brute as overlaps
 from test_minhash import brute as groups
 
@@ -49,3 +49,29 @@ def test_run(spark):
     rows = cp.run(spark, "/root/testdata/sf0.001")
     assert rows.columns == ["doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert 0 < rows.count() <= 200
+
+
+def test_odd_tables(spark, tmp_path):
+    """Repeated, tied, long and null rows, clashing columns, an empty table, and a run that goes on."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    first = docs.first()
+    more = [(first.doc_id, first.text, first.lang, first.source, 1), (9001, first.text, None, None, None), (9002, first.text + " end", "en", "x", 2), (9003, "again and again " * 30000, "en", "x", 3), (None, first.text, None, None, None), (9004, None, None, None, None)]
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema)).withColumn("score", langid.F.lit("own")).withColumn("digest", langid.F.lit(7)).withColumn("rejected", langid.F.lit("r"))
+    for name, given in (("some", docs), ("none", docs.limit(0))):
+        folder = tmp_path / name
+        given.write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame([(1, "no such passage of a benchmark stands in any of these texts at all today")], "item_id long, text string").write.parquet(str(folder / "benchmark.parquet"))
+        now = spark.read.parquet(str(folder / "documents.parquet"))
+        for stage_name, stage in cp.STAGES[:-1]:
+            now = stage(spark, now, str(folder))
+            assert now.columns == docs.columns, stage_name
+            assert {(r.score, r.digest, r.rejected) for r in now.collect()} <= {("own", 7, "r")}
+        rows = cp.run(spark, str(folder), f"{name}-{tmp_path.name}").collect()
+        if name == "none":
+            assert rows == []
+            continue
+        ids = [r.doc_id for r in rows]
+        assert len(ids) == len(set(ids)) and None in ids and 9003 in ids and 9004 not in ids
+        assert sum(i in (first.doc_id, 9001, 9002) for i in ids) == 1
+        again = cp.run(spark, str(folder), f"{name}-{tmp_path.name}").collect()  # every stage is there
+        assert sorted(map(str, again)) == sorted(map(str, rows))
