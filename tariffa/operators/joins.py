@@ -94,6 +94,31 @@ def token_overlap(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     return pairs.select(left_id, right_id, (F.col("__n") / (F.col("__a") + F.col("__b") - F.col("__n"))).alias("score"))
 
 
+def best_overlap(rows: DataFrame, row_id: str, tokens: str = "tokens") -> DataFrame:
+    """row_id, match, score, margin: for each row the other row with the most similar tokens (ties: the least id) and its lead over the next; rows that share no token with another are left out.
+
+    Rows with equal tokens form a set; only distinct sets meet, so names that very many rows have make no pairs of rows.
+    """
+    keyed = rows.select(F.col(row_id).alias("__id"), F.sort_array(tokens).alias("__s")).where(F.size("__s") > 0)
+    # the two least ids of a set, kept by a group limit before the shuffle
+    two = keyed.withColumn("__k", F.row_number().over(Window.partitionBy("__s").orderBy("__id"))).where("__k <= 2").groupBy("__s").agg(F.min("__id").alias("set"), F.max("__id").alias("next"))
+    sets = keyed.groupBy("__s").agg(F.count("*").alias("n")).join(two, "__s")
+    pairs = token_overlap(sets.select("set", F.col("__s").alias("t")), sets.select(F.col("set").alias("other"), F.col("__s").alias("t")), "set", "other", "t").where("set <> other")
+    levels = pairs.join(sets.select(F.col("set").alias("other"), "n"), "other").groupBy("set", "score").agg(F.sum("n").alias("n"), F.min("other").alias("least"))
+    ranked = levels.withColumn("__k", F.row_number().over(Window.partitionBy("set").orderBy(F.desc("score")))).where("__k <= 2")
+    at = lambda k, c: F.max(F.when(F.col("__k") == k, F.col(c)))
+    best = ranked.groupBy("set").agg(at(1, "score").alias("s1"), at(1, "n").alias("n1"), at(1, "least").alias("id1"), at(2, "score").alias("s2"))
+    every = keyed.join(sets.join(best, "set", "left"), "__s")
+    same = F.col("n") > 1
+    second = F.when(same, F.when(F.col("n") > 2, 1.0).otherwise(F.col("s1"))).otherwise(F.when(F.col("n1") > 1, F.col("s1")).otherwise(F.col("s2")))
+    out = every.withColumns({
+        "match": F.when(same, F.when(F.col("__id") == F.col("set"), F.col("next")).otherwise(F.col("set"))).otherwise(F.col("id1")),
+        "score": F.when(same, 1.0).otherwise(F.col("s1")),
+        "margin": F.when(same, 1.0).otherwise(F.col("s1")) - F.coalesce(second, F.lit(0.0)),
+    }).where("score is not null")
+    return out.select(F.col("__id").alias(row_id), "match", "score", "margin")
+
+
 def best_block(pairs: DataFrame, row_id: str, tiers: Sequence[Column], out: str = "block") -> DataFrame:
     """Of each row's pairs those in the first tier that any of them reaches; pairs in none go."""
     tier = F.coalesce(*(F.when(F.coalesce(t, F.lit(False)), F.lit(i)) for i, t in enumerate(tiers)))

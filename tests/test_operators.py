@@ -206,3 +206,17 @@ def test_entry(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).limit(1).count() == 1
+
+
+def test_best_overlap_equals_all_pairs(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, sorted({rng.choice("abcdefgh") for _ in range(rng.randrange(4))})) for i in range(120)] + [(500, ["z"]), (501, ["q", "r"]), (502, ["q"])]
+    got = {r.i: (r.match, round(r.score, 9), round(r.margin, 9)) for r in jo.best_overlap(spark.createDataFrame(rows, "i int, tokens array<string>"), "i").collect()}
+    want = {}
+    for i, a in rows:
+        scores = sorted((-len(set(a) & set(b)) / len(set(a) | set(b)), j) for j, b in rows if j != i and set(a) & set(b))
+        if scores:
+            want[i] = (scores[0][1], round(-scores[0][0], 9), round(-scores[0][0] + (scores[1][0] if len(scores) > 1 else 0), 9))
+    assert got == want
