@@ -99,14 +99,20 @@ def resolved(facilities: DataFrame, hospitals: DataFrame, url_map: DataFrame, np
     # the same evidence may point to several hospitals
     picked = chosen(narrowed(scored(evidence.select("facility_key", "ccn"), f, hospitals)), min_score / 2, min_margin).join(evidence, ["facility_key", "ccn"])
     rest = f.join(done, "facility_key", "left_anti").where((F.size("tokens") >= 2) | (F.size("street") > 0))
-    blocks = hospitals.select("ccn", "r_zip", "r_city", "r_state").distinct()
-    # a shared state is needed in every block; only pairs that also share a word of the name or street are scored
+    # the block comes first, from all hospitals of the state: those of the ZIP, else of the city, else all of them
+    places = hospitals.select("ccn", "r_zip", "r_city", "r_state").distinct()
+    in_state = F.col("state") == F.col("r_state")
+    by_zip = rest.join(places, in_state & (F.col("zip") == F.col("r_zip"))).select("facility_key", "ccn").distinct()
+    open_ = rest.join(by_zip.select("facility_key").distinct(), "facility_key", "left_anti")
+    by_city = open_.join(places, in_state & (F.col("city") == F.col("r_city"))).select("facility_key", "ccn").distinct()
+    open_ = open_.join(by_city.select("facility_key").distinct(), "facility_key", "left_anti")
+    # in a whole state only pairs that share a word of name or street can score
     words = lambda df, key, cols: df.select(key, F.explode(F.array_union(*cols)).alias("w")).distinct()
-    near = words(rest.withColumn("key", F.struct("facility_key", "state")), "key", ("tokens", "street")).join(words(hospitals.withColumn("r_key", F.struct("ccn", "r_state")), "r_key", ("r_tokens", "r_street")), "w").where("key.state = r_key.r_state")
-    pairs = near.select("key.facility_key", "r_key.ccn").distinct()
-    named = scored(pairs, rest, hospitals)
-    tier = F.when(F.col("zip") == F.col("r_zip"), 0).when(F.col("city") == F.col("r_city"), 1).otherwise(2)
-    named = named.withColumn("tier", tier).withColumn("__t", F.min("tier").over(Window.partitionBy("facility_key"))).where("tier = __t").drop("__t")
+    near = words(open_.withColumn("key", F.struct("facility_key", "state")), "key", ("tokens", "street")).join(words(hospitals.withColumn("r_key", F.struct("ccn", "r_state")), "r_key", ("r_tokens", "r_street")), "w").where("key.state = r_key.r_state")
+    by_state = near.select("key.facility_key", "r_key.ccn").distinct()
+    tiers = [p.withColumn("tier", F.lit(i)) for i, p in enumerate((by_zip, by_city, by_state))]
+    pairs = tiers[0].unionByName(tiers[1]).unionByName(tiers[2])
+    named = scored(pairs.select("facility_key", "ccn"), rest, hospitals).join(pairs, ["facility_key", "ccn"])
     bare = (F.col("tier") == 2) & (F.size("street") == 0)
     named = named.withColumn("score", F.when(bare, F.col("score") - PENALTY).otherwise(F.col("score"))).drop("tier")
     by_name = chosen(named, min_score, min_margin).where((F.col("score") >= min_score) & ~F.col("ccn_ambiguous")).withColumn("ccn_match_method", F.lit("name_address"))

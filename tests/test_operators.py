@@ -126,6 +126,10 @@ def test_matching(spark):
     got = {r.facility_key: r for r in matching.resolved(fac, matching.profiles(roster), urls, npis, licenses).collect()}
     assert {k: (r.ccn, r.ccn_match_method) for k, r in got.items()} == {"a": ("010002", "mrf_url"), "b": ("010001", "name_address"), "c": ("010003", "npi"), "e": ("010002", "mrf_url")}
     assert got["e"].ccn_conflict and not got["a"].ccn_conflict and not any(r.ccn_ambiguous for r in got.values())
+    # its ZIP's one hospital has another name, so a namesake elsewhere in the city doesn't match; without a ZIP it does
+    other = spark.createDataFrame([("z", None, "Mercy Regional", None, "9 Elm St, Austin, TX 78702", "Austin", "TX", None, None), ("y", None, "Mercy Regional Hospital", None, None, "Austin", "TX", None, None)], fac.schema)
+    away = matching.profiles(roster.where("ccn <> '010002'").unionByName(roster.limit(1).selectExpr("'010009' as ccn", "'Quiet Harbor Institute' as name", "'1 Far Way' as address", "city", "state", "'78702' as zip")))
+    assert [(r.facility_key, r.ccn) for r in matching.resolved(other, away, urls.limit(0), npis.limit(0), licenses).collect()] == [("y", "010001")]
     share = {(r.dimension, r.level): r.share for r in matching.coverage(spark.createDataFrame([(r.ccn, False) for r in got.values()], "ccn string, ccn_ambiguous boolean"), roster, ["state"]).collect()}
     assert share == {("all", "all"): 0.75, ("state", "TX"): 1.0, ("state", "OK"): 0.0}
 
