@@ -18,7 +18,7 @@ LEAST_HOSPITALS = 5
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """n, line of a text file in Latin-1; references have a few thousand lines."""
-    whole = spark.read.option("encoding", "ISO-8859-1").format("binaryFile").load(path).select(F.split(F.decode("content", F.lit("ISO-8859-1")), "\r?\n").alias("l"))
+    whole = spark.read.format("binaryFile").load(path).select(F.split(F.decode("content", "ISO-8859-1"), "\r?\n").alias("l"))
     return whole.select(F.posexplode("l").alias("n", "line"))
 
 
