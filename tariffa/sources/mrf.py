@@ -16,6 +16,7 @@ from tariffa.functions import numbers as nu
 from tariffa.functions import text as tx
 from tariffa.operators import reshape as rs
 from tariffa.operators.windows import first_rows
+from tariffa.sources import pieces
 
 
 def header_name(x: str) -> str:
@@ -78,18 +79,31 @@ def _finished(df: DataFrame, meta: dict[str, str | None], url: str, file_id: str
     return sc.conform(out.withColumn("last_updated_on", nu.mrf_date(F.col("last_updated_on"))))
 
 
-def read_csv(spark: SparkSession, path: str, codebook: DataFrame, url: str = "", file_id: str = "", retrieved: str = "", encoding: str = "UTF-8", head_lines: int = 60) -> DataFrame:
-    """Price rows of a tall or wide CSV file: one for each line, target code and payer; of a line's slots with one code the verified, then the lowest counts."""
+def _charge_lines(spark: SparkSession, path: str, encoding: str, head_lines: int) -> tuple[list[str], int, list[str], DataFrame]:
+    """First lines, the number of the header's, its names, and the lines of the file as c0, c1, … with one column more for cells beyond the header."""
     head = [r.value or "" for r in spark.read.option("encoding", encoding).text(path).limit(head_lines).collect()]
     at = find_header(head)
     if at is None:
         raise ValueError(f"no charge header in the first {head_lines} lines")
     names = [header_name(c) for c in next(csv.reader([head[at]]))]
+    raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
+    rows = spark.read.csv(path, schema=raw, header=False, multiLine=True, encoding=encoding, quote='"', escape='"', mode="PERMISSIVE", unescapedQuoteHandling="STOP_AT_CLOSING_QUOTE", maxCharsPerColumn=-1, maxColumns=max(20480, 2 * len(names)))
+    return head, at, names, rows
+
+
+def csv_rejects(spark: SparkSession, path: str, encoding: str = "UTF-8", head_lines: int = 60) -> DataFrame:
+    """Lines that read_csv leaves out: those with text beyond the header's columns, as an unquoted comma gives; cells: the first ones."""
+    _, _, names, rows = _charge_lines(spark, path, encoding, head_lines)
+    return rows.where(tx.blank_to_null(F.col(f"c{len(names)}")).isNotNull()).select(F.array(*(f"c{i}" for i in range(len(names) + 1))).alias("cells"))
+
+
+def read_csv(spark: SparkSession, path: str, codebook: DataFrame, url: str = "", file_id: str = "", retrieved: str = "", encoding: str = "UTF-8", head_lines: int = 60) -> DataFrame:
+    """Price rows of a tall or wide CSV file: one for each line, target code and payer; of a line's slots with one code the verified, then the lowest counts. Short lines are filled with nulls; csv_rejects gives the lines that are left out."""
+    head, at, names, rows = _charge_lines(spark, path, encoding, head_lines)
     kind = layout(names)
     if kind == "unknown":
         raise ValueError("neither a tall nor a wide charge table")
-    raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))] + [T.StructField("_corrupt", T.StringType())])
-    rows = spark.read.csv(path, schema=raw, header=False, multiLine=True, encoding=encoding, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", unescapedQuoteHandling="STOP_AT_CLOSING_QUOTE", maxCharsPerColumn=-1, maxColumns=max(20480, 2 * len(names))).drop("_corrupt")
+    rows = rows.where(tx.blank_to_null(F.col(f"c{len(names)}")).isNull()).drop(f"c{len(names)}")
     slots = [(i, names.index(f"{n}|type")) for i, n in enumerate(names) if re.fullmatch(r"code\|\d+", n) and f"{n}|type" in names]
     rows = rows.where(F.coalesce(*(tx.blank_to_null(F.col(f"c{i}")) for i, _ in slots)).isNotNull()).where(~F.lower(F.col(f"c{slots[0][0]}")).eqNullSafe("code|1"))
     # renamed by position, so that repeated or odd names don't matter
@@ -114,24 +128,27 @@ def read_csv(spark: SparkSession, path: str, codebook: DataFrame, url: str = "",
 _CODES = "array<struct<code:string,type:string>>"
 _PAYERS = "array<struct<payer_name:string,plan_name:string,standard_charge_dollar:string,standard_charge_percentage:string,standard_charge_algorithm:string,methodology:string,estimated_amount:string,median_amount:string,`10th_percentile`:string,`90th_percentile`:string,count:string,additional_payer_notes:string>>"
 _CHARGES = f"array<struct<setting:string,billing_class:string,gross_charge:string,discounted_cash:string,minimum:string,maximum:string,modifiers:array<string>,modifier_code:array<string>,additional_generic_notes:string,payers_information:{_PAYERS}>>"
-#: Schema of a JSON price file; all leaves are text.
-JSON_SCHEMA = f"hospital_name string, last_updated_on string, version string, location_name array<string>, hospital_location array<string>, hospital_address array<string>, license_information struct<license_number:string,state:string>, type_2_npi array<string>, standard_charge_information array<struct<description:string,code_information:{_CODES},standard_charges:{_CHARGES}>>"
+#: Schemas of a JSON price file's items and of the rest of it; all leaves are text.
+JSON_ITEM = f"description string, code_information {_CODES}, standard_charges {_CHARGES}"
+JSON_SHELL = "hospital_name string, last_updated_on string, version string, location_name array<string>, hospital_location array<string>, hospital_address array<string>, license_information struct<license_number:string,state:string>, type_2_npi array<string>"
 
 
 def read_json(spark: SparkSession, path: str, codebook: DataFrame, url: str = "", file_id: str = "", retrieved: str = "") -> DataFrame:
-    """Price rows of a JSON file: codes, charges and payers exploded, an absent array as one empty entry."""
-    doc = spark.read.schema(JSON_SCHEMA).json(path, multiLine=True)
+    """Price rows of a JSON file of any size: codes, charges and payers exploded, an absent array as one empty entry."""
     c = F.col
-    items = doc.withColumn("__doc", F.monotonically_increasing_id()).select(
-        "__doc", "hospital_name", c("version").alias("file_version"), "last_updated_on",
-        F.array_join(F.coalesce("location_name", "hospital_location"), "|").alias("location_name"),
-        c("license_information.license_number").alias("license_number"), c("license_information.state").alias("license_state"),
-        F.array_join("type_2_npi", ";").alias("type_2_npi"), F.posexplode("standard_charge_information").alias("__item", "i"),
+    listed, documents = pieces.items(spark, path, JSON_ITEM, JSON_SHELL)
+    items = listed.select(c("path").alias("__doc"), c("item_id").alias("__item"), "i")
+    about = documents.select(
+        c("path").alias("__doc"), "doc.hospital_name", c("doc.version").alias("file_version"), "doc.last_updated_on",
+        F.array_join(F.coalesce("doc.location_name", "doc.hospital_location"), "|").alias("location_name"),
+        c("doc.license_information.license_number").alias("license_number"), c("doc.license_information.state").alias("license_state"),
+        F.array_join("doc.type_2_npi", ";").alias("type_2_npi"),
     )
     meta = ["hospital_name", "file_version", "last_updated_on", "location_name", "license_number", "license_state", "type_2_npi"]
     # targets of an item first: of its entries with one code the verified, then the first counts; only items with targets go on, and each of their charges and payers is a row, equal ones too
     coded = items.select("*", F.posexplode("i.code_information").alias("__slot", "__c")).select("*", c("__c.code").alias("code"), c("__c.type").alias("type"))
     hits = first_rows(matched(coded, codebook), ["__doc", "__item", "code_system", "code"], [F.desc("type_verified"), c("__slot")])
+    hits = hits.join(F.broadcast(about), "__doc", "left")  # one short row a file
     target = ["concept", "code", "code_system", "code_type", "type_verified"]
     lines = hits.select(*meta, *target, c("i.description").alias("description"), F.explode_outer("i.standard_charges").alias("s"))
     rates = lines.select(*meta, *target, "description", c("s.setting"), c("s.billing_class"), c("s.gross_charge").alias("gross"), c("s.discounted_cash"), c("s.minimum").alias("min"), c("s.maximum").alias("max"), F.array_join(F.coalesce("s.modifiers", "s.modifier_code"), "|").alias("modifiers"), c("s.additional_generic_notes").alias("generic_notes"), F.explode_outer("s.payers_information").alias("p"))

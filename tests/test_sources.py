@@ -49,6 +49,22 @@ def test_wide_csv(spark, tmp_path, book):
     assert got == [("Bare", "", "", None, None, None, None), ("Hernia", "P1", "Gold", 5.0, None, "3", None), ("Hernia 2", "P2", "A|B", None, 40.0, None, "own")]
 
 
+def test_csv_rejects(spark, tmp_path, book):
+    path = tmp_path / "odd.csv"
+    path.write_text(
+        "hospital_name,version\nH,3.0\n"
+        "description,code|1,code|1|type,setting,standard_charge|gross,payer_name,plan_name,standard_charge|negotiated_dollar\n"
+        "Good,49505,CPT,both,10,P,Q,5\n"
+        "Trailing commas,49505,CPT,both,10,P,Q,6,,\n"
+        "Short,49505,CPT,both,12\n"
+        "Shifted, by a comma,49505,CPT,both,10,P,Q,7\n"
+    )
+    got = sorted((r.description, r.gross, r.negotiated_dollar) for r in mrf.read_csv(spark, str(path), book).collect())
+    assert got == [("Good", 10.0, 5.0), ("Short", 12.0, None), ("Trailing commas", 10.0, 6.0)]
+    rejects = [r.cells for r in mrf.csv_rejects(spark, str(path)).collect()]
+    assert [(c[0], c[8]) for c in rejects] == [("Shifted", "7")]
+
+
 def test_json(spark, tmp_path, book):
     path = tmp_path / "a.json"
     path.write_text(json.dumps({
