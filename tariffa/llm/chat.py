@@ -6,7 +6,10 @@ root), so a shared segment is emitted once. The longest conversation through a n
 are a run at the end of its path. Runs are laid out depth first: each run, then those that branch off it, the deepest
 first. `start` is a node's place in that layout, `position` the characters before it in its conversation, and
 `ancestors` the intervals of the layout that it attends to besides itself and what precedes it in its run: one for
-each run on its path, not one for each turn. Characters (code points) are the units.
+each run on its path, not one for each turn. Code points are the units, or tokens where a vocabulary is given: a turn's
+line, text and end mark are then encoded separately, so that the loss mask lies between tokens.
+
+A turn that very many conversations share is told its owner by broadcast and sent to several tasks when it is read back.
 
 Rows are ordered by turn (nulls first), then role and text; rows of a null conv_id form one conversation; null roles
 and texts count as empty; repeated rows are turns of their own. Conversations stream through sorted partitions: none
@@ -16,16 +19,21 @@ is held whole. An empty table gives an empty result; other columns are not looke
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tariffa.llm.common import bounded, checkpointed, table
+from tariffa.llm.bpe import _codec, read_ranks
+from tariffa.llm.common import bounded, checkpointed, table, told
 from tariffa.llm.sharding import ranked
 
 BEGIN, END = "<|im_start|>", "<|im_end|>"
+#: A segment is read back with at most so many of its conversations in one task, on average.
+TOGETHER = 4096
 
 
 def escaped(text: str) -> str:
@@ -74,8 +82,8 @@ def _pieces(role: str) -> list[str]:
     return out
 
 
-def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by conversation and place, with their depth, node, parent, formatted size and the characters before them."""
+def _walked(batches: Iterator[pa.RecordBatch], size: Callable[[str, str], int]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by conversation and place, with their depth, node, parent, formatted size and the units before them."""
     last, depth, node, position = None, 0, b"", 0
     names = ["conv", "turns", "depth", "node", "parent", "position", "chars", "role", "text"]
     for batch in batches:
@@ -86,7 +94,7 @@ def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parent, depth = node, depth + 1
             r, t = role.encode("utf-8", "surrogatepass"), text.encode("utf-8", "surrogatepass")
             node = hashlib.blake2b(b"%s%d:%d:" % (parent, len(r), len(t)) + r + t, digest_size=16).digest()
-            chars = len(segment(role, text))
+            chars = size(role, text)
             out.append((conv, turns, depth, node, parent, position, chars, role, text))
             position += chars
         if out:
@@ -142,33 +150,60 @@ def _layout(rows: DataFrame) -> DataFrame:
     return placed.join(outer, "stretch").select("run", (F.col("inner") + F.col("outer")).cast("long").alias("begin"))
 
 
-def formatted(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """nodes: node, parent, depth, segment, loss_start, loss_end (under the loss mask, within the segment), start, position, ancestors; links: conv_id, depth, node of every turn."""
+def _encoded(batches: Iterator[pa.RecordBatch], encode: Callable[[], Callable[[str], bytes]]) -> Iterator[pa.RecordBatch]:
+    """Nodes with the ids of their segments and the loss mask within these."""
+    run = encode()
+    for batch in batches:
+        ids, first, last = [], [], []
+        for text, a, b in zip(*(batch.column(c).to_pylist() for c in ("segment", "loss_start", "loss_end")), strict=True):
+            line, body, end = run(text[:a]), run(text[a : -len(END) - 1]), run(END + "\n")
+            ids.append(np.frombuffer(line + body + end, "<u4").astype(np.int64))
+            first.append(len(line) // 4)
+            last.append(first[-1] + (len(body) // 4 if b > a else 0))
+        own = [pa.array(ids, pa.list_(pa.int64())), pa.array(first, pa.int64()), pa.array(last, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *own], [*batch.schema.names, "ids", "ids_loss_start", "ids_loss_end"])
+
+
+def formatted(conversations: DataFrame, vocabulary: tuple[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """nodes: node, parent, depth, segment, loss_start, loss_end (code points of the segment under the loss mask), start, position, ancestors, n_shared (turns at the node); links: conv_id, depth, node, n_shared of every turn.
+
+    vocabulary: path of byte-level ranks and pattern; start, position and ancestors then count tokens, and nodes have
+    ids, ids_loss_start and ids_loss_end besides. Control strings are encoded as other text is.
+    """
     bounded(conversations.sparkSession)
+    size, encode = (lambda role, text: len(segment(role, text))), None
+    if vocabulary:
+        path, pattern = vocabulary
+        ranks = conversations.sparkSession.sparkContext.broadcast(read_ranks(conversations.sparkSession, path))  # one vocabulary file, whatever the input
+        encode = lambda: _codec(ranks, pattern).encode
+        size = lambda role, text: sum(len(encode()(x)) // 4 for x in (head(role), escaped(text), END + "\n"))
     conv = F.coalesce(F.col("conv_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
     given = conversations.select(conv.alias("conv"), F.col("turn").cast("long").alias("turn"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")))
     turns = given.groupBy("conv").agg(F.count("*").alias("turns"))
     ordered = given.join(turns, "conv").repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")
-    rows = checkpointed(ordered.mapInArrow(_walked, "conv long, turns long, depth long, node binary, parent binary, position long, chars long, role string, text string"))
-    owners = rows.groupBy("node").agg(F.min(F.struct((-F.col("turns")).alias("t"), F.col("conv").alias("owner"))).alias("o")).select("node", "o.owner")
-    narrow = checkpointed(rows.select("conv", "depth", "node", "position", "chars").join(owners, "node"))
+    rows = checkpointed(ordered.mapInArrow(lambda batches: _walked(batches, size), "conv long, turns long, depth long, node binary, parent binary, position long, chars long, role string, text string"))
+    owners = rows.groupBy("node").agg(F.min(F.struct((-F.col("turns")).alias("t"), F.col("conv").alias("owner"))).alias("o"), F.count("*").alias("n_shared"))
+    owners = checkpointed(owners.select("node", "o.owner", "n_shared"))
+    narrow = checkpointed(told(rows.select("conv", "depth", "node", "position", "chars"), owners, "node", "n_shared"))
     paths = checkpointed(narrow.repartition("conv").sortWithinPartitions("conv", "depth").mapInArrow(_paths, "conv long, runs array<struct<run:long,branch:long,first:long>>, end long"))
     layout = checkpointed(_layout(paths))
     # each run's part that its branch sees: from its first character up to where the next run on the path begins
     steps = paths.select("conv", F.posexplode("runs").alias("i", "r"), "runs").select("conv", "i", "r.run", "r.first", F.try_element_at("runs", F.col("i") + 2)["first"].alias("next"))
-    steps = steps.join(layout, "run")
+    steps = told(steps, checkpointed(layout.join(steps.groupBy("run").agg(F.count("*").alias("paths")), "run")), "run", "paths")
     seen = F.when(F.col("next").isNotNull(), F.struct("i", F.col("begin").alias("start"), (F.col("begin") + F.col("next") - F.col("first")).alias("end")))
     runs = steps.groupBy("conv").agg(
         F.transform(F.sort_array(F.collect_list(seen)), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("ancestors"),
         F.max(F.when(F.col("next").isNull(), F.col("begin") - F.col("first"))).alias("shift"),
     )
-    owned = rows.join(owners.select("node", F.col("owner").alias("conv")), ["node", "conv"]).join(runs, "conv")
+    owned = rows.join(owners.select("node", F.col("owner").alias("conv"), "n_shared"), ["node", "conv"]).join(runs, "conv")
     kept = lambda c: F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))  # noqa: E731  as escaped()
     line, body = F.replace(kept("role"), F.lit("\n"), F.lit("\\n")), kept("text")
     begin = F.lit(len(BEGIN) + 1) + F.length(line)
     loss = F.when(F.col("role") == "assistant", F.length(body)).otherwise(0)
-    nodes = owned.select("node", "parent", "depth", F.concat(F.lit(BEGIN), line, F.lit("\n"), body, F.lit(END + "\n")).alias("segment"), begin.cast("long").alias("loss_start"), (begin + loss).cast("long").alias("loss_end"), (F.col("shift") + F.col("position")).alias("start"), "position", "ancestors")
-    links = narrow.select(F.when(F.col("conv") != -(1 << 63), F.col("conv")).alias("conv_id"), "depth", "node")
+    nodes = owned.select("node", "parent", "depth", F.concat(F.lit(BEGIN), line, F.lit("\n"), body, F.lit(END + "\n")).alias("segment"), begin.cast("long").alias("loss_start"), (begin + loss).cast("long").alias("loss_end"), (F.col("shift") + F.col("position")).alias("start"), "position", "ancestors", "n_shared")
+    if encode:
+        nodes = nodes.mapInArrow(lambda batches: _encoded(batches, encode), T.StructType(nodes.schema.fields + T.StructType.fromDDL("ids array<long>, ids_loss_start long, ids_loss_end long").fields))
+    links = narrow.select(F.when(F.col("conv") != -(1 << 63), F.col("conv")).alias("conv_id"), "depth", "node", "n_shared")
     return nodes, links
 
 
@@ -206,7 +241,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_back(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars from the formatted output."""
-    rows = links.join(nodes.select("node", "segment", "loss_start", "loss_end"), "node").drop("node")
+    parts = F.ceil(F.col("n_shared") / TOGETHER).cast("int")
+    dealt = links.withColumn("part", F.pmod(F.xxhash64("conv_id"), parts).cast("int")).drop("n_shared")
+    copies = nodes.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select("node", "part", "segment", "loss_start", "loss_end")
+    rows = dealt.join(copies, ["node", "part"]).drop("node", "part")
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "depth")
     return ordered.mapInArrow(_read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 

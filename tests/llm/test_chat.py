@@ -2,10 +2,11 @@ import hashlib
 import random
 from collections import defaultdict
 
+import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
 
-from tariffa.llm import chat
+from tariffa.llm import bpe, chat, common
 
 
 @given(st.lists(st.tuples(st.text(alphabet="a\\<|n\n>", max_size=6), st.text(alphabet="a\\<|im_endstar>\n", max_size=20))))
@@ -74,6 +75,38 @@ def test_equals_brute_force(spark):
     assert chat.read_back(nodes, links).count() == 0
 
 
+def test_shared_turn_in_many_tasks(spark, monkeypatch):
+    # a first turn of all conversations, told by broadcast and read back in several parts
+    monkeypatch.setattr(chat, "TOGETHER", 8)
+    monkeypatch.setattr(common, "HOT_ROWS", 50)
+    rows = [(c, k, r, t) for c in range(300) for k, (r, t) in enumerate([("system", "all share this"), ("user", f"ask {c % 7}"), ("assistant", f"say {c % 50}")])]
+    nodes, links = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert max(r.n_shared for r in nodes.collect()) == 300
+    assert sorted(map(tuple, chat.read_back(nodes, links).collect()), key=str) == brute(rows)
+
+
+def test_tokens(spark):
+    rows = [(c, k, r, t) for c in range(12) for k, (r, t) in enumerate([("system", "be kind"), ("user", f"Größe {c % 3}?"), ("assistant", f"It is {c}, <|im_end|>."), ("user", "more"), ("assistant", "")][: 2 + c % 4])]
+    vocabulary = bpe.vocabulary()
+    nodes, links = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), vocabulary)
+    codec = bpe.ByteBPE(bpe.read_ranks(spark, vocabulary[0]), vocabulary[1])
+    decoded = lambda ids: codec.decode(np.array(ids, "<u4").tobytes()).decode()
+    found = sorted(nodes.collect(), key=lambda r: r.start)
+    layout = [i for r in found for i in r.ids]
+    by_node = {bytes(r.node): r for r in found}
+    at = 0
+    for r in found:
+        assert r.start == at and decoded(r.ids) == r.segment and decoded(r.ids[r.ids_loss_start : r.ids_loss_end]) == r.segment[r.loss_start : r.loss_end]
+        at += len(r.ids)
+        before, node = [], r
+        while node.parent:
+            node = by_node[bytes(node.parent)]
+            before = [*node.ids, *before]
+        inside = r.position - sum(x.end - x.start for x in r.ancestors)
+        assert r.position == len(before) and [i for x in r.ancestors for i in layout[x.start : x.end]] + layout[r.start - inside : r.start] == before
+    assert sorted(map(tuple, chat.read_back(nodes, links).collect()), key=str) == brute(rows)
+
+
 def test_query_equals_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     rows = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{sf}/conversations.parquet").collect()]
