@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import csv
 import io
+import json
 import re
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,11 @@ from tariffa.functions import numbers as nu
 from tariffa.functions import text as tx
 from tariffa.operators import reshape as rs
 from tariffa.operators.windows import first_rows
-from tariffa.sources import pieces
+from tariffa.sources import files, pieces
+
+
+#: Bytes looked at, once unpacked, for the metadata of a file that isn't fetched whole.
+PREFIX_BYTES = 1 << 16
 
 
 def header_name(x: str) -> str:
@@ -49,6 +55,36 @@ def metadata(lines: Sequence[str]) -> dict[str, str | None]:
     return {k: v or None for k, v in out.items()}
 
 
+def prefix_metadata(data: bytes) -> dict[str, str | None]:
+    """metadata() from the first bytes of a CSV or JSON file, plain or in a gzip or zip stream that breaks off."""
+    text = files.decoded(files.inflated(data, PREFIX_BYTES))
+    if files.content(text[:512].encode()) != "json":
+        lines = text.splitlines()
+        return metadata(lines[: min(2, find_header(lines[:-1] or lines) or 2)])
+    quoted = r'"(?:[^"\\]|\\.)*"'
+
+    def values(key: str) -> list[str]:
+        """The strings of a key or of its list."""
+        m = re.search(rf'"{key}"\s*:\s*(?:{quoted}|\[[^\[\]{{}}]*\])', text)
+        return [json.loads(x, strict=False) for x in re.findall(quoted, m[0][m[0].index(":") :])] if m else []
+
+    out = {k: next(iter(values(n)), None) for k, n in {"hospital_name": "hospital_name", "file_version": "version", "last_updated_on": "last_updated_on", "license_number": "license_number", "license_state": "state"}.items()}
+    out |= {"location_name": "|".join(values("location_name") or values("hospital_location")), "type_2_npi": ";".join(values("type_2_npi"))}
+    return {k: v or None for k, v in out.items()}
+
+
+def probed(prefixes: DataFrame) -> DataFrame:
+    """url and the metadata columns of each file's first bytes. prefixes: url, content (binary)."""
+    names = ("hospital_name", "file_version", "last_updated_on", "location_name", "type_2_npi", "license_number", "license_state")
+
+    def run(batches):
+        for b in batches:
+            found = [prefix_metadata(bytes(x or b"")) for x in b["content"]]
+            yield pd.DataFrame({"url": b["url"]} | {n: [f.get(n) for f in found] for n in names})
+
+    return prefixes.select("url", "content").mapInPandas(run, "url string, " + ", ".join(f"{n} string" for n in names))
+
+
 def matched(df: DataFrame, codebook: DataFrame, code: str = "code", kind: str = "type") -> DataFrame:
     """Rows whose code, read as each family's, is a target of that family and whose type fits. codebook: concept, code, code_family (a small table)."""
     families = F.explode(F.array(*(F.lit(f) for f in tx.CODE_TYPES))).alias("code_family")

@@ -35,10 +35,11 @@ def staged(spark: SparkSession, source: str, schema: T.StructType, out: str, che
 
 
 def frontier(seeds: DataFrame, links: DataFrame, rounds: int = 3) -> DataFrame:
-    """node, round: what is reached from the seeds over links (from, to) in so many rounds, with the first round that found it."""
-    found = seeds.select(F.col("node"), F.lit(0).alias("round")).distinct()
+    """node, round, via: what is reached from the seeds over links (from, to) in so many rounds, the first round that found it and, but for seeds, the least node of the round before that links to it."""
+    found = seeds.select("node", F.lit(0).alias("round"), F.lit(None).cast(links.schema["from"].dataType).alias("via")).distinct()
     edge = found
     for k in range(1, rounds + 1):
-        edge = links.join(edge.select(F.col("node").alias("from")), "from", "left_semi").select(F.col("to").alias("node")).distinct().join(found, "node", "left_anti").withColumn("round", F.lit(k))
+        met = links.join(edge.select(F.col("node").alias("from")), "from").groupBy(F.col("to").alias("node")).agg(F.min("from").alias("via"))
+        edge = met.join(found, "node", "left_anti").select("node", F.lit(k).alias("round"), "via")
         found = found.unionByName(edge)
     return found

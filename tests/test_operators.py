@@ -201,8 +201,8 @@ def test_resume(spark, tmp_path):
     resume.staged(spark, src, schema, out, mark, double, 1)
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 2, 4, 6, 8, 10, 12]
     links = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (4, 5)], "from long, to long")
-    found = {r.node: r["round"] for r in resume.frontier(spark.createDataFrame([(1,)], "node long"), links).collect()}
-    assert found == {1: 0, 2: 1, 3: 2, 4: 3}
+    found = {r.node: (r["round"], r.via) for r in resume.frontier(spark.createDataFrame([(1,)], "node long"), links).collect()}
+    assert found == {1: (0, None), 2: (1, 1), 3: (2, 2), 4: (3, 3)}
 
 
 def test_entry(spark):

@@ -80,6 +80,17 @@ def test_json(spark, tmp_path, book):
     assert {r.license_state for r in rows} == {"CO"}
 
 
+def test_probed(spark):
+    text = '{"version": "3", "hospital_name": "A \\"B\\" é", "last_updated_on": "2026-01-02", "location_name": ["N", "S"], "license_information": {"license_number": "L1", "state": "CO"}, "type_2_npi": ["1234567890", "1098765432"], "standard_charge_information": [' + '{"description": "x", "version": "9"},' * 9000
+    heads = "hospital_name,last_updated_on,version,license_number | TX,type_2_npi\nOwn,1/2/2026,3.0,L-7,1234567890\ndescription,code|1\nx,1\ny"
+    rows = [("j", text.encode()), ("g", gzip.compress(text.encode())[:600]), ("c", heads.encode()), ("none", None), ("odd", b"<html>"), ("cut", b"hospital_name,ver")]
+    got = {r.url: r for r in mrf.probed(spark.createDataFrame(rows, "url string, content binary")).collect()}
+    for k in ("j", "g"):
+        assert tuple(got[k])[1:] == ('A "B" é', "3", "2026-01-02", "N|S", "1234567890;1098765432", "L1", "CO")
+    assert (got["c"].hospital_name, got["c"].file_version, got["c"].license_number, got["c"].license_state, got["c"].type_2_npi) == ("Own", "3.0", "L-7", "TX", "1234567890")
+    assert all(set(tuple(got[k])[1:]) == {None} for k in ("none", "odd", "cut"))
+
+
 def test_bytes(spark, tmp_path):
     assert files.encoding("é,1".encode("utf-16-le") * 20) == "utf-16-le" and files.encoding("plain é".encode()) == "utf-8" and files.encoding(b"caf\xe9 x") == "cp1252"
     assert files.decoded("é ".encode() + b"caf\xe9") == "é café"
