@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tariffa.llm import bpe, chat, decontaminate, forest, langid, minhash, pii, quality, sharding, substrings
+from tariffa.llm import bpe, chat, decontaminate, forest, langid, minhash, periods, pii, quality, sharding, substrings
 
-QUERIES = {"op1_gear_chunks": substrings.op1_gear_chunks, "op10_site_quality": quality.op10_site_quality, "op2_prefix_forest": forest.op2_prefix_forest, "op3_byte_bpe": bpe.op3_byte_bpe, "op4_spaced_seeds": decontaminate.op4_spaced_seeds, "op5_minhash_join": minhash.op5_minhash_join, "op6_hilbert_shards": sharding.op6_hilbert_shards, "op7_kneser_ney": langid.op7_kneser_ney, "op8_prefix_tree": chat.op8_prefix_tree, "op9_pii_anchors": pii.op9_pii_anchors}
+QUERIES = {"op1_gear_chunks": substrings.op1_gear_chunks, "op10_site_quality": quality.op10_site_quality, "op13_periodic_runs": periods.op13_periodic_runs, "op2_prefix_forest": forest.op2_prefix_forest, "op3_byte_bpe": bpe.op3_byte_bpe, "op4_spaced_seeds": decontaminate.op4_spaced_seeds, "op5_minhash_join": minhash.op5_minhash_join, "op6_hilbert_shards": sharding.op6_hilbert_shards, "op7_kneser_ney": langid.op7_kneser_ney, "op8_prefix_tree": chat.op8_prefix_tree, "op9_pii_anchors": pii.op9_pii_anchors}
 #: The operators that SQL can express. MinHash may miss a link at the threshold once in ten thousand.
 ORACLE_SQL: dict[str, str] = {
     "op5_minhash_join": r"""
