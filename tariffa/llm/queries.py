@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from tariffa.llm import bpe, chat, decontaminate, forest, langid, minhash, periods, pii, quality, sharding, substrings
+from tariffa.llm import bpe, chat, decontaminate, divergence, forest, langid, minhash, periods, pii, quality, sharding, substrings
 
-QUERIES = {"op1_gear_chunks": substrings.op1_gear_chunks, "op10_site_quality": quality.op10_site_quality, "op13_periodic_runs": periods.op13_periodic_runs, "op2_prefix_forest": forest.op2_prefix_forest, "op3_byte_bpe": bpe.op3_byte_bpe, "op4_spaced_seeds": decontaminate.op4_spaced_seeds, "op5_minhash_join": minhash.op5_minhash_join, "op6_hilbert_shards": sharding.op6_hilbert_shards, "op7_kneser_ney": langid.op7_kneser_ney, "op8_prefix_tree": chat.op8_prefix_tree, "op9_pii_anchors": pii.op9_pii_anchors}
+QUERIES = {"op1_gear_chunks": substrings.op1_gear_chunks, "op10_site_quality": quality.op10_site_quality, "op12_source_divergence": divergence.op12_source_divergence, "op13_periodic_runs": periods.op13_periodic_runs, "op2_prefix_forest": forest.op2_prefix_forest, "op3_byte_bpe": bpe.op3_byte_bpe, "op4_spaced_seeds": decontaminate.op4_spaced_seeds, "op5_minhash_join": minhash.op5_minhash_join, "op6_hilbert_shards": sharding.op6_hilbert_shards, "op7_kneser_ney": langid.op7_kneser_ney, "op8_prefix_tree": chat.op8_prefix_tree, "op9_pii_anchors": pii.op9_pii_anchors}
 #: The operators that SQL can express. MinHash may miss a link at the threshold once in ten thousand.
 ORACLE_SQL: dict[str, str] = {
+    "op12_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+o AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT g.lang, count(k.term)::HUGEINT AS v FROM (SELECT DISTINCT lang FROM g) g LEFT JOIN k USING (lang) GROUP BY g.lang),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM o JOIN k USING (lang, term) GROUP BY lang, source, term),
+s AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS own FROM g LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (s.own + v.v) AS p
+  FROM g JOIN k USING (lang) JOIN v USING (lang) JOIN s USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 1)::HUGEINT) // (sum(sum(n)) OVER (PARTITION BY lang) + any_value(v.v))::HUGEINT AS q FROM p JOIN v USING (lang) GROUP BY lang, term),
+m AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // y.p), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+t AS (SELECT lang, source, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM m
+UNION ALL SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER FROM t QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) <= 200""",
     "op5_minhash_join": r"""
 WITH RECURSIVE t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents WHERE doc_id IS NOT NULL),
 c AS (SELECT body, min(doc_id) AS class_id, count(*)::BIGINT AS n_copies FROM t GROUP BY body),
