@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from tariffa.llm import bpe, chat, decontaminate, divergence, forest, langid, minhash, periods, pii, quality, sharding, substrings
+from tariffa.llm import bpe, chat, decontaminate, divergence, forest, langid, minhash, periods, pii, quality, sharding, subspaces, substrings
 
-QUERIES = {"op1_gear_chunks": substrings.op1_gear_chunks, "op10_site_quality": quality.op10_site_quality, "op12_source_divergence": divergence.op12_source_divergence, "op13_periodic_runs": periods.op13_periodic_runs, "op2_prefix_forest": forest.op2_prefix_forest, "op3_byte_bpe": bpe.op3_byte_bpe, "op4_spaced_seeds": decontaminate.op4_spaced_seeds, "op5_minhash_join": minhash.op5_minhash_join, "op6_hilbert_shards": sharding.op6_hilbert_shards, "op7_kneser_ney": langid.op7_kneser_ney, "op8_prefix_tree": chat.op8_prefix_tree, "op9_pii_anchors": pii.op9_pii_anchors}
+QUERIES = {"op1_gear_chunks": substrings.op1_gear_chunks, "op10_site_quality": quality.op10_site_quality, "op11_subspace_join": subspaces.op11_subspace_join, "op12_source_divergence": divergence.op12_source_divergence, "op13_periodic_runs": periods.op13_periodic_runs, "op2_prefix_forest": forest.op2_prefix_forest, "op3_byte_bpe": bpe.op3_byte_bpe, "op4_spaced_seeds": decontaminate.op4_spaced_seeds, "op5_minhash_join": minhash.op5_minhash_join, "op6_hilbert_shards": sharding.op6_hilbert_shards, "op7_kneser_ney": langid.op7_kneser_ney, "op8_prefix_tree": chat.op8_prefix_tree, "op9_pii_anchors": pii.op9_pii_anchors}
 #: The operators that SQL can express. MinHash may miss a link at the threshold once in ten thousand.
 ORACLE_SQL: dict[str, str] = {
+    "op11_subspace_join": r"""
+WITH RECURSIVE t AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE vec_id IS NOT NULL),
+u AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS size FROM t WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE list_dot_product(a.v, b.v) >= 0.95 * a.size * b.size),
+r(k, root) AS (SELECT vec_id, vec_id FROM t UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.k),
+c AS (SELECT k, min(root) AS root FROM r GROUP BY k),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.root AS component_id, vec_id = c.root AS kept FROM t JOIN c ON c.k = vec_id LEFT JOIN n ON n.a = vec_id""",
     "op12_source_divergence": r"""
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
