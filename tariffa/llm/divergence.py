@@ -29,12 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import checkpointed, slices, spread, stored, table, text_col
+from tariffa.llm.common import slices, spread, stored, table, text_col
 
 #: Documents of a language that a kept term is in (the counts tell one, two and more apart), ranks of the terms that are given.
 LEAST_DOCS, RANKS = 3, 200
 #: Text bytes whose counts are added up at once, rows that are read at once, pairs that are summed at once.
-COUNT_BYTES, ROWS, PAIRS = 24_000_000, 50_000, 2_000_000
+COUNT_BYTES, ROWS, PAIRS = 10_000_000, 50_000, 1_000_000
 #: What parts terms.
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -278,7 +278,7 @@ def _begins(part: pa.Table) -> np.ndarray:
 def audit(docs: DataFrame, ranks: int = RANKS, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source, part, item, value, rank: `pair` rows compare a source with each other one of its language, `term` rows name the terms that it has more of than the language."""
     named = docs.select(text_col(lang).alias("lang"), text_col(source).alias("source"), text_col(text).alias("text"))
-    groups = checkpointed(named.select("lang", "source", F.xxhash64("lang").alias("in"), F.xxhash64("lang", "source").alias("group")).distinct())
+    groups = stored(named.select("lang", "source", F.xxhash64("lang").alias("in"), F.xxhash64("lang", "source").alias("group")).distinct())
     same = groups.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() + groups.groupBy("in").agg(F.count_distinct("lang").alias("n")).where("n > 1").limit(1).count()
     if same:
         raise ValueError("two groups have one hash")
@@ -289,7 +289,7 @@ def audit(docs: DataFrame, ranks: int = RANKS, text: str = "text", lang: str = "
     # a row for each source of each language, with the share of a term that it doesn't have
     sources = groups.join(of_langs, "in", "left").join(of_sources, "group", "left").fillna(0, ["own", "terms", "all", "kinds"])
     zero = F.when(F.col("kinds") > 0, _share(F.lit(0).cast("long"), F.col("own"), F.col("kinds"))).otherwise(1)
-    sources = checkpointed(sources.select("lang", "source", "in", "group", "own", "terms", "kinds", "all", zero.alias("zero")))
+    sources = stored(sources.select("lang", "source", "in", "group", "own", "terms", "kinds", "all", zero.alias("zero")))
     known = counts.join(sources.select("group", "source", "own", "kinds", "all", "zero", F.col("lang").alias("name")), "group")
     known = known.select("lang", "name", "source", "group", "term", "whole", "all", "kinds", _share(F.col("n"), F.col("own"), F.col("kinds")).alias("p"), "zero")
 
