@@ -168,19 +168,17 @@ def wrapped(docs: DataFrame) -> DataFrame:
     """doc_id and text of documents; with h = crc32(doc_id), where h is a multiple of 10 the words from one on repeat with a period that h gives."""
     h = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary"))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    g, n = F.floor(h / 10), F.size(words)
-    a = F.pmod(g, n)
-    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+    g, n = F.floor(h / 10), F.size("words")
+    a = F.when(n > 0, F.pmod(g, n))
+    p = 1 + F.floor((n - F.col("a")) / (3 + F.pmod(g, F.lit(8))))
 
     def place(i: Column) -> Column:
         return F.when(i < F.col("a"), i).otherwise(F.col("a") + F.pmod(i - F.col("a"), F.col("p")))
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col().alias("text"))
-    chosen = given.where(F.coalesce(h % 10 == 0, F.lit(False))).withColumn("words", words)
-    some = chosen.where("size(words) > 0").select("doc_id", words.alias("words"), a.cast("int").alias("a"), p.cast("int").alias("p"))
+    given = given.withColumn("words", F.when(h % 10 == 0, words)).withColumn("a", a.cast("int")).withColumn("p", p.cast("int"))
     made = F.transform(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.element_at("words", (place(i) + 1).cast("int")))
-    other = given.where(~F.coalesce(h % 10 == 0, F.lit(False))).unionByName(chosen.where("size(words) = 0").select("doc_id", "text"))
-    return some.select("doc_id", F.array_join(made, " ").alias("text")).unionByName(other)
+    return given.select("doc_id", F.when(F.size("words") > 0, F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
