@@ -123,48 +123,61 @@ def linked(vectors: np.ndarray, side: np.ndarray, home: np.ndarray, block: int,
     dims = vectors.shape[1]
     blocks = blocks_of(dims, budget.block_dims)
     unit = units(vectors)
-    turned = rotated(unit)
-    own = turned[:, slice(*blocks[block])]
+    own = unit @ rotation(dims)[slice(*blocks[block])].T
     apart = side.any()
-    first, second = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if apart else (np.arange(len(side)),) * 2
-    for a in range(0, len(first), ROWS):
-        rows = first[a : a + ROWS]
-        among = second if apart else second[a:]
-        x, y = _near(own[rows], own[among], budget.part(dims, blocks[block]))
-        x, y = rows[x], among[y]
-        good = (home[x] | home[y]) & ((x < y) | apart)
-        x, y = x[good], y[good]
-        for p in range(0, len(x), PAIRS):
-            u, v = x[p : p + PAIRS], y[p : p + PAIRS]
-            fine = (unit[u] * unit[v]).sum(axis=1) >= budget.threshold
-            u, v = u[fine], v[fine]
-            apart_by = (turned[u] - turned[v]) ** 2
-            within = [apart_by[:, slice(*blocks[k])].sum(axis=1) <= budget.part(dims, blocks[k]) for k in range(block + 1)]
-            counts = within[block] & ~np.any(within[:block], axis=0) if block else within[0]
-            if counts.any():
-                yield u[counts], v[counts]
-
-
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    on = side == 1 if apart else np.ones(len(side), bool)
+    tasks = [(np.flatnonzero(home & (side == 0)), np.flatnonzero(on))]
+    if apart:
+        tasks.append((np.flatnonzero(~home & (side == 0)), np.flatnonzero(home & on)))
+    for first, among in tasks:
+        for a in range(0, len(first) if len(among) else 0, ROWS):
+            rows = first[a : a + ROWS]
+            x, y = _near(own[rows], own[among], budget.part(dims, blocks[block]))
+            x, y = rows[x], among[y]
+            if not apart:
+                good = ~home[y] | (x < y)
+                x, y = x[good], y[good]
+            for p in range(0, len(x), PAIRS):
+                u, v = x[p : p + PAIRS], y[p : p + PAIRS]
+                fine = (unit[u] * unit[v]).sum(axis=1) >= budget.threshold
+                u, v = u[fine], v[fine]
+                if not len(u):
+                    continue
+                used, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+                turned = rotated(unit[used])
+                apart_by = (turned[place[: len(u)]] - turned[place[len(u) :]]) ** 2
+                within = [apart_by[:, slice(*blocks[k])].sum(axis=1) <= budget.part(dims, blocks[k]) for k in range(block + 1)]
+                counts = within[block] & ~np.any(within[:block], axis=0) if block else within[0]
+                if counts.any():
+                    yield u[counts], v[counts]
+
+
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Runs of rows with equal keys, from sorted rows; only one run is held."""
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
-        lists = [batch.column(k).to_pylist() for k in keys]
-        start = 0
-        for i, key in enumerate(zip(*lists, strict=True)):
-            if key != last:
-                if i > start:
-                    held.append(batch.slice(start, i - start))
-                if held:
-                    yield pa.Table.from_batches(held)
-                held, last, start = [], key, i
-        if batch.num_rows > start:
-            held.append(batch.slice(start))
+        if not batch.num_rows:
+            continue
+        column = batch.column(key)
+        cuts = np.flatnonzero(pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+            if held and (a or column[0].as_py() != last):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+        last = column[-1].as_py()
     if held:
         yield pa.Table.from_batches(held)
 
 
+def _rows(column: pa.ChunkedArray, number: np.dtype) -> np.ndarray:
+    """The vectors, all of one length, as doubles."""
+    column = column.combine_chunks()
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(number).reshape(len(column), -1).astype(np.float64)
+
+
 def _named(vectors: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame, np.dtype]:
     """vec_id and key (the vector's bytes, null where it can't be compared), a row for each vec_id, and the kind of number in key."""
     kind = dict(vectors.dtypes)[embedding]
@@ -210,26 +223,30 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, vec_id: st
                     yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(ids[np.array(at)[row]]), pa.array(home)], ["cell", "rep", "home"])
 
     cells = checkpointed(reps.select("key", "rep").mapInArrow(dealt, "cell string, rep long, home boolean"))
-    crowd = cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("home").alias("any"))
-    # a cell with one row, or with none at home, has no pairs
-    crowd = checkpointed(crowd.where("n > 1 and any").select("cell", "n", F.ceil(F.col("n") / piece).cast("int").alias("pieces")))
-    met = told(cells, crowd, "cell", "n")
-    side = F.pmod(F.xxhash64("rep", "cell"), F.col("pieces")).cast("int").alias("side")
-    tiles = met.select("cell", "rep", "home", side, F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other"))
+    crowd = cells.groupBy("cell").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("int")).alias("homes"))
+    # a cell with one row, or with none at home, has no pairs; a small one is one tile, a crowded one has pieces at home and others that meet them only
+    one = F.col("n") <= 2 * piece
+    crowd = crowd.where("n > 1 and homes > 0").select("cell", "n", F.when(one, 1).otherwise(F.ceil(F.col("homes") / piece)).cast("int").alias("own"), F.when(one, 0).otherwise(F.ceil((F.col("n") - F.col("homes")) / (2 * piece))).cast("int").alias("far"))
+    met = told(cells, checkpointed(crowd), "cell", "n")
+    at_home = F.col("home") | (F.col("far") == 0)
+    mixed = F.xxhash64("rep", "cell")
+    side = F.when(at_home, F.pmod(mixed, F.col("own"))).otherwise(F.col("own") + F.pmod(mixed, F.greatest("far", F.lit(1)))).cast("int").alias("side")
+    others = F.sequence(F.lit(0), F.when(at_home, F.col("own") + F.col("far")).otherwise(F.col("own")) - 1)
+    tiles = met.select("cell", "rep", "home", side, F.explode(others).alias("other"))
     tiles = tiles.select("cell", "rep", "home", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
-    keys = ["cell", "lo", "hi"]
-    placed = tiles.join(reps, "rep").repartition(*keys).sortWithinPartitions(*keys, "rep")
+    tiles = tiles.withColumn("tile", F.concat_ws("|", "cell", "lo", "hi")).drop("cell")
+    placed = tiles.join(reps, "rep").repartition("tile").sortWithinPartitions("tile", "rep")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches, keys):
+        for t in _groups(batches, "tile"):
             if t.num_rows < 2 or t["lo"][0] != t["hi"][0] and pc.count_distinct(t["side"]).as_py() < 2:
                 continue  # a tile of two pieces of which one has no rows is another tile's
-            held = np.frombuffer(b"".join(t["key"].to_pylist()), number).reshape(t.num_rows, -1).astype(np.float64)
+            held = _rows(t["key"], number)
             lo, hi = t["lo"][0].as_py(), t["hi"][0].as_py()
             side = (t["side"].to_numpy() == hi).astype(int) if lo != hi else np.zeros(t.num_rows, int)
             copies, ids = t["copies"].to_numpy(), t["rep"].to_numpy()
             links, root = np.zeros(t.num_rows, np.int64), np.arange(t.num_rows)
-            for x, y in linked(held, side, t["home"].to_numpy(zero_copy_only=False), int(t["cell"][0].as_py().split(":")[1]), budget):
+            for x, y in linked(held, side, t["home"].to_numpy(zero_copy_only=False), int(t["tile"][0].as_py().split(":")[1]), budget):
                 np.add.at(links, x, copies[y])
                 np.add.at(links, y, copies[x])
                 root = _roots(t.num_rows, np.concatenate([x, np.arange(t.num_rows)]), np.concatenate([y, root]))
