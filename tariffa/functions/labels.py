@@ -16,11 +16,15 @@ REGIONS = {
     "Northeast": "CT ME MA NH RI VT NJ NY PA", "Midwest": "IL IN MI OH WI IA KS MN MO NE ND SD",
     "South": "DE DC FL GA MD NC SC VA WV AL KY MS TN AR LA OK TX", "West": "AZ CO ID MT NV NM UT WY AK CA HI OR WA",
 }
-#: Numbers that no state has between 01 and 56; the states follow them in the order of their names. Puerto Rico is 72.
-FIPS_UNUSED = (3, 7, 14, 43, 52)
 PAYER_LABELS = {"commercial": "Commercial", "medicaid": "Medicaid", "medicare_advantage": "Medicare Advantage", "exchange": "Exchange", "self_pay_cash": "Cash price"}
 
-FIPS = dict(zip((f"{n:02d}" for n in range(1, 57) if n not in FIPS_UNUSED), sorted(STATES, key=STATES.get), strict=True)) | {"72": "PR"}
+#: Federal numbers of the states. Fixed values.
+FIPS = {
+    "01": "AL", "02": "AK", "04": "AZ", "05": "AR", "06": "CA", "08": "CO", "09": "CT", "10": "DE", "11": "DC", "12": "FL", "13": "GA", "15": "HI", "16": "ID",
+    "17": "IL", "18": "IN", "19": "IA", "20": "KS", "21": "KY", "22": "LA", "23": "ME", "24": "MD", "25": "MA", "26": "MI", "27": "MN", "28": "MS", "29": "MO",
+    "30": "MT", "31": "NE", "32": "NV", "33": "NH", "34": "NJ", "35": "NM", "36": "NY", "37": "NC", "38": "ND", "39": "OH", "40": "OK", "41": "OR", "42": "PA",
+    "44": "RI", "45": "SC", "46": "SD", "47": "TN", "48": "TX", "49": "UT", "50": "VT", "51": "VA", "53": "WA", "54": "WV", "55": "WI", "56": "WY", "72": "PR",
+}
 REGION_OF = {state: region for region, states in REGIONS.items() for state in states.split()}
 
 

@@ -67,9 +67,9 @@ CHARGES = """charges AS (
 a AS (SELECT l_suppkey, state, code, payer, plan, median(rate) AS price FROM charges GROUP BY ALL),
 b AS (SELECT l_suppkey, state, code, payer, median(price) AS price, count(*) AS n FROM a GROUP BY ALL),
 lines AS (SELECT DISTINCT l_suppkey, state, code, l_partkey, cash FROM charges WHERE cash > 1 AND cash < 2000000),
-c AS (SELECT l_suppkey, state, code, 'cash' AS payer, median(cash) AS price, count(*) AS n FROM lines GROUP BY ALL),
+c AS (SELECT l_suppkey, state, code, 'self_pay_cash' AS payer, median(cash) AS price, count(*) AS n FROM lines GROUP BY ALL),
 glines AS (SELECT DISTINCT l_suppkey, state, code, l_partkey, gross FROM charges WHERE gross > 1 AND gross < 5000000),
-g AS (SELECT l_suppkey, state, code, 'gross' AS payer, median(gross) AS price, count(*) AS n FROM glines GROUP BY ALL),
+g AS (SELECT l_suppkey, state, code, 'gross_charge' AS payer, median(gross) AS price, count(*) AS n FROM glines GROUP BY ALL),
 u AS (SELECT * FROM b UNION ALL SELECT * FROM c UNION ALL SELECT * FROM g),
 w AS (SELECT * FROM u UNION ALL SELECT l_suppkey, 'US', code, payer, price, n FROM u)
 SELECT state, code, payer, round(median(price) + 1e-7, 2) AS median_price, round(quantile_cont(price, 0.25) + 1e-7, 2) AS p25,

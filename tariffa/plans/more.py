@@ -44,13 +44,13 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey
 f AS (SELECT code, billing_class, l_suppkey, min(gross) AS least FROM x WHERE billing_class IN ('facility', 'professional') AND setting <> 'inpatient' AND gross > 1 GROUP BY ALL),
 m AS (SELECT code, billing_class, median(least) AS g, count(*) AS n FROM f GROUP BY ALL),
 w AS (SELECT code, max(g) FILTER (WHERE billing_class = 'facility') AS fg, max(n) FILTER (WHERE billing_class = 'facility') AS fn, max(g) FILTER (WHERE billing_class = 'professional') AS pg, max(n) FILTER (WHERE billing_class = 'professional') AS pn FROM m GROUP BY code),
-c AS (SELECT code, fg, CASE WHEN fn >= 20 AND pn >= 20 AND fg >= 2.5 * pg THEN sqrt(fg * pg) END AS cut FROM w),
-y AS (SELECT x.*, CASE WHEN billing_class IN ('professional', 'facility') THEN billing_class WHEN gross > 1 AND gross < cut THEN 'professional' ELSE 'facility' END AS fee_type,
-coalesce(rate > 1 AND rate < 2000000 AND NOT regexp_matches(CAST(TRY_CAST(rate AS DECIMAL(18,2)) AS VARCHAR), '^9{5,}([.](9+|0+))?$'), false) AS plausible, coalesce(code IN ('3', '5') AND gross >= 10 * fg, false) AS case_line FROM x LEFT JOIN c USING (code))
-SELECT setting, billing_class, fee_type, plausible, case_line, payer IS NULL AS no_payer, count(*)::BIGINT AS n, round(sum(rate) + 1e-7, 0) AS total FROM y GROUP BY ALL""")
+c AS (SELECT code, fg, pg, CASE WHEN fn >= 20 AND pn >= 20 AND fg >= 2.5 * pg THEN sqrt(fg * pg) END AS cut FROM w),
+y AS (SELECT x.*, fg, pg, coalesce(billing_class = 'unknown' AND gross > 1 AND cut IS NOT NULL, false) AS inferred, CASE WHEN billing_class IN ('professional', 'facility') THEN billing_class WHEN gross > 1 AND gross < cut THEN 'professional' ELSE 'facility' END AS fee_type,
+coalesce(rate > 1 AND rate < 2000000 AND NOT regexp_matches(CAST(TRY_CAST(rate AS DECIMAL(18,2)) AS VARCHAR), '^9{5,}([.](9+|0+))?$'), false) AS plausible FROM x LEFT JOIN c USING (code))
+SELECT setting, billing_class, fee_type, inferred, plausible, coalesce(code IN ('3', '5') AND gross > 10 * CASE WHEN fee_type = 'professional' THEN pg ELSE fg END, false) AS case_line, payer IS NULL AS no_payer, count(*)::BIGINT AS n, round(sum(rate) + 1e-7, 0) AS total FROM y GROUP BY ALL""")
 def star_schema_facts(spark, sf):
     s, _ = built(spark, sf)
-    return s.fact.groupBy("setting", "billing_class", "fee_type", "plausible", "case_line", F.col("payer_id").isNull().alias("no_payer")).agg(F.count("*").alias("n"), F.round(F.sum("negotiated_dollar") + 1e-7, 0).alias("total"))
+    return s.fact.groupBy("setting", "billing_class", "fee_type", F.col("fee_type_inferred").alias("inferred"), "plausible", "case_line", F.col("payer_id").isNull().alias("no_payer")).agg(F.count("*").alias("n"), F.round(F.sum("negotiated_dollar") + 1e-7, 0).alias("total"))
 
 
 @query("""SELECT CASE WHEN s_suppkey % 9 = 0 OR s_suppkey % 11 = 0 THEN 'file' ELSE lpad(s_suppkey::VARCHAR, 6, '0') END AS unit, count(*)::BIGINT AS n FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1""")

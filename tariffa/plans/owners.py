@@ -176,7 +176,7 @@ def lake_tables(spark, sf):
 
 _PLIST, _MLIST = _list(_PAYERS), _list(_METHODS)
 LAKE = f"""d AS (SELECT row_number() OVER () AS rk, l_suppkey, l_partkey, l_linestatus, {_PLIST}[(o_custkey % 5)::INT + 1] AS payer_name, o_orderpriority AS plan_name, CASE WHEN l_linenumber % 3 = 0 THEN 'inpatient' ELSE 'outpatient' END AS setting,
-  CASE WHEN l_linenumber < 4 THEN 'facility' WHEN l_linenumber < 6 THEN 'professional' END AS billing_class, l_extendedprice * CASE WHEN l_linenumber IN (4, 5) THEN 0.1::DOUBLE ELSE 1 END AS gross, l_extendedprice * (1 - l_discount) AS dollar, {_MLIST}[(l_partkey % 5)::INT + 1] AS methodology
+  CASE WHEN l_linenumber < 4 THEN 'facility' WHEN l_linenumber < 6 THEN 'professional' END AS billing_class, l_extendedprice * CASE WHEN l_linenumber IN (4, 5) THEN 0.1::DOUBLE ELSE 1 END AS gross, l_extendedprice * (1 - l_discount) AS dollar, l_extendedprice * 0.5 AS cash, {_MLIST}[(l_partkey % 5)::INT + 1] AS methodology
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
 rep AS (SELECT s_suppkey % 50 AS file, min(s_suppkey) AS l_suppkey FROM supplier GROUP BY 1), st AS (SELECT d.*, file FROM d JOIN rep USING (l_suppkey)),
 co AS (SELECT rk, '58100' AS code, 'emb' AS concept, 'CPT' AS code_type, true AS type_verified FROM st WHERE l_partkey % 6 = 0 UNION SELECT rk, '45378', 'colonoscopy', 'CPT', true FROM st WHERE l_partkey % 6 = 1 UNION SELECT rk, 'G0121', 'screening', 'HCPCS', true FROM st WHERE l_partkey % 7 = 0
@@ -203,38 +203,82 @@ def lake_columns(spark, sf):
     return lake.introspected(spark, {"hospitals": lake_tables(spark, sf)["hospitals"]})
 
 
-_MEDIANS = LAKE + """, ex AS (SELECT code, billing_class, file, min(gross) AS least FROM ro WHERE billing_class IS NOT NULL AND setting <> 'inpatient' AND gross > 1 GROUP BY ALL),
-ty AS (SELECT code, max(m) FILTER (billing_class = 'facility') AS fg, max(n) FILTER (billing_class = 'facility') AS fn, max(m) FILTER (billing_class = 'professional') AS pg, max(n) FILTER (billing_class = 'professional') AS pn FROM (SELECT code, billing_class, median(least) AS m, count(*) AS n FROM ex GROUP BY ALL) GROUP BY 1),
-cu AS (SELECT code, CASE WHEN fn >= 20 AND pn >= 20 AND fg >= 2.5 * pg THEN sqrt(fg * pg) END AS cutoff, 10 * fg AS line_from FROM ty),
-fa AS (SELECT ro.*, CASE WHEN billing_class = 'professional' THEN 'professional' WHEN billing_class = 'facility' THEN 'facility' WHEN gross > 1 AND gross < cutoff THEN 'professional' ELSE 'facility' END AS fee_type, coalesce(concept IN ('emb', 'colonoscopy', 'screening') AND gross >= line_from, false) AS case_line,
-  CASE payer_name WHEN 'Aetna PPO' THEN 'commercial' WHEN 'Medicare' THEN 'medicare' WHEN 'State Medicaid' THEN 'medicaid' WHEN 'Humana Medicare Advantage' THEN 'medicare_advantage' ELSE 'other' END AS payer_type FROM ro LEFT JOIN cu USING (code)),
-ok AS (SELECT * FROM fa WHERE NOT (fee_type = 'professional' AND billing_class IS NULL) AND NOT (concept IN ('emb', 'colonoscopy', 'screening') AND (setting = 'inpatient' OR case_line)) AND NOT (concept = 'emb' AND methodology IN ('case rate', 'per diem')) AND NOT (concept = 'birth' AND methodology = 'per diem')
-  AND dollar > 1 AND dollar < 2000000),
-un AS (SELECT ok.*, s_suppkey AS unit, s_nationkey::VARCHAR AS state FROM ok JOIN supplier ON s_suppkey % 50 = file),
-pl AS (SELECT state, unit, concept, code, fee_type, payer_type, payer_name, plan_name, median(dollar) AS m FROM un GROUP BY ALL), uu AS (SELECT state, unit, concept, code, fee_type, payer_type, median(m) AS price, count(*) AS n FROM pl GROUP BY ALL)"""
-
-
-def lake_rates(spark, sf):
-    """Usable rates by hospital, from the lake's tables by way of the extract and the store."""
+#: Abbreviations that stand for the nations' numbers.
+_STATES = tuple("AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO".split())
+
+# Files may have no hospital (no ccn, one that isn't in the roster, or one in conflict), several of them, matches without a
+# score, and a state that only the facilities' labels, their addresses or the licence tell.
+_MEDIANS = LAKE + f""", ex AS (SELECT concept, code, billing_class, file, min(gross) AS least FROM ro WHERE billing_class IS NOT NULL AND setting <> 'inpatient' AND gross > 1 GROUP BY ALL),
+ty AS (SELECT concept, code, max(m) FILTER (billing_class = 'facility') AS fg, max(n) FILTER (billing_class = 'facility') AS fn, max(m) FILTER (billing_class = 'professional') AS pg, max(n) FILTER (billing_class = 'professional') AS pn FROM (SELECT concept, code, billing_class, median(least) AS m, count(*) AS n FROM ex GROUP BY ALL) GROUP BY ALL),
+cu AS (SELECT concept, code, CASE WHEN fn >= 20 AND pn >= 20 AND fg >= 2.5 * pg THEN sqrt(fg * pg) END AS cutoff, 10 * fg AS facility_line, 10 * pg AS professional_line FROM ty),
+fe AS (SELECT ro.*, cutoff, facility_line, professional_line, CASE WHEN billing_class = 'professional' THEN 'professional' WHEN billing_class = 'facility' THEN 'facility' WHEN gross > 1 AND gross < cutoff THEN 'professional' ELSE 'facility' END AS fee_type,
+  coalesce(billing_class IS NULL AND gross > 1 AND cutoff IS NOT NULL, false) AS inferred, CASE WHEN methodology = 'per diem' AND code = '742' AND dollar < 3 * 9000 THEN dollar * 2.5 ELSE dollar END AS case_dollar,
+  CASE payer_name WHEN 'Aetna PPO' THEN 'commercial' WHEN 'Medicare' THEN 'medicare' WHEN 'State Medicaid' THEN 'medicaid' WHEN 'Humana Medicare Advantage' THEN 'medicare_advantage' ELSE 'other' END AS payer_type FROM ro LEFT JOIN cu USING (concept, code)),
+fa AS (SELECT *, coalesce(concept IN ('emb', 'colonoscopy', 'screening') AND gross > CASE WHEN fee_type = 'professional' THEN professional_line ELSE facility_line END, false) AS case_line FROM fe),
+ok AS (SELECT * FROM fa WHERE NOT (fee_type = 'professional' AND inferred) AND NOT (concept IN ('emb', 'colonoscopy', 'screening') AND (setting = 'inpatient' OR case_line)) AND NOT (concept = 'emb' AND methodology IN ('case rate', 'per diem')) AND NOT (concept = 'birth' AND methodology = 'per diem')),
+sup AS (SELECT s_suppkey AS s, s_suppkey % 50 AS file, {_list(_STATES)}[s_nationkey + 1] AS st FROM supplier),
+fs AS (SELECT file, st AS file_state FROM sup WHERE s % 13 <> 0 GROUP BY file, st QUALIFY row_number() OVER (PARTITION BY file ORDER BY count(*) DESC, st) = 1),
+good AS (SELECT file, s::VARCHAR AS ccn, CASE WHEN s % 11 = 0 THEN ' ' ELSE st END AS hospital_state FROM sup WHERE s % 7 <> 0 AND s % 17 <> 0 AND s % 19 <> 0),
+uf AS (SELECT f.file, ccn, coalesce(ccn, 'file:' || f.file) AS unit, coalesce(nullif(trim(hospital_state), ''), file_state, CASE WHEN f.file % 3 = 1 THEN 'TX' END) AS state FROM (SELECT DISTINCT file FROM sup) f LEFT JOIN good USING (file) LEFT JOIN fs USING (file)),
+un AS (SELECT ok.*, ccn, unit, state FROM ok JOIN uf USING (file) WHERE state IS NOT NULL),
+pl AS (SELECT state, unit, concept, code, fee_type, payer_type, payer_name, plan_name, median(case_dollar) AS m FROM un WHERE dollar > 1 AND dollar < 2000000 GROUP BY ALL),
+uu AS (SELECT state, unit, concept, code, fee_type, payer_type, median(m) AS price, count(*) AS n FROM pl GROUP BY ALL
+  UNION ALL SELECT state, unit, concept, code, fee_type, 'self_pay_cash', median(cash), count(*) FROM (SELECT DISTINCT state, unit, concept, code, fee_type, l_linestatus, cash FROM un WHERE cash > 1 AND cash < 2000000) GROUP BY ALL
+  UNION ALL SELECT state, unit, concept, code, fee_type, 'gross_charge', median(gross), count(*) FROM (SELECT DISTINCT state, unit, concept, code, fee_type, l_linestatus, gross FROM un WHERE gross > 1 AND gross < 5000000) GROUP BY ALL),
+le AS (SELECT unnest([state, 'US']) AS state, concept, code, fee_type, payer_type, price, n FROM uu),
+me AS (SELECT state, concept, code, fee_type, payer_type, median(price) AS median_price, quantile_cont(price, 0.25) AS p25, quantile_cont(price, 0.75) AS p75, count(*) AS n_hospitals, sum(n)::BIGINT AS n_rates FROM le GROUP BY ALL)"""
+
+
+def lake_store(spark, sf):
+    """The store of the lake's tables by way of the extract."""
     rel = lake.relations(lake_tables(spark, sf))
     prices = cut(lake.extracted(lake.staged(rel, BOOK), BOOK))  # read by each dimension and by the facts
+    file = F.regexp_extract("mrf_url", "/([0-9]+)[.]csv", 1).cast("int")
+    prices = prices.withColumn("license_state", F.when(file % 3 == 1, "tx"))
+    s, label = F.col("facility_key").cast("int"), F.element_at(F.array(*map(F.lit, _STATES)), F.col("state").cast("int") + 1)
     facilities = lake.exported_facilities(rel)
-    crosswalk = facilities.select("mrf_file_id", F.col("facility_key").alias("ccn"), F.lit("mrf_url").alias("ccn_match_method"), F.lit(1.0).alias("ccn_match_score"), F.lit(False).alias("ccn_conflict"), F.lit(False).alias("ccn_ambiguous"))
-    hospitals = facilities.select(F.col("facility_key").alias("ccn"), "state")
-    store = st.build(prices, crosswalk, hospitals, outpatient=("emb", "colonoscopy", "screening"))
-    rates = store.hospital_rates().where(st.usable(("emb", "colonoscopy", "screening"), ("emb",), ("birth",)))
-    return rates.join(hospitals, "ccn").join(store.dim_file.select("file_id", "mrf_file_id"), "file_id")
+    crosswalk = facilities.select(
+        "mrf_file_id", "hospital_name", F.when(s % 7 != 0, F.col("facility_key")).alias("ccn"), F.when(s % 3 == 0, "mrf_url").otherwise("name").alias("ccn_match_method"), F.when(s % 3 != 0, 0.9).alias("ccn_match_score"), (s % 19 == 0).alias("ccn_conflict"), F.lit(None).cast("boolean").alias("ccn_ambiguous"),
+        F.when(s % 13 == 0, "n/a").when(s % 5 == 1, F.concat(F.lit(" "), F.lower(label))).when(s % 5 != 0, label).alias("state"), F.when(s % 13 != 0, F.concat(F.lit("1 Main St, Town, "), label, F.lit(" 12345"))).alias("address"),
+    )
+    hospitals = facilities.where(s % 17 != 0).select(F.col("facility_key").alias("ccn"), F.when(s % 11 == 0, " ").otherwise(label).alias("state"))
+    stays = spark.createDataFrame([("742", 2.5, 9000.0), ("560-1", 3.0, 1000.0), ("58100", 4.0, 1000.0)], "code string, gmlos double, medicare_per_day double")
+    return st.build(prices, crosswalk, hospitals, stays, outpatient=("emb", "colonoscopy", "screening"), anchors=("58100", "45378"))
+
+
+def lake_rates(spark, sf):
+    """Usable rates by hospital or file."""
+    return lake_store(spark, sf).hospital_rates().where(st.usable(("emb", "colonoscopy", "screening"), ("emb",), ("birth",)))
 
 
-@query(f"""WITH {_MEDIANS}, le AS (SELECT unnest([state, 'US']) AS state, concept, code, fee_type, payer_type, price, n FROM uu)
-SELECT state, concept, code, fee_type, payer_type, {S('median(price)', 'median_price')}, {S('quantile_cont(price, 0.25)', 'p25')}, {S('quantile_cont(price, 0.75)', 'p75')}, count(*) AS n_hospitals, sum(n)::BIGINT AS n_rates FROM le GROUP BY ALL""")
+def lake_medians(spark, sf):
+    rates = lake_rates(spark, sf).withColumn("paid", F.when(F.col("plausible"), F.col("case_dollar")))
+    return st.geographic_medians(rates, "paid", "unit_id", "state", ["concept", "code", "fee_type"], "payer_type", ["payer_name", "plan_name"], "discounted_cash", "gross", ["description"])
+
+
+@query(f"""WITH {_MEDIANS}
+SELECT state, concept, code, fee_type, payer_type, {S('median_price', 'median_price')}, {S('p25', 'p25')}, {S('p75', 'p75')}, n_hospitals, n_rates FROM me""")
 def lake_to_medians(spark, sf):
-    rates = lake_rates(spark, sf).where("plausible")
-    out = st.geographic_medians(rates, "case_dollar", "unit_id", "state", ["concept", "code", "fee_type"], "payer_type", ["payer_name", "plan_name"])
-    return shown(out, "median_price", "p25", "p75")
+    return shown(lake_medians(spark, sf), "median_price", "p25", "p75")
+
+
+@query(f"""WITH {_MEDIANS}, h AS (SELECT state, payer_type, CASE code WHEN '45378' THEN 'colonoscopy_45378' ELSE 'emb_58100' END AS procedure, CASE WHEN n_hospitals >= 3 THEN median_price END AS value FROM me WHERE code IN ('45378', '58100') AND fee_type = 'facility' AND payer_type <> 'self_pay')
+SELECT state, payer_type, {S("max(value) FILTER (procedure = 'colonoscopy_45378')", 'colonoscopy_45378')}, {S("max(value) FILTER (procedure = 'emb_58100')", 'emb_58100')} FROM h GROUP BY ALL""")
+def lake_headline(spark, sf):
+    return shown(st.headline(lake_medians(spark, sf)), "colonoscopy_45378", "emb_58100").select("state", "payer_type", "colonoscopy_45378", "emb_58100")
+
+
+@query(f"""WITH {_MEDIANS}, nm AS (SELECT s_suppkey % 50 AS file, min(s_name) AS hospital_name, count(*) AS n FROM supplier GROUP BY 1), b AS (SELECT file, count(*) AS n_ccns, count(*) FILTER (ccn::INT % 3 <> 0) AS n_scored, bool_or(ccn::INT % 19 = 0) AS conflict FROM (SELECT file, s::VARCHAR AS ccn FROM sup WHERE s % 7 <> 0 AND s % 17 <> 0) GROUP BY 1)
+SELECT md5('files.org/' || file || '.csv') AS mrf_file_id, hospital_name, file_state, CASE WHEN file % 3 = 1 THEN 'TX' END AS license_state, c.n_rows, coalesce(n_ccns, 0) AS n_ccns, coalesce(n_scored, 0) AS n_scored, coalesce(conflict, false) AS conflict
+FROM (SELECT file, count(*) AS n_rows FROM ro GROUP BY 1) c JOIN nm USING (file) LEFT JOIN fs USING (file) LEFT JOIN b USING (file)""")
+def lake_files(spark, sf):
+    s = lake_store(spark, sf)
+    matched = s.bridge.groupBy("file_id").agg(F.count("*").alias("n_ccns"), F.count("ccn_match_score").alias("n_scored"), F.bool_or("ccn_conflict").alias("conflict"))
+    files = s.dim_file.join(matched, "file_id", "left").fillna(0, ["n_ccns", "n_scored"]).fillna(False, ["conflict"])
+    return files.select("mrf_file_id", "hospital_name", "file_state", "license_state", "n_rows", "n_ccns", "n_scored", "conflict")
 
 
-@query(f"""WITH {_MEDIANS} SELECT unit::VARCHAR AS ccn, code, payer_type, {S('median(m)', 'price')}, count(*) AS n_contracts, sum(n)::BIGINT AS n_rows FROM (SELECT unit, code, payer_type, payer_name, plan_name, median(dollar) AS m, count(*) AS n FROM un WHERE fee_type = 'facility' AND code IN ('58100', '45378', '742') AND payer_type IN ('commercial', 'medicaid') AND file <> 3 GROUP BY ALL) GROUP BY ALL""")
+@query(f"""WITH {_MEDIANS} SELECT unit AS ccn, code, payer_type, {S('median(m)', 'price')}, count(*) AS n_contracts, sum(n)::BIGINT AS n_rows FROM (SELECT unit, code, payer_type, payer_name, plan_name, median(case_dollar) AS m, count(*) AS n FROM un WHERE ccn IS NOT NULL AND dollar > 1 AND dollar < 2000000 AND fee_type = 'facility' AND code IN ('58100', '45378', '742') AND payer_type IN ('commercial', 'medicaid') AND file <> 3 GROUP BY ALL) GROUP BY ALL""")
 def facility_prices(spark, sf):
     gone = spark.createDataFrame([("files.org/3.csv",)], "u string").select(F.md5("u").alias("mrf_file_id"))
     return shown(ow.facility_prices(lake_rates(spark, sf), ("58100", "45378", "742"), ("commercial", "medicaid"), gone), "price")

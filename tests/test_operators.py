@@ -106,10 +106,10 @@ def test_store_and_checks(spark, tmp_path):
     assert checks.markdown(report).splitlines()[2].startswith("| broken |")
     store.write(s, str(tmp_path / "db"))
     assert spark.read.parquet(str(tmp_path / "db/fact")).count() == 36
-    rates = s.hospital_rates().withColumn("state", F.lit("TX"))
+    rates = s.hospital_rates()
     medians = store.geographic_medians(rates.where("plausible"), "case_dollar", "unit_id", "state", ["concept", "code"], "payer_type", ["payer_id"], "discounted_cash", "gross", ["description"])
     cells = {(r.state, r.code, r.payer_type): r for r in medians.collect()}
-    assert cells["US", "111", "cash"].median_price == 500 and cells["TX", "111", "medicare"].n_hospitals == 6 and len(cells) == 16
+    assert cells["US", "111", "self_pay_cash"].median_price == 500 and cells["TX", "111", "medicare"].n_hospitals == 6 and len(cells) == 16
     assert checks.ordered({"a": 1, "b": 2, "c": None}, ["a", "c", "b"], "o", True)[0][3] == "pass"
     assert checks.saved_medians(medians, medians.limit(15), ["state", "code", "payer_type"], "median_price")[0][3] == "fail"
 
