@@ -161,7 +161,7 @@ def design(rows: pd.DataFrame, group: str, reference: str, factors: Sequence[str
 def group_models(df: DataFrame, cell: Sequence[str], y: str, group: str, reference: str, cluster: str, factors: Sequence[str] = (), numbers: Sequence[str] = (), draws: int = 0) -> DataFrame:
     """For each cell and group the effect on log y against the reference, its clustered interval and p (bootstrapped with draws); groups under three aren't estimated."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in cell) + ", term string, estimate double, std_error double, low double, high double, p_value double, p_bootstrap double, pct double, n long, n_group long, n_clusters long, status string"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in cell) + ", term string, estimate double, std_error double, low double, high double, p_value double, p_bootstrap double, pct double, n long, n_group long, n_group_clusters long, n_clusters long, status string"
     need = [*cell, y, group, cluster, *factors, *numbers]
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -177,7 +177,7 @@ def group_models(df: DataFrame, cell: Sequence[str], y: str, group: str, referen
             if able:
                 b, se, g = cluster_ols(np.log(rows[y].to_numpy(float)), x, ids)
             for name in sorted(set(counts.index) - {reference}):
-                own = {"term": str(name), "n": len(rows), "n_group": int(counts[name]), "n_clusters": int(ids.max() + 1)}
+                own = {"term": str(name), "n": len(rows), "n_group": int(counts[name]), "n_group_clusters": int(rows[rows[group] == name][cluster].nunique()), "n_clusters": int(ids.max() + 1)}
                 if not able or name in small:
                     add(**own, status="not estimated")
                     continue
@@ -187,12 +187,12 @@ def group_models(df: DataFrame, cell: Sequence[str], y: str, group: str, referen
                 p = t_two_sided(b[i] / se[i], g - 1) if se[i] > 0 and not alone else math.nan
                 boot = wild_bootstrap(np.log(rows[y].to_numpy(float)), x, i, ids, draws) if draws and not alone else math.nan
                 add(**own, estimate=b[i], std_error=se[i], low=b[i] - reach, high=b[i] + reach, p_value=p, p_bootstrap=boot, pct=100 * math.expm1(b[i]), status="one cluster" if alone else "estimated")
-        columns = [*cell, "term", "estimate", "std_error", "low", "high", "p_value", "p_bootstrap", "pct", "n", "n_group", "n_clusters", "status"]
+        columns = [*cell, "term", "estimate", "std_error", "low", "high", "p_value", "p_bootstrap", "pct", "n", "n_group", "n_group_clusters", "n_clusters", "status"]
         return pd.DataFrame(out, columns=columns)
 
     return df.select(*need).groupBy(*cell).applyInPandas(fit, schema)
 
 
 def with_flags(models: DataFrame, clusters: int = 5, members: int = 10) -> DataFrame:
-    """exploratory: too few clusters or members in the group."""
-    return models.withColumn("exploratory", (F.col("n_clusters") < clusters) | (F.col("n_group") < members))
+    """exploratory: too few clusters of the group, or members."""
+    return models.withColumn("exploratory", (F.col("n_group_clusters") < clusters) | (F.col("n_group") < members))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tariffa.lineage import cut
+from tariffa.operators import models
 from tariffa.operators import ownership as ow
 from tariffa.operators import store as st
 from tariffa.plans.catalog import query, t
@@ -153,6 +154,39 @@ def model_flags(spark, sf):
     return ow.flagged(named).drop("estimate")
 
 
+def model_rows(spark, sf):
+    """The frame by definition, with log prices and a cluster of hospitals."""
+    rows = frame(spark, sf).where("price > 0").withColumns({"log_price": F.log("price"), "cluster": F.concat(F.lit("s"), (F.col("ccn").cast("int") % 12).cast("string"))})
+    return ow.by_definition(rows, ["ccn", "code", "payer_type", "log_price", "cluster", "hospital_type", "hospital_ownership", "state"])
+
+
+@query(f"""WITH {_PRICES}, r AS (SELECT definition, code, payer_type, "group" AS g, ln(price) AS y, 's' || (ccn::INT % 12) AS cl FROM lo WHERE price > 0 AND "group" <> 'unknown'),
+sz AS (SELECT definition, code, payer_type, g, count(*) AS n_group, count(DISTINCT cl) AS n_group_clusters FROM r GROUP BY ALL),
+ft AS (SELECT r.*, n_group FROM r JOIN sz USING (definition, code, payer_type, g) WHERE n_group >= 3 OR g = 'nonprofit'),
+ce AS (SELECT definition, code, payer_type, count(*) AS n, count(DISTINCT cl) AS c, count(DISTINCT g) AS k FROM ft GROUP BY ALL HAVING count(*) FILTER (g = 'nonprofit') >= 3 AND count(DISTINCT g) > 1 AND count(DISTINCT cl) >= 3),
+me AS (SELECT definition, code, payer_type, g, avg(y) AS m FROM ft GROUP BY ALL),
+sc AS (SELECT definition, code, payer_type, g, cl, sum((y - m) / n_group) AS s FROM ft JOIN me USING (definition, code, payer_type, g) GROUP BY ALL),
+te AS (SELECT t.definition, t.code, t.payer_type, t.g, t.m - b.m AS estimate FROM me t JOIN me b ON (t.definition, t.code, t.payer_type) = (b.definition, b.code, b.payer_type) AND b.g = 'nonprofit' WHERE t.g <> 'nonprofit'),
+va AS (SELECT definition, code, payer_type, g, sum(s * s) AS v FROM (SELECT te.definition, te.code, te.payer_type, te.g, cl, sum(CASE WHEN sc.g = te.g THEN s WHEN sc.g = 'nonprofit' THEN -s ELSE 0 END) AS s FROM te JOIN sc USING (definition, code, payer_type) GROUP BY te.definition, te.code, te.payer_type, te.g, cl) GROUP BY ALL)
+SELECT definition, code, payer_type, g AS term, n_group, n_group_clusters, {S('CASE WHEN ce.n IS NOT NULL THEN estimate END', 'estimate')}, {S('sqrt(c / (c - 1) * (n - 1) / (n - k) * v)', 'std_error')}, n, c AS n_clusters
+FROM sz LEFT JOIN (te JOIN ce USING (definition, code, payer_type) JOIN va USING (definition, code, payer_type, g)) USING (definition, code, payer_type, g) WHERE g <> 'nonprofit'""")
+def group_effects(spark, sf):
+    """Effects without covariates, which SQL can tell: differences of mean logarithms with clustered errors."""
+    out = models.group_models(model_rows(spark, sf), ["definition", "code", "payer_type"], "log_price", "group", ow.GROUPS, "cluster", draws=0)
+    return shown(out, "estimate", "std_error").select("definition", "code", "payer_type", "term", "n_group", "n_group_clusters", "estimate", "std_error", "n", "n_clusters")
+
+
+#: The terms that are bootstrapped. Fixed values.
+SERIES = ({"definition": "pe_strict", "term": "pe"}, {"definition": "pe_broad", "term": "pe"}, {"definition": "pe_strict", "term": "for_profit_non_pe"})
+
+
+@query()
+def ownership_models(spark, sf):
+    """Every cell and definition with its covariates, the bootstrap of the listed series with all draws, and the flags that follow from the models."""
+    out = models.group_models(model_rows(spark, sf), ["definition", "code", "payer_type"], "log_price", "group", ow.GROUPS, "cluster", ["hospital_type", "hospital_ownership", "state"], SERIES)
+    return ow.flagged(out.drop("note"))
+
+
 #: concept, code, family of the lake's targets.
 BOOK = [("emb", "58100", "procedure"), ("colonoscopy", "45378", "procedure"), ("screening", "G0121", "procedure"), ("hysterectomy", "742", "ms_drg"), ("birth", "560-1", "apr_drg")]
 _PAYERS = ("Aetna PPO", "Medicare", "State Medicaid", "Humana Medicare Advantage", "Odd Club")
