@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -173,15 +175,34 @@ def site(url: Column) -> Column:
     return F.regexp_replace(host(url), r"^www[0-9]*\.", "")
 
 
+#: Platforms whose subdomains belong to their tenants, and suffixes of two labels. Fixed values.
+PLATFORMS = (
+    "azurewebsites.net", "azureedge.net", "cloudfront.net", "amazonaws.com", "windows.net", "googleapis.com", "googleusercontent.com", "appspot.com", "web.app", "firebaseapp.com",
+    "github.io", "githubusercontent.com", "herokuapp.com", "netlify.app", "vercel.app", "pages.dev", "wixsite.com", "squarespace.com", "wordpress.com", "blogspot.com",
+    "sharepoint.com", "myshopify.com", "weebly.com", "godaddysites.com", "hubspotpagebuilder.com", "box.com", "dropboxusercontent.com", "cdn-website.com",
+)
+TWO_LABEL_SUFFIXES = ("co.us", "com.au", "co.uk", "org.uk", "nhs.uk", "com.pr", "org.pr")
+
+
+def ends_in(name: Column, suffixes: Sequence[str]) -> Column:
+    """Whether a host is one of the suffixes or below it."""
+    return F.exists(F.array(*map(F.lit, suffixes)), lambda s: (name == s) | name.endswith(F.concat(F.lit("."), s)))
+
+
 def parent_domain(url: Column) -> Column:
-    """The last two labels of the host."""
-    return F.regexp_extract(site(url), r"([^.]+\.[^.]+)$", 1)
+    """The registrable domain above the host; null where the host is one itself, or a tenant of a platform."""
+    h = host(url)
+    labels = F.size(F.split(h, "[.]"))
+    two = F.substring_index(h, ".", -2).isin(*TWO_LABEL_SUFFIXES)
+    return F.when(~ends_in(h, PLATFORMS) & (labels > F.when(two, 3).otherwise(2)), F.when(two, F.substring_index(h, ".", -3)).otherwise(F.substring_index(h, ".", -2)))
 
 
 def domain_variants(url: Column) -> Column:
-    """Site, with www before it, and the registrable parent; without repeats."""
-    s = site(url)
-    return F.array_distinct(F.filter(F.array(s, F.concat(F.lit("www."), s), F.nullif(parent_domain(url), F.lit(""))), lambda d: d.isNotNull()))
+    """The host, it without www, a name of two labels also with it, and the registrable parent with and without; no repeats."""
+    h = host(url)
+    bare = F.regexp_replace(h, r"^www\.", "")
+    parent, www = parent_domain(bare), F.lit("www.")
+    return F.array_distinct(F.array_compact(F.array(h, bare, F.when(F.size(F.split(bare, "[.]")) == 2, F.concat(www, bare)), parent, F.concat(www, parent))))
 
 
 #: Query parameters of signed URLs, and endings of data files. Fixed values.

@@ -10,8 +10,23 @@ from pyspark.sql import functions as F
 
 from tariffa.functions import text as tx
 
-#: Hosts that say nothing about a hospital. Fixed patterns.
-JUNK = r"(^|\.)(facebook|twitter|linkedin|instagram|youtube|google|yelp|wikipedia)\.com$|(^|\.)wikipedia\.org$"
+#: Hosts at whose root no hospital can put a file, and endings of storage and content networks. Fixed values.
+JUNK_HOSTS = (
+    "google.com", "www.google.com", "docs.google.com", "drive.google.com", "sites.google.com", "storage.googleapis.com", "dropbox.com", "www.dropbox.com", "dl.dropboxusercontent.com",
+    "github.com", "www.github.com", "raw.githubusercontent.com", "s3.amazonaws.com", "cms.gov", "www.cms.gov", "hhs.gov", "www.hhs.gov", "onedrive.live.com", "1drv.ms", "bit.ly", "tinyurl.com",
+    "facebook.com", "www.facebook.com", "twitter.com", "x.com", "linkedin.com", "www.linkedin.com", "youtube.com", "www.youtube.com", "instagram.com", "www.instagram.com",
+    "box.com", "app.box.com", "archive.org", "web.archive.org", "dolthub.com", "www.dolthub.com",
+)
+JUNK_ENDINGS = (
+    ".blob.core.windows.net", ".core.windows.net", ".cloudfront.net", ".amazonaws.com", ".googleapis.com", ".googleusercontent.com",
+    ".sharepoint.com", ".azureedge.net", ".box.com", ".dropboxusercontent.com", ".githubusercontent.com", ".cdn-website.com",
+)
+
+
+def is_junk_host(name: Column) -> Column:
+    """No host, an address in numbers, a name without a dot, or a place that holds the files of many."""
+    ending = F.exists(F.array(*map(F.lit, JUNK_ENDINGS)), lambda e: name.endswith(e))
+    return F.coalesce(name.isin(*JUNK_HOSTS) | ending | name.rlike("^[0-9.]+$") | ~name.contains("."), F.lit(True))
 
 
 def seeds(tables: Sequence[tuple[DataFrame, str, Sequence[str]]], score: str | None = None) -> DataFrame:
@@ -19,7 +34,7 @@ def seeds(tables: Sequence[tuple[DataFrame, str, Sequence[str]]], score: str | N
     parts = []
     for frame, source, columns in tables:
         long = frame.select("ccn", (F.col(score) if score and score in frame.columns else F.lit(1.0)).cast("double").alias("match_score"), F.explode(F.array_compact(F.array(*(tx.site(F.col(c)) for c in columns)))).alias("site"))
-        parts.append(long.where(~F.col("site").rlike(JUNK)).withColumn("seed_source", F.lit(source)))
+        parts.append(long.where(~is_junk_host(F.col("site"))).withColumn("seed_source", F.lit(source)))
     every = reduce(DataFrame.unionByName, parts)
     wide = every.select("ccn", "seed_source", "match_score", "site", F.explode(tx.domain_variants(F.col("site"))).alias("domain"))
     best = F.min(F.struct((F.col("domain") != F.col("site")).alias("is_variant"), (-F.col("match_score")).alias("s"), "seed_source")).alias("b")
@@ -45,7 +60,7 @@ def shared_urls_blank(facilities: DataFrame) -> DataFrame:
     return facilities.withColumn("__n", n).withColumn("mrf_url", F.when(F.col("__n") <= 1, F.col("mrf_url"))).drop("__n")
 
 
-def looks_like_location_file(text: Column, content_type: Column) -> Column:
-    """Not a page, and with one of the keys at the start of a line."""
-    page = F.coalesce(F.lower(content_type).rlike("html"), F.lit(False)) | F.lower(F.substring(text, 1, 512)).rlike(r"<(!doctype|html|head)")
-    return ~page & F.lower(text).rlike(r"(?m)^\s*(location[-_ ]name|mrf[-_ ]url|source[-_ ]page[-_ ]url)\s*:")
+def looks_like_location_file(text: Column) -> Column:
+    """A body with the key of a file's URL at the start of a line and no markup; what the server calls it doesn't decide."""
+    named = text.rlike(r"""(?i)(^|[\r\n])[\s"'\uFEFF]*mrf[\s_-]*url[\s"']*:""")
+    return F.coalesce(named & ~text.rlike("(?i)<html|<!doctype|<body|<head"), F.lit(False))

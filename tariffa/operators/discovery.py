@@ -18,7 +18,7 @@ def text_statuses(responses: DataFrame) -> DataFrame:
     http = web.outcome(F.col("http_status"), F.col("message"))
     body = F.coalesce("body", F.lit(""))
     page = F.coalesce(F.lower("content_type").contains("html"), F.lit(False)) | body.rlike("(?i)<html|<!doctype|<body|<head")
-    named = looks_like_location_file(body, F.coalesce("content_type", F.lit("")))
+    named = looks_like_location_file(body)
     entries = F.coalesce("n_locations", F.lit(0)) > 0
     status = F.when(http != "ok", http).when(F.trim(body) == "", "empty").when(named & entries, "ok").when(named, "empty").when(page, "soft_404_html").otherwise("empty")
     why = (

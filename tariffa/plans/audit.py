@@ -53,7 +53,7 @@ def download_provenance(spark, sf):
     return downloads.provenance(rows).drop("downloaded_at")
 
 
-@query("""SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'not_found' WHEN 1 THEN 'soft_404_html' WHEN 2 THEN 'ok' WHEN 3 THEN 'empty' WHEN 4 THEN 'dns' ELSE 'empty' END AS status,
+@query("""SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'not_found' WHEN 1 THEN 'soft_404_html' WHEN 2 THEN 'ok' WHEN 3 THEN 'empty' WHEN 4 THEN 'dns_fail' ELSE 'empty' END AS status,
 CASE page_id % 6 WHEN 0 THEN 'HTTP 404' WHEN 1 THEN 'a page instead of a location file' WHEN 3 THEN 'empty body' WHEN 4 THEN 'could not resolve host' WHEN 5 THEN 'no location key' END AS error_message FROM pages""")
 def location_file_statuses(spark, sf):
     k = F.col("page_id") % 6

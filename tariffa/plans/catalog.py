@@ -16,11 +16,13 @@ from tariffa.functions import numbers as nu
 from tariffa.functions import rules
 from tariffa.functions import text as tx
 from tariffa.operators import aggregates as agg
+from tariffa.operators import crawl
 from tariffa.operators import economics as eco
 from tariffa.operators import joins as jo
 from tariffa.operators import reshape as rs
 from tariffa.operators import store as st
 from tariffa.operators import windows as win
+from tariffa.sources import web
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -347,17 +349,88 @@ def explode_json_props(spark, sf):
 
 
 @query(r"""SELECT page_id, regexp_replace(lower(regexp_extract(r, '^[^/?]*', 0)), '^www\.', '') || regexp_replace(CASE WHEN regexp_matches(p, '(?i)\.(csv|json|zip|gz|xlsx?|txt)/?(\?|$)') THEN regexp_replace(p, '\?.*$', '') ELSE p END, '/+$', '') AS url_key,
-regexp_replace(lower(regexp_extract(r, '^[^/:?]*', 0)), '^www[0-9]*\.', '') AS site, regexp_extract(regexp_replace(lower(regexp_extract(r, '^[^/:?]*', 0)), '^www[0-9]*\.', ''), '([^.]+\.[^.]+)$', 1) AS parent
+regexp_replace(lower(regexp_extract(r, '^[^/:?]*', 0)), '^www[0-9]*\.', '') AS site
 FROM (SELECT page_id, r, regexp_replace(r, '^[^/?]*', '') AS p FROM (SELECT page_id, regexp_replace(regexp_replace(url, '#.*$', ''), '(?i)^[a-z][a-z0-9+.-]*://', '') AS r FROM pages))""")
 def url_key(spark, sf):
     u = F.col("url")
-    return t(spark, sf, "pages").select("page_id", tx.url_key(u).alias("url_key"), tx.site(u).alias("site"), tx.parent_domain(u).alias("parent"))
-
-
-@query(r"""WITH s AS (SELECT DISTINCT regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1), '^www[0-9]*\.', '') AS site FROM pages) SELECT site, unnest(list_distinct([site, 'www.' || site, regexp_extract(site, '([^.]+\.[^.]+)$', 1)])) AS variant FROM s""")
+    return t(spark, sf, "pages").select("page_id", tx.url_key(u).alias("url_key"), tx.site(u).alias("site"))
+
+
+#: Hosts made from a page's number, and what is expected of each: its parent, its variants, whether it is junk.
+HOSTS = (
+    ("{}.azurewebsites.net", None, "{}.azurewebsites.net", False),
+    ("{}.co.uk", None, "{}.co.uk", False),
+    ("www.{}.co.uk", "{}.co.uk", "www.{}.co.uk {}.co.uk", False),
+    ("www.apps.{}.com", "{}.com", "www.apps.{}.com apps.{}.com {}.com www.{}.com", False),
+    ("files.{}.org", "{}.org", "files.{}.org {}.org www.{}.org", False),
+    ("{}.org", None, "{}.org www.{}.org", False),
+    ("{}.s3.amazonaws.com", None, "{}.s3.amazonaws.com", True),
+    ("a.{}.co.us", "{}.co.us", "a.{}.co.us {}.co.us www.{}.co.us", False),
+    ("www.google.com", "google.com", "www.google.com google.com", True),
+    ("192.0.2.7", "2.7", "192.0.2.7 2.7 www.2.7", True),
+    ("localhost", None, "localhost", True),
+    ("{}.box.com", None, "{}.box.com", True),
+)
+
+
+def _host_cases(column: int) -> str:
+    text = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else "'" + v.replace("{}", "' || h || '") + "'"
+    return "CASE page_id % 12 " + " ".join(f"WHEN {i} THEN {text(row[column])}" for i, row in enumerate(HOSTS)) + " END"
+
+
+@query(f"""WITH p AS (SELECT page_id, 'h' || (page_id % 500) AS h FROM pages)
+SELECT page_id, {_host_cases(0)} AS host, {_host_cases(1)} AS parent, array_to_string(list_sort(string_split({_host_cases(2)}, ' ')), ' ') AS variants, {_host_cases(3)} AS junk FROM p""")
+def domain_rules(spark, sf):
+    """Parents, variants and junk of hosts of every kind, in URLs with schemes, users, ports and paths."""
+    k, h = F.col("page_id"), F.concat(F.lit("H"), (F.col("page_id") % 500).cast("string"))
+    url = F.concat(F.lit("HTTPS://me@"), F.replace(F.element_at(F.array(*(F.lit(row[0]) for row in HOSTS)), (k % len(HOSTS) + 1).cast("int")), F.lit("{}"), h), F.lit(":8443/a/b.html?c#d"))
+    rows = t(spark, sf, "pages").select("page_id", url.alias("u"))
+    host = tx.host(F.col("u"))
+    return rows.select("page_id", host.alias("host"), tx.parent_domain(F.col("u")).alias("parent"), F.array_join(F.sort_array(tx.domain_variants(F.col("u"))), " ").alias("variants"), crawl.is_junk_host(host).alias("junk"))
+
+
+@query("""WITH r AS (SELECT event_id, [200, 204, 404, 410, 401, 403, 429, 500, 503, 302, NULL, NULL, NULL, NULL, NULL, NULL][(event_id % 16)::INT + 1] AS status, (event_id % 16)::INT AS k FROM events)
+SELECT event_id, ['ok', 'ok', 'not_found', 'not_found', 'blocked', 'blocked', 'http_error', 'http_error', 'http_error', 'http_error', 'timeout', 'timeout', 'dns_fail', 'tls_fail', 'network_error', 'network_error'][k + 1] AS outcome FROM r""")
+def request_outcomes(spark, sf):
+    """Classes of answers by status and of failures by what they say; a timeout within TLS is a timeout."""
+    k = (F.col("event_id") % 16 + 1).cast("int")
+    status = F.element_at(F.array(*(F.lit(x).cast("int") for x in (200, 204, 404, 410, 401, 403, 429, 500, 503, 302, *[None] * 6))), k)
+    said = ("Connection Timed out", "SSL connection timeout", "getaddrinfo failed", "peer certificate expired", "Connection refused by host", None)
+    message = F.element_at(F.array(*(F.lit("Could not resolve host").cast("string"),) * 10, *(F.lit(m).cast("string") for m in said)), k)
+    return t(spark, sf, "events").select("event_id", web.outcome(status, message).alias("outcome"))
+
+
+@query("""WITH p AS (SELECT page_id, 'https://h' || page_id || '.org' AS url, (page_id % 3)::INT AS k FROM pages)
+SELECT page_id, url || '/prices' AS link, 'Pricing Transparency' AS text, true AS in_footer FROM p WHERE k = 0 UNION ALL SELECT page_id, url || '/more', 'PriceTransparency', false FROM p WHERE k = 0
+UNION ALL SELECT page_id, url || '/list', 'Standard  Charges', false FROM p WHERE k = 1""")
+def price_page_links(spark, sf):
+    """Links of the better words where a page has them, others only where it has none, repeats and fragments aside."""
+    k, u = F.col("page_id") % 3, F.concat(F.lit("https://h"), F.col("page_id").cast("string"), F.lit(".org"))
+    link = lambda on, path, text, footer: F.when(on, F.struct(F.concat(u, F.lit(path)).alias("link"), F.lit(text).alias("text"), F.lit(footer).alias("in_footer")))
+    every = F.lit(True)
+    made = F.array(
+        link(k == 0, "/prices#top", "Pricing Transparency", False), link(k == 0, "/prices", "Pricing Transparency", True), link(k == 0, "/more", "PriceTransparency", False), link(k < 2, "/list", "Standard  Charges", False),
+        link(every, "/about", "About us", True), link(every, "/transparency", "Our values", True), link(k == 2, "/x", "Standards of charges", False),
+    )
+    return web.price_links(t(spark, sf, "pages").select("page_id", F.explode(F.array_compact(made)).alias("l")).select("page_id", "l.*"))
+
+
+@query("""SELECT page_id, [true, true, false, false, true, false, true][(page_id % 7)::INT + 1] AS data_link, [false, true, false, true, true, false, false][(page_id % 7)::INT + 1] AS location_file FROM pages""")
+def file_kinds(spark, sf):
+    """Links to data files, and bodies that are location files, one of each kind a page."""
+    at = lambda *values: F.element_at(F.array(*(v if not isinstance(v, str) else F.lit(v) for v in values)), (F.col("page_id") % 7 + 1).cast("int"))
+    u = F.lit("https://h.org")
+    link = F.concat(u, at("/a.csv#p", "/x_StandardCharges.JSON.gz?t=1", "/my_standard-charges_list.gz", "/a.csv/page", "/A.ZIP?x=.html", "/csv", "/get_standardcharges.csv.php"))
+    body = at("location-name: A", "Location-Name: A\r\n'MRF_URL' : http://h/a.csv", F.concat(F.lit("mrf-url: x\n"), F.col("html"), F.lit("<html>")), "\ufeff\"mrf-url\": x", "a\n  mrf url:\n", "see mrf-url: x", "")
+    return t(spark, sf, "pages").select("page_id", web.is_data_link(link).alias("data_link"), crawl.looks_like_location_file(body).alias("location_file"))
+
+
+@query(r"""WITH s AS (SELECT DISTINCT regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1) AS host FROM pages), b AS (SELECT host, regexp_replace(host, '^www\.', '') AS bare FROM s),
+p AS (SELECT host, bare, len(string_split(bare, '.')) AS n, CASE WHEN len(string_split(bare, '.')) > 2 THEN regexp_extract(bare, '([^.]+\.[^.]+)$', 1) END AS parent FROM b)
+SELECT host, unnest(list_distinct(list_filter([host, bare, CASE WHEN n = 2 THEN 'www.' || bare END, parent, 'www.' || parent], lambda x: x IS NOT NULL))) AS variant FROM p""")
 def host_variants(spark, sf):
     u = F.col("url")
-    return t(spark, sf, "pages").select(tx.site(u).alias("site"), F.explode(tx.domain_variants(u)).alias("variant")).distinct()
+    return t(spark, sf, "pages").select(tx.host(u).alias("host"), F.explode(tx.domain_variants(u)).alias("variant")).distinct()
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 3 THEN '5609' ELSE lpad((p_partkey % 1000)::VARCHAR, 3, '0') || '-' || (p_partkey % 4 + 1) END AS apr,

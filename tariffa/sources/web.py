@@ -8,7 +8,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Elements without an end tag. Fixed values.
@@ -70,12 +70,24 @@ def links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: st
     return pages.select(F.col(page_id).alias("i"), F.col(url).alias("u"), F.col(html).alias("h")).mapInPandas(run, f"page_id {kind}, link string, text string, in_footer boolean")
 
 
-def is_price_link(text: Column, link: Column) -> Column:
-    return F.lower(text).rlike(r"price transparen|standard charges|machine[- ]readable|chargemaster") | F.lower(link).rlike(r"transparency|standard-?charges|chargemaster")
+def price_tier(text: Column) -> Column:
+    """1 for the words of a price page, 2 for words that count only where a page has no such link, else null."""
+    return F.when(text.rlike(r"(?i)pric(e|ing)\s*transparency"), 1).when(text.rlike(r"(?i)standard\s*charges|chargemaster"), 2)
+
+
+def price_links(found: DataFrame) -> DataFrame:
+    """Of each page's links (page_id, link, text, in_footer) those of its best tier, without fragments and repeats: page_id, link, text, in_footer; one in the footer stands for its repeats."""
+    ranked = found.withColumn("tier", price_tier(F.col("text"))).where("tier is not null").withColumn("link", F.regexp_replace("link", "#.*$", ""))
+    best = F.min("tier").over(Window.partitionBy("page_id"))
+    kept = ranked.withColumn("best", best).where("tier = best")
+    one = F.min(F.struct((~F.col("in_footer")).alias("outside"), "text")).alias("one")
+    return kept.groupBy("page_id", "link").agg(one).select("page_id", "link", "one.text", (~F.col("one.outside")).alias("in_footer"))
 
 
 def is_data_link(link: Column) -> Column:
-    return F.lower(link).rlike(r"standard_?-?charges[^?]*\.(csv|json|zip|gz)|\.(csv|json|zip)(\?|$)")
+    """A URL that has the name of a price file in it, or whose path ends like a data file."""
+    path = F.regexp_replace(link, "[?#].*$", "")
+    return link.rlike(r"(?i)_standardcharges\.(csv|json)") | path.rlike(r"(?i)\.(csv|json|zip)$")
 
 
 def robots(text: str, agent: str) -> list[tuple[bool, str]]:
@@ -138,10 +150,9 @@ def location_rows(files: DataFrame, key: str, text: str) -> DataFrame:
 def outcome(status: Column, message: Column) -> Column:
     """Class of a request by its status, or by the error where there is none."""
     m = F.lower(F.coalesce(message, F.lit("")))
-    return (
-        F.when(status.between(200, 299), "ok").when(status == 404, "not_found").when(status.isin(401, 403), "blocked").when(status == 429, "throttled").when(status >= 500, "server_error").when(status.isNotNull(), "other_status")
-        .when(m.rlike("resolve|name or service"), "dns").when(m.rlike("ssl|tls|certificate"), "tls").when(m.rlike("timed? ?out"), "timeout").when(m.rlike("refused|reset"), "connection").otherwise("error")
-    )
+    answered = F.when(status.between(200, 299), "ok").when(status.isin(404, 410), "not_found").when(status.isin(401, 403), "blocked").otherwise("http_error")
+    failed = F.when(m.rlike("timeout|timed out"), "timeout").when(m.rlike("resolve|name or service|getaddrinfo"), "dns_fail").when(m.rlike("ssl|tls|certificate"), "tls_fail").otherwise("network_error")
+    return F.when(status.isNotNull(), answered).otherwise(failed)
 
 
 def extra_urls(cell: Column) -> Column:

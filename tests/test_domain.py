@@ -62,7 +62,7 @@ def test_crawl(spark):
 
     a = spark.createDataFrame([("1", "https://www.care.own.org/x", None, 0.8), ("1", "http://facebook.com/x", "care.own.org", 0.8)], "ccn string, url string, more string, s double")
     got = sorted((r.ccn, r.domain, r.seed_source, r.match_score, r.is_variant) for r in crawl.seeds([(a, "list", ["url", "more"])], "s").collect())
-    assert got == [("1", "care.own.org", "list", 0.8, False), ("1", "own.org", "list", 0.8, True), ("1", "www.care.own.org", "list", 0.8, True)]
+    assert got == [("1", "care.own.org", "list", 0.8, False), ("1", "own.org", "list", 0.8, True), ("1", "www.own.org", "list", 0.8, True)]
     ddl = "mrf_file_id string, mrf_url string, last_updated_on string"
     lake = spark.createDataFrame([("l1", "http://h/a.csv", "2026-01-01"), ("l2", "http://h/b.csv", None), ("l3", "http://h/c.csv", "2026-01-01")], ddl)
     own = spark.createDataFrame([("o1", "https://www.h/a.csv?sig=1", "2026-02-01"), ("o2", "h/b.csv", "2026-01-01"), ("o4", "h/d.csv", None)], ddl)
@@ -71,4 +71,4 @@ def test_crawl(spark):
     blank = crawl.shared_urls_blank(spark.createDataFrame([("f1", "u"), ("f2", "u"), ("f3", "v")], "mrf_file_id string, mrf_url string"))
     assert {r.mrf_file_id: r.mrf_url for r in blank.collect()} == {"f1": None, "f2": None, "f3": "v"}
     texts = spark.createDataFrame([("location-name: A\nmrf-url: b", "text/plain"), ("<html>mrf-url: x", None), ("nothing", None)], "t string, c string")
-    assert [r.x for r in texts.select(crawl.looks_like_location_file(F.col("t"), F.col("c")).alias("x")).collect()] == [True, False, False]
+    assert [r.x for r in texts.select(crawl.looks_like_location_file(F.col("t")).alias("x")).collect()] == [True, False, False]

@@ -182,7 +182,7 @@ def test_web(spark):
     html = '<html><body><a href="/p">Price <b>Transparency</b></a><a href="mailto:x@y">m</a><footer><a href="f.csv">Standard charges</a></footer></body></html>'
     assert web.anchors(html, "http://h.org/a/b") == [("http://h.org/p", "Price Transparency", False), ("http://h.org/a/f.csv", "Standard charges", True)]
     pages = spark.createDataFrame([(1, "http://h.org/", html), (2, None, None)], "page_id long, url string, html string")
-    assert web.links(pages).where(web.is_price_link(F.col("text"), F.col("link"))).count() == 2
+    assert [(r.link, r.text) for r in web.price_links(web.links(pages)).collect()] == [("http://h.org/p", "Price Transparency")]
     rules_ = web.robots("User-agent: *\nDisallow: /\n\nUser-agent: own\nDisallow: /a\nAllow: /a/b$\n", "Own bot")
     assert web.path_allowed(rules_, "/a/b") and not web.path_allowed(rules_, "/a/bc") and web.path_allowed(rules_, "/x")
     text = "﻿Location-Name: A\nmrf-url: http://x\nlocation_name: B\ncontact-email: c@d\njunk\n"
