@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tariffa.functions import labels
 from tariffa.functions import rules as ru
-from tariffa.operators import checks, discovery, shown
+from tariffa.operators import checks, discovery, robots, shown
 from tariffa.operators import ownership as ow
 from tariffa.plans.cases import cases
 from tariffa.plans.catalog import query, t
@@ -219,3 +219,30 @@ def rebuild_impact(spark, sf):
     before = o.where("k <> '5-LOW'").groupBy("k", "s").agg(F.round(F.sum("o_totalprice"), 2).alias("v"))
     after = o.where("k <> '1-URGENT'").groupBy("k", "s").agg(F.round(F.sum(F.when(F.col("s") == "F", F.col("o_totalprice")).otherwise(2 * F.col("o_totalprice"))), 2).alias("v"))
     return rounded(shown.impact(before, after, ["k", "s"], "v"), "share").withColumn("change", F.round(F.col("change") + 1e-7, 2))
+
+
+#: Answers to requests for robots.txt by kind, and whether each of the paths may be read; the last kind has no answer on record.
+ROBOTS_PATHS = ("", "/private/x", "/private/open?q=1#z", "/f.zip", "/f.zip?x", "/a")
+ROBOTS = (
+    (200, None, "User-agent: other\nUser-agent: TariffaBot\nDisallow: /private\n\nUser-agent: *\nDisallow: /\n\nuser-agent: tariffabot # again\r\nAllow: /private/open\nDisallow: /*.zip$\n", (True, False, True, False, True, True)),
+    (200, None, "User-agent: *\nDisallow: /private\nDisallow:\nAllow: /\nSitemap: x", (True, False, False, True, True, True)),
+    (404, None, "User-agent: *\nDisallow: /", (True, True, True, True, True, True)),
+    (503, None, "User-agent: *\nAllow: /", (False, False, False, False, False, False)),
+    (None, "could not resolve host", None, (False, False, False, False, False, False)),
+    (200, None, "<HTML>User-agent: *\nDisallow: /", (True, True, True, True, True, True)),
+    (204, None, "", (True, True, True, True, True, True)),
+    (200, None, "Allow: /lost\nUser-agent: *\nDisallow: /a\nAllow: /a\nDisallow: /private*x\n", (True, False, True, True, True, True)),
+    (None, None, None, (False, False, False, False, False, False)),
+)
+
+
+@query(f"""SELECT page_id, 'https://H' || (page_id % 90) || '.org' || {[*ROBOTS_PATHS]}[(page_id % 7 % 6)::INT + 1] AS url, {[[*kind[3]] for kind in ROBOTS]}[(page_id % 90 % 9)::INT + 1][(page_id % 7 % 6)::INT + 1] AS allowed,
+CASE page_id % 90 % 9 WHEN 4 THEN 'dns_fail' WHEN 8 THEN NULL ELSE 'ok' END AS robots_status FROM pages""")
+def robots_by_host(spark, sf):
+    k = F.col("page_id")
+    kind = F.element_at(F.array(*(F.struct(F.lit(a).cast("int").alias("http_status"), F.lit(b).cast("string").alias("message"), F.lit(c).cast("string").alias("body")) for a, b, c, _ in ROBOTS)), (k % 90 % 9 + 1).cast("int"))
+    host = F.concat(F.lit("h"), (k % 90).cast("string"), F.lit(".org"))
+    answers = t(spark, sf, "pages").where(k % 90 % 9 != 8).select(host.alias("host"), kind.alias("r")).select("host", "r.*").distinct()
+    url = F.concat(F.lit("https://H"), (k % 90).cast("string"), F.lit(".org"), F.element_at(F.array(*map(F.lit, ROBOTS_PATHS)), (k % 7 % 6 + 1).cast("int")))
+    asked = t(spark, sf, "pages").select("page_id", url.alias("url"), host.alias("host"))
+    return robots.judged(asked, answers, "tariffabot/1.0").join(robots.statuses(answers), "host", "left").select("page_id", "url", "allowed", "robots_status")
