@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariffa.lineage import cut
@@ -38,13 +38,20 @@ def independent(gram: np.ndarray) -> np.ndarray:
     return np.array(kept)
 
 
-def _design(rows: pd.DataFrame) -> np.ndarray:
-    """Constant and a column for each level but the first of each factor. cols: places of a row's ones."""
+def _design(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The columns and y. Constant, numbers if there are any, and a column for each level but the first of each factor (cols: places of a row's ones); with weights w the rows are scaled by their roots."""
     x = np.zeros((len(rows), int(rows["k"].iloc[0])))
     x[:, 0] = 1
+    if "numbers" in rows:
+        values = np.stack(rows["numbers"].to_numpy())
+        x[:, 1 : 1 + values.shape[1]] = values
     at = np.repeat(np.arange(len(rows)), rows["cols"].map(len).to_numpy())
     x[at, np.concatenate(rows["cols"].to_numpy()).astype(int)] = 1
-    return x
+    y = rows["y"].to_numpy(float)
+    if "w" in rows:
+        root = np.sqrt(rows["w"].to_numpy(float))
+        return x * root[:, None], y * root
+    return x, y
 
 
 def _square(raw: bytes) -> np.ndarray:
@@ -112,8 +119,6 @@ def group_models(rows: DataFrame, cell: Sequence[str], y: str, group: str, level
     one level have no column, and columns that others make up go. Groups of one cluster have an estimate, but no error.
     """
     cell, factors = list(cell), list(factors)
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    head = ", ".join(f"`{c}` {kinds[c]}" for c in cell)
     good = rows.where(F.col(group).isin(*levels) & F.expr(" and ".join(f"`{c}` is not null" for c in [y, cluster, *factors])))
     good = cut(good.select(*cell, F.col(y).cast("double").alias("y"), F.col(group).alias("term"), F.col(cluster).cast("string").alias("cluster"), *(F.col(f).cast("string").alias(f"f{i}") for i, f in enumerate(factors))))
     sizes = cut(good.groupBy(*cell, "term").agg(F.count("*").alias("n_group"), F.count_distinct("cluster").alias("n_group_clusters")))
@@ -128,11 +133,33 @@ def group_models(rows: DataFrame, cell: Sequence[str], y: str, group: str, level
         at = F.array_position(f"l{i}", F.col(f"f{i}")) - 1
         places.append(F.when(at > 0, at + before - 1).otherwise(0))
         before = before + F.size(f"l{i}") - 1
-    chunk = F.pmod(F.xxhash64("cluster"), F.ceil(F.col("n") / chunk_rows)).alias("chunk")
-    coded = cut(coded.select(*cell, chunk, "cluster", "y", F.filter(F.array(*places), lambda p: p > 0).alias("cols"), before.alias("k")))
+    coded = cut(coded.select(*cell, _chunk(chunk_rows), "cluster", "y", F.filter(F.array(*places), lambda p: p > 0).alias("cols"), before.alias("k")))
+    wanted = F.array(*(F.when(F.expr(" and ".join(f"cast(`{c}` as string) = '{v}'" for c, v in s.items() if c != "term") or "true"), F.lit(s["term"])) for s in series)) if series else F.array().cast("array<string>")
+    model, boot = _models(coded, plan.select(*cell, "terms", "n", "n_clusters"), cell, wanted, draws, seed, sizes.where("n_group_clusters > 1").select(*cell, "term"))
+    model = sizes.where(F.col("term") != levels[0]).join(model, [*cell, "term"], "left")
+    alone = F.col("estimate").isNotNull() & (F.col("n_group_clusters") < 2)
+    note = F.when(alone, "one cluster, so no error").when(F.col("n_group") < least, F.lit(f"fewer than {least} rows, so not estimated")).when(F.col("estimate").isNull(), "too few rows of the reference or clusters, so not estimated")
+    model = model.withColumns({c: F.when(~alone, F.col(c)) for c in ("ci_low", "ci_high", "p_value")} | {"note": note})
+    out = model.join(boot, [*cell, "term"], "left")
+    percent = {f"pct_{c}": F.exp(c) - 1 for c in ("estimate", "ci_low", "ci_high", "wcr_ci_low", "wcr_ci_high")}
+    return out.withColumns(percent)
+
+
+def _chunk(chunk_rows: int) -> Column:
+    """Chunks hold whole clusters, and about so many rows of a cell of n."""
+    return F.pmod(F.xxhash64("cluster"), F.ceil(F.col("n") / chunk_rows)).alias("chunk")
+
+
+def _head(df: DataFrame, cell: Sequence[str]) -> str:
+    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cell)
+
+
+def _models(coded: DataFrame, plan: DataFrame, cell: list[str], wanted: Column, draws: int, seed: int, able: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Estimates and bootstraps of the terms of cells. coded: cell, chunk, cluster, y, cols, k, perhaps numbers and w. plan: cell, terms (in the order of the columns, the first being the constant), n, n_clusters. able: the terms that may be bootstrapped."""
+    head = _head(coded, cell)
 
     def sums(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        x, v = _design(part), part["y"].to_numpy()
+        x, v = _design(part)
         return pd.DataFrame([(*key, (x.T @ x).tobytes(), (x.T @ v).tobytes())], columns=[*cell, "chunk", "xx", "xy"])
 
     def solve(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
@@ -144,14 +171,14 @@ def group_models(rows: DataFrame, cell: Sequence[str], y: str, group: str, level
 
     solved = coded.groupBy(*cell, "chunk").applyInPandas(sums, f"{head}, chunk long, xx binary, xy binary")
     solved = solved.groupBy(*cell).applyInPandas(solve, f"{head}, kept binary, xx binary, xy binary, chunks array<long>")
-    solved = cut(solved.join(plan.select(*cell, "terms", "n", "n_clusters"), cell))
-    wanted = F.array(*(F.when(F.expr(" and ".join(f"cast(`{c}` as string) = '{v}'" for c, v in s.items() if c != "term") or "true"), F.lit(s["term"])) for s in series)) if series else F.array().cast("array<string>")
+    solved = cut(solved.join(plan, cell))
     solved = solved.withColumn("wanted", F.array_distinct(F.filter(wanted, lambda w: w.isNotNull()))) if draws else solved.withColumn("wanted", F.array().cast("array<string>"))
 
     def scored(key: tuple, part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         one = known.iloc[0]
         kept, gram, xy = np.frombuffer(one["kept"], np.int64), _square(one["xx"]), np.frombuffer(one["xy"], np.float64)
-        x, v = _design(part)[:, kept], part["y"].to_numpy()
+        x, v = _design(part)
+        x = x[:, kept]
         left = v - x @ np.linalg.solve(gram, xy)
         code, names = pd.factorize(part["cluster"], sort=True)
 
@@ -196,10 +223,6 @@ def group_models(rows: DataFrame, cell: Sequence[str], y: str, group: str, level
         return pd.DataFrame(out, columns=[*cell, "term", "estimate", "std_error", "ci_low", "ci_high", "p_value", "n", "n_clusters"])
 
     model = parts.where("term is null").groupBy(*cell).cogroup(solved.groupBy(*cell)).applyInPandas(estimated, f"{head}, term string, estimate double, std_error double, ci_low double, ci_high double, p_value double, n long, n_clusters long")
-    model = sizes.where(F.col("term") != levels[0]).join(model, [*cell, "term"], "left")
-    alone = F.col("estimate").isNotNull() & (F.col("n_group_clusters") < 2)
-    note = F.when(alone, "one cluster, so no error").when(F.col("n_group") < least, F.lit(f"fewer than {least} rows, so not estimated")).when(F.col("estimate").isNull(), "too few rows of the reference or clusters, so not estimated")
-    model = model.withColumns({c: F.when(~alone, F.col(c)) for c in ("ci_low", "ci_high", "p_value")} | {"note": note})
 
     n_chunks = -(-draws // CHUNK_DRAWS)
 
@@ -225,11 +248,107 @@ def group_models(rows: DataFrame, cell: Sequence[str], y: str, group: str, level
         return pd.DataFrame([(*key, test(0.0), *interval(test, one["estimate"], one["error"]))], columns=[*cell, "term", "wcr_p_value", "wcr_ci_low", "wcr_ci_high"])
 
     of_parts = lambda df: df.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(max(n_chunks - 1, 0)))))
-    several = parts.where("term is not null").join(sizes.where("n_group_clusters > 1").select(*cell, "term"), [*cell, "term"], "left_semi")
+    several = parts.where("term is not null")
+    if able is not None:
+        several = several.join(able, [*cell, "term"], "left_semi")
     asked = solved.select("*", F.explode("wanted").alias("term"))
     by = [*cell, "term", "part"]
     numbers = of_parts(several).groupBy(*by).cogroup(of_parts(asked).groupBy(*by)).applyInPandas(drawn, f"{head}, term string, part int, numbers binary, estimate double, error double, factor double, whole double")
     boot = numbers.groupBy(*cell, "term").applyInPandas(inverted, f"{head}, term string, wcr_p_value double, wcr_ci_low double, wcr_ci_high double")
-    out = model.join(boot, [*cell, "term"], "left")
-    percent = {f"pct_{c}": F.exp(c) - 1 for c in ("estimate", "ci_low", "ci_high", "wcr_ci_low", "wcr_ci_high")}
-    return out.withColumns(percent)
+    return model, boot
+
+
+def _coded_numbers(rows: DataFrame, cell: list[str], y: Column, numbers: Sequence[str], cluster: str, factors: Sequence[str], weight: str | None, chunk_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Complete rows as columns of a design, and the plan of each cell; also how many clusters have two rows or more."""
+    need = [*numbers, cluster, *factors, *([weight] if weight else [])]
+    good = rows.withColumn("__y", y.cast("double")).where(F.expr(" and ".join(f"`{c}` is not null" for c in ["__y", *need])))
+    good = cut(good.select(*cell, F.col("__y").alias("y"), F.array(*(F.col(c).cast("double") for c in numbers)).alias("numbers"), F.col(cluster).cast("string").alias("cluster"), *(F.col(f).cast("string").alias(f"f{i}") for i, f in enumerate(factors)), *([F.col(weight).cast("double").alias("w")] if weight else [])))
+    by_cluster = good.groupBy(*cell, "cluster").agg(F.count("*").alias("m")).groupBy(*cell).agg(F.sum("m").alias("n"), F.count("*").alias("n_clusters"), F.sum((F.col("m") > 1).cast("long")).alias("n_identifying"))
+    levels = good.groupBy(*cell).agg(F.count("*").alias("__n"), *(F.sort_array(F.collect_set(f"f{i}")).alias(f"l{i}") for i in range(len(factors)))).drop("__n")
+    plan = cut(by_cluster.where("n_clusters > 1").join(levels, cell).withColumn("terms", F.array(*map(F.lit, ["", *numbers]))))
+    places, before = [], F.lit(1 + len(numbers)).cast("long")
+    for i in range(len(factors)):
+        at = F.array_position(f"l{i}", F.col(f"f{i}")) - 1
+        places.append(F.when(at > 0, at + before - 1).otherwise(0))
+        before = before + F.size(f"l{i}") - 1
+    ones = F.filter(F.array(*places), lambda p: p > 0) if places else F.array().cast("array<long>")
+    coded = good.join(plan, cell).select(*cell, _chunk(chunk_rows), "cluster", "y", "numbers", *(["w"] if weight else []), ones.alias("cols"), before.alias("k"))
+    return cut(coded), plan
+
+
+def linear_models(rows: DataFrame, cell: Sequence[str], y: str, numbers: Sequence[str], cluster: str, factors: Sequence[str] = (), weight: str | None = None, draws: int = BOOTSTRAPS, chunk_rows: int = CHUNK_ROWS, seed: int = SEED) -> DataFrame:
+    """For each cell and number its slope with weights and fixed effects (factors), as group_models gives it: errors by cluster, restricted bootstrap and its interval; n_identifying: clusters with two rows or more.
+
+    Weighted squares are plain ones of rows scaled by the root of their weight. Numbers and levels that earlier columns
+    make up go; a number that goes has no row. Rows with a null anywhere are left out.
+    """
+    cell = list(cell)
+    coded, plan = _coded_numbers(rows, cell, F.col(y), numbers, cluster, factors, weight, chunk_rows)
+    model, boot = _models(coded, plan.select(*cell, "terms", "n", "n_clusters"), cell, F.array(*map(F.lit, numbers)), draws, seed)
+    return model.join(boot, [*cell, "term"], "left").join(plan.select(*cell, "n_identifying"), cell)
+
+
+def share_models(rows: DataFrame, cell: Sequence[str], part: str, whole: str, numbers: Sequence[str], cluster: str, factors: Sequence[str] = (), level: float = LEVEL, most: int = 50, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """For each cell and number its effect on the log odds of part / whole (quasi-binomial, weighted by whole), with errors by cluster, and the average marginal effect on the share.
+
+    Reweighted least squares: each step adds up the normal equations of chunks; coefficients are a small table. It ends
+    when no coefficient moves by 1e-10, after `most` steps at the latest.
+    """
+    cell = list(cell)
+    head = _head(rows, cell)
+    weighted = rows.where(F.col(whole) > 0).withColumn("__whole", F.col(whole).cast("double"))
+    coded, plan = _coded_numbers(weighted, cell, F.col(part) / F.col(whole), numbers, cluster, factors, "__whole", chunk_rows)
+
+    def parts_of(part: pd.DataFrame, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        x, _ = _design(part.drop(columns="w"))
+        w = part["w"].to_numpy(float)
+        mean = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+        return x, w, part["y"].to_numpy(float) - mean, mean * (1 - mean)
+
+    def stepped(key: tuple, part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        x, w, left, spread = parts_of(part, np.frombuffer(known["b"].iloc[0], np.float64))
+        return pd.DataFrame([(*key, ((x * (w * spread)[:, None]).T @ x).tobytes(), (x.T @ (w * left)).tobytes())], columns=[*cell, "chunk", "xx", "xy"])
+
+    def moved(key: tuple, sums: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        sums = sums.sort_values("chunk")
+        gram, score = sum(map(_square, sums["xx"])), sum(np.frombuffer(r, np.float64) for r in sums["xy"])
+        kept = independent(gram)
+        step = np.zeros(len(gram))
+        step[kept] = np.linalg.solve(gram[np.ix_(kept, kept)], score[kept])
+        b = np.frombuffer(known["b"].iloc[0], np.float64) + step
+        return pd.DataFrame([(*key, b.tobytes(), kept.astype(np.int64).tobytes(), gram.tobytes(), float(np.abs(step).max()), sorted(sums["chunk"]))], columns=[*cell, "b", "kept", "xx", "moved", "chunks"])
+
+    schema = f"{head}, b binary, kept binary, xx binary, moved double, chunks array<long>"
+    start = coded.groupBy(*cell).agg(F.max("k").alias("k"), F.sort_array(F.collect_set("chunk")).alias("chunks"))
+    now = cut(start.select(*cell, F.unhex(F.expr("repeat('00', cast(8 * k as int))")).alias("b"), "chunks"))
+    for _ in range(most):
+        each = now.select("*", F.explode("chunks").alias("chunk"))
+        sums = coded.groupBy(*cell, "chunk").cogroup(each.groupBy(*cell, "chunk")).applyInPandas(stepped, f"{head}, chunk long, xx binary, xy binary")
+        now = cut(sums.groupBy(*cell).cogroup(now.groupBy(*cell)).applyInPandas(moved, schema))
+        if not (now.agg(F.max("moved")).first()[0] or 0) > 1e-10:
+            break
+
+    def scored(key: tuple, part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        x, w, left, spread = parts_of(part, np.frombuffer(known["b"].iloc[0], np.float64))
+        code, names = pd.factorize(part["cluster"], sort=True)
+        s = np.zeros((len(names), x.shape[1]))
+        np.add.at(s, code, x * (w * left)[:, None])
+        return pd.DataFrame([(*key, (s.T @ s).tobytes(), float((w * spread).sum()), float(w.sum()), len(part), len(names))], columns=[*cell, "chunk", "meat", "spread", "w", "rows", "g"])
+
+    def estimated(key: tuple, sums: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        sums, one, out = sums.sort_values("chunk"), known.iloc[0], []
+        b, kept = np.frombuffer(one["b"], np.float64), np.frombuffer(one["kept"], np.int64)
+        bread = np.linalg.inv(_square(one["xx"])[np.ix_(kept, kept)])
+        g, n, k = int(sums["g"].sum()), int(sums["rows"].sum()), len(kept)
+        more = g / (g - 1) * (n - 1) / (n - k) if n > k else math.nan
+        errors = np.sqrt(np.maximum(np.diag(more * bread @ sum(map(_square, sums["meat"]))[np.ix_(kept, kept)] @ bread), 0))
+        for place, name in enumerate(numbers, 1):
+            if place in kept:
+                j = int(np.flatnonzero(kept == place)[0])
+                reach = t_quantile(0.5 + level / 2, g - 1) * errors[j]
+                out.append((*key, name, b[place], errors[j], b[place] - reach, b[place] + reach, t_two_sided(b[place] / errors[j], g - 1), b[place] * sums["spread"].sum() / sums["w"].sum(), n, g))
+        return pd.DataFrame(out, columns=[*cell, "term", "log_odds", "std_error", "ci_low", "ci_high", "p_value", "marginal", "n", "n_clusters"])
+
+    each = now.select("*", F.explode("chunks").alias("chunk"))
+    sums = coded.groupBy(*cell, "chunk").cogroup(each.groupBy(*cell, "chunk")).applyInPandas(scored, f"{head}, chunk long, meat binary, spread double, w double, rows long, g long")
+    return sums.groupBy(*cell).cogroup(now.groupBy(*cell)).applyInPandas(estimated, f"{head}, term string, log_odds double, std_error double, ci_low double, ci_high double, p_value double, marginal double, n long, n_clusters long")

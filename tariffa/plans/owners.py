@@ -187,6 +187,34 @@ def ownership_models(spark, sf):
     return ow.flagged(out.drop("note"))
 
 
+def share_rows(spark, sf):
+    """Suppliers as counties with their nation as state: lines, those that came back, and a covariate."""
+    lines = t(spark, sf, "lineitem").groupBy("l_suppkey", "l_linestatus").agg(F.count("*").alias("births"), F.sum((F.col("l_returnflag") != "A").cast("int")).alias("part"))
+    rows = lines.join(t(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey", (F.col("s_acctbal") / 1000).alias("x")), "l_suppkey")
+    return rows.withColumn("rate", 100 * F.col("part") / F.col("births"))
+
+
+@query(f"""WITH r AS (SELECT l_linestatus, s_nationkey, s_acctbal / 1000 AS x, count(*) AS w, 100.0 * count(*) FILTER (l_returnflag <> 'A') / count(*) AS y FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_suppkey, l_linestatus, s_nationkey, s_acctbal),
+m AS (SELECT *, x - sum(w * x) OVER s / sum(w) OVER s AS dx, y - sum(w * y) OVER s / sum(w) OVER s AS dy FROM r WINDOW s AS (PARTITION BY l_linestatus, s_nationkey)),
+b AS (SELECT l_linestatus, sum(w * dx * dy) / sum(w * dx * dx) AS b, sum(w * dx * dx) AS d, count(*) AS n, count(DISTINCT s_nationkey) AS g FROM m GROUP BY 1),
+e AS (SELECT l_linestatus, s_nationkey, sum(w * dx * (dy - b * dx)) AS s, count(*) AS m FROM m JOIN b USING (l_linestatus) GROUP BY ALL), v AS (SELECT l_linestatus, sum(s * s) AS v, count(*) FILTER (m > 1) AS n_identifying FROM e GROUP BY 1)
+SELECT l_linestatus, 'x' AS term, {S('b', 'estimate')}, {S('CASE WHEN n > g + 1 THEN sqrt(g / (g - 1) * (n - 1) / (n - g - 1) * v) / d END', 'std_error')}, n, g AS n_clusters, n_identifying FROM b JOIN v USING (l_linestatus) WHERE g > 1 AND d > 1e-9""")
+def weighted_effects(spark, sf):
+    """Weighted slopes with fixed effects of states and errors by state."""
+    out = models.linear_models(share_rows(spark, sf), ["l_linestatus"], "rate", ["x"], "s_nationkey", ["s_nationkey"], "births", draws=0)
+    return shown(out, "estimate", "std_error").select("l_linestatus", "term", "estimate", "std_error", "n", "n_clusters", "n_identifying")
+
+
+@query()
+def weighted_bootstrap(spark, sf):
+    return models.linear_models(share_rows(spark, sf), ["l_linestatus"], "rate", ["x"], "s_nationkey", ["s_nationkey"], "births")
+
+
+@query()
+def share_effects(spark, sf):
+    return models.share_models(share_rows(spark, sf), ["l_linestatus"], "part", "births", ["x"], "s_nationkey", ["s_nationkey"])
+
+
 #: concept, code, family of the lake's targets.
 BOOK = [("emb", "58100", "procedure"), ("colonoscopy", "45378", "procedure"), ("screening", "G0121", "procedure"), ("hysterectomy", "742", "ms_drg"), ("birth", "560-1", "apr_drg")]
 _PAYERS = ("Aetna PPO", "Medicare", "State Medicaid", "Humana Medicare Advantage", "Odd Club")

@@ -99,3 +99,44 @@ def test_combinations_of_columns_go():
 
 def test_no_rows(spark):
     assert models.group_models(spark.createDataFrame([], "cell string, grp string, cl string, y double"), ["cell"], "y", "grp", LEVELS, "cl", draws=10, series=[{"term": "pe"}]).collect() == []
+
+
+def places():
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(240):
+        state, x = f"s{i % 13}", float(rng.normal())
+        births = float(rng.integers(5, 400))
+        p = 1 / (1 + math.exp(-(-1 + 0.4 * x + 0.1 * (i % 13))))
+        rows.append(("a" if i % 3 else "b", state, x, 2 * x - 1 if i % 3 else float(rng.normal()), births, float(rng.binomial(int(births), p))))
+    return pd.DataFrame(rows, columns=["cell", "st", "x", "z", "births", "part"])
+
+
+def one_process(rows):
+    levels = sorted(set(rows.st))[1:]
+    x = np.stack([np.ones(len(rows)), rows.x, rows.z, *((rows.st == s).to_numpy(float) for s in levels)], 1)
+    kept = [j for j in range(x.shape[1]) if j == 0 or np.linalg.matrix_rank(x[:, : j + 1]) > np.linalg.matrix_rank(x[:, :j])]
+    return x[:, kept], pd.factorize(rows.st, sort=True)[0], kept
+
+
+def test_weighted_models_equal_one_process(spark):
+    from tariffa.operators import inference
+
+    frame = places()
+    frame["rate"] = 100 * frame.part / frame.births
+    rows = spark.createDataFrame([*map(tuple, frame.itertuples(index=False)), ("a", None, 1.0, 1.0, 2.0, 1.0, 1.0)], "cell string, st string, x double, z double, births double, part double, rate double").repartition(4)
+    linear = {(r.cell, r.term): r for r in models.linear_models(rows, ["cell"], "rate", ["x", "z"], "st", ["st"], "births", draws=199, chunk_rows=30).collect()}
+    odds = {(r.cell, r.term): r for r in models.share_models(rows, ["cell"], "part", "births", ["x", "z"], "st", ["st"], chunk_rows=30).collect()}
+    assert set(linear) == set(odds) == {("a", "x"), ("b", "x"), ("b", "z")}  # z is made of x in a
+    for cell in ("a", "b"):
+        own = frame[frame.cell == cell]
+        x, cluster, kept = one_process(own)
+        root = np.sqrt(own.births.to_numpy())
+        b, se, g = inference.cluster_ols(own.rate.to_numpy() * root, x * root[:, None], cluster)
+        q, qe, effect = inference.quasibinomial((own.part / own.births).to_numpy(), x, own.births.to_numpy(), cluster)
+        for name, j in (("x", 1), ("z", 2)):
+            if (cell, name) in linear:
+                r, o = linear[cell, name], odds[cell, name]
+                assert abs(r.estimate - b[j]) < 1e-8 and abs(r.std_error - se[j]) < 1e-8 and (r.n, r.n_clusters, r.n_identifying) == (len(own), g, 13)
+                assert r.wcr_ci_low < r.estimate < r.wcr_ci_high and 0 <= r.wcr_p_value <= 1
+                assert abs(o.log_odds - q[j]) < 1e-7 and abs(o.std_error - qe[j]) < 1e-7 and abs(o.marginal - effect[j]) < 1e-7
