@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tariffa.functions.text import blank_to_null
+
 
 def code_slots(df: DataFrame, slots: Sequence[tuple[Column, Column]], keep: Sequence[str]) -> DataFrame:
     """A row for each filled (code, type) slot, with its number."""
@@ -17,6 +19,8 @@ def code_slots(df: DataFrame, slots: Sequence[tuple[Column, Column]], keep: Sequ
 
 #: Metrics of a payer and plan in wide headers. Fixed values.
 WIDE_METRICS = ("negotiated_dollar", "negotiated_percentage", "negotiated_algorithm", "methodology", "estimated_amount", "median_amount", "10th_percentile", "90th_percentile", "count", "additional_payer_notes")
+#: Those of which a block must have one. Fixed names.
+RATE_METRICS = ("negotiated_dollar", "negotiated_percentage", "negotiated_algorithm", "median_amount", "10th_percentile", "90th_percentile", "estimated_amount")
 
 
 def wide_headers(columns: Sequence[str]) -> dict[tuple[str, str], dict[str, str]]:
@@ -35,15 +39,15 @@ def wide_headers(columns: Sequence[str]) -> dict[tuple[str, str], dict[str, str]
 
 
 def wide_rates(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """A row for each payer and plan block that has any value; lines without any keep one row without a payer."""
+    """A row for each payer and plan block that has a rate (RATE_METRICS); lines without any keep one row without a payer."""
     blocks = [
-        F.struct(F.lit(payer).alias("payer_name"), F.lit(plan or None).cast("string").alias("plan_name"), *((F.nullif(F.trim(F.col(f"`{names[m]}`")), F.lit("")) if m in names else F.lit(None).cast("string")).alias(m) for m in WIDE_METRICS))
+        F.struct(F.lit(payer).alias("payer_name"), F.lit(plan or None).cast("string").alias("plan_name"), *((blank_to_null(F.col(f"`{names[m]}`")) if m in names else F.lit(None).cast("string")).alias(m) for m in WIDE_METRICS))
         for (payer, plan), names in wide_headers(df.columns).items()
     ]
     fields = ["payer_name", "plan_name", *WIDE_METRICS]
     if not blocks:
         return df.select(*keep, *(F.lit(None).cast("string").alias(f) for f in fields))
-    filled = F.filter(F.array(*blocks), lambda b: F.coalesce(*(b[m] for m in WIDE_METRICS)).isNotNull())
+    filled = F.filter(F.array(*blocks), lambda b: F.coalesce(*(b[m] for m in RATE_METRICS)).isNotNull())
     return df.select(*keep, F.inline_outer(filled))
 
 

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tariffa.functions import labels
 from tariffa.functions import rules as ru
+from tariffa.lineage import shared_folder
 from tariffa.operators import checks, discovery, robots, shown
 from tariffa.operators import ownership as ow
 from tariffa.plans.cases import cases
 from tariffa.plans.catalog import query, t
 from tariffa.plans.reference import S
 from tariffa.plans.reference import shown as rounded
-from tariffa.sources import downloads, web
+from tariffa.sources import downloads, web, records
 
 cases("region_cases", labels.region, [("TX", "South"), ("DC", "South"), ("NY", "Northeast"), ("OH", "Midwest"), ("HI", "West"), ("PR", None), (None, None)])
 cases("state_name_cases", labels.state_name, [("TX", "Texas"), ("DC", "District of Columbia"), ("NH", "New Hampshire"), ("PR", None), (None, None)])
@@ -246,3 +249,21 @@ def robots_by_host(spark, sf):
     url = F.concat(F.lit("https://H"), (k % 90).cast("string"), F.lit(".org"), F.element_at(F.array(*map(F.lit, ROBOTS_PATHS)), (k % 7 % 6 + 1).cast("int")))
     asked = t(spark, sf, "pages").select("page_id", url.alias("url"), host.alias("host"))
     return robots.judged(asked, answers, "tariffabot/1.0").join(robots.statuses(answers), "host", "left").select("page_id", "url", "allowed", "robots_status")
+
+
+@query("""SELECT l_suppkey AS file, count(*) AS n_records, count(*) FILTER (l_partkey % 3 = 0) AS n_broken, sum(l_extendedprice::DECIMAL(18, 2))::DOUBLE AS total, 0::BIGINT AS n_rejects, count(*) FILTER (l_partkey % 3 = 2) AS n_stray FROM lineitem GROUP BY 1""")
+def csv_in_splits(spark, sf):
+    """Lines written as CSV files with quoted breaks, commas, quotes and stray bytes, and read again as records."""
+    k = F.col("l_partkey") % 3
+    told = F.when(k == 0, '"say ""x"",\n\nnext,line"').when(k == 1, '"plain, comma"').otherwise("caf")
+    rows = t(spark, sf, "lineitem").select(F.col("l_suppkey").alias("file"), F.concat_ws(",", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), told, F.col("l_extendedprice").cast("decimal(18,2)").cast("string")).alias("line"))
+    # a byte of Windows-1252 behind the bare word
+    value = F.when(F.col("line").contains(",caf,"), F.concat(F.encode(F.substring_index("line", ",caf,", 1), "utf-8"), F.encode(F.lit(",caf"), "utf-8"), F.unhex(F.lit("E9")), F.encode(F.concat(F.lit(","), F.substring_index("line", ",caf,", -1)), "utf-8"))).otherwise(F.encode("line", "utf-8"))
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    rows.select("file", value.cast("string").alias("value")).repartition("file").sortWithinPartitions("file").write.partitionBy("file").text(folder)
+    found = records.records(spark, folder).withColumn("file", F.regexp_extract("path", "file=([0-9]+)", 1).cast("long"))
+    cell = lambda i: F.get("cells", i)
+    return found.groupBy("file").agg(
+        F.count("*").alias("n_records"), F.count_if(cell(2) == 'say "x",\n\nnext,line').alias("n_broken"), F.sum(cell(3).cast("decimal(18,2)")).cast("double").alias("total"),
+        (F.count("reject") + F.count_if(F.size("cells") != 4)).alias("n_rejects"), F.sum(F.when(cell(2) == "café", F.col("stray")).otherwise(-F.col("stray"))).alias("n_stray"),
+    )

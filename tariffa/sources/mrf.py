@@ -18,7 +18,7 @@ from tariffa.functions import numbers as nu
 from tariffa.functions import text as tx
 from tariffa.operators import reshape as rs
 from tariffa.operators.windows import first_rows
-from tariffa.sources import files, pieces
+from tariffa.sources import files, pieces, records
 
 
 #: Bytes looked at, once unpacked, for the metadata of a file that isn't fetched whole.
@@ -39,7 +39,7 @@ def find_header(lines: Sequence[str]) -> int | None:
 
 
 def layout(names: Sequence[str]) -> str:
-    if "payer_name" in names and "standard_charge|negotiated_dollar" in names:
+    if "payer_name" in names and "plan_name" in names:
         return "tall"
     return "wide" if rs.wide_headers(names) else "unknown"
 
@@ -116,21 +116,36 @@ def _finished(df: DataFrame, meta: dict[str, str | None], url: str, file_id: str
 
 
 def _charge_lines(spark: SparkSession, path: str, encoding: str, head_lines: int) -> tuple[list[str], int, list[str], DataFrame]:
-    """First lines, the number of the header's, its names, and the lines of the file as c0, c1, … with one column more for cells beyond the header."""
-    head = [r.value or "" for r in spark.read.option("encoding", encoding).text(path).limit(head_lines).collect()]
+    """First lines, the number of the header's, its names, and the records of the file as c0, c1, … with what is wrong with them (reject) and their cells.
+
+    UTF-8 files are read by many tasks, other encodings one file a task.
+    """
+    head = [(r.value or "").rstrip("\r") for r in spark.read.option("encoding", encoding).option("lineSep", "\n").text(path).limit(head_lines).collect()]
     at = find_header(head)
     if at is None:
         raise ValueError(f"no charge header in the first {head_lines} lines")
     names = [header_name(c) for c in next(csv.reader([head[at]]))]
-    raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
-    rows = spark.read.csv(path, schema=raw, header=False, multiLine=True, encoding=encoding, quote='"', escape='"', mode="PERMISSIVE", unescapedQuoteHandling="STOP_AT_CLOSING_QUOTE", maxCharsPerColumn=-1, maxColumns=max(20480, 2 * len(names)))
-    return head, at, names, rows
+    n = len(names)
+    if encoding.upper().replace("_", "-") == "UTF-8":
+        rows = records.records(spark, path).where(F.size("cells") > 0)
+    else:
+        raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(n + 1)])
+        rows = spark.read.csv(path, schema=raw, header=False, multiLine=True, encoding=encoding, quote='"', escape='"', mode="PERMISSIVE", unescapedQuoteHandling="STOP_AT_CLOSING_QUOTE", maxCharsPerColumn=-1, maxColumns=max(20480, 2 * n))
+        rows = rows.select(F.array(*raw.names).alias("cells"), F.lit(0).cast("long").alias("stray"), F.lit(None).cast("string").alias("reject"))
+    beyond = F.exists(F.slice("cells", n + 1, F.greatest(F.size("cells") - n, F.lit(1))), lambda c: tx.blank_to_null(c).isNotNull())
+    rows = rows.withColumn("reject", F.coalesce("reject", F.when(beyond, "too many cells")))
+    return head, at, names, rows.select(*(F.get("cells", i).alias(f"c{i}") for i in range(n)), "reject", "cells", "stray")
 
 
 def csv_rejects(spark: SparkSession, path: str, encoding: str = "UTF-8", head_lines: int = 60) -> DataFrame:
-    """Lines that read_csv leaves out: those with text beyond the header's columns, as an unquoted comma gives; cells: the first ones."""
-    _, _, names, rows = _charge_lines(spark, path, encoding, head_lines)
-    return rows.where(tx.blank_to_null(F.col(f"c{len(names)}")).isNotNull()).select(F.array(*(f"c{i}" for i in range(len(names) + 1))).alias("cells"))
+    """cells and reject of the records that read_csv leaves out: text beyond the header's columns (as an unquoted comma gives), a quote that nothing closes, a stray carriage return."""
+    rows = _charge_lines(spark, path, encoding, head_lines)[3]
+    return rows.where("reject is not null").select("cells", "reject")
+
+
+def csv_repairs(spark: SparkSession, path: str) -> DataFrame:
+    """path, block, stray: how many bytes of each split aren't UTF-8 and are read as Windows-1252."""
+    return records.records(spark, path).groupBy("path", "block").agg(F.sum("stray").alias("stray"))
 
 
 def read_csv(spark: SparkSession, path: str, codebook: DataFrame, url: str = "", file_id: str = "", retrieved: str = "", encoding: str = "UTF-8", head_lines: int = 60) -> DataFrame:
@@ -139,7 +154,7 @@ def read_csv(spark: SparkSession, path: str, codebook: DataFrame, url: str = "",
     kind = layout(names)
     if kind == "unknown":
         raise ValueError("neither a tall nor a wide charge table")
-    rows = rows.where(tx.blank_to_null(F.col(f"c{len(names)}")).isNull()).drop(f"c{len(names)}")
+    rows = rows.where("reject is null").drop("reject", "cells", "stray")
     slots = [(i, names.index(f"{n}|type")) for i, n in enumerate(names) if re.fullmatch(r"code\|\d+", n) and f"{n}|type" in names]
     rows = rows.where(F.coalesce(*(tx.blank_to_null(F.col(f"c{i}")) for i, _ in slots)).isNotNull()).where(~F.lower(F.col(f"c{slots[0][0]}")).eqNullSafe("code|1"))
     # renamed by position, so that repeated or odd names don't matter
