@@ -198,10 +198,10 @@ def share_rows(spark, sf):
 m AS (SELECT *, x - sum(w * x) OVER s / sum(w) OVER s AS dx, y - sum(w * y) OVER s / sum(w) OVER s AS dy FROM r WINDOW s AS (PARTITION BY l_linestatus, s_nationkey)),
 b AS (SELECT l_linestatus, sum(w * dx * dy) / sum(w * dx * dx) AS b, sum(w * dx * dx) AS d, count(*) AS n, count(DISTINCT s_nationkey) AS g FROM m GROUP BY 1),
 e AS (SELECT l_linestatus, s_nationkey, sum(w * dx * (dy - b * dx)) AS s, count(*) AS m FROM m JOIN b USING (l_linestatus) GROUP BY ALL), v AS (SELECT l_linestatus, sum(s * s) AS v, count(*) FILTER (m > 1) AS n_identifying FROM e GROUP BY 1)
-SELECT l_linestatus, 'x' AS term, {S('b', 'estimate')}, {S('CASE WHEN n > g + 1 THEN sqrt(g / (g - 1) * (n - 1) / (n - g - 1) * v) / d END', 'std_error')}, n, g AS n_clusters, n_identifying FROM b JOIN v USING (l_linestatus) WHERE g > 1 AND d > 1e-9""")
+SELECT l_linestatus, 'x' AS term, {S('b', 'estimate')}, {S('CASE WHEN n > g + 1 THEN sqrt(g / (g - 1) * (n - 1) / (n - g - 1) * v) / d END', 'std_error')}, n, g AS n_clusters, n_identifying FROM b JOIN v USING (l_linestatus) WHERE g > 1 AND n_identifying > 0""")
 def weighted_effects(spark, sf):
-    """Weighted slopes with fixed effects of states and errors by state."""
-    out = models.linear_models(share_rows(spark, sf), ["l_linestatus"], "rate", ["x"], "s_nationkey", ["s_nationkey"], "births", draws=0)
+    """Weighted slopes with fixed effects of states and errors by state, where a state has two rows or more: without one nothing within states tells the slope."""
+    out = models.linear_models(share_rows(spark, sf), ["l_linestatus"], "rate", ["x"], "s_nationkey", ["s_nationkey"], "births", draws=0).where("n_identifying > 0")
     return shown(out, "estimate", "std_error").select("l_linestatus", "term", "estimate", "std_error", "n", "n_clusters", "n_identifying")
 
 
