@@ -15,6 +15,7 @@ gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,8 @@ from tariffa.llm.common import _BYTES, checkpointed, slices, span_hashes, spread
 
 #: Labelled documents that the classifier is fitted on, hashed words that are counted, and words that become features.
 SAMPLE, BUCKETS, WORDS = 10_000, 1 << 16, 192
-#: Bounds of the strength of a prior, in documents; bounds of one document's evidence, in nats.
-STRENGTH, EVIDENCE = (2.0, 10_000.0), 8.0
+#: The least that a prior is worth, in documents: with it no rate reaches 0 or 1, where a document could no longer tell.
+LEAST = 1.0
 RIDGE = 3.0
 
 _UPPER = np.isin(np.arange(256), np.arange(65, 91))
@@ -88,7 +89,7 @@ class Classifier:
 
     def evidence(self, texts: pa.Array) -> np.ndarray:
         x = (_features(texts, self.chosen) - self.mean) / self.scale
-        return np.clip(x @ self.weights[:-1] + self.weights[-1] - self.base, -EVIDENCE, EVIDENCE)
+        return x @ self.weights[:-1] + self.weights[-1] - self.base
 
 
 def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str = "text") -> Classifier:
@@ -152,12 +153,15 @@ def _moments(rate: str, n: str, prior: Column) -> list[Column]:
 
 
 def _strength(row) -> float:
-    """Documents that a prior is worth, by the method of moments."""
-    if row is None or not row.n:
-        return STRENGTH[1]
-    between = (row.spread - row.drawn) / row.n
-    level = row.level / row.n
-    return float(min(STRENGTH[1], max(STRENGTH[0], level / between - 1 if between > 0 else STRENGTH[1])))
+    """Documents that a prior is worth, by the method of moments; infinite where sites differ no more than draws would."""
+    if row is None or not row.n or row.spread <= row.drawn:
+        return math.inf
+    return max(LEAST, row.level / (row.spread - row.drawn) - 1)
+
+
+def _shrunk(good: Column, n: Column, strength: float, prior: Column) -> Column:
+    """The rate of n rows shrunk to a prior that is worth `strength` documents."""
+    return prior if math.isinf(strength) else (good + strength * prior) / (n + strength)
 
 
 def posteriors(evidence: DataFrame, base: float) -> DataFrame:
@@ -170,14 +174,14 @@ def posteriors(evidence: DataFrame, base: float) -> DataFrame:
     rate = (total.good + 0.5) / (total.n + 1) if total.n else 0.5
     shares = hosts.withColumn("share", F.col("host_good") / F.col("host_n"))
     host_m = _strength(shares.agg(*_moments("share", "host_n", F.lit(rate))).first())
-    hosts = hosts.withColumn("whole", (F.col("host_good") + host_m * rate) / (F.col("host_n") + host_m))
+    hosts = hosts.withColumn("whole", _shrunk(F.col("host_good"), F.col("host_n"), host_m, F.lit(rate)))
     sites = paths.join(hosts, paths["host"].eqNullSafe(hosts["host"])).drop(hosts["host"]).withColumn("share", F.col("good") / F.col("n"))
     path_m = _strength(sites.agg(*_moments("share", "n", F.col("whole"))).first())
     key = F.to_json(F.struct("host", "path"), {"ignoreNullFields": "false"})
     sites = sites.select(key.alias("__site"), "n", "good", "host_n", "host_good")
     out = told(evidence.withColumn("__site", key).withColumn("__own", own), sites, "__site", "n")
-    out = out.withColumn("host_rate", (F.col("host_good") - F.col("__own") + host_m * rate) / (F.col("host_n") - 1 + host_m))
-    out = out.withColumn("path_rate", (F.col("good") - F.col("__own") + path_m * F.col("host_rate")) / (F.col("n") - 1 + path_m))
+    out = out.withColumn("host_rate", _shrunk(F.col("host_good") - F.col("__own"), F.col("host_n") - 1, host_m, F.lit(rate)))
+    out = out.withColumn("path_rate", _shrunk(F.col("good") - F.col("__own"), F.col("n") - 1, path_m, F.col("host_rate")))
     odds = F.log(F.col("path_rate") / (1 - F.col("path_rate"))) + F.col("evidence")
     return out.withColumn("score", 1 / (1 + F.exp(-odds))).drop("__site", "__own", "n", "good", "host_n", "host_good")
 

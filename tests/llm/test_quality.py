@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 
 from tariffa.llm import quality as q
 
@@ -23,17 +24,20 @@ def brute(rows, base):
         spread = sum(len(v) * (sum(v) / len(v) - p) ** 2 for v, p in sites)
         between = (spread - sum(p * (1 - p) for _, p in sites)) / n
         level = sum(len(v) * p * (1 - p) for v, p in sites) / n
-        return min(q.STRENGTH[1], max(q.STRENGTH[0], level / between - 1 if between > 0 else q.STRENGTH[1]))
+        return max(q.LEAST, level / between - 1) if between > 0 else math.inf
+
+    def shrunk(good, n, m, prior):
+        return prior if math.isinf(m) else (good + m * prior) / (n + m)
 
     m = strength([(v, rate) for v in hosts.values()])
-    whole = {h: (sum(v) + m * rate) / (len(v) + m) for h, v in hosts.items()}
+    whole = {h: shrunk(sum(v), len(v), m, rate) for h, v in hosts.items()}
     k = strength([(v, whole[h]) for (h, _), v in paths.items()])
     out = []
     for d, h, p, e in rows:
         own = 1 / (1 + math.exp(-(e + base)))
         a, b = hosts[h], paths[h, p]
-        r = (sum(a) - own + m * rate) / (len(a) - 1 + m)
-        x = (sum(b) - own + k * r) / (len(b) - 1 + k)
+        r = shrunk(sum(a) - own, len(a) - 1, m, rate)
+        x = shrunk(sum(b) - own, len(b) - 1, k, r)
         out.append((d, h, p, e, r, x, 1 / (1 + math.exp(-(math.log(x / (1 - x)) + e)))))
     return out
 
@@ -48,6 +52,16 @@ def test_posteriors_equal_plain_sums(spark):
         assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:])
 
 
+def test_strength_has_no_upper_bound(spark):
+    # sites alike: rates are their prior's; sites that differ a little: a prior worth more than 10,000 documents
+    alike = q.posteriors(spark.createDataFrame([(i, "ab"[i % 2], "x", 0.0) for i in range(60)], "doc_id long, host string, path string, evidence double"), 0.0).collect()
+    assert {(r.host_rate, r.path_rate) for r in alike} == {((30 + 0.5) / 61,) * 2}
+    assert q._strength(Row(n=10.0, spread=3.0001, drawn=3.0, level=2.5)) == pytest.approx(24999.0)
+    assert q._strength(Row(n=10.0, spread=9.0, drawn=1.0, level=2.5)) == q.LEAST
+    far = q.posteriors(spark.createDataFrame([(1, "a", "x", 30.0), (2, "a", "x", -30.0), (3, "b", "y", 30.0)], "doc_id long, host string, path string, evidence double"), 0.0).collect()
+    assert [r.score > 0.5 for r in sorted(far)] == [True, False, True] and all(0 < r.path_rate < 1 for r in far)
+
+
 def test_rows(spark):
     docs = spark.createDataFrame([(1, "good words here", "h", "p"), (1, "good words here", "h", "p"), (2, None, None, None), (3, "", "h", None), (None, "bad bad", "h", "p"), (4, "bad junk " * 30000, "g", "p")], "doc_id long, text string, source string, lang string").withColumn("score", q.F.lit("clash"))
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, None), (3, None, 1), (None, 1, 1), (2, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
