@@ -76,19 +76,10 @@ def any_of(left: DataFrame, right: DataFrame, conditions: Sequence[tuple[str, st
     return reduce(DataFrame.unionAll, found).distinct()
 
 
-def token_overlap(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str = "tokens", most_common: int | None = None) -> DataFrame:
-    """Pairs sharing a token, with their Jaccard similarity, through an inverted index. tokens: arrays without repeats.
-
-    A token in more than `most_common` right rows doesn't make pairs (it still counts in the similarity); None keeps all.
-    """
+def token_overlap(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str = "tokens") -> DataFrame:
+    """Pairs sharing a token, with their Jaccard similarity, through an inverted index. tokens: arrays without repeats."""
     a = left.select(left_id, F.size(tokens).alias("__a"), F.explode(tokens).alias("__t"))
     b = right.select(right_id, F.size(tokens).alias("__b"), F.explode(tokens).alias("__t"))
-    if most_common is not None:
-        rare = b.groupBy("__t").count().where(F.col("count") <= most_common).select("__t")
-        b = b.join(rare, "__t")
-        both = a.join(b, "__t").select(left_id, right_id).distinct()
-        sets = both.join(left.select(left_id, F.col(tokens).alias("__l")), left_id).join(right.select(right_id, F.col(tokens).alias("__r")), right_id)
-        return sets.select(left_id, right_id, F.try_divide(F.size(F.array_intersect("__l", "__r")), F.size(F.array_union("__l", "__r"))).alias("score"))
     # sizes and the number of shared tokens give the similarity, so no arrays are carried along
     pairs = a.join(b, "__t").groupBy(left_id, right_id, "__a", "__b").agg(F.count("*").alias("__n"))
     return pairs.select(left_id, right_id, (F.col("__n") / (F.col("__a") + F.col("__b") - F.col("__n"))).alias("score"))
