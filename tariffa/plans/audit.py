@@ -17,24 +17,26 @@ from tariffa.plans.reference import S
 from tariffa.plans.reference import shown as rounded
 from tariffa.sources import downloads, web, records
 
-cases("region_cases", labels.region, [("TX", "South"), ("DC", "South"), ("NY", "Northeast"), ("OH", "Midwest"), ("HI", "West"), ("PR", None), (None, None)])
-cases("state_name_cases", labels.state_name, [("TX", "Texas"), ("DC", "District of Columbia"), ("NH", "New Hampshire"), ("PR", None), (None, None)])
-cases("fips_cases", labels.fips_state, [("01001", "AL"), ("02", "AK"), ("04", "AZ"), ("06037", "CA"), ("11001", "DC"), ("15", "HI"), ("36061", "NY"), ("45", "SC"), ("53", "WA"), ("56", "WY"), ("72001", "PR"), ("03", None), (None, None)])
-cases("payer_label_cases", labels.payer_label, [("self_pay_cash", "Cash price"), ("medicare_advantage", "Medicare Advantage"), ("other", None)])
-cases("utc_cases", lambda x: labels.utc_timestamp(x.cast("timestamp")), [("2026-01-02 03:04:05+02:00", "2026-01-02T01:04:05Z"), ("2026-01-02 03:04:05Z", "2026-01-02T03:04:05Z"), (None, None)])
-cases("bed_band_cases", lambda x: ru.bed_band(x.try_cast("double")), [("0", "<100"), ("99", "<100"), ("100", "100-299"), ("299", "100-299"), ("300", "300+"), ("many", "unknown"), (None, "unknown")])
-cases("roster_group_cases", ow.roster_group, [("Voluntary non-profit - Private", "nonprofit"), ("Proprietary", "for_profit_non_pe"), ("Physician", "for_profit_non_pe"), ("Government - Local", "government"), ("Veterans Health Administration", "government"), ("Department of Defense", "government"), ("Tribal", "government"), ("", "unknown"), (None, "unknown")])
-cases("extension_cases", downloads.url_extension, [("https://h.org/a.csv?x=1", ".csv"), ("https://h.org/a.CSV.gz", ".csv.gz"), ("https://h.org/a.b.zip#c", ".zip"), ("https://h.org/get", ""), (None, None)])
-cases("stem_cases", lambda x: F.substring(downloads.file_stem(x), 13, 80), [("https://h.org/a/My%20File_standardcharges.csv?x=1", "_My_File_standardcharges"), ("https://h.org/a/b.json.gz", "_b"), ("https://h.org/", "_h.org"), ("https://h.org/x%zz.csv", "_x_zz")])
-cases("encode_cases", downloads.encoded_url, [(" https://h.org/a b[1].csv ", "https://h.org/a%20b%5B1%5D.csv"), ("https://h.org/a", "https://h.org/a"), (None, None)])
-cases("tls_cases", downloads.is_tls_error, [("SSL certificate problem", True), ("TLS handshake failed", True), ("timed out", False), (None, False)], "BOOLEAN")
-
-_PAGE = "<html><body><a href='/one'>One</a><div class='site-Footer'><nav><a href='two.csv' aria-label='Prices'><img src='x'></a></nav><a href='#top'>Top</a></div><a href='three'>Three</a><section role='contentinfo'><p><a href='four' title='T'> </a></section></p><a href='mailto:x'>m</a><footer><a href='http://o.org/5'>Five <b>b</b></a></footer></body></html>"
-
-
-@query("""SELECT * FROM (VALUES (1, 'https://h.org/one', 'One', false), (1, 'https://h.org/d/two.csv', 'Prices', true), (1, 'https://h.org/d/three', 'Three', false), (1, 'https://h.org/d/four', 'T', true), (1, 'http://o.org/5', 'Five b', true)) v(page_id, link, text, in_footer)""")
+cases("region_cases", labels.region, [("TX", "South"), ("DC", "South"), ("NY", "Northeast"), ("OH", "Midwest"), ("HI", "West"), ("PR", None), ("{W}", None), (None, None)])
+cases("state_name_cases", labels.state_name, [("TX", "Texas"), ("DC", "District of Columbia"), ("NH", "New Hampshire"), ("PR", None), ("{W}", None), (None, None)])
+cases("fips_cases", labels.fips_state, [("01{b}", "AL"), ("02", "AK"), ("04{b}", "AZ"), ("06{b}", "CA"), ("11{b}", "DC"), ("15", "HI"), ("36{b}", "NY"), ("45", "SC"), ("53{b}", "WA"), ("56", "WY"), ("72{b}", "PR"), ("03{b}", None), (None, None)])
+cases("payer_label_cases", labels.payer_label, [("self_pay_cash", "Cash price"), ("medicare_advantage", "Medicare Advantage"), ("{w}", None)])
+cases("utc_cases", lambda x: labels.utc_timestamp(x.cast("timestamp")), [("2026-01-02 03:04:0{d}+02:00", "2026-01-02T01:04:0{d}Z"), ("2026-01-0{d} 03:04:05Z", "2026-01-0{d}T03:04:05Z"), (None, None)])
+cases("bed_band_cases", lambda x: ru.bed_band(x.try_cast("double")), [("{d}", "<100"), ("0", "<100"), ("99", "<100"), ("100", "100-299"), ("1{d}9", "100-299"), ("299", "100-299"), ("300", "300+"), ("3{b}", "300+"), ("{w}", "unknown"), (None, "unknown")])
+cases("roster_group_cases", ow.roster_group, [("Voluntary non-profit - {w}", "nonprofit"), ("Proprietary", "for_profit_non_pe"), ("Physician {d}", "for_profit_non_pe"), ("Government - {W}", "government"), ("Veterans Health Administration", "government"), ("Department of Defense", "government"), ("Tribal", "government"), ("{w}", "unknown"), ("", "unknown"), (None, "unknown")])
+cases("extension_cases", downloads.url_extension, [("https://h.org/{w}.csv?x={d}", ".csv"), ("https://h.org/{w}.CSV.gz", ".csv.gz"), ("https://h.org/a.{w}.zip#{d}", ".zip"), ("https://h.org/{w}", ""), (None, None)])
+cases("stem_cases", lambda x: F.substring(downloads.file_stem(x), 13, 80), [("https://h.org/a/My%20{w}_standardcharges.csv?x={d}", "_My_{w}_standardcharges"), ("https://h.org/a/{w}.json.gz", "_{w}"), ("https://{w}.org/", "_{w}.org"), ("https://h.org/{w}%zz.csv", "_{w}_zz")])
+cases("encode_cases", downloads.encoded_url, [("{e}https://h.org/{w} b[{d}].csv ", "https://h.org/{w}%20b%5B{d}%5D.csv"), ("https://h.org/{w}", "https://h.org/{w}"), (None, None)])
+cases("tls_cases", downloads.is_tls_error, [("SSL certificate problem {d}", "true"), ("TLS handshake failed after {b} ms", "true"), ("timed out after {b} ms", "false"), (None, "false")], "BOOLEAN")
+
+_PAGE = "<html><body><a href='/one{k}'>One</a><div class='site-Footer'><nav><a href='two{k}.csv' aria-label='Prices'><img src='x'></a></nav><a href='#top'>Top</a></div><a href='three'>Three</a><section role='contentinfo'><p><a href='four' title='T'> </a></section></p><a href='mailto:x'>m</a><footer><a href='http://o.org/5'>Five <b>{k}</b></a></footer></body></html>"
+
+
+@query("""SELECT page_id, replace(link, '{k}', page_id::VARCHAR) AS link, replace(text, '{k}', page_id::VARCHAR) AS text, in_footer FROM pages, (VALUES ('https://h{k}.org/one{k}', 'One', false), ('https://h{k}.org/d/two{k}.csv', 'Prices', true), ('https://h{k}.org/d/three', 'Three', false), ('https://h{k}.org/d/four', 'T', true), ('http://o.org/5', 'Five {k}', true)) v(link, text, in_footer) WHERE page_id % 7 <> 0""")
 def footer_links(spark, sf):
-    return web.links(spark.createDataFrame([(1, "https://h.org/d/x.html", _PAGE), (2, "https://h.org/", None)], "page_id int, url string, html string"))
+    k = F.col("page_id").cast("string")
+    html = F.when(F.col("page_id") % 7 != 0, F.replace(F.lit(_PAGE), F.lit("{k}"), k))
+    return web.links(t(spark, sf, "pages").select("page_id", F.concat(F.lit("https://h"), k, F.lit(".org/d/x.html")).alias("url"), html.alias("html")))
 
 
 @query("""WITH e AS (SELECT event_id, 'http://h' || (user_id % 40) || '.org/f' || (user_id % 300) || '.csv' AS url, [200, 404, 403, 500, NULL][(event_id % 5)::INT + 1] AS http_status, CASE event_id % 5 WHEN 4 THEN 'SSL certificate problem' END AS error, ts FROM events),

@@ -346,7 +346,12 @@ def facility_prices(spark, sf):
     return shown(ow.facility_prices(lake_rates(spark, sf), ("58100", "45378", "742"), ("commercial", "medicaid"), gone), "price")
 
 
-@query("""WITH b(concept, code, code_family) AS (VALUES ('emb', '58100', 'procedure'), ('odd', '99999', 'procedure'), ('hysterectomy', '742', 'ms_drg')) SELECT concept, code, code_family, CASE code WHEN '58100' THEN 'A' END AS status, CASE code WHEN '58100' THEN true WHEN '99999' THEN false END AS listed FROM b""")
+@query("""WITH b AS (SELECT p_partkey AS concept, CASE WHEN p_size % 2 = 0 THEN 58000 + p_partkey % 500 ELSE 100 + p_partkey % 900 END::VARCHAR AS code, CASE WHEN p_size % 2 = 0 THEN 'procedure' ELSE 'ms_drg' END AS code_family FROM part),
+f AS (SELECT (58000 + o_orderkey % 300)::VARCHAR AS code, min(o_orderpriority) AS status FROM orders WHERE o_orderkey % 4 <> 0 GROUP BY 1)
+SELECT concept, b.code, code_family, status, CASE code_family WHEN 'procedure' THEN f.code IS NOT NULL END AS listed FROM b LEFT JOIN f ON b.code = f.code""")
 def codebook_check(spark, sf):
-    book = spark.createDataFrame([("emb", "58100", "procedure"), ("odd", "99999", "procedure"), ("hysterectomy", "742", "ms_drg")], "concept string, code string, code_family string")
-    return lake.codebook_check(book, spark.createDataFrame([(" 58100.0", "A"), ("58300", "N")], "code string, status string"))
+    k, procedure = F.col("p_partkey"), F.col("p_size") % 2 == 0
+    book = t(spark, sf, "part").select(k.alias("concept"), F.when(procedure, 58000 + k % 500).otherwise(100 + k % 900).cast("string").alias("code"), F.when(procedure, "procedure").otherwise("ms_drg").alias("code_family"))
+    o = F.col("o_orderkey")
+    schedule = t(spark, sf, "orders").where(o % 4 != 0).select(F.format_string(" %d.0", 58000 + o % 300).alias("code"), F.col("o_orderpriority").alias("status"))
+    return lake.codebook_check(book, schedule)
