@@ -15,7 +15,7 @@ from tariffa.plans.cases import cases
 from tariffa.plans.catalog import query, t
 from tariffa.plans.reference import S
 from tariffa.plans.reference import shown as rounded
-from tariffa.sources import downloads, web, records
+from tariffa.sources import downloads, published, records, web
 
 cases("region_cases", labels.region, [("TX", "South"), ("DC", "South"), ("NY", "Northeast"), ("OH", "Midwest"), ("HI", "West"), ("PR", None), ("{W}", None), (None, None)])
 cases("state_name_cases", labels.state_name, [("TX", "Texas"), ("DC", "District of Columbia"), ("NH", "New Hampshire"), ("PR", None), ("{W}", None), (None, None)])
@@ -269,3 +269,29 @@ def csv_in_splits(spark, sf):
         F.count("*").alias("n_records"), F.count_if(cell(2) == 'say "x",\n\nnext,line').alias("n_broken"), F.sum(cell(3).cast("decimal(18,2)")).cast("double").alias("total"),
         (F.count("reject") + F.count_if(F.size("cells") != 4)).alias("n_rejects"), F.sum(F.when(cell(2) == "café", F.col("stray")).otherwise(-F.col("stray"))).alias("n_stray"),
     )
+
+
+@query("""SELECT 'first' AS build, s_nationkey, count(*) AS n, round(sum(l_extendedprice) + 1e-7, 2) AS gross FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_linenumber < 3 GROUP BY 2
+UNION ALL SELECT 'current', s_nationkey, count(*), round(sum(l_extendedprice) + 1e-7, 2) FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 2""")
+def published_builds(spark, sf):
+    """Lines and suppliers published twice, with a build between that its checks refuse: the first and the current one by nation."""
+    root = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    lines, units = t(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", "l_extendedprice"), t(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+
+    def build(lines, units):
+        checks = lambda got: {"units: repeated": published.repeated(got["units"], "l_suppkey"), "lines: unit unknown": published.orphans(got["lines"], got["units"], "l_suppkey")}
+        return published.publish(spark, root, {"lines": lines, "units": units}, checks, {"lines": ["l_suppkey"]})
+
+    first = build(lines.where("l_linenumber < 3"), units)
+    build(lines, units)
+    try:
+        build(lines, units.where("l_suppkey % 2 = 0"))  # half of the units are gone, so this one is refused
+    except published.Refused:
+        pass
+
+    def summed(name, build=None):
+        got = published.read(spark, root, build)
+        rows = got["lines"].join(got["units"], "l_suppkey").groupBy("s_nationkey").agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice") + 1e-7, 2).alias("gross"))
+        return rows.select(F.lit(name).alias("build"), "s_nationkey", "n", "gross")
+
+    return summed("first", first).unionByName(summed("current"))
