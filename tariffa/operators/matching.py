@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tariffa.functions import text as tx
 from tariffa.functions.numbers import jaccard, similarity
+from tariffa.lineage import cut
 
 #: Least score and lead, and the penalty where only the state agrees and there is no address. Fixed values.
 MIN_SCORE, MIN_MARGIN, PENALTY = 0.6, 0.15, 0.15
@@ -82,7 +83,7 @@ def resolved(facilities: DataFrame, hospitals: DataFrame, url_map: DataFrame, np
     url_map: url_key, ccn. npi_map: npi, ccn. license_map: license_key, state, ccn. Tiers: URL, NPI, licence, then name
     and address within a ZIP, else a city, else a state. URL and NPI evidence that disagree mark a conflict.
     """
-    f = features(facilities)
+    f = cut(features(facilities))  # steps that several later ones read are kept, which also keeps the plan small
     by_url = f.join(url_map, "url_key").select("facility_key", "ccn").distinct()
     by_npi = f.select("facility_key", F.explode("npis").alias("npi")).join(npi_map, "npi").select("facility_key", "ccn").distinct()
     by_license = f.join(license_map.withColumnRenamed("state", "l_state"), "license_key").where("state is null or state = l_state").select("facility_key", "ccn").distinct()
@@ -94,17 +95,17 @@ def resolved(facilities: DataFrame, hospitals: DataFrame, url_map: DataFrame, np
     npi_tier = by_npi.join(done, "facility_key", "left_anti").withColumn("ccn_match_method", F.lit("npi"))
     done = done.unionByName(npi_tier.select("facility_key").distinct())
     license_tier = by_license.join(done, "facility_key", "left_anti").withColumn("ccn_match_method", F.lit("license"))
-    done = done.unionByName(license_tier.select("facility_key").distinct())
-    evidence = url_tier.unionByName(npi_tier).unionByName(license_tier)
+    evidence = cut(url_tier.unionByName(npi_tier).unionByName(license_tier))
+    done = evidence.select("facility_key").distinct()
     # the same evidence may point to several hospitals
     picked = chosen(narrowed(scored(evidence.select("facility_key", "ccn"), f, hospitals)), min_score / 2, min_margin).join(evidence, ["facility_key", "ccn"])
-    rest = f.join(done, "facility_key", "left_anti").where((F.size("tokens") >= 2) | (F.size("street") > 0))
+    rest = cut(f.join(done, "facility_key", "left_anti").where((F.size("tokens") >= 2) | (F.size("street") > 0)))
     # the block comes first, from all hospitals of the state: those of the ZIP, else of the city, else all of them
     places = hospitals.select("ccn", "r_zip", "r_city", "r_state").distinct()
     in_state = F.col("state") == F.col("r_state")
-    by_zip = rest.join(places, in_state & (F.col("zip") == F.col("r_zip"))).select("facility_key", "ccn").distinct()
+    by_zip = cut(rest.join(places, in_state & (F.col("zip") == F.col("r_zip"))).select("facility_key", "ccn").distinct())
     open_ = rest.join(by_zip.select("facility_key").distinct(), "facility_key", "left_anti")
-    by_city = open_.join(places, in_state & (F.col("city") == F.col("r_city"))).select("facility_key", "ccn").distinct()
+    by_city = cut(open_.join(places, in_state & (F.col("city") == F.col("r_city"))).select("facility_key", "ccn").distinct())
     open_ = open_.join(by_city.select("facility_key").distinct(), "facility_key", "left_anti")
     # in a whole state only pairs that share a word of name or street can score
     words = lambda df, key, cols: df.select(key, F.explode(F.array_union(*cols)).alias("w")).distinct()
