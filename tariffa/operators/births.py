@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffa.operators import aggregates as agg
-from tariffa.operators.joins import with_fallback, within_radius
+from tariffa.operators.joins import nearest_place, with_fallback, within_radius
 
 #: Delivery groups, and the severity groups that stand in for them. Fixed values.
 ANCHORS = ("788", "807")
@@ -72,3 +72,38 @@ def covered_supply(supply: DataFrame, uncovered: DataFrame, columns: Sequence[st
     """Supply with the columns null at places of states that the roster doesn't cover. uncovered: state."""
     marked = supply.join(uncovered.select("state").distinct().withColumn("__no", F.lit(True)), "state", "left")
     return marked.withColumns({c: F.when(F.col("__no").isNull(), F.col(c)) for c in columns}).withColumn("covered", F.col("__no").isNull()).drop("__no")
+
+
+def supply_at(places: DataFrame, providers: DataFrame, counties: DataFrame, miles: float, centers: DataFrame | None = None, units: DataFrame | None = None, uncovered: DataFrame | None = None) -> DataFrame:
+    """places with covered, n_providers, births, providers_per_1k and, where given, n_centers, nearest_center (miles, at any distance), n_units, units_per_1k.
+
+    places: place (a key), county, lat, lon. providers, centers, units: lat, lon. counties: county, lat, lon, births; one
+    counts where it lies within the radius or is the place's own. uncovered: lat, lon of places of which the roster of
+    providers knows nothing: with one of them within the radius a place's providers are null, not few.
+    """
+    located = places.where("lat is not null and lon is not null")
+    there = lambda df, *more: df.where("lat is not null and lon is not null").select(F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), *more)
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        spots = there(df).groupBy("lat2", "lon2").agg(F.count("*").alias("__n"))  # many share a ZIP's point
+        return within_radius(located.select("place", "lat", "lon"), spots, miles).groupBy("place").agg(F.sum("__n").alias(name))
+
+    out = places.join(counted(providers, "n_providers"), "place", "left").fillna(0, ["n_providers"])
+    known = counties.where("lat is not null and births is not null")
+    near = within_radius(located.select("place", "lat", "lon"), there(known, F.col("county").alias("c2"), "births"), miles).select("place", "c2", "births")
+    own = places.select("place", F.col("county").alias("c2")).join(known.select(F.col("county").alias("c2"), "births"), "c2").select("place", "c2", "births")
+    out = out.join(near.unionByName(own).dropDuplicates(["place", "c2"]).groupBy("place").agg(F.sum("births").alias("births")), "place", "left").fillna(0, ["births"])
+    seen = F.lit(True)
+    if uncovered is not None:
+        spots = there(uncovered).distinct()
+        blind = within_radius(located.select("place", "lat", "lon"), spots, miles).select("place").distinct().withColumn("__blind", F.lit(True))
+        out, seen = out.join(blind, "place", "left"), F.col("__blind").isNull()
+    out = out.withColumn("covered", seen).withColumn("n_providers", F.when(F.col("covered"), F.col("n_providers"))).drop("__blind")
+    per = lambda c: F.when(F.col("births") > 0, 1000 * F.col(c) / F.col("births"))
+    out = out.withColumn("providers_per_1k", per("n_providers"))
+    if centers is not None:
+        out = out.join(counted(centers, "n_centers"), "place", "left").fillna(0, ["n_centers"])
+        out = out.join(nearest_place(located.select("place", "lat", "lon"), there(centers), "place", miles).withColumnRenamed("miles", "nearest_center"), "place", "left")
+    if units is not None:
+        out = out.join(counted(units, "n_units"), "place", "left").fillna(0, ["n_units"]).withColumn("units_per_1k", per("n_units"))
+    return out

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tariffa.functions.numbers import EARTH_MILES, haversine
+from tariffa.lineage import cut
 
 
 def null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -70,6 +71,25 @@ def within_radius(left: DataFrame, right: DataFrame, miles: float, left_point: t
     return pairs.withColumn(out, away).where(F.col(out) <= miles).drop(*own, *(f"{n}2" for n in own))
 
 
+def nearest_place(left: DataFrame, right: DataFrame, row_id: str, miles: float, out: str = "miles") -> DataFrame:
+    """row_id and the miles to the nearest right point, at any distance; no row without a point on both sides. left: row_id (a key), lat, lon. right: lat2, lon2.
+
+    Radius joins of the rows that have found nothing yet, each over three times the distance of the one before, so a row
+    with a near point never meets the far ones. Eight rounds reach round the earth from 10 miles.
+    """
+    spots = cut(right.where("lat2 is not null and lon2 is not null").select("lat2", "lon2").distinct())
+    rest = left.where("lat is not null and lon is not null").select(row_id, "lat", "lon")
+    found, ends = [], math.pi * EARTH_MILES
+    none = spots.isEmpty()
+    while True:
+        got = cut(within_radius(rest, spots, miles, out=out).groupBy(row_id).agg(F.min(out).alias(out)))
+        found.append(got)
+        rest = cut(rest.join(got, row_id, "left_anti"))
+        if none or miles > ends or rest.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        miles *= 3
+
+
 def any_of(left: DataFrame, right: DataFrame, conditions: Sequence[tuple[str, str]], left_id: str, right_id: str) -> DataFrame:
     """Distinct pairs that agree in any of the (left, right) columns: a union of equi-joins instead of a nested loop on OR."""
     found = [left.select(left_id, F.col(a).alias("__k")).where("__k is not null").join(right.select(right_id, F.col(b).alias("__k")), "__k").select(left_id, right_id) for a, b in conditions]
