@@ -4,7 +4,7 @@ import os
 import duckdb
 import pytest
 
-from tariffa.plans import audit, cases, catalog, more, owners, reference  # noqa: F401
+from tariffa.plans import audit, cases, catalog, more, owners, reference, upkeep  # noqa: F401
 
 SF = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
