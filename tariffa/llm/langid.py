@@ -41,8 +41,10 @@ TABLE_BYTES = 64_000_000
 SPREAD, LIMIT, LEAST_SPREAD, SHORT = 0.9, 10.0, 0.15, 8.0
 #: Documents that a class of lengths needs for a limit of its own; with fewer it takes that of the language.
 CLASS_DOCS = 50
-#: Words that a worker counts before it hands them on.
-COUNTED_WORDS = 100_000
+#: N-grams that a worker holds before it hands them on.
+COUNTED_GRAMS = 300_000
+#: Windows whose bits are added up at once.
+SUMMED = 250_000
 
 _CODES = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 1 << 16, np.uint64)
 _LETTER = np.array([chr(c).isalpha() for c in range(1 << 16)])
@@ -81,15 +83,27 @@ def value_of(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def distinct_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The distinct words of the texts, each word's place among them, and the n + 1 offsets of the texts."""
+def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of the texts in a row, each between its marks, their lengths with the marks, each word's place among them, and the n + 1 offsets of the texts."""
     codes, offsets = letters(texts)
     starts, ends, words = letter_words(codes, offsets)
-    if not len(starts):
-        return [], np.zeros(0, np.int64), words
     _, first, place = np.unique(span_hashes(value_of(codes), starts, ends), return_index=True, return_inverse=True)
-    raw = codes.tobytes()
-    return [raw[4 * a : 4 * b].decode("utf-32-le") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)], place, words
+    lengths = ends[first] - starts[first] + 2
+    after = np.cumsum(lengths)
+    made = np.empty(after[-1] if len(after) else 0, np.uint32)
+    made[after - lengths], made[after - 1] = ord(START), ord(END)
+    inner = np.ones(len(made), bool)
+    inner[after - lengths] = inner[after - 1] = False
+    made[inner] = codes[(np.arange(len(made)) + np.repeat(starts[first] - 1 - (after - lengths), lengths))[inner]]
+    return made, lengths, place, words
+
+
+def windows_of(codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of words in a row: the hash, the last place and the length of the window of up to ORDER letters that ends at each of their characters but the first."""
+    inside = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # characters of the word before this one
+    keys = gram_keys(value_of(codes))
+    at = np.flatnonzero(inside > 0)
+    return np.choose(np.minimum(inside, ORDER - 1), keys)[at], at, np.minimum(inside[at] + 1, ORDER)
 
 
 def gram_keys(values: np.ndarray) -> list[np.ndarray]:
@@ -106,34 +120,45 @@ def _count(texts: DataFrame) -> DataFrame:
     """part, lang, gram, n: the n-grams of ORDER letters, and the shorter ones that begin a word. texts: part, lang, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple, Counter] = {}
+        held: dict[tuple, list[tuple]] = {}  # hashes, counts and letters of n-grams by part and language
+        new = 0
+
+        def merged() -> int:
+            for key, parts in held.items():
+                hashes, first, place = np.unique(np.concatenate([h for h, _, _ in parts]), return_index=True, return_inverse=True)
+                n = np.bincount(place, np.concatenate([n for _, n, _ in parts]), len(hashes))  # exact below 2 ** 53
+                held[key] = [(hashes, n, np.concatenate([g for _, _, g in parts])[first])]
+            return sum(len(parts[0][0]) for parts in held.values())
 
         def grams():
-            ps, ls, gs, ns = [], [], [], []
-            for (p, language), words in counts.items():
-                total: Counter = Counter()
-                for w, n in words.items():
-                    w = START + w + END
-                    for i in range(2, len(w) + 1):
-                        total[w[max(0, i - ORDER) : i]] += n
-                ps += [p] * len(total)
-                ls += [language] * len(total)
-                gs += total.keys()
-                ns += total.values()
-            counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(ps, pa.int32()), pa.array(ls, pa.string()), pa.array(gs, pa.string()), pa.array(ns, pa.int64())], ["part", "lang", "gram", "n"])
+            for (p, language), [(hashes, n, gram)] in held.items():
+                m = len(hashes)
+                yield pa.RecordBatch.from_arrays([pa.array([p] * m, pa.int32()), pa.array([language] * m, pa.string()), pa.array(gram), pa.array(n.astype(np.int64))], ["part", "lang", "gram", "n"])
+            held.clear()
 
         for batch in batches:
             for rows in slices(batch):
                 keys = list(zip(rows.column("part").to_pylist(), rows.column("lang").to_pylist(), strict=True))
                 for key in dict.fromkeys(keys):
-                    words, place, _ = distinct_words(rows.column("text").filter(pa.array([k == key for k in keys])))
-                    own = counts.setdefault(key, Counter())
-                    for w, n in zip(words, np.bincount(place, minlength=len(words)).tolist(), strict=True):
-                        own[w] += n
-                if sum(map(len, counts.values())) > COUNTED_WORDS:
-                    yield grams()
-        yield grams()
+                    codes, lengths, place, _ = distinct_words(rows.column("text").filter(pa.array([k == key for k in keys])))
+                    if not len(lengths):
+                        continue
+                    hashes, at, sizes = windows_of(codes, lengths)
+                    hashes, first, own = np.unique(hashes, return_index=True, return_inverse=True)
+                    n = np.bincount(own, np.repeat(np.bincount(place), lengths - 1))
+                    begin, sizes = at[first] + 1 - sizes[first], sizes[first]
+                    gram = np.zeros((len(hashes), ORDER), np.uint32)
+                    for k in range(ORDER):
+                        some = sizes > k
+                        gram[some, k] = codes[begin[some] + k]
+                    held.setdefault(key, []).append((hashes, n, gram.view(f"U{ORDER}")[:, 0]))
+                    new += len(hashes)
+                if new > COUNTED_GRAMS:
+                    new = 0
+                    if merged() > COUNTED_GRAMS:
+                        yield from grams()
+        merged()
+        yield from grams()
 
     return spread(texts).mapInArrow(run, "part int, lang string, gram string, n long").groupBy("part", "lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -225,36 +250,42 @@ class Table:
 
     def sums(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[tuple[int, int]]]]:
         """Bits by text and column, characters by text, and by text the hashes of the windows that aren't in the table with their counts."""
-        words, place, offsets = distinct_words(texts)
+        codes, lengths, place, offsets = distinct_words(texts)
         width = self.bits.shape[1]
         total, chars, rest = np.zeros((len(texts), width)), np.zeros(len(texts), np.int64), [[] for _ in range(len(texts))]
-        if not words:
+        if not len(lengths):
             return total, chars, rest
-        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
-        codes = np.frombuffer((START + (END + START).join(words) + END).encode("utf-32-le"), np.uint32)
-        starts = np.cumsum(lengths) - lengths
-        inside = np.arange(len(codes)) - np.repeat(starts, lengths)  # characters of the word before this one
-        keys = gram_keys(value_of(codes))
-        own = np.choose(np.minimum(inside, ORDER - 1), keys)
-        at = np.flatnonzero(inside > 0)
-        found = np.minimum(np.searchsorted(self.keys, own[at]), max(len(self.keys) - 1, 0))
-        known = self.keys[found] == own[at] if len(self.keys) else np.zeros(len(at), bool)
-        per_word = np.concatenate([[0], np.cumsum(lengths - 1)])
+        # each distinct window is sought once
+        own, which = np.unique(windows_of(codes, lengths)[0], return_inverse=True)
+        bits, known = np.zeros((len(own), width), np.float32), np.zeros(len(own), bool)
+        if len(self.keys):
+            found = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
+            known = self.keys[found] == own
+            bits[known] = self.bits[found[known]]
         counts = lengths - 1
-        summed = lambda x: np.concatenate([[0], np.cumsum(x)])
-        for c in range(width):
-            bits = np.where(known, self.bits[found, c], 0) if len(self.keys) else np.zeros(len(at))
-            word_bits = np.diff(summed(bits.astype(np.float64))[per_word])
-            total[:, c] = np.diff(summed(word_bits[place])[offsets])
-        chars[:] = np.diff(summed(counts[place])[offsets])
+        per_word = np.concatenate([[0], np.cumsum(counts)])
+        word_bits = np.empty((len(lengths), width))
+        first = 0
+        while first < len(lengths):
+            last = max(first + 1, int(np.searchsorted(per_word, per_word[first] + SUMMED, "right")) - 1)
+            a, b = per_word[first], per_word[last]
+            word_bits[first:last] = np.add.reduceat(bits.take(which[a:b], axis=0), per_word[first:last] - a, axis=0, dtype=np.float64)
+            first = last
+        some = np.flatnonzero(np.diff(offsets))
+        for c, column in enumerate(np.ascontiguousarray(word_bits.T)):
+            total[some, c] = np.add.reduceat(column.take(place), offsets[some])
+        chars[some] = np.add.reduceat(counts[place], offsets[some])
         if not known.all():
-            word = np.searchsorted(per_word, np.arange(len(at)), "right") - 1
+            missing = np.flatnonzero(~known[which])
+            word = np.searchsorted(per_word, missing, "right") - 1
             unknown: dict[int, list[int]] = {}
-            for i in np.flatnonzero(~known):
-                unknown.setdefault(int(word[i]), []).append(int(own[at[i]].view(np.int64)))
+            for w, key in zip(word.tolist(), own[which[missing]].view(np.int64).tolist(), strict=True):
+                unknown.setdefault(w, []).append(key)
             text = np.repeat(np.arange(len(texts)), np.diff(offsets))
+            lacking = np.zeros(len(lengths), bool)
+            lacking[word] = True
             seen: dict[int, Counter] = {}
-            for j in np.flatnonzero(np.isin(place, list(unknown))):
+            for j in np.flatnonzero(lacking[place]):
                 seen.setdefault(int(text[j]), Counter()).update(unknown[int(place[j])])
             for i, c in seen.items():
                 rest[i] = list(c.items())

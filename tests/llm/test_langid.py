@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from tariffa.llm import langid as li
@@ -136,3 +137,21 @@ def test_held_out_accuracy(spark):
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id].lang for r in held) / len(held) > 0.99
     assert sum(r.rejected for r in rows) <= 0.002 * len(rows)
+
+
+def test_counting_takes_no_python_step_a_word(spark, monkeypatch):
+    """Words that hardly repeat are counted by arrays: 60,000 distinct words, handed on in several parts, against plain counts."""
+    monkeypatch.setattr(li, "COUNTED_GRAMS", 5_000)
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("abcdeäß日𠀀") for _ in range(rng.randrange(1, 9))) for _ in range(600)) for _ in range(100)] + ["", "12 !", None]
+    docs = spark.createDataFrame([(i % 2, "aa", t) for i, t in enumerate(texts)], "part int, lang string, text string")
+    want = Counter()
+    for i, t in enumerate(texts):
+        for w in Brute.words(t):
+            w = li.START + w + li.END
+            want.update((i % 2, w[max(0, e - li.ORDER) : e]) for e in range(2, len(w) + 1))
+    assert {(r.part, r.gram): r.n for r in li._count(docs.where("text is not null")).collect()} == want
+    # no array of characters becomes strings word by word
+    codes, lengths, place, offsets = li.distinct_words(pa.array(["ab ab c", None, "c"]))
+    assert sorted("".join(map(chr, codes)).replace(li.START, "").split(li.END)) == ["", "ab", "c"]
+    assert lengths.sum() == len(codes) and len(place) == 4 and offsets.tolist() == [0, 3, 3, 4]
