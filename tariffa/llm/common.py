@@ -53,6 +53,21 @@ def told(rows: DataFrame, info: DataFrame, key: str, n: str) -> DataFrame:
     return some.unionByName(rest.select(*some.columns))
 
 
+#: Bits of a mark table in all and in one row of it; so it has 2,048 rows and 8 MB at the most, whatever it marks.
+MARKS, ROW_MARKS = 1 << 26, 1 << 15
+
+
+def marked(rows: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
+    """rows with __marked: true for each whose columns `names` (none null) are a row of keys, and for few others (one in MARKS / keys). A join with the marked rows alone spares the shuffle of the others."""
+    place = F.pmod(F.xxhash64(*names), F.lit(MARKS))
+    at, bit = F.floor(place / ROW_MARKS).cast("int"), F.pmod(place, F.lit(ROW_MARKS)).cast("int")
+    marks = keys.select(at.alias("__at"), bit.alias("__bit")).groupBy("__at").agg(F.bitmap_construct_agg("__bit").alias("__marks"))
+    byte = F.conv(F.hex(F.expr("substring(__marks, __bit div 8 + 1, 1)")), 16, 10).cast("int")
+    own = F.expr("int(shiftleft(1, __bit % 8))").bitwiseAND(byte) != 0
+    found = rows.withColumns({"__at": at, "__bit": bit}).join(F.broadcast(marks), "__at", "left")
+    return found.withColumn("__marked", F.coalesce(own, F.lit(False))).drop("__at", "__bit", "__marks")
+
+
 def spread(df: DataFrame, tasks: int = 0) -> DataFrame:
     """df in at least as many partitions as the cluster has cores, when its files give fewer."""
     bounded(df.sparkSession)

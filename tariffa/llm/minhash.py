@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import checkpointed, mix, shingle_hashes, slices, spread, table, text_col, told, word_hashes
+from tariffa.llm.common import checkpointed, marked, mix, shingle_hashes, slices, spread, table, text_col, told, word_hashes
 from tariffa.llm.components import components
 
 WIDTH, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.9999, 5
@@ -230,9 +230,10 @@ def joined(docs: DataFrame, hashing: Hashing | None = None, doc_id: str = "doc_i
                 sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(sets, pa.binary())], ["rep", "set"])
 
-    wanted = reps.join(needed.select("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "digest", "bands")
+    wanted = checkpointed(reps.join(needed.select("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "digest", "bands"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_col(text).alias("text"))
-    # the digest tells which text of a doc_id that has several
+    # texts that nobody wants aren't shuffled; the digest tells which text of a doc_id that has several
+    texts = marked(texts.where("doc_id is not null"), wanted, "doc_id").where("__marked").drop("__marked")
     named = texts.join(wanted, "doc_id").where(F.unhex(F.md5("text")) == F.col("digest"))
     sets = named.select("rep", "text").mapInArrow(shingled, "rep long, set binary").dropDuplicates(["rep"])
     full = needed.join(sets, "rep").join(wanted.select("rep", "bands"), "rep")
@@ -266,12 +267,16 @@ def joined(docs: DataFrame, hashing: Hashing | None = None, doc_id: str = "doc_i
 def one_of_each_group(docs: DataFrame, hashing: Hashing | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Of each group of linked texts the row with the least doc_id of the least class, with all columns; rows with a null doc_id stay."""
     result = joined(docs, hashing, doc_id, text)
-    heads = result.where((F.col("doc_id") == F.col("group_id")) & (F.col("digest") == F.col("group_digest"))).select(F.col("doc_id").alias("__id"), F.hex("digest").alias("__digest")).distinct()
+    head = (F.col("doc_id") == F.col("group_id")) & (F.col("digest") == F.col("group_digest"))
+    keys = checkpointed(result.groupBy(F.col("doc_id").alias("__id"), F.hex("digest").alias("__digest")).agg(F.count("*").alias("n"), F.max(head).alias("head")))
     rows = docs.where(F.col(doc_id).isNotNull()).withColumns({"__id": F.col(doc_id).cast("long"), "__digest": F.upper(F.md5(text_col(text)))})
     every = [F.col(f"`{c}`") for c in docs.columns]
+    # a head that stands in one row stays as it is read; the marked rows, others and few of these, are held against the heads
+    rows = marked(rows, keys.where("n > 1 or not head"), "__id", "__digest")
+    doubtful = rows.where("__marked").join(keys.where("head").select("__id", "__digest"), ["__id", "__digest"])
     # rows that repeat both differ in other columns at the most: the least by hash stays
-    kept = rows.join(heads, ["__id", "__digest"]).groupBy("__id", "__digest").agg(F.min_by(F.struct(*every), F.xxhash64(*every)).alias("__row")).select("__row.*")
-    return kept.unionByName(docs.where(F.col(doc_id).isNull()))
+    kept = doubtful.groupBy("__id", "__digest").agg(F.min_by(F.struct(*every), F.xxhash64(*every)).alias("__row")).select("__row.*")
+    return rows.where("not __marked").select(*every).unionByName(kept).unionByName(docs.where(F.col(doc_id).isNull()))
 
 
 def op5_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:

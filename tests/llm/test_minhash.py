@@ -1,6 +1,8 @@
+import hashlib
 import random
 from collections import Counter, defaultdict
 
+from tariffa.llm import common
 from tariffa.llm import minhash as mh
 from tariffa.llm.components import components
 
@@ -103,3 +105,27 @@ def test_query_equals_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = sorted(map(tuple, mh.op5_minhash_join(spark, sf).collect()))
     assert got == brute(rows)
+
+
+def test_marks_lose_no_row(spark):
+    rows = spark.range(-3000, 3000).withColumn("s", mh.F.col("id").cast("string"))
+    got = {r.id: r["__marked"] for r in common.marked(rows, rows.where("id % 7 = 0"), "id", "s").collect()}
+    assert len(got) == 6000 and all(got[i] for i in got if i % 7 == 0)
+    assert sum(got.values()) <= 6000 // 7 + 10
+    assert not any(r["__marked"] for r in common.marked(rows, rows.where("false"), "id").collect())
+
+
+def test_texts_without_a_partner_are_not_shuffled(spark):
+    """1,500 texts of 12 kB, ten of them twice: the files of the shuffles stay far below the texts."""
+    rows = [(i, " ".join(hashlib.sha256(b"%d %d" % (i, j)).hexdigest() for j in range(180))) for i in range(1500)]
+    docs = spark.createDataFrame(rows + [(2000 + i, rows[i][1] + " x") for i in range(10)] + [rows[20]], "doc_id long, text string").repartition(4).checkpoint()
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        files = blocks.getAllFiles()
+        return sum(files.apply(i).length() for i in range(files.length()))
+
+    before = held()
+    kept = mh.one_of_each_group(docs).select("doc_id", mh.F.md5("text").alias("t")).collect()
+    assert sorted((r.doc_id, r.t) for r in kept) == sorted((i, hashlib.md5(t.encode()).hexdigest()) for i, t in rows)
+    assert held() - before < 0.6 * sum(len(t) for _, t in rows)
