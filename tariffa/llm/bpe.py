@@ -16,7 +16,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import weakref
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -49,7 +51,7 @@ class ByteBPE:
         self.lengths = {r: len(t) for t, r in ranks.items()}
         self.split = regex.compile(pattern).findall
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.words = _Memo(self.encode_piece)
+        self.words = _Memo(weakref.proxy(self))  # no cycle, so that all of it goes at once
         self.automaton = ahocorasick.Automaton()
         for t, r in self.rank.items():
             if len(self.merge(t)) == 1:  # a token that no merges make stands for its whole piece only
@@ -131,12 +133,12 @@ class ByteBPE:
 
 
 class _Memo(dict):
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, codec: ByteBPE):
+        self.codec = codec
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
-        made = self.older.get(key) or self.make(key)
+        made = self.older.get(key) or self.codec.encode_piece(key)
         if len(key) < 64:
             if len(self) >= WORD_MEMO:
                 self.older = dict(self)
@@ -145,27 +147,26 @@ class _Memo(dict):
         return made
 
 
-_CODECS: dict[int, ByteBPE] = {}
+class Vocabulary:
+    """Ranks and pattern, to be broadcast. A worker builds the codec once; it goes with the broadcast when the worker gets a task of another kind, as its memos are large."""
 
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.ranks, self.pattern = ranks, pattern
 
-def _codec(ranks, pattern: str) -> ByteBPE:
-    """One for each Python worker and broadcast vocabulary."""
-    key = hash((ranks.id if hasattr(ranks, "id") else id(ranks), pattern))
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = ByteBPE(ranks.value, pattern)
-    return _CODECS[key]
+    @cached_property
+    def codec(self) -> ByteBPE:
+        return ByteBPE(self.ranks, self.pattern)
 
 
 def tokenise(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: Iterable[str] = ("doc_id",), digests: bool = True) -> DataFrame:
     """The kept columns with `ids` (array of long; with digests instead n_tokens, ids_sha256 and decoded_sha256, from encoding and then decoding the ids)."""
     spark, keep = docs.sparkSession, list(keep)
-    ranks = spark.sparkContext.broadcast(read_ranks(spark, path))  # one vocabulary file, whatever the input
+    shared = spark.sparkContext.broadcast(Vocabulary(read_ranks(spark, path), pattern))  # one vocabulary file, whatever the input
     made = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<long>"
     schema = T.StructType(docs.select(*keep).schema.fields + T.StructType.fromDDL(made).fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(ranks, pattern)
+        codec = shared.value.codec
         for batch in batches:
             for part in slices(batch, "__text"):
                 rows = []

@@ -1,6 +1,8 @@
+import gc
 import hashlib
 import random
 
+import pyarrow as pa
 import tiktoken
 
 from tariffa.llm import bpe
@@ -40,3 +42,17 @@ def test_query_on_documents(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in bpe.op3_byte_bpe(spark, sf).collect():
         assert r.n_tokens == len(theirs.encode_ordinary(texts[r.doc_id]))
+
+
+def test_workers_keep_no_codec(spark):
+    """A worker's codec goes when its next task needs no vocabulary."""
+
+    def held(batches):
+        n = sum(type(x).__name__ == "ByteBPE" for x in gc.get_objects())
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([n])], ["n"])
+
+    path, pattern = bpe.vocabulary()
+    texts = spark.range(0, 64, numPartitions=16).selectExpr("id as doc_id", "concat('some words of text ', id) as text")
+    assert bpe.tokenise(texts, path, pattern).count() == 64
+    assert {r.n for r in spark.range(0, 64, numPartitions=16).mapInArrow(held, "n long").collect()} == {0}
