@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tariffa.llm.common import slices, spread, table
+from tariffa.llm.common import slices, spread, table, trimmed
 
 #: Entries of the memos of a Python worker. A full memo of words becomes the older half, and what is used again moves up; one of pairs is emptied.
-WORD_MEMO, PAIR_MEMO = 300_000, 500_000
+WORD_MEMO, PAIR_MEMO = 100_000, 250_000
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -182,7 +182,7 @@ def tokenise(docs: DataFrame, path: str, pattern: str, text: str = "text", keep:
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + own, keep + names)
 
     given = docs.select(*keep, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
-    return spread(given).mapInArrow(run, schema)
+    return spread(given).mapInArrow(trimmed(run), schema)
 
 
 def vocabulary() -> tuple[str, str]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,8 @@ from tariffa.lineage import cut, shared_folder
 
 #: Text bytes a Python worker handles at once; a longer single text forms a slice of its own.
 SLICE_BYTES = 2_000_000
+#: The same where every byte or letter is hashed, which takes some fifty bytes of memory each.
+HASHED_BYTES = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +94,20 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
         start = end
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, for mapInArrow. When its task ends, memory that it has freed goes back to the system: workers are reused, and the C library keeps what arrays of a few MB have touched."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(AttributeError, OSError, TypeError):  # glibc has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 #: Odd, so that it has an inverse modulo 2 ** 64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

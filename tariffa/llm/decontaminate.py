@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tariffa.llm.common import mix, slices, spread, table, word_hashes
+from tariffa.llm.common import HASHED_BYTES, mix, slices, spread, table, trimmed, word_hashes
 
 #: Window, substitutions in it, least words of an item for which documents are dropped.
 WINDOW, SUBSTITUTED, LEAST = 13, 3, 5
@@ -170,13 +170,13 @@ def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", block
 
         def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in slices(batch, text):
+                for part in slices(batch, text, HASHED_BYTES):
                     hit = {d for d, i, *_ in seeds.value.search(*word_hashes(part.column(part.schema.names.index(text)))) if seeds.value.lengths[i] >= least}
                     kept = [d for d in range(part.num_rows) if d not in hit]
                     if kept:
                         yield part.take(pa.array(kept))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = out.mapInArrow(trimmed(run), docs.schema)
     return out
 
 

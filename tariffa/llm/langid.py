@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tariffa.llm.common import mix, slices, span_hashes, spread, stored, table
+from tariffa.llm.common import HASHED_BYTES, mix, slices, span_hashes, spread, stored, table, trimmed
 
 ORDER = 5
 START, END = "\x02", "\x03"
@@ -137,7 +137,7 @@ def _count(texts: DataFrame) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, most=HASHED_BYTES):
                 keys = list(zip(rows.column("part").to_pylist(), rows.column("lang").to_pylist(), strict=True))
                 for key in dict.fromkeys(keys):
                     codes, lengths, place, _ = distinct_words(rows.column("text").filter(pa.array([k == key for k in keys])))
@@ -160,7 +160,7 @@ def _count(texts: DataFrame) -> DataFrame:
         merged()
         yield from grams()
 
-    return spread(texts).mapInArrow(run, "part int, lang string, gram string, n long").groupBy("part", "lang", "gram").agg(F.sum("n").alias("n"))
+    return spread(texts).mapInArrow(trimmed(run), "part int, lang string, gram string, n long").groupBy("part", "lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def counted(docs: DataFrame, part: Column, lang: str = "lang", text: str = "text") -> DataFrame:
@@ -228,7 +228,7 @@ class Model:
             for batch in batches:
                 yield pa.RecordBatch.from_arrays([pa.array(_hashes(batch.column("gram").to_pylist()).view(np.int64)), batch.column("n"), batch.column("bits")], ["key", "n", "bits"])
 
-        return stored(found.mapInArrow(run, "key long, n long, bits array<float>"))
+        return stored(found.mapInArrow(trimmed(run), "key long, n long, bits array<float>"))
 
 
 def _hashes(grams: list[str]) -> np.ndarray:
@@ -307,7 +307,7 @@ def entropies(docs: DataFrame, model: Model, bits: DataFrame, keep: Iterable[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", HASHED_BYTES):
                 sums, chars, rest = shared.value.sums(part.column("__text"))
                 rows = pa.array(np.arange(row, row + part.num_rows))
                 row += part.num_rows
@@ -315,7 +315,7 @@ def entropies(docs: DataFrame, model: Model, bits: DataFrame, keep: Iterable[str
                 others = pa.array([[{"key": k, "k": n} for k, n in x] for x in rest], pa.list_(pa.struct([("key", pa.int64()), ("k", pa.int64())])))
                 yield pa.RecordBatch.from_arrays([*part.columns[:width], flat, pa.array(chars), rows, others], names)
 
-    found = stored(spread(docs.select(*keep, F.col(text).cast("string").alias("__text"))).mapInArrow(run, T.StructType(kept.schema.fields + made.fields)))
+    found = stored(spread(docs.select(*keep, F.col(text).cast("string").alias("__text"))).mapInArrow(trimmed(run), T.StructType(kept.schema.fields + made.fields)))
     if more:
         least = top.slice(top.num_rows - 1)
         n, key = least["n"][0].as_py(), least["key"][0].as_py()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import checkpointed, marked, mix, shingle_hashes, slices, spread, table, text_col, told, word_hashes
+from tariffa.llm.common import HASHED_BYTES, checkpointed, marked, mix, shingle_hashes, slices, spread, table, text_col, told, trimmed, word_hashes
 from tariffa.llm.components import components
 
 WIDTH, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.9999, 5
@@ -78,14 +78,14 @@ def _signed(docs: DataFrame, hashing: Hashing, doc_id: str, text: str) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=HASHED_BYTES):
                 counts, bands, sketch = hashing.signatures(part.column("text"))
                 digests = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in part.column("text").to_pylist()]
                 cols = [part.column("doc_id"), pa.array(digests, pa.binary()), pa.array(counts.astype(np.int64)), _binary(bands), _binary(sketch)]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "digest", "shingles", "bands", "sketch"])
 
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_col(text).alias("text")).where("doc_id is not null")
-    return spread(given).mapInArrow(run, "doc_id long, digest binary, shingles long, bands binary, sketch binary")
+    return spread(given).mapInArrow(trimmed(run), "doc_id long, digest binary, shingles long, bands binary, sketch binary")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
@@ -201,7 +201,7 @@ def joined(docs: DataFrame, hashing: Hashing | None = None, doc_id: str = "doc_i
                 at = pa.array(np.repeat(np.arange(len(h)), n))
                 yield pa.RecordBatch.from_arrays([pa.array(h.reshape(-1)), pa.array(np.tile(np.arange(n), len(h))), batch.column("rep").take(at), batch.column("shingles").take(at)], ["h", "band", "rep", "shingles"])
 
-    rows = reps.select("rep", "shingles", "bands").mapInArrow(explode, "h long, band long, rep long, shingles long")
+    rows = reps.select("rep", "shingles", "bands").mapInArrow(trimmed(explode), "h long, band long, rep long, shingles long")
     blocks = F.greatest(F.lit(1), F.ceil(F.count("*") / block_docs), F.ceil(F.sum("shingles") * 8 / block_bytes)).cast("long")
     buckets = rows.groupBy("h").agg(F.count("*").alias("n"), blocks.alias("blocks")).where("n > 1").drop("n")
     met = _tiles(rows.join(buckets, "h").select("h", "band", "rep", "blocks").join(reps.select("rep", "bands", "sketch"), "rep"))
@@ -221,11 +221,11 @@ def joined(docs: DataFrame, hashing: Hashing | None = None, doc_id: str = "doc_i
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["h", "band", "lo", "hi", "side", "rep"])
 
-    needed = checkpointed(_sorted(met).mapInArrow(likely_ones, "h long, band long, lo long, hi long, side long, rep long"))
+    needed = checkpointed(_sorted(met).mapInArrow(trimmed(likely_ones), "h long, band long, lo long, hi long, side long, rep long"))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=HASHED_BYTES):
                 hashes, offsets = hashing.shingles(part.column("text"))
                 sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(sets, pa.binary())], ["rep", "set"])
@@ -235,7 +235,7 @@ def joined(docs: DataFrame, hashing: Hashing | None = None, doc_id: str = "doc_i
     # texts that nobody wants aren't shuffled; the digest tells which text of a doc_id that has several
     texts = marked(texts.where("doc_id is not null"), wanted, "doc_id").where("__marked").drop("__marked")
     named = texts.join(wanted, "doc_id").where(F.unhex(F.md5("text")) == F.col("digest"))
-    sets = named.select("rep", "text").mapInArrow(shingled, "rep long, set binary").dropDuplicates(["rep"])
+    sets = named.select("rep", "text").mapInArrow(trimmed(shingled), "rep long, set binary").dropDuplicates(["rep"])
     full = needed.join(sets, "rep").join(wanted.select("rep", "bands"), "rep")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +251,7 @@ def joined(docs: DataFrame, hashing: Hashing | None = None, doc_id: str = "doc_i
                 ids, root, on = t.column("rep").to_numpy(), _roots(len(bands), pairs), links > 0
                 yield pa.RecordBatch.from_arrays([pa.array(ids[on]), pa.array(links[on]), pa.array(ids[root][on])], ["rep", "links", "root"])
 
-    linked = checkpointed(_sorted(full).mapInArrow(verified, "rep long, links long, root long"))
+    linked = checkpointed(_sorted(full).mapInArrow(trimmed(verified), "rep long, links long, root long"))
     counts = linked.groupBy("rep").agg(F.sum("links").alias("n_links"))
     roots = components(linked.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     # components are named by the least class in them

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tariffa.llm.common import slices, spread, table
+from tariffa.llm.common import slices, spread, table, trimmed
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("account", "address", "login")
@@ -299,7 +299,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
                 cols[at] = pa.array(clean, part.schema.field(at).type)
                 yield pa.RecordBatch.from_arrays(cols, names)
 
-    return spread(docs).mapInArrow(run, docs.schema)
+    return spread(docs).mapInArrow(trimmed(run), docs.schema)
 
 
 def op9_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
