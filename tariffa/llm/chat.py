@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tariffa.llm.bpe import _codec, read_ranks
+from tariffa.llm.bpe import Vocabulary, read_ranks
 from tariffa.llm.common import bounded, checkpointed, table, told
 from tariffa.llm.sharding import ranked
 
@@ -174,8 +174,8 @@ def formatted(conversations: DataFrame, vocabulary: tuple[str, str] | None = Non
     size, encode = (lambda role, text: len(segment(role, text))), None
     if vocabulary:
         path, pattern = vocabulary
-        ranks = conversations.sparkSession.sparkContext.broadcast(read_ranks(conversations.sparkSession, path))  # one vocabulary file, whatever the input
-        encode = lambda: _codec(ranks, pattern).encode
+        shared = conversations.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(conversations.sparkSession, path), pattern))  # one vocabulary file, whatever the input
+        encode = lambda: shared.value.codec.encode
         size = lambda role, text: sum(len(encode()(x)) // 4 for x in (head(role), escaped(text), END + "\n"))
     conv = F.coalesce(F.col("conv_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
     given = conversations.select(conv.alias("conv"), F.col("turn").cast("long").alias("turn"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")))
