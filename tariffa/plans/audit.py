@@ -54,7 +54,7 @@ def downloads_to_try(spark, sf):
 SELECT dataset, release, source_url, sha256, n_versions FROM (SELECT *, count(*) OVER () AS c, row_number() OVER (PARTITION BY dataset ORDER BY release DESC, downloaded_at DESC, sha256 DESC) AS r FROM e) JOIN (SELECT dataset, count(DISTINCT sha256) AS n_versions FROM e GROUP BY 1) USING (dataset) WHERE r = 1""")
 def download_provenance(spark, sf):
     k = F.col("event_id")
-    rows = t(spark, sf, "events").select(F.concat(F.lit("f"), (F.col("user_id") % 20).cast("string")).alias("dataset"), F.concat(F.lit("20"), (10 + F.round("value").cast("int") % 10).cast("string")).alias("release"), F.concat(F.lit("u"), (k % 7).cast("string")).alias("source_url"), F.md5((k % 11).cast("string")).alias("sha256"), F.col("ts").cast("string").alias("downloaded_at"))
+    rows = t(spark, sf, "events").select(F.concat(F.lit("f"), (F.col("user_id") % 20).cast("string")).alias("dataset"), F.concat(F.lit("20"), (10 + F.rint("value").cast("int") % 10).cast("string")).alias("release"), F.concat(F.lit("u"), (k % 7).cast("string")).alias("source_url"), F.md5((k % 11).cast("string")).alias("sha256"), F.col("ts").cast("string").alias("downloaded_at"))
     return downloads.provenance(rows).drop("downloaded_at")
 
 

@@ -63,6 +63,6 @@ def to_try(urls: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def provenance(files: DataFrame) -> DataFrame:
-    """A row for each public file: its latest release by date, then by hash. files: dataset, release, source_url, sha256, downloaded_at."""
-    best = F.max_by(F.struct("release", "source_url", "sha256", "downloaded_at"), F.struct("release", "downloaded_at", "sha256"))
-    return files.groupBy("dataset").agg(best.alias("b"), F.count_distinct("sha256").alias("n_versions")).select("dataset", "b.*", "n_versions")
+    """A row for each public file: its latest release by date, then by hash, then by URL; rows without a dataset go. files: dataset, release, source_url, sha256, downloaded_at."""
+    best = F.max_by(F.struct("release", "source_url", "sha256", "downloaded_at"), F.struct("release", "downloaded_at", "sha256", "source_url"))
+    return files.where("dataset is not null").groupBy("dataset").agg(best.alias("b"), F.count_distinct("sha256").alias("n_versions")).select("dataset", "b.*", "n_versions")
