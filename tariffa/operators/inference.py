@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BOOTSTRAPS, LEVEL, SEED, LEAST_GROUP = 9999, 0.95, 20260913, 3
+#: Weights of a bootstrap that are held at once.
+HELD = 1_000_000
 #: Six-point weights of mean 0 and variance 1. Fixed values.
 WEBB = np.array([-math.sqrt(1.5), -1.0, -math.sqrt(0.5), math.sqrt(0.5), 1.0, math.sqrt(1.5)])
 
@@ -70,30 +72,54 @@ def cluster_ols(y: np.ndarray, x: np.ndarray, cluster: np.ndarray) -> tuple[np.n
     return b, np.sqrt(np.maximum(np.diag(v), 0)), g
 
 
-def wild_bootstrap(y: np.ndarray, x: np.ndarray, term: int, cluster: np.ndarray, draws: int = BOOTSTRAPS, seed: int = SEED, null: float = 0.0, chunk: int = 1000) -> float:
-    """p value of a coefficient by the wild cluster bootstrap with the null imposed; the draws go in chunks."""
+def wild_bootstraps(y: np.ndarray, x: np.ndarray, terms: Sequence[int], cluster: np.ndarray, draws: int = BOOTSTRAPS, seed: int = SEED, null: float = 0.0, chunk: int = 1000, held: int = HELD) -> list[float]:
+    """p values of coefficients by the wild cluster bootstrap with the null imposed, all from the same weights.
+
+    A draw moves what a model leaves of y, so a cluster is its sums of that and of its columns' products, whatever its
+    rows. The draws go in chunks, of which `held` weights are kept at a time: the generator is set back for a second look.
+    """
     b, se, g = cluster_ols(y, x, cluster)
     n, k = x.shape
-    observed = abs((b[term] - null) / se[term])
-    others = np.delete(x, term, 1)
-    y0 = y - null * x[:, term]
-    fit = others @ (np.linalg.pinv(others.T @ others) @ (others.T @ y0))
-    left, inverse = y0 - fit, np.linalg.pinv(x.T @ x)
+    inverse = np.linalg.pinv(x.T @ x)
     factor = math.sqrt(g / (g - 1) * (n - 1) / (n - k))
-    row = inverse[term]
-    rng, beyond, done = np.random.default_rng(seed), 0, 0
+    models = []
+    for term in terms:
+        others = np.delete(x, term, 1)
+        y0 = y - null * x[:, term]
+        fit = others @ (np.linalg.pinv(others.T @ others) @ (others.T @ y0))
+        row = inverse[term]
+        sums = _cluster_sums(x * (y0 - fit)[:, None], cluster)
+        models.append((abs((b[term] - null) / se[term]), row @ (x.T @ fit), sums, sums @ row, _cluster_sums(x * (x @ row)[:, None], cluster)))
+    rng, beyond, done = np.random.default_rng(seed), [0] * len(models), 0
     while done < draws:
         m = min(chunk, draws - done)
-        weights = WEBB[rng.integers(0, 6, (g, m))]
-        ys = fit[:, None] + left[:, None] * weights[cluster]
-        bs = inverse @ (x.T @ ys)
-        scores = (x @ row)[:, None] * (ys - x @ bs)  # of the term
-        sums = np.zeros((g, m))
-        np.add.at(sums, cluster, scores)
-        ts = bs[term] / np.maximum(factor * np.sqrt((sums * sums).sum(0)), 1e-300)
-        beyond += int((np.abs(ts) >= observed - 1e-12).sum())
+        step = max(1, held // m)
+        blocks = [slice(at, min(at + step, g)) for at in range(0, g, step)]
+        weights = lambda block: WEBB[rng.integers(0, 6, (block.stop - block.start, m))]
+        state, moved = rng.bit_generator.state, [0.0] * len(models)
+        for block in blocks:
+            w = weights(block)
+            moved = [was + sums[block].T @ w for was, (*_, sums, _, _) in zip(moved, models, strict=True)]
+        moved = [inverse @ by for by in moved]
+        squares = [np.zeros(m) for _ in models]
+        if len(blocks) > 1:
+            rng.bit_generator.state = state
+        for block in blocks:
+            w = weights(block) if len(blocks) > 1 else w
+            for square, by, (*_, own, onto) in zip(squares, moved, models, strict=True):
+                scores = own[block, None] * w
+                scores -= onto[block] @ by
+                square += np.einsum("ij,ij->j", scores, scores)
+        for i, (observed, start, *_) in enumerate(models):
+            ts = (start + moved[i][terms[i]]) / np.maximum(factor * np.sqrt(squares[i]), 1e-300)
+            beyond[i] += int((np.abs(ts) >= observed - 1e-12).sum())
         done += m
-    return beyond / draws
+    return [found / draws for found in beyond]
+
+
+def wild_bootstrap(y: np.ndarray, x: np.ndarray, term: int, cluster: np.ndarray, draws: int = BOOTSTRAPS, seed: int = SEED, null: float = 0.0, chunk: int = 1000) -> float:
+    """p value of one coefficient."""
+    return wild_bootstraps(y, x, [term], cluster, draws, seed, null, chunk)[0]
 
 
 def bootstrap_interval(y, x, term: int, cluster, draws: int = 999, seed: int = SEED, level: float = LEVEL) -> tuple[float, float]:
@@ -167,7 +193,7 @@ def group_models(df: DataFrame, cell: Sequence[str], y: str, group: str, referen
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.dropna(subset=[y, group, cluster, *factors, *numbers])
         rows = rows[rows[y] > 0].sort_values(list(rows.columns), ignore_index=True)
-        out = []
+        out, several = [], {}
         add = lambda **v: out.append(dict(zip(cell, key, strict=True)) | dict.fromkeys(("estimate", "std_error", "low", "high", "p_value", "p_bootstrap", "pct"), math.nan) | v)
         if len(rows):
             ids = pd.factorize(rows[cluster], sort=True)[0]
@@ -185,8 +211,12 @@ def group_models(df: DataFrame, cell: Sequence[str], y: str, group: str, referen
                 alone = rows[rows[group] == name][cluster].nunique() < 2
                 reach = math.nan if alone else t_quantile(0.5 + LEVEL / 2, g - 1) * se[i]
                 p = t_two_sided(b[i] / se[i], g - 1) if se[i] > 0 and not alone else math.nan
-                boot = wild_bootstrap(np.log(rows[y].to_numpy(float)), x, i, ids, draws) if draws and not alone else math.nan
-                add(**own, estimate=b[i], std_error=se[i], low=b[i] - reach, high=b[i] + reach, p_value=p, p_bootstrap=boot, pct=100 * math.expm1(b[i]), status="one cluster" if alone else "estimated")
+                if not alone:
+                    several[i] = len(out)
+                add(**own, estimate=b[i], std_error=se[i], low=b[i] - reach, high=b[i] + reach, p_value=p, pct=100 * math.expm1(b[i]), status="one cluster" if alone else "estimated")
+            if draws and several:
+                for at, p in zip(several.values(), wild_bootstraps(np.log(rows[y].to_numpy(float)), x, list(several), ids, draws), strict=True):
+                    out[at]["p_bootstrap"] = p
         columns = [*cell, "term", "estimate", "std_error", "low", "high", "p_value", "p_bootstrap", "pct", "n", "n_group", "n_group_clusters", "n_clusters", "status"]
         return pd.DataFrame(out, columns=columns)
 

@@ -1,10 +1,13 @@
 """Queries over tables that the test data doesn't have: halves, ties, repeated points, many rows of a key."""
 
 import datetime
+import tracemalloc
 
 import duckdb
+import numpy as np
 import pytest
 
+from tariffa.operators import inference
 from tariffa.plans import audit, catalog, more, reference  # noqa: F401
 from tariffa.sources import downloads
 
@@ -33,3 +36,22 @@ def test_halves_go_to_the_even_number(spark, tmp_path):
 def test_provenance_of_equal_downloads_does_not_hang_on_their_order(spark, order):
     rows = [("d", "2019", f"u{i}", "s", "2024-01-01") for i in range(6)][::order]
     assert downloads.provenance(spark.createDataFrame(rows, "dataset string, release string, source_url string, sha256 string, downloaded_at string").coalesce(1)).first().source_url == "u5"
+
+
+def test_wild_bootstrap_of_many_clusters_is_bounded_in_memory():
+    rng = np.random.default_rng(5)
+    cluster = np.repeat(np.arange(4000), 5)
+    x = np.stack([np.ones(20_000), rng.integers(0, 2, 20_000)], 1).astype(float)
+    y = rng.normal(size=20_000) + rng.normal(size=4000)[cluster] + 0.02 * x[:, 1]
+    tracemalloc.start()
+    try:
+        p = inference.wild_bootstrap(y, x, 1, cluster, 1000)
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+    # the draws one by one, over all rows
+    weights, left = inference.WEBB[np.random.default_rng(inference.SEED).integers(0, 6, (4000, 1000))], y - y.mean()
+    t = lambda b, se, _: abs(b[1] / se[1])
+    observed = t(*inference.cluster_ols(y, x, cluster))
+    assert p == np.mean([t(*inference.cluster_ols(y.mean() + left * w[cluster], x, cluster)) >= observed - 1e-12 for w in weights.T])
+    assert inference.wild_bootstraps(y, x, [1], cluster, 1000, held=3000) == [p]
