@@ -137,6 +137,22 @@ def best_block(pairs: DataFrame, row_id: str, tiers: Sequence[Column], out: str
     return ranked.withColumn("__best", F.min(out).over(Window.partitionBy(row_id))).where(F.col(out) == F.col("__best")).drop("__best")
 
 
+def first_block(left: DataFrame, right: DataFrame, row_id: str, tiers: Sequence[Sequence[tuple[str, str]]], out: str = "block") -> DataFrame:
+    """As best_block, for tiers that are equalities of (left, right) columns, each tier's pairs being pairs of the next one too. Rows without a row_id have no pairs.
+
+    Whether a tier has a row's pair is seen from the distinct keys of the right side, so only the pairs that stay are made.
+    """
+    fits = lambda tier: [(a, f"__k{j}", F.col(b).alias(f"__k{j}")) for j, (a, b) in enumerate(tier)]
+    rows = left.where(F.col(row_id).isNotNull())
+    for i, tier in enumerate(tiers):
+        keys = right.select(*(k for _, _, k in fits(tier))).distinct().withColumn(f"__t{i}", F.lit(i))
+        rows = rows.join(keys, [F.col(a) == F.col(k) for a, k, _ in fits(tier)], "left").drop(*(k for _, k, _ in fits(tier)))
+    marks = [f"__t{i}" for i in range(len(tiers))]
+    rows = rows.withColumn(out, F.coalesce(*marks)).drop(*marks).where(F.col(out).isNotNull())
+    rows = rows.withColumn("__best", F.min(out).over(Window.partitionBy(row_id))).where(F.col(out) == F.col("__best")).drop("__best")
+    return reduce(DataFrame.unionByName, (rows.where(F.col(out) == i).join(right, [F.col(a) == F.col(b) for a, b in tier]) for i, tier in enumerate(tiers)))
+
+
 def first_tier(tiers: Sequence[DataFrame], key: str, out: str = "tier") -> DataFrame:
     """Rows of the first of several candidate tables that has the key."""
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (t.withColumn(out, F.lit(i)) for i, t in enumerate(tiers)))

@@ -55,3 +55,22 @@ def test_wild_bootstrap_of_many_clusters_is_bounded_in_memory():
     observed = t(*inference.cluster_ols(y, x, cluster))
     assert p == np.mean([t(*inference.cluster_ols(y.mean() + left * w[cluster], x, cluster)) >= observed - 1e-12 for w in weights.T])
     assert inference.wild_bootstraps(y, x, [1], cluster, 1000, held=3000) == [p]
+
+
+NATIONS = ([(1, "A", 0), (2, "B", 0), (3, "C", 1), (4, "D", None), (5, "E", 0)], "n_nationkey int, n_name string, n_regionkey int")
+
+
+def test_blocks_of_odd_keys(spark, tmp_path):
+    customers = [(1, 1), (2, 1), (2, 2), (-3, 1), (4, 2), (5, 3), (6, 4), (7, None), (None, 1), (8, 9), (9, 5)]
+    suppliers = [(6, 1), (7, 1), (-8, 1), (None, 2), (11, 4), (12, None), (6, 1)]
+    got, want = against_sql(spark, tmp_path, "blocked_match", {"nation": NATIONS, "customer": (customers, "c_custkey long, c_nationkey int"), "supplier": (suppliers, "s_suppkey long, s_nationkey int")})
+    assert got == want and {r[-2] for r in got} == {"0", "1", "2"}
+
+
+def test_blocks_make_no_pairs_but_their_own(spark, tmp_path):
+    spark.createDataFrame(*NATIONS).write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(300_000).selectExpr("if(id = 0, 0, 5 * id + 1) AS c_custkey", "if(id = 0, 1, 2) AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    # 6e9 pairs in the region, and one supplier that all but one customer are nearest to
+    spark.range(20_000).selectExpr("if(id = 0, 1, 5 * id) AS s_suppkey", "if(id = 0, 2, 1) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = catalog.QUERIES["blocked_match"](spark, str(tmp_path)).groupBy("block").count().collect()
+    assert [tuple(r) for r in got] == [(0, 299_999 + 19_999)]
