@@ -51,7 +51,14 @@ def supply(places: DataFrame, providers: DataFrame, miles: float, per: str | Non
 
 def local_difference(places: DataFrame, prices: DataFrame, miles: float) -> DataFrame:
     """place, payer_type, difference, n_hospitals, level: for each place and payer type the median difference between two anchors' prices within reach, else that of its state. places: place, state, lat, lon. prices: ccn, payer_type, state2, lat2, lon2, difference."""
-    near = agg.median(within_radius(places, prices, miles), ["place", "payer_type"], "difference", "local", "n_local")
+    # places at the same points have the same prices within reach, so only distinct points meet, and equal prices of a point once
+    spots = places.where("lat is not null and lon is not null").groupBy("place").agg(F.sort_array(F.collect_list(F.struct("lat", "lon"))).alias("__spot"))
+    points = spots.select("__spot").distinct().select("__spot", F.explode("__spot").alias("p")).select("__spot", "p.*")
+    sums = prices.groupBy("payer_type", "lat2", "lon2", "difference").agg(F.count("*").alias("__n"))
+    met = points.select("lat", "lon").distinct(), sums.select("lat2", "lon2").distinct()
+    reached = points.join(within_radius(*met, miles), ["lat", "lon"]).join(sums, ["lat2", "lon2"]).groupBy("__spot", "payer_type", "difference").agg(F.sum("__n").alias("__n"))
+    near = reached.groupBy("__spot", "payer_type").agg(F.expr("percentile(difference, 0.5D, __n)").alias("local"), F.sum("__n").alias("n_local"))
+    near = spots.join(near, "__spot").drop("__spot")
     state = agg.median(prices.withColumnRenamed("state2", "state"), ["state", "payer_type"], "difference", "statewide")
     grid = places.select("place", "state").join(F.broadcast(prices.select("payer_type").distinct()))  # a handful of types
     out = grid.join(near, ["place", "payer_type"], "left").join(state, ["state", "payer_type"], "left")

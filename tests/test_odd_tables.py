@@ -74,3 +74,21 @@ def test_blocks_make_no_pairs_but_their_own(spark, tmp_path):
     spark.range(20_000).selectExpr("if(id = 0, 1, 5 * id) AS s_suppkey", "if(id = 0, 2, 1) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
     got = catalog.QUERIES["blocked_match"](spark, str(tmp_path)).groupBy("block").count().collect()
     assert [tuple(r) for r in got] == [(0, 299_999 + 19_999)]
+
+
+@pytest.mark.parametrize("name", ["local_difference_by_payer", "implied_difference"])
+def test_differences_of_odd_rows(spark, tmp_path, name):
+    customers = [(k, k % 4) for k in range(0, 900, 3)] + [(3, 3), (3, 3), (400, None), (None, 1)]
+    suppliers = [(k, k % 3, k * 37 % 100 / 4) for k in range(0, 800, 2)] + [(2, 2, None), (8, 2, 1.0), (8, 2, 1.0), (5, None, 7.0)]
+    got, want = against_sql(spark, tmp_path, name, {"customer": (customers, "c_custkey long, c_nationkey int"), "supplier": (suppliers, "s_suppkey long, s_nationkey int, s_acctbal double")})
+    assert got == want and len(got) > 5
+
+
+def test_differences_at_one_point(spark, tmp_path):
+    # 2.4e9 pairs within reach, at one point
+    spark.range(60_000).selectExpr("id * 391 AS c_custkey", "1 AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(40_000).selectExpr("id * 391 AS s_suppkey", "1 AS s_nationkey", "cast(id AS double) AS s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = catalog.QUERIES["local_difference_by_payer"](spark, str(tmp_path)).groupBy("payer_type", "n_hospitals", "difference", "level").count().collect()
+    assert sorted(map(tuple, got)) == [("commercial", 13_334, 19_999.5, "local", 60_000), ("medicaid", 13_333, 19_999.0, "local", 60_000), ("self_pay", 13_333, 20_000.0, "local", 60_000)]
+    total = {r.payer_type: r.n_counties for r in catalog.QUERIES["implied_difference"](spark, str(tmp_path)).where("bound = 'low'").collect()}
+    assert total == {"commercial": 60_000, "medicaid": 60_000}
