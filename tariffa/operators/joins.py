@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,26 +49,33 @@ def nearest_value(own: DataFrame, other: DataFrame, on: Sequence[str], row_id: s
     return null_safe(own.withColumn("__v", F.col(own_value)), gaps, [*keys, "__v"]).drop("__v")
 
 
-def within_radius(left: DataFrame, right: DataFrame, miles: float, left_point: tuple[str, str] = ("lat", "lon"), right_point: tuple[str, str] = ("lat2", "lon2"), out: str = "miles") -> DataFrame:
+def within_radius(left: DataFrame, right: DataFrame, miles: float, left_point: tuple[str, str] = ("lat", "lon"), right_point: tuple[str, str] = ("lat2", "lon2"), out: str = "miles", shown: Callable[[Column], Column] | None = None) -> DataFrame:
     """Pairs of points at most so far apart, by an equi-join on cells of space and an exact check.
 
     Points become places on the unit sphere, cut into cubes as wide as the chord of the distance; right points are copied
     to the cubes around theirs. Poles and the date line are places like any other. Rows without a place match nothing.
+    Only distinct points meet there, so rows at the same point take one check; each side's rows are joined to what was found.
+    shown: what is made of the distance, once for each pair of points.
     """
     step = 2 * math.sin(min(miles / (2 * EARTH_MILES), math.pi / 2)) * (1 + 1e-9) + 1e-12
+    own, ends = ("__x", "__y", "__z"), ("__lat", "__lon", "__lat2", "__lon2")
+    spots = lambda df, at, names: df.where(F.col(at[0]).isNotNull() & F.col(at[1]).isNotNull()).select(F.col(at[0]).alias(names[0]), F.col(at[1]).alias(names[1])).distinct()
 
     def cube(lat: str, lon: str) -> list[Column]:
         y, x = F.radians(lat), F.radians(lon)
         return [F.floor(v / step) for v in (F.cos(y) * F.cos(x), F.cos(y) * F.sin(x), F.sin(y))]
 
-    own = dict(zip(("__x", "__y", "__z"), cube(*left_point), strict=True))
-    there = cube(*right_point)
+    there = cube(*ends[2:])
     around = [F.struct(*((c + d).alias(n) for c, d, n in zip(there, (i, j, k), own, strict=True))) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
-    placed = lambda df, at: df.where(F.col(at[0]).isNotNull() & F.col(at[1]).isNotNull())
-    dealt = placed(right, right_point).select("*", F.explode(F.array(*around)).alias("__cell")).select(*right.columns, *(F.col(f"__cell.{n}").alias(f"{n}2") for n in own))
-    pairs = placed(left, left_point).withColumns(own).join(dealt, reduce(lambda a, b: a & b, (F.col(n) == F.col(f"{n}2") for n in own)))
-    away = haversine(*(F.col(p) for p in (*left_point, *right_point)))
-    return pairs.withColumn(out, away).where(F.col(out) <= miles).drop(*own, *(f"{n}2" for n in own))
+    dealt = spots(right, right_point, ends[2:]).select(*ends[2:], F.explode(F.array(*around)).alias("__cell")).select(*ends[2:], "__cell.*")
+    near = spots(left, left_point, ends[:2]).withColumns(dict(zip(own, cube(*ends[:2]), strict=True))).join(dealt, list(own)).drop(*own)
+    near = near.withColumn(out, haversine(*(F.col(p) for p in ends))).where(F.col(out) <= miles)
+    if shown:
+        near = near.withColumn(out, shown(F.col(out)))
+    # dealt anew, as few points would leave all pairs to one task
+    found = left.join(near, [F.col(a) == F.col(b) for a, b in zip(left_point, ends[:2], strict=True)]).repartition(4 * left.sparkSession.sparkContext.defaultParallelism)
+    pairs = found.join(right, [F.col(a) == F.col(b) for a, b in zip(right_point, ends[2:], strict=True)])
+    return pairs.select(*left.columns, *right.columns, out)
 
 
 def nearest_place(left: DataFrame, right: DataFrame, row_id: str, miles: float, out: str = "miles") -> DataFrame:

@@ -92,3 +92,16 @@ def test_differences_at_one_point(spark, tmp_path):
     assert sorted(map(tuple, got)) == [("commercial", 13_334, 19_999.5, "local", 60_000), ("medicaid", 13_333, 19_999.0, "local", 60_000), ("self_pay", 13_333, 20_000.0, "local", 60_000)]
     total = {r.payer_type: r.n_counties for r in catalog.QUERIES["implied_difference"](spark, str(tmp_path)).where("bound = 'low'").collect()}
     assert total == {"commercial": 60_000, "medicaid": 60_000}
+
+
+def test_pairs_within_a_radius_of_repeated_points(spark, tmp_path):
+    # 20,000 keys on is the same point
+    keys = "id % 4 * 20000 + id div 4 % 3 * 5000 + if(id < 12, id, 0)"
+    spark.range(3000).selectExpr("20000 * id AS s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(100_000).selectExpr("20000 * id AS c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    near = catalog.QUERIES["radius_join"](spark, str(tmp_path))
+    assert [tuple(r) for r in near.groupBy("miles").count().collect()] == [(0.0, 300_000_000)]
+    (tmp_path / "few").mkdir()
+    rows = [(r[0],) for r in spark.range(40).selectExpr(keys).collect()] + [(None,), (0,), (0,)]
+    got, want = against_sql(spark, tmp_path / "few", "radius_join", {"supplier": (rows, "s_suppkey long"), "customer": (rows[::-1] + [(80_000,)], "c_custkey long")})
+    assert got == want and len(got) > 40
