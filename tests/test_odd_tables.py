@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tariffa.operators import inference
+from tariffa.operators import inference, store
 from tariffa.plans import audit, catalog, more, reference  # noqa: F401
 from tariffa.sources import downloads
 
@@ -105,3 +105,19 @@ def test_pairs_within_a_radius_of_repeated_points(spark, tmp_path):
     rows = [(r[0],) for r in spark.range(40).selectExpr(keys).collect()] + [(None,), (0,), (0,)]
     got, want = against_sql(spark, tmp_path / "few", "radius_join", {"supplier": (rows, "s_suppkey long"), "customer": (rows[::-1] + [(80_000,)], "c_custkey long")})
     assert got == want and len(got) > 40
+
+
+def test_prices_of_all_kinds_share_one_shuffle(spark):
+    rows = [("u1", "TX", "c", "x", "p", 10.0, 5.0, 20.0, 1), ("u1", "TX", "c", "x", "q", 30.0, 5.0, 20.0, 1), ("u1", "TX", "c", "self_pay_cash", "p", 8.0, 7.0, None, 2), ("u2", "TX", "c", None, "p", 9.0, 0.5, 40.0, 1), ("u3", None, "c", "x", "p", 1.0, 5.0, 20.0, 1)]
+    got = store.geographic_medians(spark.createDataFrame(rows, "unit string, state string, code string, kind string, plan string, rate double, cash double, gross double, line int"), "rate", "unit", "state", ["code"], "kind", ["plan"], "cash", "gross", ["line"])
+    # a paid price that bears the name of cash prices stays a value of its own
+    assert {(r.kind, r.median_price, r.n_hospitals, r.n_rates) for r in got.where("state = 'TX'").collect()} == {("x", 20.0, 1, 2), ("self_pay_cash", 7.0, 2, 3), ("gross_charge", 30.0, 2, 2)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = catalog.QUERIES["three_stage_median"](spark, "/root/testdata/sf0.001")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("FileScan") == 6 and "ReusedExchange" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
