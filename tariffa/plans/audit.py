@@ -262,7 +262,9 @@ def csv_in_splits(spark, sf):
     # a byte of Windows-1252 behind the bare word
     value = F.when(F.col("line").contains(",caf,"), F.concat(F.encode(F.substring_index("line", ",caf,", 1), "utf-8"), F.encode(F.lit(",caf"), "utf-8"), F.unhex(F.lit("E9")), F.encode(F.concat(F.lit(","), F.substring_index("line", ",caf,", -1)), "utf-8"))).otherwise(F.encode("line", "utf-8"))
     folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
-    rows.select("file", value.cast("string").alias("value")).repartition("file").sortWithinPartitions("file").write.partitionBy("file").text(folder)
+    # tasks put their files in place themselves, as the driver would move one after the other
+    written = rows.select("file", value.cast("string").alias("value")).repartition("file").sortWithinPartitions("file").write.partitionBy("file")
+    written.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
     found = records.records(spark, folder).withColumn("file", F.regexp_extract("path", "file=([0-9]+)", 1).cast("long"))
     cell = lambda i: F.get("cells", i)
     return found.groupBy("file").agg(

@@ -9,7 +9,7 @@ import pytest
 
 from tariffa.operators import inference, store
 from tariffa.plans import audit, catalog, more, reference  # noqa: F401
-from tariffa.sources import downloads
+from tariffa.sources import downloads, records
 
 
 def against_sql(spark, folder, name, tables):
@@ -121,3 +121,21 @@ def test_prices_of_all_kinds_share_one_shuffle(spark):
         assert plan.count("FileScan") == 6 and "ReusedExchange" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_files_that_are_not_cut_take_one_scan(spark, tmp_path, monkeypatch):
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_bytes(b'a,"b\nc"\nd,caf\xe9\x81\n')
+    (tmp_path / "big.csv").write_bytes(b'x,"' + b"line\n" * 2000 + b'"\ny,z\n')
+    seen, plain = [], records._starts
+    monkeypatch.setattr(records, "_starts", lambda lines: seen.append(plain(lines)) or seen[-1])
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for c in before:
+            spark.conf.set(c, "1k")
+        got = sorted((r.path[-5], r.cells, r.stray) for r in records.records(spark, str(tmp_path)).collect())
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert {p[-7:] for p, _ in seen[0]} == {"big.csv"} and len(seen[0]) > 3
+    assert got == sorted([x for i in "012" for x in ((i, ["a", "b\nc"], 0), (i, ["d", "café�"], 2))] + [("g", ["x", "line\n" * 2000], 0), ("g", ["y", "z"], 0)])
